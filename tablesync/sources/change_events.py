@@ -12,7 +12,7 @@ SOURCE_FIELDS = {
     "ts_ms": "bigint",
     "file": "string",
     "pos": "bigint",
-    "row": "int",
+    "row": "bigint",
     "gtid": "string",
     "server_id": "bigint",
     "snapshot": "string",
