@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.sources.files import publish_text
+
 AUDIT_SCHEMA = (
     "job string, batch_id bigint, table string, target string, events bigint, upserts bigint,"
     " deletes bigint, quarantined bigint, status string, error string"
@@ -34,13 +37,12 @@ def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
 def write_audit(spark: SparkSession, root: str, rows: list[AuditRow], job: str, batch_id: int) -> None:
     """One small file per batch; a repeated batch replaces its own."""
     if rows:
-        audit_frame(spark, rows).coalesce(1).write.mode("overwrite").json(
-            f"{root}/_audit/job={job}/batch={batch_id}"
-        )
+        text = "".join(json.dumps(asdict(r)) + "\n" for r in rows)
+        publish_text(spark, f"{root}/_audit/{job}", f"batch-{batch_id}.json", text, replace=True)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).json(f"{root}/_audit/job=*/batch=*")
+    return spark.read.schema(AUDIT_SCHEMA).json(f"{root}/_audit/*/*.json")
 
 
 def summarise(audit: DataFrame) -> DataFrame:

@@ -21,24 +21,19 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.latest import latest_per_key
 from tablesync.sources.change_events import SEQ_TYPE
+from tablesync.sources.files import delete_folder, list_files, publish_text, read_text
 from tablesync.spec import TableSpec
 
-COMMIT_SCHEMA = (
-    "kind string, label string, batch_id bigint, folder string, buckets int,"
-    " upserts bigint, deletes bigint, last_seq string, committed_at string"
-)
-
-
 @dataclass
 class TableState:
     """What the commits of the newest epoch say. Bounded by the batches since compaction."""
@@ -47,10 +42,21 @@ class TableState:
     exists: bool = False
     base_buckets: int | None = None
     logs: list[str] = field(default_factory=list)
-    applied: set[tuple[str, int]] = field(default_factory=set)
     last_by_label: dict[str, int] = field(default_factory=dict)
     last_seq: dict | None = None
 
+    def add(self, commit: dict) -> None:
+        if commit["kind"] == "base":
+            self.base_buckets = commit["buckets"]
+        if commit["kind"] == "log":
+            self.logs.append(commit["folder"])
+        if "label" in commit:
+            label, batch_id = commit["label"], commit["batch_id"]
+            self.last_by_label[label] = max(batch_id, self.last_by_label.get(label, batch_id))
+        seq = commit.get("last_seq")
+        if seq and (self.last_seq is None or tuple(seq.values()) > tuple(self.last_seq.values())):
+            self.last_seq = seq
+
 
 class KeyedTable:
     def __init__(
@@ -68,6 +74,7 @@ class KeyedTable:
         self.keys = list(keys)
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.seq_type = T.DataType.fromDDL(seq_type)
+        self._commits: dict[str, list[dict]] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, spec: TableSpec, **options) -> KeyedTable:
@@ -76,40 +83,26 @@ class KeyedTable:
     # -- state ---------------------------------------------------------------
 
     def state(self) -> TableState:
-        try:
-            commits = (
-                self.spark.read.schema(COMMIT_SCHEMA)
-                .option("basePath", self.path)
-                .json(f"{self.path}/epoch=*/commits")
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """Read the newest epoch's commits: one listing, and the files not read before."""
+        files = list_files(self.spark, f"{self.path}/epoch=*/commits/*.json")
+        by_epoch: dict[int, list[str]] = {}
+        for f in files:
+            by_epoch.setdefault(int(re.search(r"/epoch=(\d+)/commits/", f)[1]), []).append(f)
+        if not by_epoch:
             return TableState()
-        rows = commits.orderBy("committed_at").collect()
-        state = TableState(epoch=max((r.epoch for r in rows), default=0), exists=bool(rows))
-        for r in rows:
-            if r.epoch != state.epoch:
-                continue
-            if r.kind == "base":
-                state.base_buckets = r.buckets
-            if r.folder:
-                state.logs.append(r.folder)
-            if r.label is not None:
-                state.applied.add((r.label, r.batch_id))
-                state.last_by_label[r.label] = max(r.batch_id, state.last_by_label.get(r.label, r.batch_id))
-            seq = json.loads(r.last_seq) if r.last_seq else None
-            if seq and (state.last_seq is None or tuple(seq.values()) > tuple(state.last_seq.values())):
-                state.last_seq = seq
+        state = TableState(epoch=max(by_epoch), exists=True)
+        for f in by_epoch[state.epoch]:
+            if f not in self._commits:
+                self._commits[f] = [json.loads(line) for line in read_text(self.spark, f).splitlines()]
+            for row in self._commits[f]:
+                state.add(row)
         return state
 
     def _commit(self, epoch: int, rows: list[dict]) -> None:
-        """One file, so one rename makes it visible."""
-        now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
-        names = T._parse_datatype_string(COMMIT_SCHEMA).names
-        data = [tuple({**r, "committed_at": now}.get(n) for n in names) for r in rows]
-        frame = self.spark.createDataFrame(data, COMMIT_SCHEMA)
-        frame.coalesce(1).write.mode("append").json(f"{self.path}/epoch={epoch}/commits")
+        """One file, made visible by one rename; names sort by time."""
+        now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+        text = "".join(json.dumps({**r, "committed_at": now}) + "\n" for r in rows)
+        publish_text(self.spark, f"{self.path}/epoch={epoch}/commits", f"{now}-{uuid.uuid4().hex[:8]}.json", text)
 
     def exists(self) -> bool:
         return self.state().exists
@@ -128,12 +121,12 @@ class KeyedTable:
     ) -> dict[str, int | bool]:
         """Apply rows with the table's columns, ``_op`` (upsert or delete) and ``_seq``.
 
-        ``(label, batch_id)`` names the batch: the same one again is a no-op, so a
-        restarted query may repeat its last batch. ``one_row_per_key`` skips the
+        The batch ids of a label must grow: one that is not above the last applied
+        is skipped, so a restarted query may repeat its last batch. ``one_row_per_key`` skips the
         reduction, and with it the shuffle, for scans that are unique already.
         """
         state = self.state()
-        if (label, batch_id) in state.applied or batch_id <= state.last_by_label.get(label, batch_id - 1):
+        if label in state.last_by_label and batch_id <= state.last_by_label[label]:
             return {"upserts": 0, "deletes": 0, "skipped": True}
 
         rows = self._stored(changes)
@@ -159,7 +152,7 @@ class KeyedTable:
             "folder": folder,
             "upserts": seen["upserts"] or 0,
             "deletes": seen["deletes"] or 0,
-            "last_seq": json.dumps(last.asDict(), default=str) if last is not None else None,
+            "last_seq": {k: _json_value(v) for k, v in last.asDict().items()} if last is not None else None,
         }
         self._commit(state.epoch, [done])
         return {"upserts": done["upserts"], "deletes": done["deletes"], "skipped": False}
@@ -255,23 +248,22 @@ class KeyedTable:
             .mode("overwrite")
             .saveAsTable(self._base_name(epoch))
         )
-        last = json.dumps(state.last_seq) if state.last_seq else None
         carried = [{"kind": "carry", "label": k, "batch_id": v} for k, v in state.last_by_label.items()]
-        self._commit(epoch, [{"kind": "base", "buckets": buckets, "last_seq": last}, *carried])
+        self._commit(epoch, [{"kind": "base", "buckets": buckets, "last_seq": state.last_seq}, *carried])
         return True
 
     def drop_old_epochs(self, keep: int = 1) -> list[int]:
         """Delete the folders of epochs before the newest ``keep``, once no reader uses them."""
-        oldest = self.state().epoch - keep + 1
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        dropped = []
-        for epoch in range(oldest - 1, -1, -1):
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/epoch={epoch}")
-            files = folder.getFileSystem(conf)
-            if not files.exists(folder):
-                break
+        newest = self.state().epoch
+        epochs = sorted(
+            int(re.search(r"/epoch=(\d+)$", f)[1]) for f in list_files(self.spark, f"{self.path}/epoch=*")
+        )
+        dropped = [e for e in epochs if e <= newest - keep]
+        for epoch in dropped:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(epoch)}")
-            files.delete(folder, True)
-            dropped.append(epoch)
+            delete_folder(self.spark, f"{self.path}/epoch={epoch}")
         return dropped
+
+
+def _json_value(value):
+    return value if isinstance(value, (int, float, str, type(None))) else str(value)

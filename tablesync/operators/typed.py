@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.functions.json_rows import with_fields
 from tablesync.functions.temporal import convert
 from tablesync.operators.sensitive import mask_columns
 from tablesync.sources.change_events import DELETE_OP, action, binlog_position
@@ -28,38 +31,35 @@ def typed_rows(
     ``on_overflow="null"`` stores NULL for values the target type cannot hold.
     """
     image = F.when(F.col("op") == DELETE_OP, F.col("before")).otherwise(F.col("after"))
-    wire = ", ".join(f"`{c.name}` {c.wire_type}" for c in spec.columns) + ", `_bad_image` string"
-    parsed = F.from_json(image, wire, {"columnNameOfCorruptRecord": "_bad_image"})
-    rows = events.select(
-        action().alias("_op"),
-        (binlog_position() if seq is None else seq).alias("_seq"),
-        image.alias("_image"),
-        parsed.alias("_row"),
-    )
-
     if new_columns == "fail":
-        unknown = F.array_except(F.json_object_keys("_image"), F.array(*[F.lit(n) for n in spec.column_names]))
-        message = F.concat(F.lit(f"table {spec.table} has new columns: "), F.array_join(unknown, ", "))
-        rows = rows.withColumn("_image", F.when(F.size(unknown) > 0, F.raise_error(message)).otherwise(F.col("_image")))
+        image = _without_new_columns(image, spec)
     elif new_columns != "ignore":
         raise ValueError(f"new_columns must be ignore or fail, not {new_columns}")
 
-    no_key = F.lit(False)
-    for k in spec.keys:
-        no_key = no_key | F.col(f"_row.`{k}`").isNull()
+    wire = ", ".join(f"`{c.name}` {c.wire_type}" for c in spec.columns)
+    position = binlog_position() if seq is None else seq
+    rows = with_fields(
+        events, [action().alias("_op"), position.alias("_seq")], image, wire, corrupt="_bad_image"
+    )
+    no_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in spec.keys])
     bad = (
         F.when(F.col("_op") == "quarantine", "unknown operation")
-        .when(F.col("_row").isNull() | F.col("_row._bad_image").isNotNull(), "unreadable image")
+        .when(F.col("_bad_image").isNotNull(), "unreadable image")
         .when(no_key, "missing key")
     )
     columns = [_target_value(c, time_zone, on_overflow).alias(c.name) for c in spec.columns]
-    # With new columns checked, the image must stay in the plan for the check to run.
-    checked = bad if new_columns == "ignore" else F.when(F.col("_image").isNull(), "unreadable image").otherwise(bad)
-    return mask_columns(rows.select(*columns, "_op", "_seq", checked.alias("_bad")), spec, rules)
+    return mask_columns(rows.select(*columns, "_op", "_seq", bad.alias("_bad")), spec, rules)
+
+
+def _without_new_columns(image: Column, spec: TableSpec) -> Column:
+    """The image itself, or an error that names the columns the catalog does not know."""
+    unknown = F.array_except(F.json_object_keys(image), F.array(*[F.lit(n) for n in spec.column_names]))
+    message = F.concat(F.lit(f"table {spec.table} has new columns: "), F.array_join(unknown, ", "))
+    return F.when(F.size(unknown) > 0, F.raise_error(message).cast("string")).otherwise(image)
 
 
 def _target_value(column, time_zone: str, on_overflow: str) -> Column:
-    value = convert(F.col(f"_row.`{column.name}`"), column.logical, time_zone)
+    value = convert(F.col(f"`{column.name}`"), column.logical, time_zone)
     if on_overflow == "null":
         return value.try_cast(column.target)
     if on_overflow != "fail":

@@ -60,11 +60,12 @@ def batch_sync(
     key, as a scan of a keyed source table does.
     """
     batch_id = int(time.time() * 1000) if batch_id is None else batch_id
-    done: list[str] = []
+    rows: list[AuditRow] = []
 
-    def one_table(name: str) -> AuditRow:
+    def one_table(name: str) -> None:
         spec = specs[name]
-        row = AuditRow(label, batch_id, name, spec.target)
+        row = AuditRow(label, batch_id, name, spec.target, status="running")
+        rows.append(row)
         try:
             rule = filters.get(name, UNREGISTERED)
             table = KeyedTable.of(spark, root, spec, buckets=buckets)
@@ -78,14 +79,13 @@ def batch_sync(
             result = table.apply(changes, label, batch_id, one_row_per_key=True)
             row.events = row.upserts = result["upserts"]
             row.status = "skipped" if result["skipped"] else "ok"
-            done.append(name)
         except Exception as error:
             row.status, row.error = "failed", str(error).splitlines()[0]
             if on_error == "stop":
-                write_audit(spark, root, [row], label, batch_id)
-                raise BackfillError(name, row.error, done) from error
-        return row
+                raise BackfillError(name, row.error, [r.table for r in rows if r.status == "ok"]) from error
 
-    rows = run_parallel(one_table, list(specs), parallel_tables)
-    write_audit(spark, root, rows, label, batch_id)
+    try:
+        run_parallel(one_table, list(specs), parallel_tables)
+    finally:
+        write_audit(spark, root, rows, label, batch_id)
     return audit_frame(spark, rows)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.functions.json_rows import with_fields
+
 # Attributes a MySQL change event carries about its origin (fixed values).
 SOURCE_FIELDS = {
     "db": "string",
@@ -19,7 +21,7 @@ SOURCE_FIELDS = {
 }
 
 _SOURCE_DDL = ", ".join(f"`{n}`: {t}" for n, t in SOURCE_FIELDS.items())
-ENVELOPE = f"`source` struct<{_SOURCE_DDL}>, `op` string, `before` string, `after` string, `_bad` string"
+ENVELOPE = f"`source` struct<{_SOURCE_DDL}>, `op` string, `before` string, `after` string"
 
 UPSERT_OPS = ("c", "u", "r")
 DELETE_OP = "d"
@@ -43,15 +45,13 @@ def parse_envelope(events: DataFrame, value: str = "value") -> DataFrame:
     A missing image becomes ``{}``. Text that is no event is kept in ``_bad``.
     """
     text = F.col(value).cast("string")
-    parsed = F.from_json(text, ENVELOPE, {"columnNameOfCorruptRecord": "_bad"})
-    flat = events.withColumn("_event", parsed)
-    bad = F.when(F.col("_event").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.col("_event._bad"))
-    return flat.select(
-        *[F.col(f"_event.source.{n}").alias(n) for n in SOURCE_FIELDS],
-        F.col("_event.op").alias("op"),
-        F.coalesce("_event.before", F.lit("{}")).alias("before"),
-        F.coalesce("_event.after", F.lit("{}")).alias("after"),
-        bad.alias("_bad"),
+    parsed = with_fields(events, [text.alias("_text")], text, ENVELOPE, corrupt="_bad")
+    return parsed.select(
+        *[F.col(f"source.{n}").alias(n) for n in SOURCE_FIELDS],
+        "op",
+        F.coalesce("before", F.lit("{}")).alias("before"),
+        F.coalesce("after", F.lit("{}")).alias("after"),
+        F.when(F.col("_text").isNull(), F.lit("")).otherwise(F.col("_bad")).alias("_bad"),
     )
 
 

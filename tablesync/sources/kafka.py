@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.functions.json_rows import with_fields
 from tablesync.operators.latest import latest_per_key
 
 
@@ -27,28 +28,26 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], streaming:
 
 def decode_values(records: DataFrame, schema: str) -> DataFrame:
     """JSON values as columns; ``_bad`` keeps the text that is not JSON of this shape."""
-    text = F.col("value").cast("string")
-    parsed = F.from_json(text, f"{schema}, `_bad` string", {"columnNameOfCorruptRecord": "_bad"})
     place = [c for c in ("topic", "partition", "offset") if c in records.columns]
-    return records.select(*place, parsed.alias("v")).select(*place, "v.*")
+    return with_fields(records, place, F.col("value").cast("string"), schema, corrupt="_bad")
 
 
 def latest_records(records: DataFrame, key_schema: str, value_schema: str, keep_deleted: bool = False) -> DataFrame:
     """Upsert topic: the last value of every key; a null value deletes the key.
 
     Records whose key is no JSON of ``key_schema`` are ignored. All records of a
-    key are in one partition, so the offset orders them.
+    key are in one partition, so the offset orders them. Key and value columns
+    must have different names.
     """
-    key = F.from_json(
-        F.col("key").cast("string"), f"{key_schema}, `_bad` string", {"columnNameOfCorruptRecord": "_bad"}
+    keyed = with_fields(
+        records, ["topic", "partition", "offset", "value"], F.col("key").cast("string"), key_schema, corrupt="_bad"
     )
-    keyed = records.withColumn("_key", key).where(F.col("_key").isNotNull() & F.col("_key._bad").isNull())
-    keyed = keyed.select(F.col("_key").dropFields("_bad").alias("_key"), "topic", "partition", "offset", "value")
-    last = latest_per_key(keyed, ["_key"], F.struct("offset", "partition"))
+    names = [c for c in keyed.columns if c not in ("topic", "partition", "offset", "value", "_bad")]
+    has_key = F.col("_bad").isNull() & F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()
+    last = latest_per_key(keyed.where(has_key).drop("_bad"), names, F.struct("offset", "partition"))
     if not keep_deleted:
         last = last.where(F.col("value").isNotNull())
-    value = F.from_json(F.col("value").cast("string"), value_schema)
-    return last.select("_key.*", value.alias("v")).select("*", "v.*").drop("v")
+    return with_fields(last, names, F.col("value").cast("string"), value_schema)
 
 
 def to_records(rows: DataFrame, keys: list[str], topic: str, deleted: str | None = None) -> DataFrame:

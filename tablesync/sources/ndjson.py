@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.functions.json_rows import with_fields
+
 
 def explode_lines(rows: DataFrame, value: str, schema: str, delimiter: str = "\n", keep: list[str] | None = None):
     """One row per JSON line of ``value``; empty lines are skipped."""
     keep = keep or []
     lines = rows.select(*keep, F.explode(F.split(F.col(value), delimiter)).alias("_line"))
-    lines = lines.where(F.trim("_line") != "")
-    return lines.select(*keep, F.from_json("_line", schema).alias("_row")).select(*keep, "_row.*")
+    return with_fields(lines.where(F.trim("_line") != ""), keep, F.col("_line"), schema)
 
 
 def to_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
