@@ -85,7 +85,7 @@ def batch_sync(
                 raise BackfillError(name, row.error, [r.table for r in rows if r.status == "ok"]) from error
 
     try:
-        run_parallel(one_table, list(specs), parallel_tables)
+        run_parallel(spark, one_table, list(specs), parallel_tables)
     finally:
         write_audit(spark, root, rows, label, batch_id)
     return audit_frame(spark, rows)

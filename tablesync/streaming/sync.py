@@ -15,7 +15,7 @@ from tablesync.operators.audit import AuditRow, write_audit
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.routing import action_counts, classify
 from tablesync.operators.typed import typed_rows
-from tablesync.sources.change_events import in_scope, parse_envelope
+from tablesync.sources.change_events import parse_envelope
 from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
 
 
@@ -52,7 +52,10 @@ def sync_batch(
     is read again from the source.
     """
     spark = events.sparkSession
-    staged = classify(in_scope(parse_envelope(events), options.db, None), list(specs))
+    staged = classify(parse_envelope(events), list(specs))
+    if options.db is not None:
+        # Text without a database is no event of another one: it goes to quarantine.
+        staged = staged.where(F.coalesce(F.col("db") == options.db, F.lit(True)))
     staged = staged.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # At most one row per listed table and action.
@@ -68,7 +71,7 @@ def sync_batch(
         def one_table(name: str) -> AuditRow:
             return _sync_table(spark, staged, specs[name], batch_id, root, options, active[name])
 
-        rows = run_parallel(one_table, sorted(active), options.parallel_tables)
+        rows = run_parallel(spark, one_table, sorted(active), options.parallel_tables)
         if odd:
             _quarantine(staged.where(~F.col("_action").isin("upsert", "delete")), root, options.label, batch_id, "_events")
             rows += [
@@ -110,12 +113,12 @@ def _quarantine(rows: DataFrame, root: str, label: str, batch_id: int, name: str
     return seen.get["n"]
 
 
-def run_parallel(work: Callable, items: list, threads: int) -> list:
+def run_parallel(spark: SparkSession, work: Callable, items: list, threads: int) -> list:
     """Run one Spark job chain per item; the threads only submit jobs."""
     if threads <= 1 or len(items) <= 1:
         return [work(i) for i in items]
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
 def sync_stream(

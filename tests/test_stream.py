@@ -1,0 +1,135 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.operators.audit import read_audit
+from tablesync.operators.keyed_table import KeyedTable
+from tablesync.plans import derive
+from tablesync.sources.change_events import read_change_events
+from tablesync.spec import ColumnSpec, MaskRules, TableSpec
+from tablesync.streaming.sync import SyncOptions, run_available, sync_batch
+
+SF = "/root/testdata/sf0.001"
+
+PEOPLE = TableSpec("people", "ods_people", ("id",), (ColumnSpec("id", "bigint"), ColumnSpec("mobile"), ColumnSpec("name")))
+PETS = TableSpec("pets", "ods_pets", ("id",), (ColumnSpec("id", "bigint"), ColumnSpec("name")))
+
+
+def event(table, op, pos, image):
+    before, after = ("null", image) if op != "d" else (image, "null")
+    return (
+        f'{{"source":{{"db":"shop","table":"{table}","ts_ms":{pos},"file":"bin.000001","pos":{pos},"row":0}},'
+        f'"op":"{op}","before":{before},"after":{after}}}'
+    )
+
+
+def write(folder, name, lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def live(spark, root, spec):
+    return sorted(tuple(r) for r in KeyedTable.of(spark, str(root), spec).read().collect())
+
+
+def run(spark, folder, root, *specs, **options):
+    events = read_change_events(spark, str(folder), streaming=True, max_files_per_batch=1)
+    run_available(spark, events, {s.table: s for s in specs}, str(root), SyncOptions(label="job", db="shop", **options))
+
+
+def test_files_one_by_one_equal_one_run_and_batch(spark, tmp_path):
+    lines = [r.value for r in derive.user_log(spark, SF).select("value").collect()]
+    thirds = [lines[i::3] for i in range(3)]
+    for i, part in enumerate(thirds):
+        write(tmp_path / "steps", f"{i}.json", part)
+        run(spark, tmp_path / "steps", tmp_path / "a", derive.USERS)
+        write(tmp_path / "all", f"{i}.json", part)
+    run(spark, tmp_path / "all", tmp_path / "b", derive.USERS)
+    batch = spark.createDataFrame([(x,) for x in lines], "value string")
+    sync_batch(batch, 0, {"users": derive.USERS}, str(tmp_path / "c"), SyncOptions(label="job", db="shop"))
+
+    e = spark.read.parquet(f"{SF}/events.parquet").collect()
+    last = {}
+    for r in sorted(e, key=lambda r: (r.ts, r.event_id)):
+        last[r.user_id] = r
+    want = sorted((r.user_id, r.event_id, r.event_type, r.value, r.ts) for r in last.values() if r.event_type != "error")
+    assert len(want) == 12
+    for root in "abc":
+        assert live(spark, tmp_path / root, derive.USERS) == want
+
+
+def test_restart_with_a_new_table(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "root"
+    write(folder, "0.json", [event("people", "c", 1, '{"id":1,"name":"a"}'), event("pets", "c", 2, '{"id":1,"name":"early"}')])
+    run(spark, folder, root, PEOPLE)
+    write(folder, "1.json", [event("pets", "c", 3, '{"id":2,"name":"late"}'), event("people", "d", 4, '{"id":1}')])
+    run(spark, folder, root, PEOPLE, PETS)
+    assert live(spark, root, PEOPLE) == []
+    assert live(spark, root, PETS) == [(2, "late")]
+    kept = spark.read.parquet(f"{root}/_quarantine/_events")
+    assert [(r.table, r.pos) for r in kept.collect()] == [("pets", 2)]
+
+
+def test_quarantine_and_audit(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "root"
+    write(
+        folder, "0.json",
+        [
+            event("people", "c", 1, '{"id":1,"name":"a","mobile":"13812345678"}'),
+            event("people", "u", 2, '{"id":1,"name":"b","mobile":"13812345678"}'),
+            event("people", "c", 3, '{"id":"x"}'),
+            event("people", "t", 4, "{}"),
+            event("ghost", "c", 5, "{}"),
+            "junk",
+        ],
+    )
+    run(spark, folder, root, PEOPLE, rules=MaskRules(("mobile",)))
+    assert live(spark, root, PEOPLE) == [(1, "138****5678", "b")]
+    audit = {r.status: r for r in read_audit(spark, str(root)).collect()}
+    assert (audit["ok"].events, audit["ok"].upserts, audit["ok"].quarantined) == (3, 1, 1)
+    assert audit["unknown_table"].quarantined == 1 and audit["quarantine"].quarantined == 2
+    bad = spark.read.parquet(f"{root}/_quarantine/ods_people").collect()
+    assert [r._bad for r in bad] == ["unreadable image"]
+
+
+def test_text_that_is_no_event_passes_the_scope_filter(spark, tmp_path):
+    batch = spark.createDataFrame([("junk",)], "value string")
+    rows = sync_batch(batch, 0, {"people": PEOPLE}, str(tmp_path / "r"), SyncOptions(label="job", db="shop"))
+    assert [(r.status, r.quarantined) for r in rows] == [("quarantine", 1)]
+
+
+def test_unknown_tables_can_stop_the_job(spark, tmp_path):
+    batch = spark.createDataFrame([(event("ghost", "c", 1, "{}"),)], "value string")
+    with pytest.raises(ValueError, match="1 events"):
+        sync_batch(batch, 0, {"people": PEOPLE}, str(tmp_path / "r"), SyncOptions(on_unknown="fail"))
+
+
+def test_a_batch_that_half_failed_is_finished_by_its_repeat(spark, tmp_path):
+    root = str(tmp_path / "root")
+    lines = [(event("people", "c", 1, '{"id":1,"name":"a"}'),), (event("pets", "c", 2, '{"id":2,"name":"b"}'),)]
+    batch = spark.createDataFrame(lines, "value string")
+    options = SyncOptions(label="job", db="shop", parallel_tables=1)
+    sync_batch(batch, 3, {"people": PEOPLE}, root, options)
+    rows = sync_batch(batch, 3, {"people": PEOPLE, "pets": PETS}, root, options)
+    assert {r.table: r.status for r in rows} == {"people": "skipped", "pets": "ok"}
+    assert live(spark, root, PEOPLE) == [(1, None, "a")] and live(spark, root, PETS) == [(2, "b")]
+
+
+def test_compaction_while_streaming(spark, tmp_path):
+    root = str(tmp_path / "root")
+    options = SyncOptions(label="job", db="shop", compact_every=2)
+    for i in range(5):
+        batch = spark.createDataFrame([(event("pets", "u", i + 1, f'{{"id":{i % 2},"name":"n{i}"}}'),)], "value string")
+        sync_batch(batch, i, {"pets": PETS}, root, options)
+    table = KeyedTable.of(spark, root, PETS)
+    assert table.state().epoch == 2 and table.state().logs == []
+    assert live(spark, root, PETS) == [(0, "n4"), (1, "n3")]
+
+
+def test_own_order(spark, tmp_path):
+    """Events without a log file can be ordered by another attribute."""
+    root = str(tmp_path / "root")
+    lines = [event("pets", "u", p, f'{{"id":1,"name":"n{p}"}}').replace('"file":"bin.000001","pos"', '"x"') for p in (2, 3, 1)]
+    options = SyncOptions(label="job", db="shop", seq=F.struct("ts_ms"), seq_type="struct<ts_ms:bigint>")
+    sync_batch(spark.createDataFrame([(x,) for x in lines], "value string"), 0, {"pets": PETS}, root, options)
+    table = KeyedTable.of(spark, root, PETS, seq_type="struct<ts_ms:bigint>")
+    assert [tuple(r) for r in table.read().collect()] == [(1, "n3")]
