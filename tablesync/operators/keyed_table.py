@@ -8,12 +8,16 @@ Layout, all written by Spark's own writers::
 
 A batch costs as much as its own changes: it is reduced to one row per key and
 added as a log folder. Readers merge the base with the log folders that are
-named by a commit; ``compact`` folds them into the next epoch's base. The base
-is bucketed, so a merge shuffles the changes only. Rows carry their position in
-the source's log (``_seq``) and a tombstone flag (``_deleted``), so the result
-does not depend on how the log was cut into batches or in which order they came.
-
-One writer per table at a time; any number of readers.
+named by a commit. ``compact`` opens the next epoch: as long as the log is small
+beside the base it only folds the log folders into one and goes on with the old
+base, else it writes a new base. The base is bucketed, so a merge shuffles the
+changes only. Rows carry their position in the source's log (``_seq``) and a
+tombstone flag (``_deleted``), so the result does not depend on how the log was
+cut into batches or in which order they came.
+
+Several writers with labels of their own may apply at the same time, such as a
+stream and a back-fill; one of them compacts. A batch committed to the epoch
+before while the next one was opened is found by its absence from ``consumed``.
 """
 
 from __future__ import annotations
@@ -31,15 +35,22 @@ from pyspark.sql import types as T
 
 from tablesync.operators.latest import latest_per_key
 from tablesync.sources.change_events import SEQ_TYPE
-from tablesync.sources.files import delete_folder, list_files, publish_text, read_text
+from tablesync.sources.files import delete_folder, folder_size, list_files, publish_text, read_text
 from tablesync.spec import TableSpec
 
+# A base bucket is read by one task; the bucket count grows with the table to keep it near this size.
+BUCKET_BYTES = 1 << 30
+# The base is rewritten once the log has this share of its bytes, so each byte is rewritten a few times only.
+REWRITE_SHARE = 0.25
+
+
 @dataclass
 class TableState:
     """What the commits of the newest epoch say. Bounded by the batches since compaction."""
 
     epoch: int = 0
     exists: bool = False
+    base_epoch: int | None = None
     base_buckets: int | None = None
     logs: list[str] = field(default_factory=list)
     last_by_label: dict[str, int] = field(default_factory=dict)
@@ -47,8 +58,8 @@ class TableState:
 
     def add(self, commit: dict) -> None:
         if commit["kind"] == "base":
-            self.base_buckets = commit["buckets"]
-        if commit["kind"] == "log":
+            self.base_epoch, self.base_buckets = commit["base_epoch"], commit["buckets"]
+        if "folder" in commit:
             self.logs.append(commit["folder"])
         if "label" in commit:
             label, batch_id = commit["label"], commit["batch_id"]
@@ -91,13 +102,21 @@ class KeyedTable:
         if not by_epoch:
             return TableState()
         state = TableState(epoch=max(by_epoch), exists=True)
-        for f in by_epoch[state.epoch]:
-            if f not in self._commits:
-                self._commits[f] = [json.loads(line) for line in read_text(self.spark, f).splitlines()]
-            for row in self._commits[f]:
+        consumed = set()
+        for row in self._read_commits(by_epoch[state.epoch]):
+            consumed.update(row.get("consumed", ()))
+            state.add(row)
+        for row in self._read_commits(by_epoch.get(state.epoch - 1, [])):
+            if row["kind"] == "log" and row["folder"] not in consumed:
                 state.add(row)
         return state
 
+    def _read_commits(self, files: list[str]) -> list[dict]:
+        for f in files:
+            if f not in self._commits:
+                self._commits[f] = [json.loads(line) for line in read_text(self.spark, f).splitlines()]
+        return [row for f in files for row in self._commits[f]]
+
     def _commit(self, epoch: int, rows: list[dict]) -> None:
         """One file, made visible by one rename; names sort by time."""
         now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
@@ -140,8 +159,8 @@ class KeyedTable:
             F.count_if("_deleted").alias("deletes"),
             F.max("_seq").alias("last_seq"),
         )
-        folder = f"log/{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}"
-        rows.write.mode("overwrite").parquet(f"{self.path}/epoch={state.epoch}/{folder}")
+        folder = f"epoch={state.epoch}/log/{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}"
+        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
 
         seen = counts.get
         last = seen["last_seq"]
@@ -155,6 +174,8 @@ class KeyedTable:
             "last_seq": {k: _json_value(v) for k, v in last.asDict().items()} if last is not None else None,
         }
         self._commit(state.epoch, [done])
+        if self.state().epoch > state.epoch + 1:
+            raise RuntimeError(f"{self.path} was compacted twice during batch {batch_id} of {label}: repeat it")
         return {"upserts": done["upserts"], "deletes": done["deletes"], "skipped": False}
 
     def _stored(self, changes: DataFrame) -> DataFrame:
@@ -171,13 +192,13 @@ class KeyedTable:
 
     def read(self, with_deleted: bool = False) -> DataFrame:
         """The live rows, merged from the base and the batches applied since."""
-        rows = self._merged(self.state(), repartition=False)
+        rows = self._merged(self.state())
         if with_deleted:
             return rows
         return rows.where(~F.col("_deleted")).select(*[F.col(f"`{n}`") for n in self.schema.names])
 
-    def _merged(self, state: TableState, repartition: bool) -> DataFrame:
-        log = self._log(state, repartition)
+    def _merged(self, state: TableState, partitions: int | None = None) -> DataFrame:
+        log = self._log(state, partitions)
         base = self._base(state)
         if base is None or log is None:
             rows = log if base is None else base
@@ -192,25 +213,26 @@ class KeyedTable:
         winner = both.select(*self.keys, winner.alias("_row"))
         return winner.select(*self.keys, "_row.*").select(*self._stored_schema().names)
 
-    def _log(self, state: TableState, repartition: bool) -> DataFrame | None:
+    def _log(self, state: TableState, partitions: int | None = None) -> DataFrame | None:
+        """The last logged change of every key; with ``partitions``, distributed by key."""
         if not state.logs:
             return None
-        folders = [f"{self.path}/epoch={state.epoch}/{f}" for f in state.logs]
-        rows = self.spark.read.schema(self._stored_schema()).parquet(*folders)
-        if repartition:
-            rows = rows.repartition(state.base_buckets or self.buckets, *self.keys)
-        return latest_per_key(rows, self.keys, "_seq") if len(folders) > 1 or repartition else rows
+        rows = self.spark.read.schema(self._stored_schema()).parquet(*[f"{self.path}/{f}" for f in state.logs])
+        if partitions:
+            rows = rows.repartition(partitions, *self.keys)
+        # One folder has one row per key.
+        return latest_per_key(rows, self.keys, "_seq") if len(state.logs) > 1 else rows
 
     def _base(self, state: TableState) -> DataFrame | None:
-        if state.base_buckets is None:
+        if state.base_epoch is None:
             return None
-        name = self._base_name(state.epoch)
+        name = self._base_name(state.base_epoch)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored_schema())
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {state.base_buckets} BUCKETS LOCATION '{self._base_path(state.epoch)}'"
+                f"SORTED BY ({keys}) INTO {state.base_buckets} BUCKETS LOCATION '{self._base_path(state.base_epoch)}'"
             )
         return self.spark.table(name)
 
@@ -226,20 +248,40 @@ class KeyedTable:
 
     # -- maintenance ---------------------------------------------------------
 
-    def compact(self, drop_deleted: bool = False) -> bool:
-        """Fold the applied batches into a new bucketed base; says whether there were any.
+    def compact(self, full: bool | None = None, drop_deleted: bool = False, buckets: int | None = None) -> bool:
+        """Open a new epoch that holds the same rows in fewer files; says whether there was a log.
 
-        Tombstones stay, so that a late older event cannot bring a row back.
-        ``drop_deleted`` removes them, once no older event can arrive any more.
+        ``full`` writes a new base, else the log folders are folded into one; left
+        open, the log's size decides. Tombstones stay, so that a late older event
+        cannot bring a row back; ``drop_deleted`` removes them in a full run, once no
+        older event can arrive any more.
         """
         state = self.state()
         if not state.logs:
             return False
-        rows = self._merged(state, repartition=True)
+        epoch = state.epoch + 1
+        opened = {"kind": "epoch", "consumed": state.logs, "last_seq": state.last_seq}
+        carried = [{"kind": "carry", "label": k, "batch_id": v} for k, v in state.last_by_label.items()]
+        log_bytes = sum(folder_size(self.spark, f"{self.path}/{f}") for f in state.logs)
+        base_bytes = 0 if state.base_epoch is None else folder_size(self.spark, self._base_path(state.base_epoch))
+        if full is None:
+            full = state.base_epoch is None or drop_deleted or log_bytes >= REWRITE_SHARE * base_bytes
+
+        if not full:
+            folder = f"epoch={epoch}/log/folded"
+            self._log(state).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+            carried.append({"kind": "folded", "folder": folder})
+            if state.base_epoch is not None:
+                carried.append({"kind": "base", "base_epoch": state.base_epoch, "buckets": state.base_buckets})
+            self._commit(epoch, [opened, *carried])
+            return True
+
+        buckets = buckets or self._bucket_count(state, log_bytes + base_bytes)
+        rows = self._merged(state, state.base_buckets or buckets)
+        if buckets != (state.base_buckets or buckets):
+            rows = rows.repartition(buckets, *self.keys)
         if drop_deleted:
             rows = rows.where(~F.col("_deleted"))
-        buckets = state.base_buckets or self.buckets
-        epoch = state.epoch + 1
         (
             rows.write.format("parquet")
             .bucketBy(buckets, *self.keys)
@@ -248,17 +290,24 @@ class KeyedTable:
             .mode("overwrite")
             .saveAsTable(self._base_name(epoch))
         )
-        carried = [{"kind": "carry", "label": k, "batch_id": v} for k, v in state.last_by_label.items()]
-        self._commit(epoch, [{"kind": "base", "buckets": buckets, "last_seq": state.last_seq}, *carried])
+        self._commit(epoch, [opened, {"kind": "base", "base_epoch": epoch, "buckets": buckets}, *carried])
         return True
 
+    def _bucket_count(self, state: TableState, size: int) -> int:
+        """The present count, or a power-of-two multiple of it once its buckets are twice too large."""
+        count = state.base_buckets or self.buckets
+        while size > 2 * BUCKET_BYTES * count:
+            count *= 2
+        return count
+
     def drop_old_epochs(self, keep: int = 1) -> list[int]:
-        """Delete the folders of epochs before the newest ``keep``, once no reader uses them."""
-        newest = self.state().epoch
+        """Delete the epochs before the newest ``keep`` that hold no present data, once no reader uses them."""
+        state = self.state()
         epochs = sorted(
             int(re.search(r"/epoch=(\d+)$", f)[1]) for f in list_files(self.spark, f"{self.path}/epoch=*")
         )
-        dropped = [e for e in epochs if e <= newest - keep]
+        used = {int(re.match(r"epoch=(\d+)/", f)[1]) for f in state.logs} | {state.base_epoch}
+        dropped = [e for e in epochs if e <= state.epoch - keep and e not in used]
         for epoch in dropped:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(epoch)}")
             delete_folder(self.spark, f"{self.path}/epoch={epoch}")

@@ -47,3 +47,10 @@ def publish_text(spark: SparkSession, folder: str, name: str, text: str, replace
 def delete_folder(spark: SparkSession, path: str) -> bool:
     target = _path(spark, path)
     return _file_system(spark, target).delete(target, True)
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder; 0 if there is none."""
+    target = _path(spark, path)
+    files = _file_system(spark, target)
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0

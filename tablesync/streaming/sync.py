@@ -34,6 +34,7 @@ class SyncOptions:
     new_columns: str = "ignore"
     on_overflow: str = "fail"
     compact_every: int | None = 50
+    keep_epochs: int = 2
     parallel_tables: int = 4
     table_options: dict = field(default_factory=dict)
 
@@ -101,6 +102,7 @@ def _sync_table(spark, staged, spec, batch_id, root, options, events) -> AuditRo
         )
     if options.compact_every and batch_id and batch_id % options.compact_every == 0:
         table.compact()
+        table.drop_old_epochs(options.keep_epochs)
     return row
 
 

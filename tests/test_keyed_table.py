@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators import keyed_table
 from tablesync.operators.keyed_table import KeyedTable
 
 SCHEMA = T.StructType().add("a", "integer", False).add("b", "string", False).add("v", "string")
@@ -50,7 +51,7 @@ def test_any_split_in_any_order_gives_the_same_table(spark, tmp_path, parts, com
     for i in range(parts):
         table.apply(frame(spark, log[i::parts]), "log", i)
         if i in compact_after:
-            assert table.compact()
+            assert table.compact(full=None if i else True)
     assert live(table) == want
     assert live(new_table(spark, tmp_path / "t")) == want
 
@@ -75,7 +76,7 @@ def test_a_late_older_event_does_not_undo_a_delete(spark, tmp_path):
     table.compact()
     table.apply(frame(spark, [(1, "x", "old", "upsert", (1, 5, 0))]), "log", 1)
     assert live(table) == set()
-    table.compact()
+    table.compact(full=True)
     assert live(table) == set() and table.read(with_deleted=True).count() == 1
     table.apply(frame(spark, [(2, "y", "v", "upsert", (3, 0, 0))]), "log", 2)
     table.compact(drop_deleted=True)
@@ -116,7 +117,7 @@ def test_old_epochs_can_be_dropped(spark, tmp_path):
     table = new_table(spark, tmp_path / "t")
     for i in range(3):
         table.apply(frame(spark, make_log(seed=i)), "log", i)
-        table.compact()
+        table.compact(full=True)
     want = live(table)
     assert table.drop_old_epochs(keep=2) == [0, 1]
     assert live(table) == want
@@ -129,9 +130,9 @@ def test_merging_shuffles_only_the_changes(spark, tmp_path):
     table.compact()
     table.apply(frame(spark, make_log(seed=5)), "log", 1)
     state = table.state()
-    plan = table._merged(state, repartition=True)._jdf.queryExecution().executedPlan().toString()
+    plan = table._merged(state, state.base_buckets)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan
-    table.compact()
+    table.compact(full=True)
     files = [f for f in (tmp_path / "t" / "epoch=2" / "base").iterdir() if f.suffix == ".parquet"]
     assert len(files) <= 3
 
@@ -145,3 +146,81 @@ def test_positions_may_be_of_any_type(spark, tmp_path):
     )
     table.apply(rows, "log", 0)
     assert [tuple(r) for r in table.read().collect()] == [(1, "3")]
+
+
+def test_a_small_log_is_folded_beside_the_old_base(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "REWRITE_SHARE", 1e9)
+    table = new_table(spark, tmp_path / "t")
+    log = make_log(300, keys=40)
+    for i in range(6):
+        table.apply(frame(spark, log[i::6]), "log", i)
+        if i % 2:
+            table.compact()
+    state = table.state()
+    assert (state.epoch, state.base_epoch, len(state.logs)) == (3, 1, 1)
+    assert live(table) == expected(log)
+    assert table.drop_old_epochs() == [0, 2]
+    assert live(new_table(spark, tmp_path / "t")) == expected(log)
+    table.compact(full=True)
+    assert live(table) == expected(log) and table.state().base_epoch == 4
+
+
+def test_the_bucket_count_grows_with_the_table(spark, tmp_path, monkeypatch):
+    table = new_table(spark, tmp_path / "t")
+    log = make_log(300, keys=60)
+    table.apply(frame(spark, log[:150]), "log", 0)
+    table.compact()
+    assert table.state().base_buckets == 3
+    monkeypatch.setattr(keyed_table, "BUCKET_BYTES", 500)
+    table.apply(frame(spark, log[150:]), "log", 1)
+    table.compact(full=True)
+    assert table.state().base_buckets >= 6
+    assert live(new_table(spark, tmp_path / "t")) == expected(log)
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_a_batch_applied_during_compaction_is_kept(spark, tmp_path, monkeypatch, full):
+    log = make_log(90)
+    stream, backfill = new_table(spark, tmp_path / "t"), new_table(spark, tmp_path / "t")
+    stream.apply(frame(spark, log[:30]), "stream", 0)
+    commit = stream._commit
+
+    def commit_after_the_other(epoch, rows):
+        if rows[0]["kind"] == "epoch" and epoch == 1:
+            backfill.apply(frame(spark, log[30:60]), "backfill", 0)
+        commit(epoch, rows)
+
+    monkeypatch.setattr(stream, "_commit", commit_after_the_other)
+    stream.compact(full=full)
+    assert live(stream) == expected(log[:60])
+    assert backfill.apply(frame(spark, log[30:60]), "backfill", 0)["skipped"]
+    assert stream.drop_old_epochs() == []
+    stream.apply(frame(spark, log[60:]), "stream", 1)
+    stream.compact(full=full)
+    assert live(stream) == live(new_table(spark, tmp_path / "t")) == expected(log)
+
+
+def test_a_batch_that_missed_two_compactions_is_refused(spark, tmp_path, monkeypatch):
+    slow, other = new_table(spark, tmp_path / "t"), new_table(spark, tmp_path / "t")
+    other.apply(frame(spark, make_log(20)), "other", 0)
+    commit = slow._commit
+
+    def commit_late(epoch, rows):
+        for i in (1, 2):
+            other.compact(full=True)
+            other.apply(frame(spark, make_log(20, seed=i)), "other", i)
+        commit(epoch, rows)
+
+    monkeypatch.setattr(slow, "_commit", commit_late)
+    with pytest.raises(RuntimeError, match="repeat it"):
+        slow.apply(frame(spark, make_log(20, seed=9)), "slow", 0)
+    monkeypatch.setattr(slow, "_commit", commit)
+    assert not slow.apply(frame(spark, make_log(20, seed=9)), "slow", 0)["skipped"]
+
+
+def test_a_compaction_that_died_is_done_again(spark, tmp_path):
+    table = new_table(spark, tmp_path / "t")
+    table.apply(frame(spark, make_log(40)), "log", 0)
+    table._merged(table.state()).write.parquet(f"{tmp_path}/t/epoch=1/base")
+    table.compact()
+    assert live(table) == expected(make_log(40))
