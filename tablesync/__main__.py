@@ -56,7 +56,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace):
     create_missing_targets(spark, job.specs, args.root)
     if args.kafka:
         records = read_kafka(spark, args.kafka, args.topics, startingOffsets=args.start)
-        events = records.select(F.col("value").cast("string").alias("value"))
+        # A null value only tells Kafka to forget a key; the delete came as an event before it.
+        events = records.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull())
     else:
         events = read_change_events(spark, args.events, streaming=True)
     options = SyncOptions(

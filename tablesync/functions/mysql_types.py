@@ -16,8 +16,6 @@ MAX_PRECISION = 27
 MAX_SCALE = 9
 CLAMPED_SCALE = 8
 
-DECIMAL_ARGS = r"decimal\((\d+),\s*(\d+)\)"
-
 
 def _first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Column:
     head, *rest = rules
@@ -40,15 +38,16 @@ def stream_type(token: Column) -> Column:
 
 
 def clamp_decimal(token: Column) -> Column:
-    precision = F.regexp_extract(token, DECIMAL_ARGS, 1).try_cast("int")
-    scale = F.regexp_extract(token, DECIMAL_ARGS, 2).try_cast("int")
+    arguments = F.split(F.substring_index(F.substring_index(token, ")", 1), "(", -1), ",")
+    precision = F.get(arguments, 0).try_cast("int")
+    scale = F.get(arguments, 1).try_cast("int")
     clamped = F.format_string(
         "decimal(%d,%d)",
         F.least(precision, F.lit(MAX_PRECISION)),
         F.when(scale > MAX_SCALE, F.lit(CLAMPED_SCALE)).otherwise(scale),
     )
     fits = (precision <= MAX_PRECISION) & (scale <= MAX_SCALE)
-    return F.when(precision.isNull() | fits, token).otherwise(clamped)
+    return F.when(scale.isNull() | fits, token).otherwise(clamped)
 
 
 def target_type(token: Column) -> Column:
@@ -63,13 +62,14 @@ def target_type(token: Column) -> Column:
     )
 
 
-def _base(token: Column) -> Column:
-    return F.lower(F.regexp_extract(token, r"\A(\w+)", 1))
+def base_type(token: Column) -> Column:
+    """The type's name without arguments."""
+    return F.lower(F.substring_index(token, "(", 1))
 
 
-def spark_type(token: Column, unsigned: Column) -> Column:
+def spark_type(token: Column, unsigned: Column, base: Column | None = None) -> Column:
     """The Spark type that holds every value of the source column."""
-    base = _base(token)
+    base = base_type(token) if base is None else base
 
     def by_sign(signed: str, wider: str) -> Column:
         return F.when(unsigned, F.lit(wider)).otherwise(F.lit(signed))
@@ -83,7 +83,7 @@ def spark_type(token: Column, unsigned: Column) -> Column:
             (base == "bigint", by_sign("bigint", "decimal(20,0)")),
             (base.isin("datetime", "timestamp"), F.lit("timestamp_ntz")),
             (base == "date", F.lit("date")),
-            (base == "decimal", F.regexp_replace(clamp_decimal(token), r"\s", "")),
+            (base == "decimal", clamp_decimal(token)),
             (base.isin("float", "double"), base),
             (base.endswith("blob") | base.endswith("binary"), F.lit("binary")),
             (token == "bit(1)", F.lit("boolean")),
@@ -92,14 +92,15 @@ def spark_type(token: Column, unsigned: Column) -> Column:
     )
 
 
-def logical_type(token: Column) -> Column:
+def logical_type(token: Column, base: Column | None = None) -> Column:
     """The wire encoding a change event uses for the column (fixed values)."""
-    base = _base(token)
-    digits = F.coalesce(F.regexp_extract(token, r"\((\d+)\)", 1).try_cast("int"), F.lit(0))
+    base = base_type(token) if base is None else base
+    # Datetimes with more than three fractional digits are sent in microseconds.
+    fine = F.substring(token, -2, 1).isin("4", "5", "6")
     return _first_match(
         [
-            ((base == "datetime") & (digits <= 3), F.lit("io.debezium.time.Timestamp")),
-            (base == "datetime", F.lit("io.debezium.time.MicroTimestamp")),
+            ((base == "datetime") & fine, F.lit("io.debezium.time.MicroTimestamp")),
+            (base == "datetime", F.lit("io.debezium.time.Timestamp")),
             (base == "timestamp", F.lit("io.debezium.time.ZonedTimestamp")),
             (base == "date", F.lit("io.debezium.time.Date")),
             (base == "time", F.lit("io.debezium.time.MicroTime")),
@@ -109,10 +110,8 @@ def logical_type(token: Column) -> Column:
     )
 
 
-def wire_type(token: Column, unsigned: Column) -> Column:
+def wire_type(logical: Column, target: Column) -> Column:
     """The JSON type to read: decimals and unsigned 64-bit numbers stay text until cast."""
-    logical = logical_type(token)
-    target = spark_type(token, unsigned)
     return _first_match(
         [
             (logical.isin("io.debezium.time.ZonedTimestamp", "base64"), F.lit("string")),

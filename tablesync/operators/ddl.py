@@ -15,8 +15,7 @@ from tablesync.spec import ColumnSpec, TableSpec
 # Shape of a definition line: quoted name, type with optional arguments, comment text.
 NAME = r"`((?:[^`]|``)+)`"
 TYPE = r"(\w+(?:\((?:'(?:[^']|'')*'|[^')])*\))?)"
-COLUMN_LINE = rf"\A\s+{NAME} {TYPE}"
-UNSIGNED_LINE = rf"\A\s+{NAME} {TYPE} unsigned"
+COLUMN_LINE = rf"\A\s+{NAME} {TYPE}( unsigned)?"
 COLUMN_COMMENT = r" COMMENT '((?:[^']|'')*)',?\s*\z"
 PRIMARY_KEY = r"(?m)^\s+PRIMARY KEY \(((?:`(?:[^`]|``)+`(?:\(\d+\))?,?\s*)+)\)"
 TABLE_COMMENT = r"(?m)^\).* COMMENT='((?:[^']|'')*)'"
@@ -34,25 +33,31 @@ def ddl_lines(ddls: DataFrame) -> DataFrame:
 
 def ddl_columns(ddls: DataFrame) -> DataFrame:
     """One row per column, with its 0-based index, comment and mapped types."""
-    lines = ddl_lines(ddls).where(F.col("line").rlike(COLUMN_LINE))
-    token = F.col("mysql_type")
-    unsigned = F.col("unsigned")
-    return lines.select(
+    text = F.ltrim("line")
+    lines = ddl_lines(ddls).select("table_name", "line_no", "line").where(text.startswith("`"))
+    read = lines.select(
         "table_name",
         (F.col("line_no") - 2).alias("idx"),
         _unquote(F.regexp_extract("line", COLUMN_LINE, 1), "`").alias("column_name"),
         F.regexp_extract("line", COLUMN_LINE, 2).alias("mysql_type"),
-        F.col("line").rlike(UNSIGNED_LINE).alias("unsigned"),
-        _unquote(F.regexp_extract("line", COLUMN_COMMENT, 1), "'").alias("comment"),
-    ).withColumns(
+        (F.regexp_extract("line", COLUMN_LINE, 3) != "").alias("unsigned"),
+        F.when(F.contains(F.col("line"), F.lit(" COMMENT '")), _unquote(F.regexp_extract("line", COLUMN_COMMENT, 1), "'"))
+        .otherwise("")
+        .alias("comment"),
+    )
+    # Step by step, so that each step's results are computed once.
+    token, base = F.col("mysql_type"), F.col("_base")
+    based = read.withColumn("_base", mysql_types.base_type(token))
+    typed = based.withColumns(
         {
             "stream_type": mysql_types.stream_type(token),
             "target_type": mysql_types.target_type(token),
-            "spark_type": mysql_types.spark_type(token, unsigned),
-            "logical_type": mysql_types.logical_type(token),
-            "wire_type": mysql_types.wire_type(token, unsigned),
+            "spark_type": mysql_types.spark_type(token, F.col("unsigned"), base),
+            "logical_type": mysql_types.logical_type(token, base),
         }
     )
+    wire = mysql_types.wire_type(F.col("logical_type"), F.col("spark_type"))
+    return typed.withColumn("wire_type", wire).drop("_base")
 
 
 def ddl_primary_keys(ddls: DataFrame) -> DataFrame:

@@ -256,7 +256,7 @@ ORACLE: dict[str, str] = {
     "mask_batch_mode2": _masked(2),
     "mask_exempt_table": f"{_masked(1, ', ' + repr('orders') + ' AS tbl')} UNION ALL {_masked(2, ', ' + repr(ID_ONLY_TABLE) + ' AS tbl')}",
     "masking_rules": "SELECT p_partkey, 'list_' || p_partkey AS key, p_brand || '=' || p_type AS value FROM part",
-    "sensitive_columns_found": _SENSITIVE,
+    "sensitive_columns": _SENSITIVE,
     "backfill_filter_choice": _filter_choice(),
     "backfill_filter_by_text": f"SELECT table_name, rule FROM ({_filter_choice()})",
     "backfill_since": f"""
@@ -296,6 +296,14 @@ ORACLE: dict[str, str] = {
         SELECT '{"c_custkey":' || c_custkey || '}' AS key,
           '{"c_custkey":' || c_custkey || ',"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value,
           'ods_customer' AS topic FROM customer""",
+    "cdc_topic_records": """
+        SELECT '{"c_custkey":' || c_custkey || '}' AS key, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name ||
+          '","c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value,
+          'ods_shop_customer' AS topic FROM customer
+        UNION ALL SELECT '{"s_suppkey":' || s_suppkey || '}', '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name ||
+          '","s_nationkey":' || s_nationkey || '}', 'ods_shop_supplier' FROM supplier
+        UNION ALL SELECT '{"user_id":' || user_id || '}', CASE WHEN event_type <> 'error' THEN '{"user_id":' || user_id ||
+          ',"event_id":' || event_id || ',"event_type":"' || event_type || '"}' END, 'ods_shop_users' FROM events""",
     "to_ndjson": """
         SELECT '{"o_orderkey":' || o_orderkey || ',"priority":' ||
           CASE WHEN o_orderstatus <> 'F' THEN '"' || o_orderpriority || '"' ELSE 'null' END || '}' AS value FROM orders""",

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.masking import ALL_KINDS, ID_ONLY, mask_pii
 from tablesync.functions.temporal import convert
-from tablesync.operators import backfill, catalog, ddl, routing
+from tablesync.operators import backfill, catalog, ddl, routing, sensitive
 from tablesync.operators.audit import read_audit, summarise
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.latest import latest_per_key
-from tablesync.operators.sensitive import mask_columns, sensitive_columns
+from tablesync.operators.sensitive import mask_columns
 from tablesync.operators.typed import typed_rows
 from tablesync.plans import derive
 from tablesync.plans.batch_sync import batch_sync
@@ -21,7 +21,7 @@ from tablesync.plans.sql_sync import create_source_view, insert_select
 from tablesync.session import run_folder
 from tablesync.sources import change_events, kafka, ndjson, settings
 from tablesync.spec import ColumnSpec, TableSpec
-from tablesync.streaming.sync import SyncOptions, run_available, sync_batch
+from tablesync.streaming.sync import SyncOptions, run_available, stage, sync_batch, topic_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -300,7 +300,7 @@ def masking_rules(spark, sf_dir):
 
 
 @registered
-def sensitive_columns_found(spark, sf_dir):
+def sensitive_columns(spark, sf_dir):
     size = F.col("p_size").cast("string")
     names = F.array(
         F.concat(F.lit("MOBILE_"), size), F.concat(F.lit("idCardNo"), size), F.lit("id-card"), F.lit("contact_name"),
@@ -310,7 +310,7 @@ def sensitive_columns_found(spark, sf_dir):
     columns = derive.table(spark, sf_dir, "part").select(
         "p_partkey", owner.alias("table_name"), F.posexplode(names).alias("idx", "column_name")
     )
-    found = sensitive_columns(columns.withColumn("idx", F.col("idx") + F.col("p_partkey") * 100), derive.mask_rules())
+    found = sensitive.sensitive_columns(columns.withColumn("idx", F.col("idx") + F.col("p_partkey") * 100), derive.mask_rules())
     return found
 
 
@@ -491,6 +491,16 @@ def to_kafka_records(spark, sf_dir):
     return kafka.to_records(c, ["c_custkey"], "ods_customer")
 
 
+@registered
+def cdc_topic_records(spark, sf_dir):
+    """The change log as records of one topic per table, deletes as null values."""
+    log = derive.shop_log(spark, sf_dir).union(derive.user_log(spark, sf_dir).select("value"))
+    users = TableSpec("users", "ods_shop_users", ("user_id",), derive.USERS.columns[:3])
+    specs = {s.table: s for s in (derive.CUSTOMER, derive.SUPPLIER, users)}
+    options = SyncOptions(db="shop")
+    return topic_records(stage(log, specs, options), specs, options)
+
+
 @registered
 def to_ndjson(spark, sf_dir):
     s = derive.table(spark, sf_dir, "orders").select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,12 +17,16 @@ from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.routing import action_counts, classify
 from tablesync.operators.typed import typed_rows
 from tablesync.sources.change_events import parse_envelope
+from tablesync.sources.kafka import to_records
 from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
 
 
 @dataclass
 class SyncOptions:
-    """How a sync job behaves; ``label`` must change when its checkpoint is thrown away."""
+    """How a sync job behaves; ``label`` must change when its checkpoint is thrown away.
+
+    ``compact_every`` is the number of applied batches a table may collect before it is compacted.
+    """
 
     label: str = "sync"
     db: str | None = None
@@ -43,6 +48,22 @@ class SyncOptions:
         return {**options, "seq_type": self.seq_type} if self.seq_type else options
 
 
+def stage(events: DataFrame, specs: dict[str, TableSpec], options: SyncOptions) -> DataFrame:
+    """Parsed events of the job's database with their ``_action``."""
+    staged = classify(parse_envelope(events), list(specs))
+    if options.db is None:
+        return staged
+    # Text without a database is no event of another one: it goes to quarantine.
+    return staged.where(F.coalesce(F.col("db") == options.db, F.lit(True)))
+
+
+def typed_changes(staged: DataFrame, spec: TableSpec, options: SyncOptions) -> DataFrame:
+    mine = staged.where((F.col("table") == spec.table) & F.col("_action").isin("upsert", "delete"))
+    return typed_rows(
+        mine, spec, options.rules, options.time_zone, options.seq, options.new_columns, options.on_overflow
+    )
+
+
 def sync_batch(
     events: DataFrame, batch_id: int, specs: dict[str, TableSpec], root: str, options: SyncOptions
 ) -> list[AuditRow]:
@@ -53,10 +74,7 @@ def sync_batch(
     is read again from the source.
     """
     spark = events.sparkSession
-    staged = classify(parse_envelope(events), list(specs))
-    if options.db is not None:
-        # Text without a database is no event of another one: it goes to quarantine.
-        staged = staged.where(F.coalesce(F.col("db") == options.db, F.lit(True)))
+    staged = stage(events, specs, options)
     staged = staged.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # At most one row per listed table and action.
@@ -85,10 +103,7 @@ def sync_batch(
 
 
 def _sync_table(spark, staged, spec, batch_id, root, options, events) -> AuditRow:
-    mine = staged.where((F.col("table") == spec.table) & F.col("_action").isin("upsert", "delete"))
-    typed = typed_rows(
-        mine, spec, options.rules, options.time_zone, options.seq, options.new_columns, options.on_overflow
-    )
+    typed = typed_changes(staged, spec, options)
     seen = Observation()
     checked = typed.observe(seen, F.count_if(F.col("_bad").isNotNull()).alias("bad"))
     table = KeyedTable.of(spark, root, spec, **options.keyed_options())
@@ -100,7 +115,7 @@ def _sync_table(spark, staged, spec, batch_id, root, options, events) -> AuditRo
         row.quarantined = _quarantine(
             typed.where(F.col("_bad").isNotNull()), root, options.label, batch_id, spec.target
         )
-    if options.compact_every and batch_id and batch_id % options.compact_every == 0:
+    if options.compact_every and len(table.state().logs) >= options.compact_every:
         table.compact()
         table.drop_old_epochs(options.keep_epochs)
     return row
@@ -123,6 +138,38 @@ def run_parallel(spark: SparkSession, work: Callable, items: list, threads: int)
         return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
+def topic_records(staged: DataFrame, specs: dict[str, TableSpec], options: SyncOptions) -> DataFrame:
+    """Kafka records of a whole database: one topic per table, a null value for a delete."""
+    parts = []
+    for spec in specs.values():
+        rows = typed_changes(staged, spec, options).where(F.col("_bad").isNull())
+        rows = rows.select(*[F.col(f"`{n}`") for n in spec.column_names], (F.col("_op") == "delete").alias("_gone"))
+        parts.append(to_records(rows, list(spec.keys), spec.target, deleted="_gone"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def topic_stream(
+    events: DataFrame,
+    specs: dict[str, TableSpec],
+    kafka: dict[str, str],
+    checkpoint: str,
+    options: SyncOptions | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Publish a change stream to one topic per table. Kafka's sink writes at least once."""
+    options = options or SyncOptions()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        staged = stage(batch, specs, options).sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            topic_records(staged, specs, options).write.format("kafka").options(**kafka).save()
+        finally:
+            staged.unpersist()
+
+    writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def sync_stream(
     events: DataFrame,
     specs: dict[str, TableSpec],
