@@ -28,6 +28,7 @@ import re
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,9 @@ BUCKET_BYTES = 1 << 30
 # The base is rewritten once the log has this share of its bytes, so each byte is rewritten a few times only.
 REWRITE_SHARE = 0.25
 
+# A log up to this size is laid over the base by joins Spark can broadcast, without sorting the base.
+SMALL_LOG_BYTES = 8 << 20
+
 
 @dataclass
 class TableState:
@@ -204,14 +208,32 @@ class KeyedTable:
             rows = log if base is None else base
             return self.spark.createDataFrame([], self._stored_schema()) if rows is None else rows
 
+        if partitions is None and self._log_bytes(state) <= SMALL_LOG_BYTES:
+            return self._overlaid(base, log)
+        # Column by column, so that a reader of few columns scans only those.
         rest = [n for n in self._stored_schema().names if n not in self.keys]
-        old = base.select(*self.keys, F.struct(*rest).alias("_old"))
-        new = log.select(*self.keys, F.struct(*rest).alias("_new"))
-        both = old.join(new, self.keys, "full")
-        newer = F.col("_old").isNull() | (F.col("_new._seq") >= F.col("_old._seq"))
-        winner = F.when(newer, F.col("_new")).otherwise(F.col("_old"))
-        winner = both.select(*self.keys, winner.alias("_row"))
-        return winner.select(*self.keys, "_row.*").select(*self._stored_schema().names)
+        new = log.select(*self.keys, *[F.col(f"`{n}`").alias(f"_new_{n}") for n in rest])
+        both = base.join(new, self.keys, "full")
+        newer = F.col("_deleted").isNull() | (F.col("_new__seq") >= F.col("_seq"))
+        both = both.withColumn("_newer", newer)
+        picked = [F.when(F.col("_newer"), F.col(f"`_new_{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in rest]
+        return both.select(*self.keys, *picked).select(*self._stored_schema().names)
+
+    def _overlaid(self, base: DataFrame, log: DataFrame) -> DataFrame:
+        """The same merge for a small log: the base is only scanned, its second scan reads keys and positions.
+
+        Spark broadcasts the log, or the few keys with a late change, if they are small enough.
+        """
+        names = [f"_key{i}" for i in range(len(self.keys))]
+        logged = log.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)], F.col("_seq").alias("_at"))
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(self.keys, names, strict=True)])
+        kept = base.join(logged, same & (F.col("_at") >= F.col("_seq")), "left_anti")
+        late = base.select(*self.keys, "_seq").join(logged, same).where(F.col("_seq") > F.col("_at"))
+        winners = log.join(late.select(*self.keys), self.keys, "left_anti")
+        return kept.unionByName(winners).select(*self._stored_schema().names)
+
+    def _log_bytes(self, state: TableState) -> int:
+        return sum(folder_size(self.spark, f"{self.path}/{f}") for f in state.logs)
 
     def _log(self, state: TableState, partitions: int | None = None) -> DataFrame | None:
         """The last logged change of every key; with ``partitions``, distributed by key."""
@@ -262,7 +284,7 @@ class KeyedTable:
         epoch = state.epoch + 1
         opened = {"kind": "epoch", "consumed": state.logs, "last_seq": state.last_seq}
         carried = [{"kind": "carry", "label": k, "batch_id": v} for k, v in state.last_by_label.items()]
-        log_bytes = sum(folder_size(self.spark, f"{self.path}/{f}") for f in state.logs)
+        log_bytes = self._log_bytes(state)
         base_bytes = 0 if state.base_epoch is None else folder_size(self.spark, self._base_path(state.base_epoch))
         if full is None:
             full = state.base_epoch is None or drop_deleted or log_bytes >= REWRITE_SHARE * base_bytes

@@ -42,8 +42,12 @@ def frame(spark, log):
     return spark.createDataFrame(log, CHANGE)
 
 
-@pytest.mark.parametrize("parts,compact_after,seed", [(1, (), 1), (4, (), 2), (4, (0, 2), 3), (3, (0, 1, 2), 4)])
-def test_any_split_in_any_order_gives_the_same_table(spark, tmp_path, parts, compact_after, seed):
+@pytest.mark.parametrize("small_log", [0, 1 << 20])
+@pytest.mark.parametrize("parts,compact_after,seed", [(1, (), 1), (4, (0, 2), 3), (3, (0,), 4)])
+def test_any_split_in_any_order_gives_the_same_table(
+    spark, tmp_path, monkeypatch, parts, compact_after, seed, small_log
+):
+    monkeypatch.setattr(keyed_table, "SMALL_LOG_BYTES", small_log)
     log = make_log(seed=seed)
     want = expected(log)
     random.Random(seed).shuffle(log)
@@ -224,3 +228,25 @@ def test_a_compaction_that_died_is_done_again(spark, tmp_path):
     table._merged(table.state()).write.parquet(f"{tmp_path}/t/epoch=1/base")
     table.compact()
     assert live(table) == expected(make_log(40))
+
+
+def test_a_small_log_is_laid_over_the_base_without_sorting_it(spark, tmp_path):
+    table = new_table(spark, tmp_path / "t")
+    table.apply(frame(spark, make_log()), "log", 0)
+    table.compact()
+    table.apply(frame(spark, make_log(seed=5)), "log", 1)
+    rows = table.read().where("a = 3")
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan and "EqualTo(a,3)" in plan
+
+
+def test_a_merge_reads_only_the_columns_asked_for(spark, tmp_path, monkeypatch):
+    for small_log in (0, 1 << 20):
+        monkeypatch.setattr(keyed_table, "SMALL_LOG_BYTES", small_log)
+        table = new_table(spark, tmp_path / f"t{small_log}")
+        table.apply(frame(spark, make_log()), "log", 0)
+        table.compact()
+        table.apply(frame(spark, make_log(seed=5)), "log", 1)
+        plan = table.read().select("a")._jdf.queryExecution().executedPlan().toString()
+        assert "v:string" not in plan and "a:int" in plan
