@@ -209,7 +209,7 @@ def cdc_apply_composite(spark, sf_dir):
 
 @registered
 def cdc_stream_sync(spark, sf_dir):
-    """The whole sync as a stream over text files, one file per micro-batch."""
+    """The whole sync as a stream over text files, half of them in each micro-batch."""
     root, specs = _streamed(spark, sf_dir)
     return KeyedTable.of(spark, root, specs["users"]).read()
 
@@ -226,9 +226,9 @@ def cdc_stream_audit(spark, sf_dir):
 def _streamed(spark, sf_dir):
     root = run_folder(spark, "stream")
     log = derive.shop_log(spark, sf_dir).union(derive.user_log(spark, sf_dir).select("value"))
-    log.repartition(3).write.text(f"{root}/_input")
+    log.repartition(16).write.text(f"{root}/_input")
     specs = {s.table: s for s in (derive.USERS, derive.ORDERS, derive.CUSTOMER, derive.SUPPLIER)}
-    events = change_events.read_change_events(spark, f"{root}/_input", streaming=True, max_files_per_batch=2)
+    events = change_events.read_change_events(spark, f"{root}/_input", streaming=True, max_files_per_batch=8)
     run_available(spark, events, specs, root, SyncOptions(label="shop", db="shop"))
     return root, specs
 

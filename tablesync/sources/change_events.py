@@ -66,7 +66,7 @@ def binlog_position(file: Column | None = None, pos: Column | None = None, row:
     file = F.col("file") if file is None else file
     pos = F.col("pos") if pos is None else pos
     row = F.col("row") if row is None else row
-    number = F.regexp_extract(file, r"(\d+)\z", 1).try_cast("bigint")
+    number = F.substring_index(file, ".", -1).try_cast("bigint")
     return F.struct(
         F.coalesce(number, F.lit(0)).cast("bigint").alias("file_no"),
         F.coalesce(pos, F.lit(0)).cast("bigint").alias("pos"),
