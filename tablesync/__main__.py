@@ -64,7 +64,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace):
         label=job.settings.label_prefix or args.jobName,
         db=args.db,
         rules=rules,
-        parallel_tables=job.settings.parallelism,
+        buckets=job.settings.parallelism,
     )
     trigger = {"availableNow": True} if args.available_now else job.settings.trigger
     checkpoint = f"{args.root}/_checkpoints/{args.db}"
@@ -86,7 +86,8 @@ def run_batch(spark: SparkSession, args: argparse.Namespace):
         return read_jdbc(spark, url, table, partition_column=split, partitions=args.partitions, **rest)
 
     return batch_sync(
-        spark, job.specs, job.filters, scan, f"{args.date} {args.time}", args.root, rules, on_error=args.on_error
+        spark, job.specs, job.filters, scan, f"{args.date} {args.time}", args.root, rules, on_error=args.on_error,
+        buckets=job.settings.parallelism,
     )
 
 

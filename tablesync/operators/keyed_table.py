@@ -190,7 +190,9 @@ class KeyedTable:
             value = F.col(f"`{f.name}`")
             value = value if f.name in self.keys else F.when(~gone, value)
             columns.append(value.cast(f.dataType).alias(f.name))
-        return changes.select(*columns, F.col("_seq").cast(self.seq_type).alias("_seq"), gone.alias("_deleted"))
+        no_position = F.raise_error(F.lit(f"a change of {self.path} has no position")).cast(self.seq_type)
+        seq = F.coalesce(F.col("_seq").cast(self.seq_type), no_position)
+        return changes.select(*columns, seq.alias("_seq"), gone.alias("_deleted"))
 
     # -- read ----------------------------------------------------------------
 

@@ -11,7 +11,7 @@ from tablesync.functions.json_rows import with_fields
 from tablesync.functions.temporal import convert
 from tablesync.operators.sensitive import mask_columns
 from tablesync.sources.change_events import DELETE_OP, action, binlog_position
-from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
+from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, ColumnSpec, MaskRules, TableSpec
 
 
 def typed_rows(
@@ -58,10 +58,15 @@ def _without_new_columns(image: Column, spec: TableSpec) -> Column:
     return F.when(F.size(unknown) > 0, F.raise_error(message).cast("string")).otherwise(image)
 
 
-def _target_value(column, time_zone: str, on_overflow: str) -> Column:
+def _target_value(column: ColumnSpec, time_zone: str, on_overflow: str) -> Column:
+    """The value in the target's type; the check does not depend on the session's ANSI mode."""
+    if on_overflow not in ("fail", "null"):
+        raise ValueError(f"on_overflow must be fail or null, not {on_overflow}")
     value = convert(F.col(f"`{column.name}`"), column.logical, time_zone)
+    if column.logical == "raw" and column.wire_type == column.target:
+        return value
+    fitted = value.try_cast(column.target)
     if on_overflow == "null":
-        return value.try_cast(column.target)
-    if on_overflow != "fail":
-        raise ValueError(f"on_overflow must be fail or null, not {on_overflow}")
-    return value.cast(column.target)
+        return fitted
+    message = F.concat(F.lit(f"column {column.name} cannot hold "), value.cast("string"))
+    return F.coalesce(fitted, F.when(value.isNotNull(), F.raise_error(message).cast(column.target)))

@@ -87,9 +87,10 @@ def test_rows_that_cannot_be_applied(spark):
 
 def test_overflow(spark):
     e = parsed(spark, event("c", '{"id":"1","pay":"12345.60"}'))
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+    with pytest.raises(Exception, match="column pay cannot hold 12345.60"):
         typed_rows(e, SPEC).collect()
     assert typed_rows(e, SPEC, on_overflow="null").first().pay is None
+    assert typed_rows(parsed(spark, event("c", '{"id":"1","pay":null}')), SPEC).first().pay is None
 
 
 def test_new_columns(spark):

@@ -250,3 +250,8 @@ def test_a_merge_reads_only_the_columns_asked_for(spark, tmp_path, monkeypatch):
         table.apply(frame(spark, make_log(seed=5)), "log", 1)
         plan = table.read().select("a")._jdf.queryExecution().executedPlan().toString()
         assert "v:string" not in plan and "a:int" in plan
+
+
+def test_a_change_without_position_is_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="has no position"):
+        new_table(spark, tmp_path / "t").apply(frame(spark, [(1, "x", "v", "upsert", None)]), "log", 0)
