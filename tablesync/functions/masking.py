@@ -18,11 +18,14 @@ ID_PATTERN = (
     r"(([0-2][1-9])|10|20|30|31)\d{3}[0-9Xx]\z"
 )
 MOBILE_PATTERN = r"\A((\+86)|(86))?[1][3456789][0-9]{9}\z"
-LANDLINE_PATTERN = r"\A(?:0\d{2,3}[-]?\d{7,8}|0\d{2,3}\s?\d{7,8})\z"
-
-# Control characters and the blank, the set that is cut off both ends of a landline number.
+# Control characters and the blank may stand at both ends of a landline number; they are cut off.
+LANDLINE_PATTERN = r"\A[\x00-\x20]*(?:0\d{2,3}[-]?\d{7,8}|0\d{2,3}\s?\d{7,8})[\x00-\x20]*\z"
 EDGE_BLANKS = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 
+# Lengths without blanks and dashes, tested before the patterns because that is cheaper.
+ID_LENGTH = 18
+MOBILE_LENGTHS = (11, 14)
+
 ALL_KINDS = 1
 ID_ONLY = 2
 
@@ -33,29 +36,34 @@ def compact(col: Column) -> Column:
 
 
 def mask_resident_id(col: Column) -> Column:
-    return F.regexp_replace(compact(col), r"(\d{12})\w{6}", "$1******")
+    """The first twelve digits of a value that is an ID."""
+    return F.concat(F.substring(compact(col), 1, 12), F.lit("******"))
 
 
 def mask_mobile(col: Column) -> Column:
-    bare = F.regexp_replace(compact(col), r"\A\+?86", "")
-    return F.regexp_replace(bare, r"(\d{3})\d{4}(\d{4})", "$1****$2")
+    """First three and last four digits of a value that is a mobile number, without country code."""
+    text = compact(col)
+    return F.concat(F.substring(text, -11, 3), F.lit("****"), F.substring(text, -4, 4))
 
 
 def mask_landline(col: Column) -> Column:
+    """A landline number with every occurrence of its sixth to eighth character hidden."""
     text = F.regexp_replace(col, EDGE_BLANKS, "")
     return F.replace(text, F.substring(text, 6, 3), F.lit("****"))
 
 
 def is_resident_id(col: Column) -> Column:
-    return compact(col).rlike(ID_PATTERN)
+    text = compact(col)
+    return (F.length(text) == ID_LENGTH) & text.rlike(ID_PATTERN)
 
 
 def is_mobile(col: Column) -> Column:
-    return compact(col).rlike(MOBILE_PATTERN)
+    text = compact(col)
+    return F.length(text).between(*MOBILE_LENGTHS) & text.rlike(MOBILE_PATTERN)
 
 
 def is_landline(col: Column) -> Column:
-    return F.regexp_replace(col, EDGE_BLANKS, "").rlike(LANDLINE_PATTERN)
+    return col.rlike(LANDLINE_PATTERN)
 
 
 def mask_pii(col: Column, mode: int = ALL_KINDS) -> Column:

@@ -39,8 +39,10 @@ from tablesync.sources.change_events import SEQ_TYPE
 from tablesync.sources.files import delete_folder, folder_size, list_files, publish_text, read_text
 from tablesync.spec import TableSpec
 
-# A base bucket is read by one task; the bucket count grows with the table to keep it near this size.
-BUCKET_BYTES = 1 << 30
+# A base bucket is read by one task; the bucket count starts here and grows with the table,
+# so that a bucket has at most twice this size.
+FIRST_BUCKETS = 16
+BUCKET_BYTES = 512 << 20
 # The base is rewritten once the log has this share of its bytes, so each byte is rewritten a few times only.
 REWRITE_SHARE = 0.25
 
@@ -87,7 +89,7 @@ class KeyedTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or FIRST_BUCKETS
         self.seq_type = T.DataType.fromDDL(seq_type)
         self._commits: dict[str, list[dict]] = {}
 
@@ -318,9 +320,10 @@ class KeyedTable:
         return True
 
     def _bucket_count(self, state: TableState, size: int) -> int:
-        """The present count, or a power-of-two multiple of it once its buckets are twice too large."""
+        """The present count, doubled until no bucket is twice too large or Spark allows no more."""
         count = state.base_buckets or self.buckets
-        while size > 2 * BUCKET_BYTES * count:
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        while size > 2 * BUCKET_BYTES * count and 2 * count <= most:
             count *= 2
         return count
 

@@ -198,7 +198,7 @@ def part_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CREATE TABLE `part_"), F.col("p_partkey").cast("string"), F.lit("` (")),
         F.lit("  `id` int(11) NOT NULL AUTO_INCREMENT COMMENT 'key',"),
         F.concat(F.lit("  `part_id` bigint(20) unsigned NOT NULL DEFAULT '0' COMMENT '"), F.col("p_name"), F.lit(", it''s',")),
-        F.concat(F.lit("  `price` decimal("), (F.col("p_size") + 5).cast("string"), F.lit(","), (F.col("p_size") % 14).cast("string"), F.lit(") DEFAULT NULL,")),
+        F.format_string("  `price` decimal(%d,%d) DEFAULT NULL,", F.col("p_size") + 5, F.col("p_size") % 14),
         F.concat(F.lit("  `name_"), size, F.lit("` varchar("), size, F.lit(") DEFAULT 'COMMENT `x` y' COMMENT '(a,b)',")),
         F.concat(F.lit("  `kind` enum('"), F.col("p_type"), F.lit("','a b') DEFAULT NULL,")),
         F.lit("  `made_at` datetime DEFAULT NULL,"),

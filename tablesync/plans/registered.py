@@ -439,7 +439,9 @@ def job_table_list(spark, sf_dir):
     key = F.col("c_custkey").cast("string")
     jobs = derive.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("db_"), key).alias("mysqlDb"),
-        F.concat_ws(",", F.lower("c_mktsegment"), F.concat(F.lit("orders_"), "c_nationkey"), F.concat(F.lit(" t"), key), F.lit("")).alias("tableList"),
+        F.concat_ws(
+            ",", F.lower("c_mktsegment"), F.concat(F.lit("orders_"), "c_nationkey"), F.concat(F.lit(" t"), key), F.lit("")
+        ).alias("tableList"),
     )
     return settings.job_tables(jobs)
 

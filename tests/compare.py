@@ -47,7 +47,8 @@ def compare(spark, con, name, sf_dir):
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
     if got != want:
-        return f"rows {sum(got.values())} vs {sum(want.values())}; only here {list((got - want).items())[:2]}; only there {list((want - got).items())[:2]}"
+        here, there = list((got - want).items())[:2], list((want - got).items())[:2]
+        return f"rows {sum(got.values())} vs {sum(want.values())}; only here {here}; only there {there}"
     return "" if got else "no rows"
 
 
