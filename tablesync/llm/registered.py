@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import exact_dedup, line_dedup, mixing, secrets
+from tablesync.llm import exact_dedup, line_dedup, mixing, packing, secrets, token_counts
 from tablesync.llm.common import table
 from tablesync.llm.oracle import ORACLE
 from tablesync.session import run_folder
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.length_totals(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
+def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,16 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_secret_scan, op7_line_dedup, op10_curriculum_mix)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_token_counts,
+        op3_tier_packing,
+        op4_exact_dedup,
+        op5_secret_scan,
+        op7_line_dedup,
+        op10_curriculum_mix,
+    )
+}
 
 __all__ = ["ORACLE", "QUERIES"]
