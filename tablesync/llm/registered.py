@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import exact_dedup, line_dedup, mixing, packing, secrets, token_counts
+from tablesync.llm import exact_dedup, line_dedup, mixing, packing, secrets, token_counts, toxicity
 from tablesync.llm.common import table
 from tablesync.llm.oracle import ORACLE
 from tablesync.session import run_folder
@@ -32,6 +32,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,6 +63,7 @@ QUERIES = {
         op3_tier_packing,
         op4_exact_dedup,
         op5_secret_scan,
+        op6_toxicity,
         op7_line_dedup,
         op10_curriculum_mix,
     )
