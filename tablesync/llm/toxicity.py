@@ -36,10 +36,11 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 2048
 FOLDS = 5
 BEGINNINGS = (4, 5, 6)
-# A feature is in this many training rows and in toxic ones this many times as often as elsewhere.
+# A feature is in this many training rows, in this share of the toxic ones, and this many times as often there.
 LEAST_ROWS = 4
+LEAST_SHARE = 0.02
 LEAST_LIFT = 3.0
-STEPS, RIDGE, PAIRING = 400, 2e-4, 1.0
+STEPS, RIDGE, PAIRING = 600, 2e-5, 1.0
 
 # Groups of terms that may stand for each other in a sentence.
 IDENTITY_GROUPS = (
@@ -157,7 +158,7 @@ def fit(
     # The surplus of toxic rows over what chance gives, in its standard deviations.
     share = max(toxic, 1) / n
     surplus = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share)
-    often = F.col("toxic") >= LEAST_LIFT * share * F.col("n")
+    often = (F.col("toxic") >= LEAST_LIFT * share * F.col("n")) & (F.col("toxic") >= LEAST_SHARE * toxic)
     best = counts.where(often).orderBy(F.desc(surplus), "feature").limit(max_features)
     terms = [t for g in groups for t in g]
     chosen = sorted({r["feature"] for r in best.select("feature").collect()} | set(terms))
