@@ -22,3 +22,14 @@ def whole_text(name: str = "text") -> Column:
 
 def whole_id(name: str = "doc_id") -> Column:
     return F.col(f"`{name}`").cast("long")
+
+
+def dealt_anew(frame: DataFrame, *keys: str) -> DataFrame:
+    """The same rows, for a join on ``keys`` by which they were just grouped.
+
+    Without it Spark joins where it grouped, with no exchange on this side, and then cannot split a partition that a
+    hot key fills on the other side. Keys are long, text or binary.
+    """
+    kinds = dict(frame.dtypes)
+    again = {k: F.col(k).bitwiseXOR(F.lit(0)) if kinds[k] == "bigint" else F.substring(k, 1, 2**31 - 1) for k in keys}
+    return frame.withColumns(again)

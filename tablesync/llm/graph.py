@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.llm.common import dealt_anew
+
 
 def stored(frame: DataFrame, path: str) -> DataFrame:
     """The frame written to the shared folder and read again: it survives lost executors and cuts the lineage."""
@@ -26,10 +28,10 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         turn += 1
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(dealt_anew(least, "u"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
+        small = large.join(dealt_anew(least, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         links = stored(small.where("u <> v").distinct(), f"{folder}/links-{turn}")
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:

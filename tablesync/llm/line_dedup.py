@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import LOWER, UPPER, WHITE, whole_id, whole_text
+from tablesync.llm.common import LOWER, UPPER, WHITE, dealt_anew, whole_id, whole_text
 
 
 def line_key(line: Column) -> Column:
@@ -44,7 +44,7 @@ def drop_shared_lines(
     shared = holders.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_keeper"))
     shared = shared.where(F.col("_docs") >= min_docs)
 
-    gone = lines.join(shared, ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
+    gone = lines.join(dealt_anew(shared, "_h1", "_h2"), ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
     gone = gone.groupBy(F.col("_id").alias("_gone_id"), F.col("_of").alias("_gone_of")).agg(
         F.sort_array(F.collect_set("_at")).alias("_gone")
     )

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole_id, whole_text
+from tablesync.llm.common import dealt_anew, whole_id, whole_text
 from tablesync.llm.graph import components, stored
 from tablesync.llm.tokens import chunks
 from tablesync.session import run_folder
@@ -160,7 +160,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     banded = classes.select("c", "n", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("key")
-    members = stored(banded.join(shared, "key"), f"{folder}/members")
+    members = stored(banded.join(dealt_anew(shared, "key"), "key"), f"{folder}/members")
 
     # The texts of one document for each class that shares a bucket. An id may have other texts, of other classes.
     needed = members.select("c").distinct().join(classes.select("c", "rep"), "c")
@@ -175,7 +175,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # First one centre for each class: the smallest class of its buckets.
     centres = members.groupBy("key").agg(F.min(F.struct("c", "n")).alias("z"))
-    first = members.join(centres, "key").where("c <> z.c").where(_sizes_fit("n", "z.n"))
+    first = members.join(dealt_anew(centres, "key"), "key").where("c <> z.c").where(_sizes_fit("n", "z.n"))
     first = first.groupBy(F.col("c").alias("a")).agg(F.min("z.c").alias("b"))
     tried = stored(first, f"{folder}/pairs-1")
     edges = confirmed(tried, "edges-1")
@@ -187,11 +187,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         placed = placed.withColumn("root", F.coalesce("root", "c"))
         several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         several = several.where("lo <> hi").select("key")
-        placed = stored(placed.join(several, "key"), f"{folder}/open-{turn}")
+        placed = stored(placed.join(dealt_anew(several, "key"), "key"), f"{folder}/open-{turn}")
         if turn == 2:
             drawn = F.struct(F.xxhash64("c", "key").alias("o"), "c", "n", "root")
             other = placed.groupBy("key").agg(F.min(drawn).alias("z"))
-            pairs = placed.join(other, "key").where("root <> z.root")
+            pairs = placed.join(dealt_anew(other, "key"), "key").where("root <> z.root")
         else:
             other = placed.select("key", F.struct("c", "n", "root").alias("z"))
             pairs = placed.join(other, "key").where("root < z.root")
@@ -206,7 +206,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     linked = classes.select("c", "rep").join(roots.withColumnRenamed("node", "c"), "c", "left")
     linked = linked.withColumn("root", F.coalesce("root", "c"))
     least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = linked.join(least, "root").select(F.col("c").alias("of"), "component_id")
+    named = linked.join(dealt_anew(least, "root"), "root").select(F.col("c").alias("of"), "component_id")
     out = signed.select("id", "n", "c").join(named, F.col("c") == F.col("of"), "left")
     group = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import exact_dedup, line_dedup, mixing, near_dedup, packing, secrets, token_counts, toxicity
+from tablesync.llm import exact_dedup, kd_search, line_dedup, mixing, near_dedup, packing, secrets, token_counts, toxicity
 from tablesync.llm.common import table
 from tablesync.llm.oracle import ORACLE
 from tablesync.session import run_folder
@@ -42,6 +42,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
         op5_secret_scan,
         op6_toxicity,
         op7_line_dedup,
+        op8_kd_search,
         op9_near_dedup,
         op10_curriculum_mix,
     )

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole_text
+from tablesync.llm.common import dealt_anew, whole_text
 from tablesync.sources.files import list_files
 
 SPANS = "array<struct<start: int, stop: int>>"
@@ -126,7 +126,7 @@ def scan_versions(
     # Two runs side by side may both have scanned a pair; their spans agree. Blobs without any span need no join.
     spans = _ledger(spark, ledger).where(present & (F.size("spans") > 0)).groupBy(F.col("blob").alias("_of"))
     spans = spans.agg(*[F.max(F.when(F.col("rule") == r.kind, F.col("spans"))).alias(r.kind) for r in rules])
-    at = texts.select(*names, "blob").join(spans, F.col("blob") == F.col("_of"), "left")
+    at = texts.select(*names, "blob").join(dealt_anew(spans, "_of"), F.col("blob") == F.col("_of"), "left")
     none = F.array().cast(SPANS)
     return at.select(*names, "blob", *[F.coalesce(F.col(r.kind), none).alias(r.kind) for r in rules])
 
