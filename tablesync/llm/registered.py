@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import exact_dedup, kd_search, line_dedup, mixing, near_dedup, packing, secrets, token_counts, toxicity
+from tablesync.llm import exact_dedup, kd_search, line_dedup, mixing, near_dedup, packing, secrets, suffix_dedup, token_counts, toxicity
 from tablesync.llm.common import table
 from tablesync.llm.oracle import ORACLE
 from tablesync.session import run_folder
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_totals(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
@@ -67,6 +71,7 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_token_counts,
         op3_tier_packing,
         op4_exact_dedup,
