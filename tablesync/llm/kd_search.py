@@ -13,7 +13,8 @@ keep a task's share bounded. Spark deals the pairs of shard and block.
 
 Defined cases: vectors that are null, empty, or hold nulls or non-finite components take
 no part, nor do rows without an id; vectors are compared with those of the same length only; of rows that repeat
-an id the smallest vector counts; ties go to the smaller id; an empty table gives an empty result.
+an id the smallest vector counts; ties go to the smaller id; a score that 64 bits can't hold is an error; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -233,5 +233,7 @@ def _own_class(batches: Iterator) -> Iterator:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one document for each group, with all of their columns."""
-    kept = near_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, whole_id(id_col).eqNullSafe(F.col("_kept"))).select(*[f"`{c}`" for c in docs.columns])
+    # A name that none of the columns has.
+    name = "_kept" + "_" * max(map(len, docs.columns))
+    kept = near_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, whole_id(id_col).eqNullSafe(F.col(name))).select(*[F.col(f"`{c}`") for c in docs.columns])
