@@ -12,8 +12,10 @@ threshold is missed with probability (1 - 0.8^6)^40 < 6e-6.
 Equal sets are one class first, so copies are never compared. In a band's bucket
 classes are compared with a centre, not each with each: the edge confirmed on whole sets
 joins components. Then, against another centre for each bucket, and last of all, in
-buckets that still hold several components, the pairs of different components alone: no
-pair that the components don't know already is left out, and pairs within a component are
+buckets that still hold several components, the pairs of different components alone. Of those
+a pair is formed only if it can reach the threshold: two sets share no more shingles than
+the smaller number of shingles that either has in common with any class left. So no
+pair that could join components is left out, and pairs within a component are
 never formed. Joins on a bucket, a centre or a class are ones that Spark splits
 if they are hot.
 
@@ -188,13 +190,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         several = several.where("lo <> hi").select("key")
         placed = stored(placed.join(dealt_anew(several, "key"), "key"), f"{folder}/open-{turn}")
+        if not placed.head(1):
+            break
         if turn == 2:
             drawn = F.struct(F.xxhash64("c", "key").alias("o"), "c", "n", "root")
             other = placed.groupBy("key").agg(F.min(drawn).alias("z"))
             pairs = placed.join(dealt_anew(other, "key"), "key").where("root <> z.root")
         else:
-            other = placed.select("key", F.struct("c", "n", "root").alias("z"))
-            pairs = placed.join(other, "key").where("root < z.root")
+            placed = placed.join(_common(placed.select("c", "n").distinct(), texts), "c")
+            # Any similar set shares 4/5 of this one.
+            placed = stored(placed.where(5 * F.col("common") >= 4 * F.col("n")), f"{folder}/reachable")
+            other = placed.select("key", F.struct("c", "n", "root", "common").alias("z"))
+            # Similar sets share 4/9 of the sum of their sizes.
+            reach = 9 * F.least("common", "z.common") >= 4 * (F.col("n") + F.col("z.n"))
+            pairs = placed.join(other, "key").where("root < z.root").where(reach)
         pairs = pairs.where(_sizes_fit("n", "z.n"))
         # Of a pair the larger class is a, as in the pairs tried before.
         pairs = pairs.select(F.greatest("c", "z.c").alias("a"), F.least("c", "z.c").alias("b")).distinct()
@@ -217,6 +226,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _common(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Per class ``common``, the number of its shingles that another of the classes has too."""
+    here = classes.select("c").join(texts, "c").select(F.xxhash64("c").alias("o"), "text")
+    items = here.mapInArrow(_shingle_rows, "o long, h long")
+    alone = items.groupBy("h").agg(F.count(F.lit(1)).alias("_k"), F.min("o").alias("o")).where("_k = 1")
+    alone = alone.groupBy("o").agg(F.count(F.lit(1)).alias("_alone"))
+    both = classes.withColumn("o", F.xxhash64("c")).join(dealt_anew(alone, "o"), "o", "left")
+    return both.select("c", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("common"))
+
+
+def _shingle_rows(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for batch in batches:
+        owners, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        for part in chunks(texts):
+            sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]])
+            rows = [np.repeat(owners[part], [len(s) for s in sets]), np.concatenate(sets).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["o", "h"])
+
+
 def _own_class(batches: Iterator) -> Iterator:
     """The rows whose text is of the class it was asked for."""
     import pyarrow as pa
