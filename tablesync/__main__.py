@@ -1,4 +1,4 @@
-"""Entry points for ``spark-submit``: ``stream`` and ``batch``.
+"""Entry points for ``spark-submit``: ``stream``, ``batch`` and ``compact``.
 
 The settings folder holds the datasets ``sync_jobs``, ``meta_import``,
 ``meta_connections`` and ``definitions`` and the file ``masking.properties``.
@@ -11,12 +11,13 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.operators.backfill import UNREGISTERED, predicate_sql
 from tablesync.plans.batch_sync import batch_sync
-from tablesync.plans.job import Metadata, create_missing_targets, load_mask_rules, prepare_job
+from tablesync.plans.job import Metadata, SyncJob, create_missing_targets, load_mask_rules, prepare_job
 from tablesync.sources.change_events import read_change_events
-from tablesync.sources.jdbc import read_jdbc, with_server_time_zone
+from tablesync.sources.jdbc import key_hash, quoted, read_jdbc, with_server_time_zone
 from tablesync.sources.kafka import read_kafka
-from tablesync.streaming.sync import SyncOptions, sync_stream
+from tablesync.streaming.sync import SyncOptions, compact_tables, sync_stream
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -31,7 +32,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     place.add_argument("--events", help="folder of event files")
     place.add_argument("--kafka", help="bootstrap servers")
     stream.add_argument("--topics", nargs="*", default=[])
-    stream.add_argument("--start", default="latest", choices=["latest", "earliest"])
+    stream.add_argument("--start", default="latest", help="latest, earliest or epoch milliseconds; kept over restarts")
+    stream.add_argument("--on-unknown", default="quarantine", choices=["quarantine", "fail", "ignore"])
+    stream.add_argument("--max-files", type=int, default=1000, help="event files of one batch")
+    stream.add_argument("--max-offsets", type=int, default=5_000_000, help="Kafka records of one batch")
     stream.add_argument("--available-now", action="store_true")
 
     batch = commands.add_parser("batch", help="back-fill the targets of a database since a time")
@@ -40,31 +44,50 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("date", help="yyyy-MM-dd")
     batch.add_argument("time", help="HH:mm:ss")
     batch.add_argument("--jdbc-option", action="append", default=[], help="key=value for Spark's JDBC reader")
-    batch.add_argument("--partitions", type=int, default=1)
+    batch.add_argument("--partitions", type=int, help="parts of a scan; the job's parallelism if not given")
     batch.add_argument("--on-error", default="stop", choices=["stop", "continue"])
 
-    for command in (stream, batch):
+    compact = commands.add_parser("compact", help="compact the targets of a database, beside its stream")
+    compact.add_argument("--db", required=True)
+    compact.add_argument("--full", action="store_true", help="write a new base even for a small log")
+
+    for command in (stream, batch, compact):
+        command.add_argument("--table-prefix", help="name targets by this prefix and the table")
         command.add_argument("--settings", required=True, help="folder of the metadata tables")
         command.add_argument("--root", required=True, help="folder of the targets")
         command.add_argument("--format", default="json", help="file format of the metadata tables")
     return parser.parse_args(argv)
 
 
+def load(spark: SparkSession, args: argparse.Namespace) -> SyncJob:
+    """The job of a command; its parallelism is that of the shuffles where the session has less."""
+    metadata = Metadata.load(spark, args.settings, args.format)
+    job = prepare_job(spark, metadata, args.db, table_prefix=args.table_prefix)
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", max(present, job.settings.parallelism))
+    return job
+
+
 def run_stream(spark: SparkSession, args: argparse.Namespace):
-    job = prepare_job(spark, Metadata.load(spark, args.settings, args.format), args.db)
+    job = load(spark, args)
     rules = load_mask_rules(spark, args.maskMode, f"{args.settings}/masking.properties")
     create_missing_targets(spark, job.specs, args.root)
     if args.kafka:
-        records = read_kafka(spark, args.kafka, args.topics, startingOffsets=args.start)
+        # The topic is read from its beginning unless the start is now; a time is taken from the events.
+        offsets = "latest" if args.start == "latest" else "earliest"
+        records = read_kafka(
+            spark, args.kafka, args.topics, startingOffsets=offsets, maxOffsetsPerTrigger=args.max_offsets
+        )
         # A null value only tells Kafka to forget a key; the delete came as an event before it.
         events = records.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull())
     else:
-        events = read_change_events(spark, args.events, streaming=True)
+        events = read_change_events(spark, args.events, streaming=True, max_files_per_batch=args.max_files)
     options = SyncOptions(
         label=job.settings.label_prefix or args.jobName,
         db=args.db,
         rules=rules,
-        buckets=job.settings.parallelism,
+        start="earliest" if args.kafka and args.start == "latest" else args.start,
+        on_unknown=args.on_unknown,
     )
     trigger = {"availableNow": True} if args.available_now else job.settings.trigger
     checkpoint = f"{args.root}/_checkpoints/{args.db}"
@@ -72,32 +95,52 @@ def run_stream(spark: SparkSession, args: argparse.Namespace):
 
 
 def run_batch(spark: SparkSession, args: argparse.Namespace):
-    job = prepare_job(spark, Metadata.load(spark, args.settings, args.format), args.db)
+    job = load(spark, args)
     rules = load_mask_rules(spark, args.maskMode, f"{args.settings}/masking.properties")
     create_missing_targets(spark, job.specs, args.root)
     options = dict(o.split("=", 1) for o in args.jdbc_option)
+    since = f"{args.date} {args.time}"
 
     def scan(table: str):
         url = options.get("url") or with_server_time_zone(job.urls[table])
         spec = job.specs[table]
         numeric = [c.name for c in spec.columns if c.name == spec.keys[0] and c.target in ("int", "bigint", "decimal(20,0)")]
-        split = numeric[0] if numeric else None
+        single = numeric[0] if numeric and len(spec.keys) == 1 else None
         rest = {k: v for k, v in options.items() if k != "url"}
-        return read_jdbc(spark, url, table, partition_column=split, partitions=args.partitions, **rest)
 
-    return batch_sync(
-        spark, job.specs, job.filters, scan, f"{args.date} {args.time}", args.root, rules, on_error=args.on_error,
-        buckets=job.settings.parallelism,
-    )
+        def quote(column: str) -> str:
+            return quoted(spark, url, column)
+
+        return read_jdbc(
+            spark,
+            url,
+            table,
+            partition_column=single,
+            partitions=args.partitions or job.settings.parallelism,
+            split_by=None if single else key_hash([quote(k) for k in spec.keys]),
+            condition=predicate_sql(job.filters.get(table, UNREGISTERED), since, quote),
+            **rest,
+        )
+
+    return batch_sync(spark, job.specs, job.filters, scan, since, args.root, rules, on_error=args.on_error)
+
+
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> dict[str, bool]:
+    job = load(spark, args)
+    return compact_tables(spark, job.specs, args.root, full=True if args.full else None)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
-    spark = SparkSession.builder.appName(getattr(args, "jobName", f"back-fill {args.db}")).getOrCreate()
+    spark = SparkSession.builder.appName(getattr(args, "jobName", f"{args.command} {args.db}")).getOrCreate()
     if args.command == "stream":
         run_stream(spark, args).awaitTermination()
+    elif args.command == "compact":
+        print(run_compact(spark, args))
     else:
-        run_batch(spark, args).show(1000, truncate=False)
+        # One row for each table, all of which stand in the audit folder too.
+        for row in run_batch(spark, args).orderBy("status", "table").collect():
+            print(row.table, row.target, row.status, row.upserts, row.error or "")
 
 
 if __name__ == "__main__":

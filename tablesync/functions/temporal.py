@@ -31,8 +31,12 @@ def date_from_epoch_day(col: Column) -> Column:
 
 
 def local_datetime_from_iso(col: Column, time_zone: str) -> Column:
-    """ISO instant such as ``2020-07-17T18:00:22Z`` as wall-clock time in ``time_zone``."""
-    utc = datetime_from_micros(F.unix_micros(col.cast("timestamp")))
+    """ISO instant such as ``2020-07-17T18:00:22Z`` as wall-clock time in ``time_zone``.
+
+    Text without an offset is taken as UTC; text that is no instant gives NULL.
+    """
+    with_offset = F.when(col.rlike(r":.*(Z|z|[+-]\d{1,2}(:?\d{2})?)$"), col).otherwise(F.concat(col, F.lit("Z")))
+    utc = datetime_from_micros(F.unix_micros(with_offset.try_cast("timestamp")))
     return F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc)
 
 

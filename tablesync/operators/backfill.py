@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,11 @@ def predicate_text(rule: Column, since: str) -> Column:
     return text
 
 
+def predicate_sql(rule: str, since: str, quote: Callable[[str], str] = str) -> str | None:
+    """The rule as a condition for the source's SQL; None if it takes all rows."""
+    return " or ".join(f"{quote(c)} >= '{since}'" for c in RULE_COLUMNS.get(rule, ())) or None
+
+
 def rows_since(rows: DataFrame, rule: str, since: str) -> DataFrame:
     """Rows changed at or after ``since``. The bound has the column's own type, so it is pushed down."""
     if rule == UNREGISTERED:

@@ -17,6 +17,11 @@ def table_prefix(target: Column, table: Column) -> Column:
     return F.replace(target, table, F.lit(""))
 
 
+def prefixed(table: str, prefix: str) -> str:
+    """The target of a table in whole-database sync, the inverse of ``table_prefix``."""
+    return f"{prefix}{table}"
+
+
 def catalog_lookup(tables: DataFrame, imports: DataFrame, connections: DataFrame) -> DataFrame:
     """Source connection and target of every wanted table.
 

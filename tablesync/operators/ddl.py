@@ -125,6 +125,9 @@ def sql_quoted(name: str) -> Column:
 def table_specs(ddls: DataFrame, targets: dict[str, str] | None = None) -> dict[str, TableSpec]:
     """The specs of a job's tables. Definitions only: rows collected are the tables' columns."""
     targets = targets or {}
+    twice = [r.table_name for r in ddls.groupBy("table_name").count().where("count > 1").collect()]
+    if twice:
+        raise ValueError(f"several definitions of {sorted(twice)}: choose one database")
     columns: dict[str, list] = {}
     for row in ddl_columns(ddls).orderBy("table_name", "idx").collect():
         columns.setdefault(row.table_name, []).append(

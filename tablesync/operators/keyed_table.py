@@ -2,22 +2,23 @@
 
 Layout, all written by Spark's own writers::
 
-    <path>/epoch=<n>/base      one row per key, bucketed by key (from compaction)
-    <path>/epoch=<n>/log/...   one folder per applied batch, one row per key
-    <path>/epoch=<n>/commits   one small file per commit, written last
+    <path>/log/...      one folder per applied batch, one row per key
+    <path>/base/...     one folder per full compaction, one row per key, bucketed by key
+    <path>/commits      one small file per commit, written last and never changed
 
 A batch costs as much as its own changes: it is reduced to one row per key and
-added as a log folder. Readers merge the base with the log folders that are
-named by a commit. ``compact`` opens the next epoch: as long as the log is small
-beside the base it only folds the log folders into one and goes on with the old
-base, else it writes a new base. The base is bucketed, so a merge shuffles the
-changes only. Rows carry their position in the source's log (``_seq``) and a
-tombstone flag (``_deleted``), so the result does not depend on how the log was
-cut into batches or in which order they came.
-
-Several writers with labels of their own may apply at the same time, such as a
-stream and a back-fill; one of them compacts. A batch committed to the epoch
-before while the next one was opened is found by its absence from ``consumed``.
+added as a log folder. Readers lay the log folders that commits name over the
+base: the base without the keys that the log has newer, and the log's winners.
+The base is bucketed and only scanned, so a merge shuffles the changes only, and a
+filter reaches its scan. Rows carry their position in the source's log (``_seq``),
+the time of their write (``_write``) for changes at one position, and a tombstone flag
+(``_deleted``), so the result does not depend on how the log was cut into batches
+or in which order they came, and of writes at one position the last wins.
+
+``compact`` folds the log folders into one, or writes a new base. Its commit lists the
+commits it covers. A commit that it does not list counts whenever it was written, so a
+writer may take as long as it likes while others compact. Files that no commit needs any more
+are removed by ``vacuum`` once they are old enough for no reader to use them.
 """
 
 from __future__ import annotations
@@ -25,54 +26,71 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.latest import latest_per_key
 from tablesync.sources.change_events import SEQ_TYPE
-from tablesync.sources.files import delete_folder, folder_size, list_files, publish_text, read_text
+from tablesync.sources.files import delete_folder, folder_size, list_files, list_with_age, publish_text, read_text
 from tablesync.spec import TableSpec
 
-# A base bucket is read by one task; the bucket count starts here and grows with the table,
-# so that a bucket has at most twice this size.
+# Defaults of a table's parameters. The base starts with so many buckets, and their count doubles until
+# a bucket, which one task reads, has at most twice ``bucket_bytes``.
 FIRST_BUCKETS = 16
 BUCKET_BYTES = 512 << 20
-# The base is rewritten once the log has this share of its bytes, so each byte is rewritten a few times only.
+# ``compact`` writes a new base once the log has this share of the base's bytes, so each byte is
+# rewritten a few times only; before, it folds the log.
 REWRITE_SHARE = 0.25
-
-# A log up to this size is laid over the base by joins Spark can broadcast, without sorting the base.
-SMALL_LOG_BYTES = 8 << 20
+# How long a reader or writer may use files that a later commit has replaced.
+RETAIN_SECONDS = 7 * 24 * 3600
+# Commit files that a compaction covers are only in the way of a reader that listed them just before.
+COMMIT_GRACE_SECONDS = 3600
 
 
 @dataclass
 class TableState:
-    """What the commits of the newest epoch say. Bounded by the batches since compaction."""
+    """What the commits say. Bounded by the batches since the last compaction."""
 
-    epoch: int = 0
     exists: bool = False
-    base_epoch: int | None = None
-    base_buckets: int | None = None
-    logs: list[str] = field(default_factory=list)
-    last_by_label: dict[str, int] = field(default_factory=dict)
+    number: int = 0
+    files: list[str] = field(default_factory=list)
+    base: dict | None = None
+    logs: list[dict] = field(default_factory=list)
+    last_by_label: dict[str, dict] = field(default_factory=dict)
     last_seq: dict | None = None
+    last_write: int = 0
 
     def add(self, commit: dict) -> None:
-        if commit["kind"] == "base":
-            self.base_epoch, self.base_buckets = commit["base_epoch"], commit["buckets"]
-        if "folder" in commit:
-            self.logs.append(commit["folder"])
-        if "label" in commit:
-            label, batch_id = commit["label"], commit["batch_id"]
-            self.last_by_label[label] = max(batch_id, self.last_by_label.get(label, batch_id))
-        seq = commit.get("last_seq")
-        if seq and (self.last_seq is None or tuple(seq.values()) > tuple(self.last_seq.values())):
-            self.last_seq = seq
+        if commit["kind"] != "log":
+            return
+        self.logs.append({k: commit[k] for k in ("folder", "first_seq", "last_seq")})
+        known = self.last_by_label.get(commit["label"])
+        if known is None or commit["batch_id"] > known["batch_id"]:
+            self.last_by_label[commit["label"]] = commit
+        if _after(commit["last_seq"], self.last_seq):
+            self.last_seq = commit["last_seq"]
+        self.last_write = max(self.last_write, commit["write"])
+
+    @property
+    def late_changes(self) -> bool:
+        """Whether the log may hold a change that is older than the base's row."""
+        if self.base is None or self.base["last_seq"] is None:
+            return False
+        first = [log["first_seq"] for log in self.logs if log["first_seq"] is not None]
+        return any(not _after(seq, self.base["last_seq"]) for seq in first)
+
+
+def _after(a: dict | None, b: dict | None) -> bool:
+    """Whether position ``a`` is later than ``b``."""
+    return a is not None and (b is None or tuple(a.values()) > tuple(b.values()))
 
 
 class KeyedTable:
@@ -84,6 +102,8 @@ class KeyedTable:
         keys: list[str] | tuple[str, ...],
         buckets: int | None = None,
         seq_type: str = SEQ_TYPE,
+        bucket_bytes: int = BUCKET_BYTES,
+        rewrite_share: float = REWRITE_SHARE,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -91,7 +111,9 @@ class KeyedTable:
         self.keys = list(keys)
         self.buckets = buckets or FIRST_BUCKETS
         self.seq_type = T.DataType.fromDDL(seq_type)
-        self._commits: dict[str, list[dict]] = {}
+        self.bucket_bytes = bucket_bytes
+        self.rewrite_share = rewrite_share
+        self._commits: dict[str, dict] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, spec: TableSpec, **options) -> KeyedTable:
@@ -100,34 +122,37 @@ class KeyedTable:
     # -- state ---------------------------------------------------------------
 
     def state(self) -> TableState:
-        """Read the newest epoch's commits: one listing, and the files not read before."""
-        files = list_files(self.spark, f"{self.path}/epoch=*/commits/*.json")
-        by_epoch: dict[int, list[str]] = {}
+        """One listing, and the commit files not read before."""
+        files = [f.rsplit("/", 1)[1] for f in list_files(self.spark, f"{self.path}/commits/*.json")]
+        try:
+            self._commits = {f: self._commits.get(f) or self._read_commit(f) for f in files}
+        except Exception:
+            # A commit that a compaction covers may be removed after the listing; any other stays.
+            listed = {f.rsplit("/", 1)[1] for f in list_files(self.spark, f"{self.path}/commits/*.json")}
+            if listed >= set(files):
+                raise
+            return self.state()
+        done = [(c["number"], f) for f, c in self._commits.items() if c["kind"] == "compaction"]
+        state, covered = TableState(exists=bool(files), files=files), set()
+        if done:
+            newest = self._commits[max(done)[1]]
+            covered = set(newest["covers"])
+            state.number, state.base, state.logs = newest["number"], newest["base"], list(newest["logs"])
+            state.last_by_label = dict(newest["labels"])
+            state.last_seq, state.last_write = newest["last_seq"], newest["last_write"]
         for f in files:
-            by_epoch.setdefault(int(re.search(r"/epoch=(\d+)/commits/", f)[1]), []).append(f)
-        if not by_epoch:
-            return TableState()
-        state = TableState(epoch=max(by_epoch), exists=True)
-        consumed = set()
-        for row in self._read_commits(by_epoch[state.epoch]):
-            consumed.update(row.get("consumed", ()))
-            state.add(row)
-        for row in self._read_commits(by_epoch.get(state.epoch - 1, [])):
-            if row["kind"] == "log" and row["folder"] not in consumed:
-                state.add(row)
+            if f not in covered:
+                state.add(self._commits[f])
         return state
 
-    def _read_commits(self, files: list[str]) -> list[dict]:
-        for f in files:
-            if f not in self._commits:
-                self._commits[f] = [json.loads(line) for line in read_text(self.spark, f).splitlines()]
-        return [row for f in files for row in self._commits[f]]
+    def _read_commit(self, name: str) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/commits/{name}"))
 
-    def _commit(self, epoch: int, rows: list[dict]) -> None:
+    def _commit(self, row: dict) -> None:
         """One file, made visible by one rename; names sort by time."""
         now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
-        text = "".join(json.dumps({**r, "committed_at": now}) + "\n" for r in rows)
-        publish_text(self.spark, f"{self.path}/epoch={epoch}/commits", f"{now}-{uuid.uuid4().hex[:8]}.json", text)
+        text = json.dumps({**row, "committed_at": now})
+        publish_text(self.spark, f"{self.path}/commits", f"{now}-{uuid.uuid4().hex[:8]}.json", text)
 
     def exists(self) -> bool:
         return self.state().exists
@@ -136,55 +161,74 @@ class KeyedTable:
         """Make the empty table if it is missing; says whether it did."""
         if self.exists():
             return False
-        self._commit(0, [{"kind": "create"}])
+        self._commit({"kind": "create"})
         return True
 
     # -- write ---------------------------------------------------------------
 
     def apply(
-        self, changes: DataFrame, label: str, batch_id: int, one_row_per_key: bool = False
-    ) -> dict[str, int | bool]:
+        self, changes: DataFrame, label: str, batch_id: int, before_commit: Callable[[], dict] | None = None
+    ) -> dict:
         """Apply rows with the table's columns, ``_op`` (upsert or delete) and ``_seq``.
 
         The batch ids of a label must grow: one that is not above the last applied
-        is skipped, so a restarted query may repeat its last batch. ``one_row_per_key`` skips the
-        reduction, and with it the shuffle, for scans that are unique already.
+        is skipped, so a restarted query may repeat its last batch; a repeat of the
+        last one returns what its commit says. ``before_commit`` is called once the rows
+        are written; what it returns is kept in the commit as ``notes``.
         """
         state = self.state()
-        if label in state.last_by_label and batch_id <= state.last_by_label[label]:
-            return {"upserts": 0, "deletes": 0, "skipped": True}
-
-        rows = self._stored(changes)
-        if not one_row_per_key:
-            rows = latest_per_key(rows, self.keys, "_seq")
+        known = state.last_by_label.get(label)
+        if known is not None and batch_id <= known["batch_id"]:
+            told = known if batch_id == known["batch_id"] else {}
+            return {
+                "upserts": told.get("upserts", 0),
+                "deletes": told.get("deletes", 0),
+                "skipped": True,
+                "notes": told.get("notes"),
+            }
+
+        write = max(int(time.time() * 1e6), state.last_write + 1)
+        rows = latest_per_key(self._stored(changes, write), self.keys, "_seq")
         # Counted behind the last shuffle, where a task that is run again counts once.
         counts = Observation()
         rows = rows.observe(
             counts,
             F.count_if(~F.col("_deleted")).alias("upserts"),
             F.count_if("_deleted").alias("deletes"),
+            F.min("_seq").alias("first_seq"),
             F.max("_seq").alias("last_seq"),
         )
-        folder = f"epoch={state.epoch}/log/{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}"
-        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        folder = f"log/{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}-{uuid.uuid4().hex[:8]}"
+        rows.write.parquet(f"{self.path}/{folder}")
 
         seen = counts.get
-        last = seen["last_seq"]
-        done = {
-            "kind": "log",
-            "label": label,
-            "batch_id": batch_id,
-            "folder": folder,
-            "upserts": seen["upserts"] or 0,
-            "deletes": seen["deletes"] or 0,
-            "last_seq": {k: _json_value(v) for k, v in last.asDict().items()} if last is not None else None,
-        }
-        self._commit(state.epoch, [done])
-        if self.state().epoch > state.epoch + 1:
-            raise RuntimeError(f"{self.path} was compacted twice during batch {batch_id} of {label}: repeat it")
-        return {"upserts": done["upserts"], "deletes": done["deletes"], "skipped": False}
-
-    def _stored(self, changes: DataFrame) -> DataFrame:
+        notes = before_commit() if before_commit else None
+        done = {"upserts": seen["upserts"] or 0, "deletes": seen["deletes"] or 0}
+        self._commit(
+            {
+                "kind": "log",
+                "label": label,
+                "batch_id": batch_id,
+                "folder": folder,
+                **done,
+                "first_seq": _json_position(seen["first_seq"]),
+                "last_seq": _json_position(seen["last_seq"]),
+                "write": write,
+                "notes": notes,
+            }
+        )
+        return {**done, "skipped": False, "notes": notes}
+
+    def position(self, at: dict | None = None) -> Column:
+        """``_seq`` for rows without one: the given position, or the last one the table has seen."""
+        at = at or self.state().last_seq or {}
+        fields = [F.lit(at.get(f.name)).cast(f.dataType) for f in self.seq_type.fields]
+        zero = [F.lit(0).cast(f.dataType) if isinstance(f.dataType, T.NumericType) else F.lit(None) for f in self.seq_type.fields]
+        return F.struct(
+            *[F.coalesce(v, z).cast(f.dataType).alias(f.name) for v, z, f in zip(fields, zero, self.seq_type.fields, strict=True)]
+        )
+
+    def _stored(self, changes: DataFrame, write: int) -> DataFrame:
         """The stored columns, matched by name; a delete keeps only its key."""
         gone = F.col("_op") == "delete"
         columns = []
@@ -194,7 +238,7 @@ class KeyedTable:
             columns.append(value.cast(f.dataType).alias(f.name))
         no_position = F.raise_error(F.lit(f"a change of {self.path} has no position")).cast(self.seq_type)
         seq = F.coalesce(F.col("_seq").cast(self.seq_type), no_position)
-        return changes.select(*columns, seq.alias("_seq"), gone.alias("_deleted"))
+        return changes.select(*columns, seq.alias("_seq"), F.lit(write).alias("_write"), gone.alias("_deleted"))
 
     # -- read ----------------------------------------------------------------
 
@@ -206,140 +250,146 @@ class KeyedTable:
         return rows.where(~F.col("_deleted")).select(*[F.col(f"`{n}`") for n in self.schema.names])
 
     def _merged(self, state: TableState, partitions: int | None = None) -> DataFrame:
-        log = self._log(state, partitions)
-        base = self._base(state)
+        log, base = self._log(state, partitions), self._base(state)
         if base is None or log is None:
             rows = log if base is None else base
             return self.spark.createDataFrame([], self._stored_schema()) if rows is None else rows
 
-        if partitions is None and self._log_bytes(state) <= SMALL_LOG_BYTES:
-            return self._overlaid(base, log)
-        # Column by column, so that a reader of few columns scans only those.
-        rest = [n for n in self._stored_schema().names if n not in self.keys]
-        new = log.select(*self.keys, *[F.col(f"`{n}`").alias(f"_new_{n}") for n in rest])
-        both = base.join(new, self.keys, "full")
-        newer = F.col("_deleted").isNull() | (F.col("_new__seq") >= F.col("_seq"))
-        both = both.withColumn("_newer", newer)
-        picked = [F.when(F.col("_newer"), F.col(f"`_new_{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in rest]
-        return both.select(*self.keys, *picked).select(*self._stored_schema().names)
-
-    def _overlaid(self, base: DataFrame, log: DataFrame) -> DataFrame:
-        """The same merge for a small log: the base is only scanned, its second scan reads keys and positions.
-
-        Spark broadcasts the log, or the few keys with a late change, if they are small enough.
-        """
         names = [f"_key{i}" for i in range(len(self.keys))]
-        logged = log.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)], F.col("_seq").alias("_at"))
+        placed = [F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)]
+        logged = log.select(*placed, F.struct("_seq", "_write").alias("_at"))
+        if partitions:
+            # A new base is written: it is read bucket by bucket, so that each has two files at most.
+            logged = logged.hint("merge")
         same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(self.keys, names, strict=True)])
-        kept = base.join(logged, same & (F.col("_at") >= F.col("_seq")), "left_anti")
-        late = base.select(*self.keys, "_seq").join(logged, same).where(F.col("_seq") > F.col("_at"))
-        winners = log.join(late.select(*self.keys), self.keys, "left_anti")
-        return kept.unionByName(winners).select(*self._stored_schema().names)
-
-    def _log_bytes(self, state: TableState) -> int:
-        return sum(folder_size(self.spark, f"{self.path}/{f}") for f in state.logs)
+        order = F.struct("_seq", "_write")
+        kept = base.join(logged, same & (F.col("_at") >= order), "left_anti")
+        if state.late_changes:
+            # A second scan of the base, for its keys and positions only.
+            late = base.select(*self.keys, "_seq", "_write").join(logged, same).where(order > F.col("_at"))
+            log = log.join(late.select(*self.keys), self.keys, "left_anti")
+        return kept.unionByName(log).select(*self._stored_schema().names)
 
     def _log(self, state: TableState, partitions: int | None = None) -> DataFrame | None:
         """The last logged change of every key; with ``partitions``, distributed by key."""
         if not state.logs:
             return None
-        rows = self.spark.read.schema(self._stored_schema()).parquet(*[f"{self.path}/{f}" for f in state.logs])
+        folders = [f"{self.path}/{log['folder']}" for log in state.logs]
+        rows = self.spark.read.schema(self._stored_schema()).parquet(*folders)
         if partitions:
             rows = rows.repartition(partitions, *self.keys)
         # One folder has one row per key.
-        return latest_per_key(rows, self.keys, "_seq") if len(state.logs) > 1 else rows
+        return latest_per_key(rows, self.keys, F.struct("_seq", "_write")) if len(folders) > 1 else rows
 
     def _base(self, state: TableState) -> DataFrame | None:
-        if state.base_epoch is None:
+        if state.base is None:
             return None
-        name = self._base_name(state.base_epoch)
+        name = self._base_name(state.base["folder"])
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored_schema())
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {state.base_buckets} BUCKETS LOCATION '{self._base_path(state.base_epoch)}'"
+                f"SORTED BY ({keys}) INTO {state.base['buckets']} BUCKETS LOCATION '{self.path}/{state.base['folder']}'"
             )
         return self.spark.table(name)
 
-    def _base_name(self, epoch: int) -> str:
-        return f"tablesync_base_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{epoch}"
-
-    def _base_path(self, epoch: int) -> str:
-        return f"{self.path}/epoch={epoch}/base"
+    def _base_name(self, folder: str) -> str:
+        return f"tablesync_base_{hashlib.md5(f'{self.path}/{folder}'.encode()).hexdigest()[:24]}"
 
     def _stored_schema(self) -> T.StructType:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
-        return schema.add("_seq", self.seq_type).add("_deleted", T.BooleanType())
+        return schema.add("_seq", self.seq_type).add("_write", T.LongType()).add("_deleted", T.BooleanType())
 
     # -- maintenance ---------------------------------------------------------
 
     def compact(self, full: bool | None = None, drop_deleted: bool = False, buckets: int | None = None) -> bool:
-        """Open a new epoch that holds the same rows in fewer files; says whether there was a log.
+        """The same rows in fewer files; says whether there was a log.
 
         ``full`` writes a new base, else the log folders are folded into one; left
-        open, the log's size decides. Tombstones stay, so that a late older event
+        open, the log's share of the bytes decides. Tombstones stay, so that a late older event
         cannot bring a row back; ``drop_deleted`` removes them in a full run, once no
-        older event can arrive any more.
+        older event can arrive any more. Streams and back-fills go on meanwhile.
         """
         state = self.state()
         if not state.logs:
             return False
-        epoch = state.epoch + 1
-        opened = {"kind": "epoch", "consumed": state.logs, "last_seq": state.last_seq}
-        carried = [{"kind": "carry", "label": k, "batch_id": v} for k, v in state.last_by_label.items()]
-        log_bytes = self._log_bytes(state)
-        base_bytes = 0 if state.base_epoch is None else folder_size(self.spark, self._base_path(state.base_epoch))
+        log_bytes = sum(folder_size(self.spark, f"{self.path}/{log['folder']}") for log in state.logs)
+        base_bytes = 0 if state.base is None else folder_size(self.spark, f"{self.path}/{state.base['folder']}")
         if full is None:
-            full = state.base_epoch is None or drop_deleted or log_bytes >= REWRITE_SHARE * base_bytes
-
-        if not full:
-            folder = f"epoch={epoch}/log/folded"
-            self._log(state).write.mode("overwrite").parquet(f"{self.path}/{folder}")
-            carried.append({"kind": "folded", "folder": folder})
-            if state.base_epoch is not None:
-                carried.append({"kind": "base", "base_epoch": state.base_epoch, "buckets": state.base_buckets})
-            self._commit(epoch, [opened, *carried])
-            return True
-
-        buckets = buckets or self._bucket_count(state, log_bytes + base_bytes)
-        rows = self._merged(state, state.base_buckets or buckets)
-        if buckets != (state.base_buckets or buckets):
-            rows = rows.repartition(buckets, *self.keys)
-        if drop_deleted:
-            rows = rows.where(~F.col("_deleted"))
-        (
-            rows.write.format("parquet")
-            .bucketBy(buckets, *self.keys)
-            .sortBy(*self.keys)
-            .option("path", self._base_path(epoch))
-            .mode("overwrite")
-            .saveAsTable(self._base_name(epoch))
+            full = state.base is None or drop_deleted or log_bytes >= self.rewrite_share * base_bytes
+
+        name = f"{state.number + 1}-{uuid.uuid4().hex[:8]}"
+        base, logs = state.base, []
+        if full:
+            folder, count = f"base/{name}", buckets or self._bucket_count(state, log_bytes + base_bytes)
+            present = state.base["buckets"] if state.base else count
+            rows = self._merged(state, present)
+            if count != present:
+                rows = rows.repartition(count, *self.keys)
+            if drop_deleted:
+                rows = rows.where(~F.col("_deleted"))
+            (
+                rows.write.format("parquet")
+                .bucketBy(count, *self.keys)
+                .sortBy(*self.keys)
+                .option("path", f"{self.path}/{folder}")
+                .saveAsTable(self._base_name(folder))
+            )
+            base = {"folder": folder, "buckets": count, "last_seq": state.last_seq}
+        else:
+            folder = f"log/folded-{name}"
+            self._log(state).write.parquet(f"{self.path}/{folder}")
+            first = [log["first_seq"] for log in state.logs if log["first_seq"] is not None]
+            least = min(first, key=lambda s: tuple(s.values())) if first else None
+            logs = [{"folder": folder, "first_seq": least, "last_seq": state.last_seq}]
+        self._commit(
+            {
+                "kind": "compaction",
+                "number": state.number + 1,
+                "covers": state.files,
+                "base": base,
+                "logs": logs,
+                "labels": state.last_by_label,
+                "last_seq": state.last_seq,
+                "last_write": state.last_write,
+            }
         )
-        self._commit(epoch, [opened, {"kind": "base", "base_epoch": epoch, "buckets": buckets}, *carried])
         return True
 
     def _bucket_count(self, state: TableState, size: int) -> int:
         """The present count, doubled until no bucket is twice too large or Spark allows no more."""
-        count = state.base_buckets or self.buckets
+        count = state.base["buckets"] if state.base else self.buckets
         most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-        while size > 2 * BUCKET_BYTES * count and 2 * count <= most:
+        while size > 2 * self.bucket_bytes * count and 2 * count <= most:
             count *= 2
         return count
 
-    def drop_old_epochs(self, keep: int = 1) -> list[int]:
-        """Delete the epochs before the newest ``keep`` that hold no present data, once no reader uses them."""
-        state = self.state()
-        epochs = sorted(
-            int(re.search(r"/epoch=(\d+)$", f)[1]) for f in list_files(self.spark, f"{self.path}/epoch=*")
-        )
-        used = {int(re.match(r"epoch=(\d+)/", f)[1]) for f in state.logs} | {state.base_epoch}
-        dropped = [e for e in epochs if e <= state.epoch - keep and e not in used]
-        for epoch in dropped:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(epoch)}")
-            delete_folder(self.spark, f"{self.path}/epoch={epoch}")
-        return dropped
-
+    def vacuum(self, retain_seconds: float = RETAIN_SECONDS, grace_seconds: float = COMMIT_GRACE_SECONDS) -> list[str]:
+        """Delete folders that no commit needs and commit files that a compaction covers, once they are old enough.
 
-def _json_value(value):
-    return value if isinstance(value, (int, float, str, type(None))) else str(value)
+        A folder without a commit may be a writer's that has not ended; it counts as
+        used until it is ``retain_seconds`` old.
+        """
+        state = self.state()
+        used = {log["folder"] for log in state.logs} | ({state.base["folder"]} if state.base else set())
+        gone = []
+        for path, age in list_with_age(self.spark, f"{self.path}/log/*") + list_with_age(self.spark, f"{self.path}/base/*"):
+            folder = "/".join(path.rsplit("/", 2)[1:])
+            if folder not in used and age >= retain_seconds:
+                if folder.startswith("base/"):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(folder)}")
+                delete_folder(self.spark, path)
+                gone.append(folder)
+        newest = max(((c["number"], f) for f, c in self._commits.items() if c["kind"] == "compaction"), default=None)
+        covered = set(self._commits[newest[1]]["covers"]) if newest else set()
+        for path, age in list_with_age(self.spark, f"{self.path}/commits/*.json"):
+            if path.rsplit("/", 1)[1] in covered and age >= grace_seconds:
+                delete_folder(self.spark, path)
+        return sorted(gone)
+
+
+def _json_position(seq) -> dict | None:
+    if seq is None:
+        return None
+    return {k: v if isinstance(v, (int, float, str, type(None))) else str(v) for k, v in seq.asDict().items()}

@@ -24,13 +24,21 @@ def sensitive_columns(columns: DataFrame, rules: MaskRules) -> DataFrame:
 
 
 def mask_columns(rows: DataFrame, spec: TableSpec, rules: MaskRules = NO_MASKING) -> DataFrame:
-    """Mask the text columns whose names match; key columns stay as they are unless told otherwise."""
+    """Mask the text columns whose names match; key columns stay as they are unless told otherwise.
+
+    Decimals travel as text, so personal numbers may be stored in them: see ``MaskRules.numbers``.
+    """
     mode = rules.mode_for(spec.table)
     types = dict(rows.dtypes)
     masked = {}
     for c in spec.columns:
-        if types.get(c.name) != "string" or (c.name in spec.keys and not rules.mask_keys):
+        if c.name in spec.keys and not rules.mask_keys:
             continue
-        if c.name in rules.maskers or rules.matches(c.name):
+        if types.get(c.name, "").startswith("decimal") and c.name not in spec.keys and rules.matches(c.name):
+            if rules.numbers == "refuse":
+                raise ValueError(f"column {c.name} of {spec.table} is a number and cannot be masked")
+            if rules.numbers == "null":
+                masked[c.name] = F.lit(None).cast(types[c.name])
+        elif types.get(c.name) == "string" and (c.name in rules.maskers or rules.matches(c.name)):
             masked[c.name] = MASKERS[rules.maskers.get(c.name, "pii")](F.col(f"`{c.name}`"), mode)
     return rows.withColumns(masked) if masked else rows

@@ -21,15 +21,18 @@ def typed_rows(
     time_zone: str = DEFAULT_TIME_ZONE,
     seq: Column | None = None,
     new_columns: str = "ignore",
-    on_overflow: str = "fail",
+    on_overflow: str = "quarantine",
 ) -> DataFrame:
     """The table's columns plus ``_op``, ``_seq`` and ``_bad``.
 
     A delete is read from the old image, anything else from the new one; both
     get the same conversions. ``_bad`` names why a row cannot be applied.
     ``new_columns="fail"`` stops on columns the catalog does not know.
-    ``on_overflow="null"`` stores NULL for values the target type cannot hold.
+    A value that its type cannot hold makes the row bad; with ``on_overflow="null"`` it
+    is stored as NULL, with ``"fail"`` it stops the job. A row without a position is bad.
     """
+    if on_overflow not in ("quarantine", "null", "fail"):
+        raise ValueError(f"on_overflow must be quarantine, null or fail, not {on_overflow}")
     image = F.when(F.col("op") == DELETE_OP, F.col("before")).otherwise(F.col("after"))
     if new_columns == "fail":
         image = _without_new_columns(image, spec)
@@ -46,11 +49,26 @@ def typed_rows(
         F.when(F.col("_op") == "quarantine", "unknown operation")
         .when(F.col("_bad_image").isNotNull(), "unreadable image")
         .when(no_key, "missing key")
+        .when(F.col("_seq").isNull(), "no position")
     )
-    columns = [_target_value(c, time_zone, on_overflow).alias(c.name) for c in spec.columns]
+    values = {c.name: _target_value(c, time_zone) for c in spec.columns}
+    lost = {n: F.col(f"`{n}`").isNotNull() & v.isNull() for n, v in values.items()}
+    if on_overflow == "quarantine":
+        for name, is_lost in lost.items():
+            bad = bad.when(is_lost, _cannot_hold(name))
+    elif on_overflow == "fail":
+        types = {c.name: c.target for c in spec.columns}
+        values = {
+            n: F.when(lost[n], F.raise_error(_cannot_hold(n)).cast(types[n])).otherwise(v) for n, v in values.items()
+        }
+    columns = [v.alias(n) for n, v in values.items()]
     return mask_columns(rows.select(*columns, "_op", "_seq", bad.alias("_bad")), spec, rules)
 
 
+def _cannot_hold(name: str) -> Column:
+    return F.concat(F.lit(f"column {name} cannot hold "), F.col(f"`{name}`").cast("string"))
+
+
 def _without_new_columns(image: Column, spec: TableSpec) -> Column:
     """The image itself, or an error that names the columns the catalog does not know."""
     unknown = F.array_except(F.json_object_keys(image), F.array(*[F.lit(n) for n in spec.column_names]))
@@ -58,15 +76,7 @@ def _without_new_columns(image: Column, spec: TableSpec) -> Column:
     return F.when(F.size(unknown) > 0, F.raise_error(message).cast("string")).otherwise(image)
 
 
-def _target_value(column: ColumnSpec, time_zone: str, on_overflow: str) -> Column:
-    """The value in the target's type; the check does not depend on the session's ANSI mode."""
-    if on_overflow not in ("fail", "null"):
-        raise ValueError(f"on_overflow must be fail or null, not {on_overflow}")
+def _target_value(column: ColumnSpec, time_zone: str) -> Column:
+    """The value in the target's type, NULL if it does not fit, whatever the session's ANSI mode."""
     value = convert(F.col(f"`{column.name}`"), column.logical, time_zone)
-    if column.logical == "raw" and column.wire_type == column.target:
-        return value
-    fitted = value.try_cast(column.target)
-    if on_overflow == "null":
-        return fitted
-    message = F.concat(F.lit(f"column {column.name} cannot hold "), value.cast("string"))
-    return F.coalesce(fitted, F.when(value.isNotNull(), F.raise_error(message).cast(column.target)))
+    return value if column.logical == "raw" and column.wire_type == column.target else value.try_cast(column.target)

@@ -56,8 +56,8 @@ def batch_sync(
 
     ``position`` is the source's log position recorded before the scans start, so
     that a newer streamed change wins over an older scanned row. Without it the
-    last position the target has applied is used. ``scan`` must give one row per
-    key, as a scan of a keyed source table does.
+    last position the target has applied is used. Of runs at one position the last
+    wins. Should a scan in ranges of a live table meet a key twice, one row stays.
     """
     batch_id = int(time.time() * 1000) if batch_id is None else batch_id
     rows: list[AuditRow] = []
@@ -69,18 +69,13 @@ def batch_sync(
         try:
             rule = filters.get(name, UNREGISTERED)
             table = KeyedTable.of(spark, root, spec, buckets=buckets)
-            at = position or table.state().last_seq or {"file_no": 0, "pos": 0}
-            seq = F.struct(
-                F.lit(at["file_no"]).cast("bigint").alias("file_no"),
-                F.lit(at["pos"]).cast("bigint").alias("pos"),
-                F.lit(AFTER_ROW).cast("bigint").alias("row"),
-            )
-            changes = backfill_rows(scan(name), spec, rule, since, rules).withColumn("_seq", seq)
-            result = table.apply(changes, label, batch_id, one_row_per_key=True)
+            at = {**(position or table.state().last_seq or {}), "row": AFTER_ROW}
+            changes = backfill_rows(scan(name), spec, rule, since, rules).withColumn("_seq", table.position(at))
+            result = table.apply(changes, label, batch_id)
             row.events = row.upserts = result["upserts"]
             row.status = "skipped" if result["skipped"] else "ok"
         except Exception as error:
-            row.status, row.error = "failed", str(error).splitlines()[0]
+            row.status, row.error = "failed", str(error) or type(error).__name__
             if on_error == "stop":
                 raise BackfillError(name, row.error, [r.table for r in rows if r.status == "ok"]) from error
 

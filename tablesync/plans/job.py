@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.backfill import choose_filters, choose_filters_by_text
-from tablesync.operators.catalog import catalog_lookup, missing_targets
+from tablesync.operators.catalog import catalog_lookup, missing_targets, prefixed
 from tablesync.operators.ddl import ddl_columns, table_specs
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.sources.files import list_files
@@ -18,7 +18,7 @@ from tablesync.spec import NO_MASKING, MaskRules, TableSpec
 
 @dataclass(frozen=True)
 class Metadata:
-    """The metadata tables; ``definitions`` is ``(table_name, ddl)``. None holds a secret."""
+    """The metadata tables; ``definitions`` is ``([db_name,] table_name, ddl)``. None holds a secret."""
 
     jobs: DataFrame
     imports: DataFrame
@@ -40,12 +40,13 @@ class SyncJob:
 
 
 def prepare_job(
-    spark: SparkSession, metadata: Metadata, db: str, filter_match: str = "columns"
+    spark: SparkSession, metadata: Metadata, db: str, filter_match: str = "columns", table_prefix: str | None = None
 ) -> SyncJob:
     """Everything a job needs to know about its tables; collects their metadata, never data.
 
     A table without import entry, connection, definition or key is an error that names it.
-    ``filter_match="ddl_text"`` searches the whole definition for update columns.
+    ``filter_match="ddl_text"`` searches the whole definition for update columns. With a
+    ``table_prefix`` a target is named by it and the table, not by its import entry.
     """
     settings = load_job(metadata.jobs, db)
     wanted = job_tables(metadata.jobs, db).select(F.lit(db).alias("db_name"), "table_name").distinct()
@@ -54,7 +55,10 @@ def prepare_job(
     if lost:
         raise ValueError(f"incomplete metadata: {lost}")
     ddls = metadata.definitions.where(F.col("table_name").isin(*settings.tables))
-    specs = table_specs(ddls, {t: r.target for t, r in found.items()})
+    if "db_name" in ddls.columns:
+        ddls = ddls.where(F.col("db_name") == db)
+    targets = {t: r.target if table_prefix is None else prefixed(t, table_prefix) for t, r in found.items()}
+    specs = table_specs(ddls, targets)
     undefined = [t for t in settings.tables if t not in specs]
     if undefined:
         raise ValueError(f"no definition of {undefined}")
@@ -67,8 +71,8 @@ def prepare_job(
 
 def existing_targets(spark: SparkSession, root: str, db: str = "ods") -> DataFrame:
     """Targets that have a commit: ``db, target``."""
-    folders = list_files(spark, f"{root}/*/epoch=*/commits")
-    names = sorted({f.rstrip("/").split("/")[-3] for f in folders})
+    folders = list_files(spark, f"{root}/*/commits")
+    names = sorted({f.rstrip("/").split("/")[-2] for f in folders})
     return spark.createDataFrame([(db, n) for n in names], "db string, target string")
 
 

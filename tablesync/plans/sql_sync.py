@@ -21,14 +21,14 @@ def insert_select(
     """Run ``select`` and upsert its rows; columns are matched by name.
 
     A select that carries ``_op`` and ``_seq`` through also deletes, in log order.
-    One that does not inserts all its rows at ``position``.
+    One that does not inserts all its rows at ``position``, or at the last one the
+    target has seen, so that the last insert wins.
     """
     rows = spark.sql(select)
     if "_op" not in rows.columns:
         rows = rows.withColumn("_op", F.lit("upsert"))
     if "_seq" not in rows.columns:
-        at = position or {"file_no": 0, "pos": 0, "row": 0}
-        rows = rows.withColumn("_seq", F.struct(*[F.lit(v).cast("bigint").alias(k) for k, v in at.items()]))
+        rows = rows.withColumn("_seq", target.position(position))
     missing = [n for n in target.schema.names if n not in rows.columns]
     if missing:
         raise ValueError(f"the select gives no column for {missing}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,20 @@ def action() -> Column:
 
 
 def binlog_position(file: Column | None = None, pos: Column | None = None, row: Column | None = None) -> Column:
-    """Total order of events of one server: number of the log file, offset, row in the event."""
+    """Total order of events of one server: number of the log file, offset, row in the event.
+
+    NULL for an event without a file number or an offset, whose place nobody knows.
+    """
     file = F.col("file") if file is None else file
     pos = F.col("pos") if pos is None else pos
     row = F.col("row") if row is None else row
     number = F.substring_index(file, ".", -1).try_cast("bigint")
-    return F.struct(
-        F.coalesce(number, F.lit(0)).cast("bigint").alias("file_no"),
-        F.coalesce(pos, F.lit(0)).cast("bigint").alias("pos"),
+    place = F.struct(
+        number.alias("file_no"),
+        pos.cast("bigint").alias("pos"),
         F.coalesce(row, F.lit(0)).cast("bigint").alias("row"),
     )
+    return F.when(number.isNotNull() & pos.isNotNull(), place)
 
 
 def in_scope(events: DataFrame, db: str | None, tables: list[str] | None) -> DataFrame:
@@ -84,12 +90,15 @@ def in_scope(events: DataFrame, db: str | None, tables: list[str] | None) -> Dat
 
 
 def start_at(events: DataFrame, start: str | int = "earliest") -> DataFrame:
-    """From the beginning, from now on (``latest``), or from a time in epoch milliseconds."""
+    """From the beginning, from now on (``latest``), or from a time in epoch milliseconds.
+
+    Now is the time of this call, so a stream keeps it for all of its batches. Text that
+    is no event has no time and stays.
+    """
     if start == "earliest":
         return events
-    if start == "latest":
-        return events.where(F.col("ts_ms") >= F.unix_millis(F.current_timestamp()))
-    return events.where(F.col("ts_ms") >= F.lit(int(start)))
+    millis = int(time.time() * 1000) if start == "latest" else int(start)
+    return events.where(F.coalesce(F.col("ts_ms") >= F.lit(millis), F.lit(True)))
 
 
 def after_images(events: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +22,14 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found) if found is not None else []
 
 
+def list_with_age(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths that match a glob pattern with the seconds since they were last changed."""
+    path = _path(spark, pattern)
+    found = _file_system(spark, path).globStatus(path)
+    now = time.time()
+    return sorted((f.getPath().toString(), now - f.getModificationTime() / 1000) for f in found or ())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     target = _path(spark, path)
     stream = _file_system(spark, target).open(target)
@@ -39,11 +49,23 @@ def publish_text(spark: SparkSession, folder: str, name: str, text: str, replace
     finally:
         stream.close()
     if replace:
-        files.delete(final, False)
-    if not files.rename(hidden, final):
+        _rename_over(spark, hidden, final)
+    elif not files.rename(hidden, final):
         raise OSError(f"cannot publish {folder}/{name}")
 
 
+def _rename_over(spark: SparkSession, hidden, final) -> None:
+    """One step, with no moment in which the file is missing."""
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        _file_system(spark, final).getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    context.rename(hidden, final, options)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     target = _path(spark, path)
     return _file_system(spark, target).delete(target, True)

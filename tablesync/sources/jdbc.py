@@ -21,6 +21,16 @@ def mysql_url(host: str, port: int, database: str, extend: str | None = None) ->
     return f"{url}?{extend}" if extend else url
 
 
+def quoted(spark: SparkSession, url: str, column: str) -> str:
+    """A column's name as the SQL of the database at ``url`` quotes it."""
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+
+
+def key_hash(keys: list[str]) -> str:
+    """A whole number for each key in the source's SQL, for keys of any type and number (MySQL's functions)."""
+    return f"crc32(concat_ws('|', {', '.join(keys)}))"
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -29,19 +39,32 @@ def read_jdbc(
     partition_column: str | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
+    split_by: str | None = None,
+    condition: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Scan ``table``; ``where`` is pushed to the database by Spark.
 
     With a numeric, date or timestamp ``partition_column`` the scan is split into
-    ``partitions`` ranges between its smallest and largest value, which the
-    database is asked for in one row.
+    ``partitions`` ranges between its smallest and largest value among the rows that meet
+    ``condition``, SQL for the database, which is asked for them in one row. With ``split_by``, a whole
+    number in the database's SQL (see ``key_hash``), it is split by the rest of that number instead.
     """
     base = {"url": url, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **options}
     reader = spark.read.format("jdbc").options(**base)
+    if split_by and partitions > 1:
+        parts = [f"mod({split_by}, {partitions}) = {i}" for i in range(partitions)]
+        parts[0] += f" or {split_by} is null"
+        if condition:
+            parts = [f"({p}) and ({condition})" for p in parts]
+        properties = {k: v for k, v in base.items() if k != "url"}
+        rows = spark.read.jdbc(url, table, predicates=parts, properties=properties)
+        return rows if where is None else rows.where(where)
     if partition_column and partitions > 1:
-        bounds = reader.option("query", f"select min({partition_column}) lo, max({partition_column}) hi from {table}")
-        low, high = bounds.load().first()
+        among = f" where {condition}" if condition else ""
+        name = quoted(spark, url, partition_column)
+        query = f"select min({name}) lo, max({name}) hi from {table}{among}"
+        low, high = reader.option("query", query).load().first()
         if low is not None and low != high:
             reader = (
                 spark.read.format("jdbc")

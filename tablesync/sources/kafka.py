@@ -36,8 +36,8 @@ def latest_records(records: DataFrame, key_schema: str, value_schema: str, keep_
     """Upsert topic: the last value of every key; a null value deletes the key.
 
     Records whose key is no JSON of ``key_schema`` are ignored. All records of a
-    key are in one partition, so the offset orders them. Key and value columns
-    must have different names.
+    key are in one partition, so the offset orders them. A column that stands in
+    the key and in the value, as in the records of ``to_records``, is taken from the key.
     """
     keyed = with_fields(
         records, ["topic", "partition", "offset", "value"], F.col("key").cast("string"), key_schema, corrupt="_bad"
@@ -47,7 +47,10 @@ def latest_records(records: DataFrame, key_schema: str, value_schema: str, keep_
     last = latest_per_key(keyed.where(has_key).drop("_bad"), names, F.struct("offset", "partition"))
     if not keep_deleted:
         last = last.where(F.col("value").isNotNull())
-    return with_fields(last, names, F.col("value").cast("string"), value_schema)
+    keys = [F.col(f"`{n}`").alias(f"_key{i}") for i, n in enumerate(names)]
+    rows = with_fields(last, keys, F.col("value").cast("string"), value_schema)
+    rest = [c for c in rows.columns[len(names) :] if c not in names]
+    return rows.select(*[F.col(f"_key{i}").alias(n) for i, n in enumerate(names)], *[F.col(f"`{c}`") for c in rest])
 
 
 def to_records(rows: DataFrame, keys: list[str], topic: str, deleted: str | None = None) -> DataFrame:

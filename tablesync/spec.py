@@ -60,11 +60,16 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class MaskRules:
-    """Column-name keywords that mark personal data, and tables with ID-only masking."""
+    """Column-name keywords that mark personal data, and tables with ID-only masking.
+
+    A matching decimal column cannot hold a masked number: ``numbers`` is ``null`` (stored
+    as NULL), ``keep`` or ``refuse``.
+    """
 
     keywords: tuple[str, ...] = ()
     id_only_tables: tuple[str, ...] = ()
     mask_keys: bool = False
+    numbers: str = "null"
     maskers: dict[str, str] = field(default_factory=dict)
 
     def mode_for(self, table: str) -> int:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -14,9 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.operators.audit import AuditRow, write_audit
 from tablesync.operators.keyed_table import KeyedTable
+from tablesync.operators.latest import latest_per_key
 from tablesync.operators.routing import action_counts, classify
 from tablesync.operators.typed import typed_rows
-from tablesync.sources.change_events import parse_envelope
+from tablesync.sources.change_events import parse_envelope, start_at
+from tablesync.sources.files import list_files, publish_text, read_text
 from tablesync.sources.kafka import to_records
 from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
 
@@ -25,7 +29,10 @@ from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
 class SyncOptions:
     """How a sync job behaves; ``label`` must change when its checkpoint is thrown away.
 
-    ``compact_every`` is the number of applied batches a table may collect before it is compacted.
+    ``start`` is ``earliest``, ``latest`` or a time in epoch milliseconds; a stream fixes ``latest`` at its first
+    start. Events of unlisted tables go to quarantine, stop the job (``fail``) or are left out (``ignore``).
+    ``fold_every`` is the number of applied batches a table may collect before its log is folded
+    inside the stream, which costs as much as the log; new bases are written by a job of their own (``compact_tables``).
     """
 
     label: str = "sync"
@@ -37,9 +44,9 @@ class SyncOptions:
     seq_type: str | None = None
     on_unknown: str = "quarantine"
     new_columns: str = "ignore"
-    on_overflow: str = "fail"
-    compact_every: int | None = 50
-    keep_epochs: int = 2
+    on_overflow: str = "quarantine"
+    start: str | int = "earliest"
+    fold_every: int | None = 50
     parallel_tables: int = 4
     table_options: dict = field(default_factory=dict)
 
@@ -49,8 +56,12 @@ class SyncOptions:
 
 
 def stage(events: DataFrame, specs: dict[str, TableSpec], options: SyncOptions) -> DataFrame:
-    """Parsed events of the job's database with their ``_action``."""
-    staged = classify(parse_envelope(events), list(specs))
+    """Parsed events of the job's database and time with their ``_action``."""
+    staged = start_at(classify(parse_envelope(events), list(specs)), options.start)
+    if options.on_unknown == "ignore":
+        staged = staged.where(F.col("_action") != "unknown_table")
+    elif options.on_unknown not in ("quarantine", "fail"):
+        raise ValueError(f"on_unknown must be quarantine, fail or ignore, not {options.on_unknown}")
     if options.db is None:
         return staged
     # Text without a database is no event of another one: it goes to quarantine.
@@ -65,15 +76,23 @@ def typed_changes(staged: DataFrame, spec: TableSpec, options: SyncOptions) -> D
 
 
 def sync_batch(
-    events: DataFrame, batch_id: int, specs: dict[str, TableSpec], root: str, options: SyncOptions
+    events: DataFrame,
+    batch_id: int,
+    specs: dict[str, TableSpec],
+    root: str,
+    options: SyncOptions,
+    tables: dict[str, KeyedTable] | None = None,
 ) -> list[AuditRow]:
     """Apply one batch of event text to every table it has changes for.
 
     The batch is parsed once and kept, ordered by table inside each partition so
     that each table's scan skips the other tables' blocks. A lost executor's part
-    is read again from the source.
+    is read again from the source. What goes to quarantine is written before the
+    commit it belongs to, so a batch that died anywhere is finished by its repeat. ``tables`` keeps
+    the targets and what they know of their commits from batch to batch.
     """
     spark = events.sparkSession
+    tables = {} if tables is None else tables
     staged = stage(events, specs, options)
     staged = staged.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -88,36 +107,42 @@ def sync_batch(
             raise ValueError(f"batch {batch_id}: {odd['unknown_table']} events of tables that are not in the job")
 
         def one_table(name: str) -> AuditRow:
-            return _sync_table(spark, staged, specs[name], batch_id, root, options, active[name])
+            if name not in tables:
+                tables[name] = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
+            return _sync_table(tables[name], staged, specs[name], batch_id, root, options, active[name])
 
-        rows = run_parallel(spark, one_table, sorted(active), options.parallel_tables)
         if odd:
             _quarantine(staged.where(~F.col("_action").isin("upsert", "delete")), root, options.label, batch_id, "_events")
-            rows += [
-                AuditRow(options.label, batch_id, None, None, n, quarantined=n, status=kind) for kind, n in odd.items()
-            ]
+        rows = run_parallel(spark, one_table, sorted(active), options.parallel_tables)
+        rows += [AuditRow(options.label, batch_id, None, None, n, quarantined=n, status=kind) for kind, n in odd.items()]
         write_audit(spark, root, rows, options.label, batch_id)
         return rows
     finally:
         staged.unpersist()
 
 
-def _sync_table(spark, staged, spec, batch_id, root, options, events) -> AuditRow:
+def _sync_table(table: KeyedTable, staged, spec, batch_id, root, options, events) -> AuditRow:
     typed = typed_changes(staged, spec, options)
     seen = Observation()
     checked = typed.observe(seen, F.count_if(F.col("_bad").isNotNull()).alias("bad"))
-    table = KeyedTable.of(spark, root, spec, **options.keyed_options())
-    done = table.apply(checked.where(F.col("_bad").isNull()).drop("_bad"), options.label, batch_id)
+
+    def before_commit() -> dict:
+        bad = seen.get["bad"]
+        if bad:
+            _quarantine(typed.where(F.col("_bad").isNotNull()), root, options.label, batch_id, spec.target)
+        return {"events": events, "quarantined": bad}
+
+    good = checked.where(F.col("_bad").isNull()).drop("_bad")
+    done = table.apply(good, options.label, batch_id, before_commit)
+    notes = done["notes"]
     row = AuditRow(options.label, batch_id, spec.table, spec.target, events, done["upserts"], done["deletes"])
-    if done["skipped"]:
+    if notes is None:
+        # Not the last batch of this label: its own audit was written when it was.
         row.status = "skipped"
-    elif seen.get["bad"]:
-        row.quarantined = _quarantine(
-            typed.where(F.col("_bad").isNotNull()), root, options.label, batch_id, spec.target
-        )
-    if options.compact_every and len(table.state().logs) >= options.compact_every:
-        table.compact()
-        table.drop_old_epochs(options.keep_epochs)
+    else:
+        row.events, row.quarantined = notes["events"], notes["quarantined"]
+    if options.fold_every and len(table.state().logs) >= options.fold_every:
+        table.compact(full=False)
     return row
 
 
@@ -139,10 +164,15 @@ def run_parallel(spark: SparkSession, work: Callable, items: list, threads: int)
 
 
 def topic_records(staged: DataFrame, specs: dict[str, TableSpec], options: SyncOptions) -> DataFrame:
-    """Kafka records of a whole database: one topic per table, a null value for a delete."""
+    """Kafka records of a whole database: one topic per table, a null value for a delete.
+
+    One record for each key, its last change, so the order of a batch's records says nothing and batches
+    follow each other. The reduction comes before the shuffle, so a hot key is one row per task.
+    """
     parts = []
     for spec in specs.values():
         rows = typed_changes(staged, spec, options).where(F.col("_bad").isNull())
+        rows = latest_per_key(rows, list(spec.keys), "_seq")
         rows = rows.select(*[F.col(f"`{n}`") for n in spec.column_names], (F.col("_op") == "delete").alias("_gone"))
         parts.append(to_records(rows, list(spec.keys), spec.target, deleted="_gone"))
     return reduce(DataFrame.unionByName, parts)
@@ -170,6 +200,45 @@ def topic_stream(
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+def _noted_once(spark: SparkSession, root: str, name: str, text: str) -> str:
+    """What stands in a job's note: this text, if it is the first."""
+    folder = f"{root}/_jobs"
+    if not list_files(spark, f"{folder}/{name}"):
+        publish_text(spark, folder, name, text)
+    return read_text(spark, f"{folder}/{name}")
+
+
+def _first_start(spark: SparkSession, root: str, options: SyncOptions) -> str | int:
+    """``latest`` as the time of the job's first start, which restarts keep."""
+    if options.start != "latest":
+        return options.start
+    return int(_noted_once(spark, root, f"{options.label}.start", str(int(time.time() * 1000))))
+
+
+def _bind_label(spark: SparkSession, root: str, label: str, checkpoint: str) -> str:
+    """Tie a label to its checkpoint: another checkpoint counts its batches anew, and they would be skipped."""
+    query = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+    known = _noted_once(spark, root, f"{label}.query", query)
+    if known != query:
+        raise ValueError(f"label {label} belongs to another checkpoint than {checkpoint}: take a new label")
+    return query
+
+
+def compact_tables(
+    spark: SparkSession, specs: dict[str, TableSpec], root: str, options: SyncOptions | None = None, **how
+) -> dict[str, bool]:
+    """Compact every target and remove what is old: a job beside the streams. Says which had a log."""
+    options = options or SyncOptions()
+
+    def one_table(name: str) -> bool:
+        table = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
+        done = table.compact(**how)
+        table.vacuum()
+        return done
+
+    return dict(zip(specs, run_parallel(spark, one_table, list(specs), options.parallel_tables), strict=True))
+
+
 def sync_stream(
     events: DataFrame,
     specs: dict[str, TableSpec],
@@ -183,17 +252,23 @@ def sync_stream(
     To add a table, stop the query, extend ``specs`` and start again with the same
     checkpoint: its events flow from then on, a back-fill brings the rows before.
     """
-    options = options or SyncOptions()
-    for spec in specs.values():
-        KeyedTable.of(events.sparkSession, root, spec, **options.keyed_options()).create()
+    options, spark = options or SyncOptions(), events.sparkSession
+    options = replace(options, start=_first_start(spark, root, options))
+    tables = {s.table: KeyedTable.of(spark, root, s, **options.keyed_options()) for s in specs.values()}
+    for table in tables.values():
+        table.create()
+    checkpoint = checkpoint or f"{root}/_checkpoints/{options.db or options.label}"
+    bound = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sync_batch(batch, batch_id, specs, root, options)
+        if not bound:
+            bound.append(_bind_label(spark, root, options.label, checkpoint))
+        sync_batch(batch, batch_id, specs, root, options, tables)
 
     return (
         events.writeStream.foreachBatch(handle)
         .queryName(options.label)
-        .option("checkpointLocation", checkpoint or f"{root}/_checkpoints/{options.db or options.label}")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )

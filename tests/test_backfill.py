@@ -8,6 +8,7 @@ from tablesync.operators.audit import read_audit
 from tablesync.operators.ddl import ddl_columns
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.plans.batch_sync import BackfillError, batch_sync
+from tablesync.plans.sql_sync import insert_select
 from tablesync.sources import jdbc
 from tablesync.spec import ColumnSpec, MaskRules, TableSpec
 
@@ -110,13 +111,69 @@ def test_jdbc_scan(spark):
         F.timestamp_add("DAY", F.col("id").cast("int"), F.expr("timestamp_ntz'2024-01-01 00:00:00'")).alias("update_time"),
     )
     rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="people").save()
-    scan = jdbc.read_jdbc(spark, url, "people", partition_column='"id"', partitions=4)
+    scan = jdbc.read_jdbc(spark, url, "people", partition_column="id", partitions=4)
     assert scan.rdd.getNumPartitions() == 4 and scan.count() == 100
     since = backfill.rows_since(scan, "update_time", "2024-03-01 00:00:00").select("id")
     assert "PushedFilters: [*IsNotNull(update_time), *GreaterThanOrEqual(update_time" in since._jdf.queryExecution().executedPlan().toString()
     assert since.count() == 40
 
 
+def test_jdbc_parts_under_the_condition(spark):
+    """Ranges between the bounds of the rows asked for, and parts by a hash for keys that are no single number."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    rows = spark.range(1000).select(
+        F.col("id").cast("int").alias("id"), (F.col("id") % 10).cast("int").alias("line"), F.concat(F.lit("n"), "id").alias("name"),
+        F.timestamp_add("HOUR", F.col("id").cast("int"), F.expr("timestamp_ntz'2024-01-01 00:00:00'")).alias("update_time"),
+    )
+    rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="lines").save()
+    since = "2024-02-05 00:00:00"
+    condition = backfill.predicate_sql("update_time", since, lambda c: jdbc.quoted(spark, url, c))
+    by_hash = 'mod("id" * 31 + "line" * 2, 1000)'
+    for how in ({"partition_column": "id"}, {"split_by": by_hash}):
+        scan = jdbc.read_jdbc(spark, url, "lines", partitions=4, condition=condition, **how)
+        parts = [len(p) for p in backfill.rows_since(scan, "update_time", since).rdd.glom().collect()]
+        assert sum(parts) == 160 and len(parts) == 4 and max(parts) <= 2 * min(parts)
+    assert jdbc.key_hash(["`a`", "`b`"]) == "crc32(concat_ws('|', `a`, `b`))"
+    assert backfill.predicate_sql("full", since) is None
+
+
+def test_every_back_fill_wins_over_the_one_before(spark, tmp_path):
+    for way, compact in enumerate(((), (True,), (False, False), (True, False, True))):
+        root = str(tmp_path / str(way))
+        streamed(spark, root, (1, "streamed", "upsert", (1, 10, 0)))
+        table = KeyedTable.of(spark, root, SPEC)
+        for i in range(3):
+            rows = people(spark, *[(k, f"run{i}", "2024-01-02") for k in range(5)])
+            batch_sync(spark, {"people": SPEC}, {"people": "full"}, lambda t, rows=rows: rows, "", root)
+            assert {r.mobile for r in table.read().collect()} == {f"run{i}"}
+            if i < len(compact):
+                table.compact(full=compact[i])
+        assert {r.mobile for r in table.read().collect()} == {"run2"}
+
+
+def test_every_insert_wins_over_the_one_before(spark, tmp_path):
+    streamed(spark, str(tmp_path), (1, "streamed", "upsert", (1, 10, 0)))
+    table = KeyedTable.of(spark, str(tmp_path), SPEC)
+    for i in range(3):
+        people(spark, (1, f"run{i}", "2024-01-02"), (2, f"run{i}", "2024-01-02")).createOrReplaceTempView("people_now")
+        insert_select(spark, table, "SELECT * FROM people_now", "sql", i)
+        assert {r.mobile for r in table.read().collect()} == {f"run{i}"}
+
+
+def test_a_key_that_a_scan_meets_twice_is_one_row(spark, tmp_path):
+    rows = people(spark, (1, "a", "2024-01-02"), (1, "b", "2024-01-02"), (2, "c", "2024-01-02"))
+    audit = batch_sync(spark, {"people": SPEC}, {"people": "full"}, lambda t: rows, "", str(tmp_path)).first()
+    assert audit.upserts == 2 and KeyedTable.of(spark, str(tmp_path), SPEC).read().count() == 2
+
+
+def test_an_error_without_a_text_is_recorded(spark, tmp_path):
+    def scan(name):
+        raise KeyError()
+
+    audit = batch_sync(spark, {"people": SPEC}, {"people": "full"}, scan, "", str(tmp_path), on_error="continue")
+    assert [(r.status, r.error) for r in audit.collect()] == [("failed", "KeyError")]
+
+
 def test_url_time_zone():
     plain = jdbc.mysql_url("h", 3306, "d", "useSSL=false")
     assert jdbc.with_server_time_zone(plain) == "jdbc:mysql://h:3306/d?useSSL=false&serverTimezone=GMT%2B8"

@@ -153,7 +153,7 @@ def test_entry_points(spark, tmp_path, monkeypatch):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.json").write_text(json.dumps(event) + "\n")
     common = ["--settings", f"{tmp_path}/settings", "--root", f"{tmp_path}/root"]
-    main(["stream", "--db", "shop", "--jobName", "j", "--maskMode", "mask", "--events", f"{tmp_path}/in", "--available-now", *common])
+    main(["stream", "--db", "shop", "--jobName", "j", "--maskMode", "mask", "--events", f"{tmp_path}/in", "--start", "earliest", "--available-now", *common])
 
     url = "jdbc:derby:memory:entry;create=true"
     rows = spark.sql(

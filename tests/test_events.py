@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,12 +88,42 @@ def test_rows_that_cannot_be_applied(spark):
 
 def test_overflow(spark):
     e = parsed(spark, event("c", '{"id":"1","pay":"12345.60"}'))
+    assert typed_rows(e, SPEC).first()._bad == "column pay cannot hold 12345.60"
     with pytest.raises(Exception, match="column pay cannot hold 12345.60"):
-        typed_rows(e, SPEC).collect()
+        typed_rows(e, SPEC, on_overflow="fail").collect()
     assert typed_rows(e, SPEC, on_overflow="null").first().pay is None
     assert typed_rows(parsed(spark, event("c", '{"id":"1","pay":null}')), SPEC).first().pay is None
 
 
+def test_a_bad_instant_is_one_bad_row(spark):
+    spec = TableSpec("t", "t", ("id",), (ColumnSpec("id", "int"), ColumnSpec("at", "timestamp_ntz", "io.debezium.time.ZonedTimestamp", "string")))
+    texts = ["2020-07-17T18:00:22Z", "2020-07-17T18:00:22+08:00", "2020-07-17T18:00:22", "not a time", "9999-99-99T00:00:00Z"]
+    e = parsed(spark, *[event("c", f'{{"id":{i},"at":"{t}"}}', pos=i) for i, t in enumerate(texts)])
+    want = [dt.datetime(2020, 7, 18, 2, 0, 22), dt.datetime(2020, 7, 17, 18, 0, 22), dt.datetime(2020, 7, 18, 2, 0, 22), None, None]
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = typed_rows(e, spec).orderBy("id").collect()
+        assert [r.at for r in rows] == want
+        assert [r._bad for r in rows] == [None] * 3 + [f"column at cannot hold {t}" for t in texts[3:]]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.at for r in typed_rows(e, spec, on_overflow="null").orderBy("id").collect()] == want
+
+
+def test_an_event_without_a_position_is_bad(spark):
+    whole = event("c", '{"id":"1"}')
+    rows = parsed(spark, whole, whole.replace('"file":"bin.000001",', ""), whole.replace('"pos":1,', ""), whole.replace("000001", "x"))
+    assert [r._bad for r in typed_rows(rows, SPEC).collect()] == [None, "no position", "no position", "no position"]
+
+
+def test_masks_and_numbers(spark):
+    spec = TableSpec("t", "t", ("id",), (ColumnSpec("id", "int"), ColumnSpec("mobile", "decimal(11,0)", "raw", "string")))
+    e = parsed(spark, event("c", '{"id":1,"mobile":"13812345678"}'))
+    assert typed_rows(e, spec, MaskRules(("mobile",))).first().mobile is None
+    assert typed_rows(e, spec, MaskRules(("mobile",), numbers="keep")).first().mobile == 13812345678
+    with pytest.raises(ValueError, match="mobile of t"):
+        typed_rows(e, spec, MaskRules(("mobile",), numbers="refuse"))
+
+
 def test_new_columns(spark):
     e = parsed(spark, event("c", '{"id":"1","fresh":2}'))
     assert typed_rows(e, SPEC).first().id == 1
@@ -116,6 +147,10 @@ def test_scope_and_start(spark):
     assert change_events.start_at(rows, "earliest").count() == 2
     assert change_events.start_at(rows, 6).count() == 0
     assert change_events.start_at(rows, "latest").count() == 0
+    now = parsed(spark, event().replace('"ts_ms":5', f'"ts_ms":{int(time.time() * 1000) + 500}'), "junk")
+    late = change_events.start_at(now, "latest")
+    time.sleep(1)
+    assert late.count() == 2
 
 
 def test_upsert_topic(spark):
@@ -129,6 +164,15 @@ def test_upsert_topic(spark):
     assert [tuple(r) for r in kafka.latest_records(records, "id bigint", "v string").collect()] == [(1, "b")]
 
 
+def test_own_records_can_be_read(spark):
+    rows = spark.createDataFrame([(1, "a", False), (1, "b", False), (2, "x", True)], "id int, v string, gone boolean")
+    records = kafka.to_records(rows, ["id"], "t", deleted="gone").withColumns(
+        {"partition": F.lit(0), "offset": F.monotonically_increasing_id()}
+    )
+    last = kafka.latest_records(records, "id int", "id int, v string")
+    assert last.columns == ["id", "v"] and [tuple(r) for r in last.select("id", "v").collect()] == [(1, "b")]
+
+
 def test_kafka_records(spark):
     rows = spark.createDataFrame([(1, None, False), (2, "x", True)], "id int, v string, gone boolean")
     got = [tuple(r) for r in kafka.to_records(rows, ["id"], "t", deleted="gone").orderBy("key").collect()]

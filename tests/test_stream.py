@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,8 @@ from tablesync.operators.keyed_table import KeyedTable
 from tablesync.plans import derive
 from tablesync.sources.change_events import read_change_events
 from tablesync.spec import ColumnSpec, MaskRules, TableSpec
-from tablesync.streaming.sync import SyncOptions, run_available, sync_batch
+from tablesync.streaming import sync
+from tablesync.streaming.sync import SyncOptions, compact_tables, run_available, stage, sync_batch, sync_stream, topic_records
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,19 +113,122 @@ def test_a_batch_that_half_failed_is_finished_by_its_repeat(spark, tmp_path):
     options = SyncOptions(label="job", db="shop", parallel_tables=1)
     sync_batch(batch, 3, {"people": PEOPLE}, root, options)
     rows = sync_batch(batch, 3, {"people": PEOPLE, "pets": PETS}, root, options)
-    assert {r.table: r.status for r in rows} == {"people": "skipped", "pets": "ok"}
+    assert {r.table: (r.status, r.events, r.upserts) for r in rows} == {"people": ("ok", 1, 1), "pets": ("ok", 1, 1)}
     assert live(spark, root, PEOPLE) == [(1, None, "a")] and live(spark, root, PETS) == [(2, "b")]
 
 
 def test_compaction_while_streaming(spark, tmp_path):
     root = str(tmp_path / "root")
-    options = SyncOptions(label="job", db="shop", compact_every=2)
+    options = SyncOptions(label="job", db="shop", fold_every=2)
     for i in range(5):
         batch = spark.createDataFrame([(event("pets", "u", i + 1, f'{{"id":{i % 2},"name":"n{i}"}}'),)], "value string")
         sync_batch(batch, i, {"pets": PETS}, root, options)
     table = KeyedTable.of(spark, root, PETS)
-    assert table.state().epoch == 2 and len(table.state().logs) == 1
+    assert table.state().base is None and len(table.state().logs) == 1
+    assert live(spark, root, PETS) == [(0, "n4"), (1, "n3")]
+    assert compact_tables(spark, {"pets": PETS}, root) == {"pets": True}
+    assert table.state().base and not table.state().logs
     assert live(spark, root, PETS) == [(0, "n4"), (1, "n3")]
+    rows = sync_batch(batch, 4, {"pets": PETS}, root, options)
+    assert [(r.status, r.upserts) for r in rows] == [("ok", 1)]
+
+
+MIXED = [
+    event("people", "c", 1, '{"id":1,"name":"a"}'), event("people", "c", 2, '{"id":"x"}'),
+    event("pets", "c", 3, '{"id":1,"name":"b"}'), event("pets", "d", 4, '{"id":7}'), event("ghost", "c", 5, "{}"), "junk",
+]
+
+
+def everything(spark, root):
+    audit = sorted(tuple(r) for r in read_audit(spark, root).fillna("-").collect())
+    kept = {}
+    for name in ("_events", "ods_people"):
+        kept[name] = sorted(str(r) for r in spark.read.parquet(f"{root}/_quarantine/{name}").collect())
+    return live(spark, root, PEOPLE), live(spark, root, PETS), audit, kept
+
+
+@pytest.mark.parametrize("step", ["events", "bad rows", "people", "pets", "audit"])
+def test_a_batch_that_died_at_any_step_is_finished_by_its_repeat(spark, tmp_path, monkeypatch, step):
+    specs = {"people": PEOPLE, "pets": PETS}
+    batch = spark.createDataFrame([(x,) for x in MIXED], "value string")
+    options = SyncOptions(label="job", db="shop", parallel_tables=1)
+    sync_batch(batch, 0, specs, str(tmp_path / "whole"), options)
+
+    class Died(Exception):
+        pass
+
+    def dies(place, name, when):
+        inner = getattr(place, name)
+
+        def call(*args, **more):
+            result = inner(*args, **more)
+            if when(*args):
+                raise Died
+            return result
+
+        monkeypatch.setattr(place, name, call)
+
+    root = str(tmp_path / "root")
+    if step in ("events", "bad rows"):
+        dies(sync, "_quarantine", lambda rows, root, label, batch, name: (name == "_events") == (step == "events"))
+    elif step == "audit":
+        dies(sync, "write_audit", lambda *args: True)
+    else:
+        dies(KeyedTable, "_commit", lambda table, row: row["kind"] == "log" and table.path.endswith(step))
+    with pytest.raises(Died):
+        sync_batch(batch, 0, specs, root, options)
+    monkeypatch.undo()
+    sync_batch(batch, 0, specs, root, options)
+    assert everything(spark, root) == everything(spark, str(tmp_path / "whole"))
+    sync_batch(batch, 0, specs, root, options)
+    assert everything(spark, root) == everything(spark, str(tmp_path / "whole"))
+
+
+def test_a_label_belongs_to_its_checkpoint(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "root")
+    write(folder, "0.json", [event("pets", "c", 1, '{"id":1,"name":"a"}')])
+
+    def once(checkpoint, label="job"):
+        events = read_change_events(spark, str(folder), streaming=True)
+        options = SyncOptions(label=label, db="shop")
+        sync_stream(events, {"pets": PETS}, root, checkpoint, options, {"availableNow": True}).awaitTermination()
+
+    once(f"{root}/_checkpoints/a")
+    write(folder, "1.json", [event("pets", "c", 2, '{"id":2,"name":"b"}')])
+    once(f"{root}/_checkpoints/a")
+    with pytest.raises(Exception, match="take a new label"):
+        once(f"{root}/_checkpoints/b")
+    once(f"{root}/_checkpoints/c", "job-2")
+    assert live(spark, root, PETS) == [(1, "a"), (2, "b")]
+
+
+def test_the_start_of_a_stream_is_kept(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "root"
+    before, after = int(time.time() * 1000) - 60_000, int(time.time() * 1000) + 60_000
+    write(folder, "0.json", [event("pets", "c", before, '{"id":1,"name":"old"}'), event("pets", "c", after, '{"id":2,"name":"a"}')])
+    run(spark, folder, root, PETS, start="latest")
+    known = (root / "_jobs" / "job.start").read_text()
+    write(folder, "1.json", [event("pets", "c", int(known), '{"id":3,"name":"b"}'), event("pets", "c", int(known) - 1, '{"id":4,"name":"c"}')])
+    run(spark, folder, root, PETS, start="latest")
+    assert live(spark, root, PETS) == [(2, "a"), (3, "b")]
+
+
+def test_tables_outside_the_scope_can_be_left_out(spark, tmp_path):
+    root = str(tmp_path / "root")
+    batch = spark.createDataFrame([(x,) for x in MIXED], "value string")
+    rows = sync_batch(batch, 0, {"pets": PETS}, root, SyncOptions(label="job", db="shop", on_unknown="ignore"))
+    assert {(r.table, r.status): r.events for r in rows} == {("pets", "ok"): 2, (None, "quarantine"): 1}
+    assert [r._bad for r in spark.read.parquet(f"{root}/_quarantine/_events").collect()] == ["junk"]
+
+
+def test_topic_records_bring_the_last_change_of_a_key(spark):
+    lines = [event("pets", "u", p, f'{{"id":{p % 5},"name":"n{p}"}}') for p in range(1, 60)] + [event("pets", "d", 99, '{"id":3}')]
+    log = spark.createDataFrame([(x,) for x in lines], "value string").repartition(16)
+    options, specs = SyncOptions(db="shop"), {"pets": PETS}
+    records = [tuple(r) for r in topic_records(stage(log, specs, options), specs, options).select("key", "value").collect()]
+    last = {k: max(p for p in range(1, 60) if p % 5 == k) for k in range(5)}
+    want = {f'{{"id":{k}}}': None if k == 3 else f'{{"id":{k},"name":"n{p}"}}' for k, p in last.items()}
+    assert len(records) == 5 and dict(records) == want
 
 
 def test_own_order(spark, tmp_path):
