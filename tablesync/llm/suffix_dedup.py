@@ -380,8 +380,11 @@ def drop_repeats(
     windows = by_window.mapInArrow(_windows(length), "w1 long, w2 long, name long, content long, at int, n long")
     often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("_n")).where("_n > 1").select("w1", "w2")
     hits = windows.join(dealt_anew(often, "w1", "w2"), ["w1", "w2"]).groupBy("name", "content")
-    hits = hits.agg(F.sort_array(F.collect_list("at")).alias("firsts"))
-    hits = hits.select("name", "content", "firsts", F.transform("firsts", lambda x: x + 1).alias("stops"))
+    hits = hits.agg(F.sort_array(F.collect_list("at")).alias("at"))
+    # Neighbouring windows are one run.
+    firsts = F.filter("at", lambda x, i: (i == 0) | (F.get("at", i - 1) != x - 1))
+    lasts = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) != x + 1))
+    hits = hits.select("name", "content", firsts.alias("firsts"), F.transform(lasts, lambda x: x + 1).alias("stops"))
     runs = stored(runs.unionByName(hits), f"{folder}/runs")
 
     alike = shared.where("not mixed").select("id", "of", F.col("start").alias("first"), (F.col("start") + F.col("windows")).alias("stop"))
