@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Writes times with all their digits; Spark's own forms stop at milliseconds.
+JSON_FORMATS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def with_fields(rows: DataFrame, keep: list, text: Column, schema: str, corrupt: str | None = None) -> DataFrame:
     """The columns ``keep`` and the fields of ``text``; ``corrupt`` names a field for unreadable text.
 

@@ -122,21 +122,45 @@ def sql_quoted(name: str) -> Column:
     return F.replace(F.replace(F.col(name), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
 
 
+def spec_rows(ddls: DataFrame, db: str | None = None) -> DataFrame:
+    """What a job knows of its tables as rows: a row for each column, ``key_position`` from 1, 0 for no key column.
+
+    Definitions may carry ``db_name``; then one database is chosen. Tables without a key have no rows.
+    """
+    if db is not None:
+        ddls = ddls.where(F.col("db_name") == db)
+    keys = ddl_primary_keys(ddls).where(F.size("keys") > 0).select("table_name", "keys", "table_comment")
+    return (
+        ddl_columns(ddls)
+        .join(keys, "table_name")
+        .select(
+            "table_name", "idx", "column_name", "spark_type", "logical_type", "wire_type", "comment",
+            F.coalesce(F.array_position("keys", F.col("column_name")), F.lit(0)).cast("int").alias("key_position"),
+            "table_comment",
+        )
+    )
+
+
 def table_specs(ddls: DataFrame, targets: dict[str, str] | None = None) -> dict[str, TableSpec]:
     """The specs of a job's tables. Definitions only: rows collected are the tables' columns."""
     targets = targets or {}
     twice = [r.table_name for r in ddls.groupBy("table_name").count().where("count > 1").collect()]
     if twice:
         raise ValueError(f"several definitions of {sorted(twice)}: choose one database")
+    lost = [r.table_name for r in tables_without_key(ddls).collect()]
+    if lost:
+        raise ValueError(f"no primary key in {sorted(lost)}")
     columns: dict[str, list] = {}
-    for row in ddl_columns(ddls).orderBy("table_name", "idx").collect():
-        columns.setdefault(row.table_name, []).append(
-            ColumnSpec(row.column_name, row.spark_type, row.logical_type, row.wire_type, row.comment)
-        )
+    for row in spec_rows(ddls).orderBy("table_name", "idx").collect():
+        columns.setdefault(row.table_name, []).append(row)
     specs = {}
-    for row in ddl_primary_keys(ddls).collect():
-        name = row.table_name
+    for name, rows in columns.items():
+        keys = sorted((r.key_position, r.column_name) for r in rows if r.key_position)
         specs[name] = TableSpec(
-            name, targets.get(name, name), tuple(row["keys"]), tuple(columns.get(name, ())), row.table_comment
+            name,
+            targets.get(name, name),
+            tuple(k for _, k in keys),
+            tuple(ColumnSpec(r.column_name, r.spark_type, r.logical_type, r.wire_type, r.comment) for r in rows),
+            rows[0].table_comment,
         )
     return specs

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from tablesync.plans.derive import FILTER_CASES, ID_ONLY_TABLE, KEYWORDS
-from tablesync.plans.registered import SINCE
+from tablesync.plans.registered import SCOPE_START, SINCE
 
 OPS = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END"
 
-LATEST_USERS = """
-SELECT user_id, event_id, event_type, value, ts FROM events
+_LATEST = """
+SELECT user_id, event_id, event_type, value, ts{extra} FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
   AND event_type <> 'error'
 """
 
+LATEST_USERS = _LATEST.format(extra="")
+
 PEOPLE = """
 SELECT c_custkey,
   '1' || (3 + c_custkey % 7)::varchar || lpad(((c_custkey * 7919) % 1000000000)::varchar, 9, '0') AS mobile_number,
@@ -64,6 +66,22 @@ UNION ALL SELECT 'supplier', 'u', s_suppkey FROM supplier
 UNION ALL SELECT 'ghost', 'c', n_nationkey FROM nation
 """
 
+TARGETS = f"""
+SELECT 'users' AS tbl, user_id AS pk, event_id || '|' || event_type || '|' || printf('%.2f', value) || '|' || epoch_us(ts) AS detail
+FROM ({LATEST_USERS})
+UNION ALL SELECT 'orders', o_orderkey, o_custkey || '|' || o_orderstatus || '|' || printf('%.2f', o_totalprice) || '|' ||
+  epoch_us(o_orderdate) || '|' || o_orderpriority FROM orders
+UNION ALL SELECT 'customer', c_custkey, c_name || '|' || c_nationkey || '|' || c_mktsegment FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name || '|' || s_nationkey FROM supplier
+"""
+
+_FORMS = """
+['+86' || mobile_number, '86' || mobile_number,
+ substring(mobile_number, 1, 3) || ' ' || substring(mobile_number, 4, 4) || '-' || substring(mobile_number, 8, 4),
+ substring(mobile_number, 1, 10), mobile_number || '0', 'x' || mobile_number, replace(tele_no, '-', ''), ' ' || tele_no || ' ',
+ replace(tele_no, '-', ' '), lower(id_card), ' ' || id_card, substring(id_card, 1, 17), '', ' ']
+"""
+
 RANKED = """
   SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
     l_returnflag, l_linestatus
@@ -236,10 +254,31 @@ ORACLE: dict[str, str] = {
           SELECT event_id, event_id * 1000003 % 6040798 * 1000000 - 3020399000000 + user_id % 3 * 250 AS us FROM events
         )""",
     "cdc_after_append": "SELECT user_id, event_id, event_type, value, ts FROM events WHERE event_type <> 'error'",
-    "cdc_latest_per_key": LATEST_USERS,
+    "cdc_latest_per_key": _LATEST.format(extra=", props"),
     "cdc_apply": LATEST_USERS,
     "cdc_apply_composite": RANKED,
-    "cdc_stream_sync": LATEST_USERS,
+    "cdc_stream_sync": TARGETS,
+    "topic_round_trip": TARGETS,
+    "cdc_apply_concurrent": LATEST_USERS,
+    "cdc_lookup": f"SELECT * FROM ({RANKED}) WHERE l_linenumber = 2",
+    "cdc_stream_scoped": f"""
+        WITH t AS (SELECT * FROM ({TARGETS}) WHERE tbl IN ('customer', 'supplier') AND 1700000000000 + pk >= {SCOPE_START})
+        SELECT tbl, pk, detail FROM t UNION ALL SELECT 'audit of ' || tbl, count(*), '0' FROM t GROUP BY tbl""",
+    "cdc_replay_audit": f"""
+        SELECT tbl, 'ok' AS status, count(*) AS events, count(*) AS upserts, 0::bigint AS deletes, 0::bigint AS quarantined
+        FROM ({SHOP_LOG}) WHERE tbl <> 'ghost' GROUP BY tbl
+        UNION ALL SELECT '-', 'unknown_table', count(*), 0, 0, count(*) FROM nation
+        UNION ALL SELECT 'users', 'ok', (SELECT count(*) FROM events), count(*) FILTER (event_type <> 'error'),
+          count(*) FILTER (event_type = 'error'), 0
+        FROM (SELECT event_type FROM events
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)""",
+    "cdc_bad_values": """
+        SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN printf('%.2f', o_totalprice) END AS price,
+          CASE WHEN o_orderstatus <> 'F' THEN o_orderdate END AS "at",
+          CASE WHEN o_custkey % 10 = 0 THEN 'no position'
+            WHEN o_totalprice >= 100000 THEN 'column price cannot hold ' || printf('%.2f', o_totalprice)
+            WHEN o_orderstatus = 'F' THEN 'column at cannot hold not a time' ELSE '-' END AS bad
+        FROM orders""",
     "cdc_stream_audit": f"""
         SELECT CASE WHEN tbl = 'ghost' THEN '-' ELSE tbl END AS tbl,
           CASE WHEN tbl = 'ghost' THEN 'unknown_table' ELSE 'ok' END AS status, count(*) AS events,
@@ -252,6 +291,11 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (tbl <> 'ghost') AS upserts, 0::bigint AS deletes, count(*) FILTER (tbl = 'ghost') AS quarantined
         FROM ({SHOP_LOG}) GROUP BY tbl""",
     "sql_insert_select": "SELECT c_custkey, c_name FROM customer",
+    "sql_insert_repeat": "SELECT c_custkey, c_name || '-2' AS c_name FROM customer",
+    "mask_forms": f"""
+        WITH n AS (SELECT c_custkey, unnest({_FORMS}) AS number, unnest(range(14))::integer AS form FROM ({PEOPLE}))
+        SELECT c_custkey, form, {_mask('number', 1).removesuffix('number')} all_kinds, {_mask('number', 2).removesuffix('number')} id_only
+        FROM n""",
     "mask_batch_mode1": _masked(1),
     "mask_batch_mode2": _masked(2),
     "mask_exempt_table": f"{_masked(1, ', ' + repr('orders') + ' AS tbl')} UNION ALL {_masked(2, ', ' + repr(ID_ONLY_TABLE) + ' AS tbl')}",
@@ -269,6 +313,20 @@ ORACLE: dict[str, str] = {
     "backfill_merge": f"""
         SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '{SINCE}' THEN lower(o_orderstatus) ELSE o_orderstatus END
           AS o_orderstatus, o_orderdate, printf('%.2f', o_totalprice) AS price FROM orders""",
+    "backfill_repeat": """
+        SELECT 'orders' AS tbl, o_orderkey AS pk, o_custkey || '|' || o_orderstatus || '2|' || printf('%.2f', o_totalprice) || '|' ||
+          epoch_us(o_orderdate) || '|' || o_orderpriority AS detail FROM orders""",
+    "backfill_audit": """
+        SELECT 'orders' AS tbl, 'ods_shop_orders' AS target, 'ok' AS status, count(*) AS upserts, '-' AS error FROM orders
+        UNION ALL SELECT 'supplier', 'ods_shop_supplier', 'ok', count(*), '-' FROM supplier
+        UNION ALL SELECT 'customer', 'ods_shop_customer', 'failed', 0, 'no known update column'""",
+    "ddl_specs": f"""
+        SELECT t.table_name, t.idx, c.column_name, t.spark_type, t.logical_type, t.wire_type,
+          CASE WHEN t.idx = 0 THEN 1 WHEN t.idx = 1 AND p_size > 25 THEN 2 ELSE 0 END::integer AS key_position
+        FROM ({_per_column(_TYPES, ["stream_type", "target_type", "spark_type", "logical_type", "wire_type"])}) t
+        JOIN ({_per_column(_COLUMNS, ["column_name", "mysql_type", "unsigned", "comment"])}) c
+          ON t.table_name = c.table_name AND t.idx = c.idx
+        JOIN part ON t.table_name = 'part_' || p_partkey WHERE p_size <> 50""",
     "ddl_columns": _per_column(_COLUMNS, ["column_name", "mysql_type", "unsigned", "comment"]),
     "ddl_type_map": _per_column(_TYPES, ["stream_type", "target_type", "spark_type", "logical_type", "wire_type"]),
     "ddl_primary_keys": """
@@ -294,7 +352,8 @@ ORACLE: dict[str, str] = {
           json_extract(props, '$.k')::bigint AS k FROM events WHERE event_type <> 'error'""",
     "to_kafka_records": """
         SELECT '{"c_custkey":' || c_custkey || '}' AS key,
-          '{"c_custkey":' || c_custkey || ',"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value,
+          '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || ',"c_acctbal":' ||
+            c_acctbal || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value,
           'ods_customer' AS topic FROM customer""",
     "cdc_topic_records": """
         SELECT '{"c_custkey":' || c_custkey || '}' AS key, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name ||
@@ -302,10 +361,18 @@ ORACLE: dict[str, str] = {
           'ods_shop_customer' AS topic FROM customer
         UNION ALL SELECT '{"s_suppkey":' || s_suppkey || '}', '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name ||
           '","s_nationkey":' || s_nationkey || '}', 'ods_shop_supplier' FROM supplier
+        UNION ALL SELECT '{"o_orderkey":' || o_orderkey || '}', '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey ||
+          ',"o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || printf('%.2f', o_totalprice) || ',"o_orderdate":"' ||
+          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '","o_orderpriority":"' || o_orderpriority || '"}', 'ods_shop_orders'
+        FROM orders
         UNION ALL SELECT '{"user_id":' || user_id || '}', CASE WHEN event_type <> 'error' THEN '{"user_id":' || user_id ||
-          ',"event_id":' || event_id || ',"event_type":"' || event_type || '"}' END, 'ods_shop_users' FROM events""",
+          ',"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || value || ',"ts":"' ||
+          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}' END, 'ods_shop_users' FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "to_ndjson": """
-        SELECT '{"o_orderkey":' || o_orderkey || ',"priority":' ||
+        SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus ||
+          '","o_totalprice":' || o_totalprice || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') ||
+          '","o_orderpriority":"' || o_orderpriority || '","priority":' ||
           CASE WHEN o_orderstatus <> 'F' THEN '"' || o_orderpriority || '"' ELSE 'null' END || '}' AS value FROM orders""",
     "ndjson_explode": """
         SELECT c_custkey::varchar AS id, c_name AS name, c_nationkey::varchar AS age FROM customer

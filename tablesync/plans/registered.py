@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
 SINCE = "2000-01-01 00:00:00"
+SCOPE_START = 1_700_000_000_010
 
 
 def registered(query: Query) -> Query:
@@ -169,7 +171,7 @@ def cdc_after_append(spark, sf_dir):
 
 @registered
 def cdc_latest_per_key(spark, sf_dir):
-    e = derive.table(spark, sf_dir, "events").drop("props")
+    e = derive.table(spark, sf_dir, "events")
     last = latest_per_key(e, ["user_id"], F.struct("ts", "event_id"))
     return last.where(F.col("event_type") != "error")
 
@@ -194,6 +196,10 @@ def cdc_apply(spark, sf_dir):
 @registered
 def cdc_apply_composite(spark, sf_dir):
     """Every line item is an upsert on two keys; batches are merged into a compacted base."""
+    return _line_items(spark, sf_dir).read()
+
+
+def _line_items(spark, sf_dir):
     seq_type = "struct<" + ",".join(f"{n}:{t}" for n, t in derive.LINEITEM_ORDER) + ">"
     target = KeyedTable.of(spark, run_folder(spark, "composite"), derive.LINEITEM, seq_type=seq_type)
     rows = derive.table(spark, sf_dir, "lineitem").select(
@@ -204,14 +210,13 @@ def cdc_apply_composite(spark, sf_dir):
     target.apply(rows.where(F.col("l_returnflag") != "R"), "log", 0)
     target.compact()
     target.apply(rows.where(F.col("l_returnflag") == "R"), "log", 1)
-    return target.read()
+    return target
 
 
 @registered
 def cdc_stream_sync(spark, sf_dir):
     """The whole sync as a stream over text files, half of them in each micro-batch."""
-    root, specs = _streamed(spark, sf_dir)
-    return KeyedTable.of(spark, root, specs["users"]).read()
+    return _targets(spark, *_streamed(spark, sf_dir))
 
 
 @registered
@@ -223,16 +228,104 @@ def cdc_stream_audit(spark, sf_dir):
     )
 
 
-def _streamed(spark, sf_dir):
-    root = run_folder(spark, "stream")
-    log = derive.shop_log(spark, sf_dir).union(derive.user_log(spark, sf_dir).select("value"))
-    log.repartition(16).write.text(f"{root}/_input")
-    specs = {s.table: s for s in (derive.USERS, derive.ORDERS, derive.CUSTOMER, derive.SUPPLIER)}
+SHOP = {s.table: s for s in (derive.USERS, derive.ORDERS, derive.CUSTOMER, derive.SUPPLIER)}
+
+
+def _whole_log(spark, sf_dir):
+    return derive.shop_log(spark, sf_dir).union(derive.user_log(spark, sf_dir).select("value"))
+
+
+def _streamed(spark, sf_dir, specs=None, **options):
+    root, specs = run_folder(spark, "stream"), specs or SHOP
+    _whole_log(spark, sf_dir).repartition(16).write.text(f"{root}/_input")
     events = change_events.read_change_events(spark, f"{root}/_input", streaming=True, max_files_per_batch=8)
-    run_available(spark, events, specs, root, SyncOptions(label="shop", db="shop"))
+    run_available(spark, events, specs, root, SyncOptions(label="shop", db="shop", **options))
     return root, specs
 
 
+def _targets(spark, root, specs):
+    parts = [_as_text(KeyedTable.of(spark, root, s).read(), s) for s in specs.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _as_text(rows, spec):
+    """Rows of different tables in one form: ``tbl``, ``pk`` and the other columns as one text."""
+    def text(c):
+        value = F.col(c.name)
+        if c.target == "timestamp_ntz":
+            value = derive.micros(value)
+        elif c.target == "double":
+            value = F.format_string("%.2f", value)
+        return F.coalesce(value.cast("string"), F.lit("-"))
+
+    rest = [text(c) for c in spec.columns if c.name not in spec.keys]
+    return rows.select(F.lit(spec.table).alias("tbl"), F.col(spec.keys[0]).alias("pk"), F.concat_ws("|", *rest).alias("detail"))
+
+
+@registered
+def cdc_stream_scoped(spark, sf_dir):
+    """Two of the tables, events from a time on; other tables' events are left out."""
+    specs = {t: SHOP[t] for t in ("customer", "supplier")}
+    root, _ = _streamed(spark, sf_dir, specs, on_unknown="ignore", start=SCOPE_START)
+    told = summarise(read_audit(spark, root)).select(
+        F.concat(F.lit("audit of "), "table").alias("tbl"), F.col("events").alias("pk"), F.col("quarantined").cast("string").alias("detail")
+    )
+    return _targets(spark, root, specs).unionByName(told)
+
+
+@registered
+def cdc_replay_audit(spark, sf_dir):
+    """A batch that is applied twice under one id leaves the audit of one run."""
+    root = run_folder(spark, "replay")
+    for _ in range(2):
+        sync_batch(_whole_log(spark, sf_dir), 0, SHOP, root, SyncOptions(label="shop", db="shop"))
+    return summarise(read_audit(spark, root)).select(
+        F.coalesce("table", F.lit("-")).alias("tbl"), "status", "events", "upserts", "deletes", "quarantined"
+    )
+
+
+@registered
+def cdc_apply_concurrent(spark, sf_dir):
+    """Two writers with labels of their own and compactions by a third beside them."""
+    folder = run_folder(spark, "concurrent")
+    writers = [KeyedTable.of(spark, folder, derive.USERS) for _ in range(3)]
+    for i, changes in enumerate(_user_changes(spark, sf_dir).values()):
+        rows = changes.drop("_bad")
+        writers[i % 2].apply(rows.where(F.col("event_id") % 2 == i % 2), f"writer-{i % 2}", i)
+        writers[2].compact(full=i != 1)
+        writers[1 - i % 2].apply(rows.where(F.coalesce(F.col("event_id") % 2 != i % 2, F.lit(True))), f"writer-{1 - i % 2}", i)
+        writers[2].compact(full=i == 1)
+    return writers[0].read()
+
+
+@registered
+def cdc_lookup(spark, sf_dir):
+    """Keys looked up in a base with a log over it: the filter on the key reaches both."""
+    return _line_items(spark, sf_dir).read().where(F.col("l_linenumber") == 2)
+
+
+@registered
+def cdc_bad_values(spark, sf_dir):
+    """Values that their columns cannot hold are named, and the rows beside them typed."""
+    o = derive.table(spark, sf_dir, "orders")
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    image = F.struct(
+        "o_orderkey",
+        F.format_string("%.2f", "o_totalprice").alias("price"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("not a time")).otherwise(iso).alias("at"),
+    )
+    pos = F.when(F.col("o_custkey") % 10 != 0, F.col("o_orderkey"))
+    src = derive.source("bad", F.lit("bin.000001"), pos, F.lit(0), F.lit(0))
+    log = o.select(derive.event(src, F.lit("c"), F.lit(None).cast("struct<x:int>"), image).alias("value"))
+    columns = (
+        ColumnSpec("o_orderkey", "bigint"),
+        ColumnSpec("price", "decimal(7,2)", "raw", "string"),
+        ColumnSpec("at", "timestamp_ntz", "io.debezium.time.ZonedTimestamp", "string"),
+    )
+    rows = typed_rows(change_events.parse_envelope(log), TableSpec("bad", "ods_bad", ("o_orderkey",), columns), time_zone="UTC")
+    return rows.select("o_orderkey", F.col("price").cast("string").alias("price"), "at", F.coalesce("_bad", F.lit("-")).alias("bad"))
+
+
 @registered
 def sync_audit(spark, sf_dir):
     root = run_folder(spark, "audit")
@@ -255,6 +348,20 @@ def sql_insert_select(spark, sf_dir):
     return target.read()
 
 
+@registered
+def sql_insert_repeat(spark, sf_dir):
+    """Three inserts without a position, one after another; the last one stands."""
+    two = TableSpec("customer", "ods_names", ("c_custkey",), derive.CUSTOMER.columns[:2])
+    target = KeyedTable.of(spark, run_folder(spark, "insert-repeat"), two)
+    for i in range(3):
+        rows = derive.table(spark, sf_dir, "customer").withColumn("c_name", F.concat("c_name", F.lit(f"-{i}")))
+        view = create_source_view(rows, f"customer_{i}")
+        insert_select(spark, target, f"SELECT c_custkey, c_name FROM {view}", "sql", i)
+        if i == 1:
+            target.compact()
+    return target.read()
+
+
 # -- masking -----------------------------------------------------------------
 
 
@@ -314,6 +421,23 @@ def sensitive_columns(spark, sf_dir):
     return found
 
 
+@registered
+def mask_forms(spark, sf_dir):
+    """Numbers with prefixes, blanks, line ends and near misses, in both modes."""
+    p = derive.personal_data(derive.table(spark, sf_dir, "customer"))
+    forms = F.array(
+        F.concat(F.lit("+86"), "mobile_number"), F.concat(F.lit("86"), "mobile_number"),
+        F.concat(F.substring("mobile_number", 1, 3), F.lit(" "), F.substring("mobile_number", 4, 4), F.lit("-"), F.substring("mobile_number", 8, 4)),
+        F.substring("mobile_number", 1, 10), F.concat("mobile_number", F.lit("0")), F.concat(F.lit("x"), "mobile_number"),
+        F.replace("tele_no", F.lit("-"), F.lit("")), F.concat(F.lit(" "), "tele_no", F.lit(" ")), F.replace("tele_no", F.lit("-"), F.lit(" ")),
+        F.lower("id_card"), F.concat(F.lit(" "), "id_card"), F.substring("id_card", 1, 17), F.lit(""), F.lit(" "),
+    )
+    rows = p.select("c_custkey", F.posexplode(forms).alias("form", "number"))
+    return rows.select(
+        "c_custkey", "form", mask_pii(F.col("number"), ALL_KINDS).alias("all_kinds"), mask_pii(F.col("number"), ID_ONLY).alias("id_only")
+    )
+
+
 # -- back-fill ---------------------------------------------------------------
 
 
@@ -368,6 +492,31 @@ def backfill_merge(spark, sf_dir):
     return target.select("o_orderkey", "o_orderstatus", "o_orderdate", F.col("o_totalprice").cast("string").alias("price"))
 
 
+@registered
+def backfill_repeat(spark, sf_dir):
+    """Three full back-fills with changed values over a streamed target, a compaction between; the last one stands."""
+    root, specs = run_folder(spark, "backfill-repeat"), {"orders": derive.ORDERS}
+    sync_batch(derive.shop_log(spark, sf_dir), 0, specs, root, SyncOptions(label="shop", db="shop", on_unknown="ignore"))
+    for i in range(3):
+        changed = derive.table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.concat("o_orderstatus", F.lit(f"{i}")))
+        batch_sync(spark, specs, {"orders": "full"}, lambda name, rows=changed: rows, SINCE, root, batch_id=i)
+        if i == 1:
+            KeyedTable.of(spark, root, derive.ORDERS).compact()
+    return _targets(spark, root, specs)
+
+
+@registered
+def backfill_audit(spark, sf_dir):
+    """All tables of a job, one of which fails and does not stop the others."""
+    specs = {t: SHOP[t] for t in ("orders", "customer", "supplier")}
+    filters = {"orders": "full", "customer": "unregistered", "supplier": "full"}
+    root = run_folder(spark, "backfill-audit")
+    audit = batch_sync(
+        spark, specs, filters, lambda name: derive.table(spark, sf_dir, name), SINCE, root, batch_id=1, on_error="continue", parallel_tables=2
+    )
+    return audit.select(F.col("table").alias("tbl"), "target", "status", "upserts", F.coalesce("error", F.lit("-")).alias("error"))
+
+
 # -- catalog -----------------------------------------------------------------
 
 
@@ -399,6 +548,16 @@ def target_ddl(spark, sf_dir):
     return ddl.target_ddl(derive.part_definitions(spark, sf_dir), buckets=16)
 
 
+@registered
+def ddl_specs(spark, sf_dir):
+    """The specs of one database's tables, of which another database has other versions."""
+    own = derive.part_definitions(spark, sf_dir).withColumn("db_name", F.lit("shop"))
+    other = own.withColumns({"ddl": F.replace("ddl", F.lit("`note`"), F.lit("`other`")), "db_name": F.lit("other")})
+    return ddl.spec_rows(own.unionByName(other), "shop").select(
+        "table_name", "idx", "column_name", "spark_type", "logical_type", "wire_type", "key_position"
+    )
+
+
 @registered
 def catalog_lookup(spark, sf_dir):
     """Every part is a wanted table; import entries and connections are partly missing or misleading."""
@@ -489,26 +648,33 @@ def kafka_payload_decode(spark, sf_dir):
 
 @registered
 def to_kafka_records(spark, sf_dir):
-    c = derive.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return kafka.to_records(c, ["c_custkey"], "ods_customer")
+    return kafka.to_records(derive.table(spark, sf_dir, "customer"), ["c_custkey"], "ods_customer")
 
 
 @registered
 def cdc_topic_records(spark, sf_dir):
-    """The change log as records of one topic per table, deletes as null values."""
-    log = derive.shop_log(spark, sf_dir).union(derive.user_log(spark, sf_dir).select("value"))
-    users = TableSpec("users", "ods_shop_users", ("user_id",), derive.USERS.columns[:3])
-    specs = {s.table: s for s in (derive.CUSTOMER, derive.SUPPLIER, users)}
+    """The last change of every key as records of one topic per table, deletes as null values."""
     options = SyncOptions(db="shop")
-    return topic_records(stage(log, specs, options), specs, options)
+    return topic_records(stage(_whole_log(spark, sf_dir), SHOP, options), SHOP, options)
+
+
+@registered
+def topic_round_trip(spark, sf_dir):
+    """The records of all topics, read again as upsert topics: the rows of the keyed targets."""
+    records = cdc_topic_records(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("bigint")})
+    parts = []
+    for spec in SHOP.values():
+        fields = {c.name: f"`{c.name}` {c.target}" for c in spec.columns}
+        mine = records.where(F.col("topic") == spec.target)
+        rows = kafka.latest_records(mine, ", ".join(fields[k] for k in spec.keys), ", ".join(fields.values()))
+        parts.append(_as_text(rows, spec))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @registered
 def to_ndjson(spark, sf_dir):
-    s = derive.table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")).alias("priority")
-    )
-    return ndjson.to_lines(s)
+    priority = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))
+    return ndjson.to_lines(derive.table(spark, sf_dir, "orders").withColumn("priority", priority))
 
 
 @registered

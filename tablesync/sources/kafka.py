@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.functions.json_rows import with_fields
+from tablesync.functions.json_rows import JSON_FORMATS, with_fields
 from tablesync.operators.latest import latest_per_key
 
 
@@ -56,7 +56,7 @@ def latest_records(records: DataFrame, key_schema: str, value_schema: str, keep_
 def to_records(rows: DataFrame, keys: list[str], topic: str, deleted: str | None = None) -> DataFrame:
     """``(key, value, topic)`` for the Kafka sink; rows flagged ``deleted`` get a null value."""
     data = [c for c in rows.columns if c != deleted]
-    value = F.to_json(F.struct(*data), {"ignoreNullFields": "false"})
+    value = F.to_json(F.struct(*data), JSON_FORMATS)
     if deleted:
         value = F.when(~F.col(deleted), value)
-    return rows.select(F.to_json(F.struct(*keys)).alias("key"), value.alias("value"), F.lit(topic).alias("topic"))
+    return rows.select(F.to_json(F.struct(*keys), JSON_FORMATS).alias("key"), value.alias("value"), F.lit(topic).alias("topic"))

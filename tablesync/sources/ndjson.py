@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.functions.json_rows import with_fields
+from tablesync.functions.json_rows import JSON_FORMATS, with_fields
 
 
 def explode_lines(rows: DataFrame, value: str, schema: str, delimiter: str = "\n", keep: list[str] | None = None):
@@ -19,4 +19,4 @@ def to_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Every row as one JSON line in ``value``, nulls included."""
     keep = keep or []
     data = [c for c in rows.columns if c not in keep]
-    return rows.select(*keep, F.to_json(F.struct(*data), {"ignoreNullFields": "false"}).alias("value"))
+    return rows.select(*keep, F.to_json(F.struct(*data), JSON_FORMATS).alias("value"))

@@ -56,7 +56,7 @@ if __name__ == "__main__":
     from tablesync.session import local_session
 
     sf = sys.argv[1]
-    chosen = sys.argv[2:] or list(contract.queries())
+    chosen = sys.argv[2:] or list(contract.oracle_sql())
     session = local_session(8)
     con = connect(sf)
     failed = []
