@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,14 @@ def whole_id(name: str = "doc_id") -> Column:
     return F.col(f"`{name}`").cast("long")
 
 
+def slices(batches: Iterator, most: int = 4 << 20) -> Iterator:
+    """Arrow batches in slices of about ``most`` bytes, so that a task holds few of its rows as Python objects."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for first in range(0, batch.num_rows, step):
+            yield batch.slice(first, step)
+
+
 def dealt_anew(frame: DataFrame, *keys: str) -> DataFrame:
     """The same rows, for a join on ``keys`` by which they were just grouped.
 

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import dealt_anew, whole_id, whole_text
+from tablesync.llm.common import dealt_anew, slices, whole_id, whole_text
 from tablesync.llm.graph import components, stored
 from tablesync.llm.tokens import chunks
 from tablesync.session import run_folder
@@ -111,7 +111,7 @@ def band_keys(places: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
         sizes, names, keys = [], [], []
         for part in chunks(texts):
@@ -129,7 +129,7 @@ def _similar(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     last, items = None, None
-    for batch in batches:
+    for batch in slices(batches):
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         links = []
@@ -239,7 +239,7 @@ def _common(classes: DataFrame, texts: DataFrame) -> DataFrame:
 def _shingle_rows(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         owners, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         for part in chunks(texts):
             sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]])
@@ -251,7 +251,7 @@ def _own_class(batches: Iterator) -> Iterator:
     """The rows whose text is of the class it was asked for."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         fits = []
         for part in chunks(texts):

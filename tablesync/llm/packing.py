@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tablesync.llm.common import whole_id, whole_text
+from tablesync.llm.common import slices, whole_id, whole_text
 from tablesync.llm.tokens import chunks, tokenizer, tokenizer_path
 
 TIERS = (2048, 1024, 512, 256)
@@ -177,7 +177,7 @@ def pack(
             names = [c.split()[0] for c in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for part in chunks(texts):
                 flat, counts = encode.ids(texts[part])

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import dealt_anew, whole_id, whole_text
+from tablesync.llm.common import dealt_anew, slices, whole_id, whole_text
 from tablesync.llm.graph import stored
 from tablesync.llm.near_dedup import BYTES, ONE, TWO, _mixed
 from tablesync.session import run_folder
@@ -203,7 +203,7 @@ def _cells(length: int, gram: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, of = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = np.array(batch.column(0).fill_null(0).to_numpy(), np.int64)
@@ -225,7 +225,7 @@ def _extracted(batches: Iterator) -> Iterator:
     """The bytes of the cells wanted from each document."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
         out: list[list] = [[], [], [], []]
         for text, wanted in rows:
@@ -256,7 +256,7 @@ def _sorted_cells(length: int, most: int):
 
     def run(batches: Iterator) -> Iterator:
         rows, size, last = [], 0, None
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if row[0] != last and size and size + len(row[3]) > most // 2:
                     yield _run_batch(rows, length)
@@ -276,7 +276,7 @@ def _windows(length: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             for name, content, n, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 data = np.frombuffer(data, np.uint8)
                 hashes = []
@@ -303,7 +303,7 @@ def _cut(length: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             sizes, removed, spans, left = [], [], [], []
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 parts, at, gone, count = [], 0, 0, 0

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole_text
+from tablesync.llm.common import slices, whole_text
 from tablesync.llm.tokens import chunks, tokenizer, tokenizer_path
 
 BAND = 1024
@@ -33,7 +33,7 @@ def length_histogram(docs: DataFrame, path: str | None = None, text_col: str = "
         import pyarrow as pa
 
         encode, seen = tokenizer(path), np.zeros(1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             for part in chunks(texts):
                 found = np.bincount(encode.counts(texts[part]))

@@ -17,7 +17,7 @@ import numpy as np
 
 BPE_FILE = "byte_bpe_50k.json"
 # Pre-tokens kept per worker; beyond that the cache starts anew. Memory only, ids don't depend on it.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 # Ranges in which letters, numbers and white space agree with the tokenizer's pattern.
 SAME_CLASSES = ((0x0, 0x530), (0x2010, 0x2065), (0x4E00, 0x9FEF), (0xAC00, 0xD7A4))
 SPACE, LETTER, NUMBER, OTHER, END, UNKNOWN = range(6)
@@ -219,7 +219,7 @@ def tokenizer(path: str) -> BatchTokenizer:
     return BatchTokenizer(path)
 
 
-def chunks(texts: Sequence[str], most: int = 1 << 21):
+def chunks(texts: Sequence[str], most: int = 1 << 19):
     """Slices of texts with about ``most`` characters each, one text at least."""
     first, size = 0, 0
     for i, t in enumerate(texts):

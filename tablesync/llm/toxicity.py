@@ -29,12 +29,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole_id, whole_text
+from tablesync.llm.common import slices, whole_id, whole_text
 from tablesync.session import run_folder
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 2048
 FOLDS = 5
+# Features that a task counts before it hands on what it has.
+HELD_FEATURES = 100_000
 BEGINNINGS = (4, 5, 6)
 # A feature is in this many training rows, in this share of the toxic ones, and this many times as often there.
 LEAST_ROWS = 4
@@ -137,21 +139,17 @@ def fit(
         return Model((), (), -500.0)
 
     def count(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         every, bad = Counter(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = features_of(words_of(text))
                 every.update(found)
                 if y:
                     bad.update(found)
-        names = list(every)
-        columns = [names, [every[f] for f in names], [bad[f] for f in names]]
-        kinds = [pa.string(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["feature", "n", "toxic"]
-        )
+            if len(every) > HELD_FEATURES:
+                yield _counted(every, bad)
+                every, bad = Counter(), Counter()
+        yield _counted(every, bad)
 
     counts = rows.mapInArrow(count, "feature string, n long, toxic long").groupBy("feature")
     counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= LEAST_ROWS)
@@ -167,7 +165,7 @@ def fit(
     def active(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, twins = [], []
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
@@ -188,6 +186,17 @@ def fit(
     return Model(tuple(chosen), tuple(weights.tolist()), intercept)
 
 
+def _counted(every: Counter, bad: Counter):
+    import pyarrow as pa
+
+    names = list(every)
+    columns = [names, [every[f] for f in names], [bad[f] for f in names]]
+    kinds = [pa.string(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["feature", "n", "toxic"]
+    )
+
+
 def _matrix(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     return row, np.array([i for x in lists for i in x], np.int64)
@@ -224,7 +233,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
 
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             found = [score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["doc_id", "held_out", "score"]
@@ -244,7 +253,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         import pyarrow as pa
 
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             clean = [score(t or "") < 0.5 for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
