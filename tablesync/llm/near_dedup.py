@@ -13,11 +13,12 @@ Equal sets are one class first, so copies are never compared. In a band's bucket
 classes are compared with a centre, not each with each: the edge confirmed on whole sets
 joins components. Then, against another centre for each bucket, and last of all, in
 buckets that still hold several components, the pairs of different components alone. Of those
-a pair is formed only if it can reach the threshold: two sets share no more shingles than
-the smaller number of shingles that either has in common with any class left. So no
-pair that could join components is left out, and pairs within a component are
-never formed. Joins on a bucket, a centre or a class are ones that Spark splits
-if they are hot.
+a pair is formed only if it can reach the threshold: with the shingles of each set in the
+order of their frequency, rare ones first, similar sets have their first common shingle so early
+in both that what follows can make up the overlap they need. So no pair that could join
+components is left out, pairs within a component are never formed, and of a large group of near
+copies only those pairs are that also share rare shingles. Joins on a bucket, a centre, a
+shingle or a class are ones that Spark splits if they are hot.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and are
 linked with nothing; a text with one word is a set of that word; a null id is larger than all
@@ -192,19 +193,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         placed = stored(placed.join(dealt_anew(several, "key"), "key"), f"{folder}/open-{turn}")
         if not placed.head(1):
             break
-        if turn == 2:
+        if turn == 3:
+            pairs = _reachable(placed.select("c", "n", "root").distinct(), texts, f"{folder}/first-common")
+        else:
             drawn = F.struct(F.xxhash64("c", "key").alias("o"), "c", "n", "root")
             other = placed.groupBy("key").agg(F.min(drawn).alias("z"))
             pairs = placed.join(dealt_anew(other, "key"), "key").where("root <> z.root")
-        else:
-            placed = placed.join(_common(placed.select("c", "n").distinct(), texts), "c")
-            # Any similar set shares 4/5 of this one.
-            placed = stored(placed.where(5 * F.col("common") >= 4 * F.col("n")), f"{folder}/reachable")
-            other = placed.select("key", F.struct("c", "n", "root", "common").alias("z"))
-            # Similar sets share 4/9 of the sum of their sizes.
-            reach = 9 * F.least("common", "z.common") >= 4 * (F.col("n") + F.col("z.n"))
-            pairs = placed.join(other, "key").where("root < z.root").where(reach)
-        pairs = pairs.where(_sizes_fit("n", "z.n"))
+            pairs = pairs.where(_sizes_fit("n", "z.n"))
         # Of a pair the larger class is a, as in the pairs tried before.
         pairs = pairs.select(F.greatest("c", "z.c").alias("a"), F.least("c", "z.c").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), f"{folder}/pairs-{turn}")
@@ -226,14 +221,35 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _common(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Per class ``common``, the number of its shingles that another of the classes has too."""
-    here = classes.select("c").join(texts, "c").select(F.xxhash64("c").alias("o"), "text")
-    items = here.mapInArrow(_shingle_rows, "o long, h long")
-    alone = items.groupBy("h").agg(F.count(F.lit(1)).alias("_k"), F.min("o").alias("o")).where("_k = 1")
-    alone = alone.groupBy("o").agg(F.count(F.lit(1)).alias("_alone"))
-    both = classes.withColumn("o", F.xxhash64("c")).join(dealt_anew(alone, "o"), "o", "left")
-    return both.select("c", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("common"))
+def _reachable(classes: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """Pairs of classes (``c``, ``z``) of different roots that may be similar, by their first common shingle.
+
+    Any order of the shingles that all classes share would do; the rare ones first leaves the fewest pairs.
+    """
+    classes = classes.withColumn("o", F.xxhash64("c"))
+    items = classes.select("c", "o").join(texts, "c").select("o", "text").mapInArrow(_shingle_rows, "o long, h long")
+    often = items.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    known = items.join(dealt_anew(often, "h"), "h").groupBy("o").agg(
+        F.sort_array(F.collect_list(F.struct("k", "h"))).alias("common")
+    )
+    placed = classes.join(dealt_anew(known, "o"), "o")
+    # Shingles of no other class come first; they share nothing, but count as places. A similar set shares 4/5 at least.
+    alone = F.col("n") - F.size("common")
+    early = F.greatest(F.lit(0), F.floor(F.col("n") / 5) + 1 - alone)
+    placed = placed.select(
+        "c", "n", "root", alone.alias("alone"), F.slice("common", 1, early.cast("int")).alias("s")
+    )
+    rows = placed.select("c", "n", "root", "alone", F.posexplode("s").alias("i", "s"))
+    rows = rows.select("c", "n", "root", F.col("s.h").alias("h"), (F.col("n") - F.col("alone") - F.col("i")).alias("rest"))
+    rows = stored(rows, path)
+    # Of each shingle's classes the largest component's are not paired with each other: they stand on one side only.
+    sizes = rows.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"))
+    most = sizes.groupBy("h").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    small = rows.join(dealt_anew(most, "h"), "h").where("root <> m.root")
+    others = rows.select("h", F.struct("c", "n", "root", "rest").alias("z"))
+    # Similar sets share 4/9 of the sum of their sizes, all of it from here on.
+    reach = 9 * F.least("rest", "z.rest") >= 4 * (F.col("n") + F.col("z.n"))
+    return small.join(dealt_anew(others, "h"), "h").where("root <> z.root").where(reach).where(_sizes_fit("n", "z.n"))
 
 
 def _shingle_rows(batches: Iterator) -> Iterator:
