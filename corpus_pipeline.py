@@ -8,6 +8,7 @@ the stage it was in. All stages but the last return the columns of ``documents``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from tablesync.llm.common import table
@@ -34,9 +35,24 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.curriculum(docs)
 
 
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """The rows of a scan in the order in which a sorted frame was written; any other frame is left as it is.
+
+    A scan orders files by size and packs several into a partition. The writing task's number and the
+    number of its file are in the file's name.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.children().isEmpty() or plan.metadataOutput().isEmpty():
+        return docs
+    place = docs.metadataColumn("_metadata")
+    name = place["file_name"]
+    task, file = (F.regexp_extract(name, at, 1).try_cast("long") for at in (r"^part-(\d+)", r"-c(\d+)"))
+    return docs.orderBy(task, file, name, place["row_index"])
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
-    return packing.pack(docs)
+    """The pieces of all sequences; blocks of sequences follow each other in the order of training."""
+    return packing.pack(in_written_order(docs))
 
 
 STAGES = [

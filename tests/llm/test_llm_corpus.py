@@ -9,7 +9,7 @@ from test_llm_similar import expected
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tablesync.llm import toxicity
+from tablesync.llm import mixing, toxicity
 from tablesync.llm.registered import ORACLE, QUERIES
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -117,6 +117,32 @@ def test_stages_follow_each_other(spark, labelled):
     assert {p.doc_id for p in pieces} == {r.doc_id for r in mixed.collect()}
 
 
+def test_packing_follows_the_training_time(spark, tmp_path):
+    """Over several files of different sizes, read again a few to a partition, later sequences train later documents."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(["word"] * rng.randint(1, 400)), "en", f"s{i % 3}", 1) for i in range(900)]
+    frame = spark.createDataFrame(docs, COLUMNS)
+    time = {r.c0: r._first for r in mixing.mix(frame, share=1.0, cap=1.0).collect()}
+    held = {"spark.sql.shuffle.partitions": "6", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        mixing.curriculum(frame, share=1.0, cap=1.0).write.parquet(f"{tmp_path}/mixed")
+        mixed = spark.read.parquet(f"{tmp_path}/mixed")
+        ordered = [time[r.doc_id] for r in corpus_pipeline.in_written_order(mixed).collect()]
+        pieces = corpus_pipeline.pack_sequences(spark, mixed, "").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(ordered) == 900 and ordered == sorted(ordered)
+    tasks = collections.defaultdict(list)
+    for p in pieces:
+        tasks[p.sequence_id >> 40].append(time[p.doc_id])
+    spans = [(min(tasks[t]), max(tasks[t])) for t in sorted(tasks)]
+    assert len(spans) > 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_run(spark, labelled):
     folder, _, _ = labelled
     assert corpus_pipeline.run(spark, folder).count() > 0
