@@ -4,7 +4,8 @@ The tokenizer's pre-tokens are found for a whole batch at once with numpy, each
 distinct pre-token is merged once by the tokenizer's vocabulary, and the ids are laid
 out by a gather. The classes of characters used for that are those of the ranges in
 ``SAME_CLASSES``, where every code point was compared with the tokenizer's own
-splitting; a text with any other character goes through the tokenizer as it is.
+splitting; a text with any other character, or with the string of an added token such
+as ``<|endoftext|>``, goes through the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -86,12 +87,10 @@ class BatchTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        # Its special strings are ordinary text here.
-        self.whole.encode_special_tokens = True
         # The same vocabulary for single pre-tokens: the order of its ids is the order of its merges.
         plain = {c: b for b, c in _byte_alphabet().items()}
-        special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
-        ranks = {bytes(plain[c] for c in t): i for t, i in self.whole.get_vocab().items() if t not in special}
+        self.added = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        ranks = {bytes(plain[c] for c in t): i for t, i in self.whole.get_vocab().items() if t not in self.added}
         self.piece = tiktoken.Encoding("pieces", pat_str=".", mergeable_ranks=ranks, special_tokens={})
         rng = np.random.default_rng(20)
         self.odd = rng.integers(0, 1 << 63, 2, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,9 +165,11 @@ class BatchTokenizer:
         ends = np.cumsum([0] + [len(t) + 1 for t in texts])
         points[ends] = BREAK
         kinds = _classes()[points]
-        odd = np.unique(np.searchsorted(ends, np.flatnonzero(kinds == UNKNOWN))) - 1
-        if len(odd):
-            return self._mixed(texts, set(odd.tolist()), with_ids)
+        odd = set((np.unique(np.searchsorted(ends, np.flatnonzero(kinds == UNKNOWN))) - 1).tolist())
+        if any(t in joined for t in self.added):
+            odd |= {i for i, text in enumerate(texts) if any(t in text for t in self.added)}
+        if odd:
+            return self._mixed(texts, odd, with_ids)
         found = self._slots(joined, points, kinds)
         if found is None:
             return self._mixed(texts, set(range(len(texts))), with_ids)

@@ -31,6 +31,19 @@ def test_ids_equal_the_tokenizers():
     assert t.counts(some).tolist() == counts.tolist()
 
 
+def test_added_tokens_are_found_as_by_the_tokenizer_alone():
+    from tokenizers import Tokenizer
+
+    alone, t = Tokenizer.from_file(tokenizer_path()), BatchTokenizer(tokenizer_path())
+    mark = "<|endoftext|>"
+    some = [f"a {mark} b", "a b", mark, mark * 3, f"{mark[:-1]}", "", f"it's{mark}\n\n é {mark}", mark[:5], mark[5:], *HARD]
+    want = [alone.encode(text, add_special_tokens=False).ids for text in some]
+    assert want[0] == [64, 220, 50256, 275]
+    flat, counts = t.ids(some)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
+    assert t.counts(some).tolist() == list(map(len, want)) and t.counts([mark]).tolist() == [1]
+
+
 def test_the_cache_starts_anew(monkeypatch):
     monkeypatch.setattr("tablesync.llm.tokens.CACHE_WORDS", 50)
     t, rng = BatchTokenizer(tokenizer_path()), random.Random(2)
