@@ -27,7 +27,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import dealt_anew, slices, whole_id, whole_text
@@ -42,7 +42,7 @@ SORTED_BYTES = 1 << 20
 CHUNK = 1 << 18
 SHIFT = np.int64(21)
 
-CELLS = "id long, of int, start int, windows int, name long, content long, periodic boolean"
+CELLS = "id long, of binary, start int, windows int, name long, content long, periodic boolean"
 _tables: dict[int, np.ndarray] = {}
 
 
@@ -204,10 +204,9 @@ def _cells(length: int, gram: int):
         import pyarrow as pa
 
         for batch in slices(batches):
-            ids, of = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = np.array(batch.column(0).fill_null(0).to_numpy(), np.int64)
-            texts = batch.column(2).to_pylist()
+            texts, places = batch.column(2).to_pylist(), np.arange(batch.num_rows)
             for part in _parts(texts):
                 text, *found = cells_of(*_joined(texts[part]), length, gram)
                 if not len(text):
@@ -216,7 +215,8 @@ def _cells(length: int, gram: int):
                 kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
                 columns = [pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(found, kinds, strict=True)]
                 names = ["id", "of", "start", "windows", "name", "content", "periodic"]
-                yield pa.RecordBatch.from_arrays([key, pa.array(of[part][text], pa.int32()), *columns], names)
+                of = batch.column(1).take(pa.array(places[part][text]))
+                yield pa.RecordBatch.from_arrays([key, of, *columns], names)
 
     return run
 
@@ -329,6 +329,11 @@ def _cut(length: int):
     return run
 
 
+def text_name(text: Column) -> Column:
+    """128 bits that stand for a text among the rows of one id; many millions may share a null or hot id."""
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+
+
 def drop_repeats(
     docs: DataFrame,
     length: int = LENGTH,
@@ -340,7 +345,7 @@ def drop_repeats(
     """Per row ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes."""
     folder = run_folder(docs.sparkSession, "suffix-dedup")
     text = whole_text(text_col)
-    rows = docs.select(whole_id(id_col).alias("id"), F.hash(text).alias("of"), F.encode(text, "UTF-8").alias("text"))
+    rows = docs.select(whole_id(id_col).alias("id"), text_name(text).alias("of"), F.encode(text, "UTF-8").alias("text"))
     cells = rows.where(F.length("text") >= length).mapInArrow(_cells(length, gram), CELLS)
 
     # What is known of a name: how often it occurs, and whether all of its cells are alike.

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablesync.llm import graph, kd_search, near_dedup, suffix_dedup
 
@@ -147,6 +148,18 @@ def test_repeats_in_one_text_and_at_edges(spark, no_docs):
     assert suffix_dedup.drop_repeats(no_docs).count() == 0
 
 
+def test_texts_of_one_id_with_an_equal_short_hash(spark):
+    """Two texts under a null id whose 32-bit hashes are equal keep their own cells and runs."""
+    left, right = ("".join(f"{side} {i} " for i in range(60)) for side in ("left", "right"))
+    a, b = f"{left}57508", f"{right}1467"
+    assert len({r.h for r in spark.createDataFrame([(a,), (b,)], "t string").select(F.hash("t").alias("h")).collect()}) == 1
+    rows = [(None, a), (None, b), (1, f"{left[40:300]} one"), (2, f"two {right[:230]}"), (3, f"{right[250:460]} three")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1 << 20, 1):
+        got = suffix_dedup.drop_repeats(frame, sorted_bytes=most).drop("kept").collect()
+        assert collections.Counter(map(tuple, got)) == cut(rows, 200)
+
+
 def test_suffix_ranks():
     rng = random.Random(5)
     for _ in range(200):
