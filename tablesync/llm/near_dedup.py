@@ -1,6 +1,6 @@
 """Near-duplicates: fast similarity sketches, banding, and an exact check on the whole sets.
 
-A document's set holds its distinct two-word shingles. Its sketch has ``COORDINATES``
+A document's set holds its distinct shingles of ``words`` words, two if nothing else is said. Its sketch has ``COORDINATES``
 places. In each of the first rounds every shingle is hashed into one place with a
 value that grows with the round, and a place keeps its smallest; in the later rounds the
 places that are still empty are filled one after another with the set's smallest hash.
@@ -21,7 +21,7 @@ copies only those pairs are that also share rare shingles. Joins on a bucket, a
 shingle or a class are ones that Spark splits if they are hot.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and are
-linked with nothing; a text with one word is a set of that word; a null id is larger than all
+linked with nothing; a text with fewer words than a shingle is a set of all its words in a row; a null id is larger than all
 others; rows that repeat an id are one document, whose row goes with its own set; an
 empty table gives an empty result.
 """
@@ -43,6 +43,8 @@ from tablesync.session import run_folder
 BANDS, ROWS = 40, 6
 COORDINATES = BANDS * ROWS
 SHARE = 80  # per cent
+# Words of a shingle by op9's contract.
+WORDS = 2
 
 ONE, TWO, PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 IS_WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -57,7 +59,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * ONE)
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def _in_a_row(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` neighbouring words."""
+    count = max(0, len(words) - width + 1)
+    out = words[:count]
+    for i in range(1, width):
+        out = _mixed(out * ONE + words[i : i + count] * PAIR)
+    return out
+
+
+def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingles of every text as 64-bit hashes."""
     data = np.frombuffer(b"\n" + b"\n".join(texts).lower() + b"\n", np.uint8)
     ends = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -72,14 +83,14 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     first = np.cumsum(sizes) - sizes
     within = np.arange(len(place)) - np.repeat(first, sizes)
     words = _mixed(np.add.reduceat(BYTES[data[place]] * powers[within], first) + sizes.astype(np.uint64))
-    pairs = np.append(_mixed(words[:-1] * ONE + words[1:] * PAIR), np.uint64(0))
+    shingles = _in_a_row(words, width)
     bounds = np.searchsorted(starts, ends)
     sets = []
     for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if j - i == 1:
-            sets.append(_mixed(words[i:j] + PAIR))
+        if 0 < j - i < width:
+            sets.append(_mixed(_in_a_row(words[i:j], j - i) + PAIR))
         else:
-            sets.append(np.unique(pairs[i : max(i, j - 1)]))
+            sets.append(np.unique(shingles[i : max(i, j - width + 1)]))
     return sets
 
 
@@ -109,53 +120,60 @@ def band_keys(places: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signatures(batches: Iterator) -> Iterator:
-    import pyarrow as pa
+def _signatures(words: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+            sizes, names, keys = [], [], []
+            for part in chunks(texts):
+                for items in shingle_sets(texts[part], words):
+                    sizes.append(len(items))
+                    names.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
+                    keys.append(band_keys(sketch(items)) if len(items) else [])
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            columns = [pa.array(c, k) for c, k in zip((sizes, names, keys), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "c", "keys"])
 
-    for batch in slices(batches):
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-        sizes, names, keys = [], [], []
-        for part in chunks(texts):
-            for items in shingle_sets(texts[part]):
-                sizes.append(len(items))
-                names.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
-                keys.append(band_keys(sketch(items)) if len(items) else [])
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64())]
-        columns = [pa.array(c, k) for c, k in zip((sizes, names, keys), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "c", "keys"])
+    return run
 
 
-def _similar(batches: Iterator) -> Iterator:
+def _similar(words: int):
     """The pairs of texts whose sets are similar; the second text comes many times in a row."""
-    import pyarrow as pa
-
-    last, items = None, None
-    for batch in slices(batches):
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        links = []
-        for part in chunks(left):
-            sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in left[part]])
-            for x, y, one, text in zip(a[part], b[part], sets, right[part], strict=True):
-                if y != last:
-                    last, items = y, shingle_sets([text.encode("utf-8", "surrogatepass")])[0]
-                common = len(np.intersect1d(one, items, assume_unique=True))
-                if 100 * common >= SHARE * (len(one) + len(items) - common):
-                    links.append((x, y))
-        columns = [pa.array([link[i] for link in links], pa.binary()) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        last, items = None, None
+        for batch in slices(batches):
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            links = []
+            for part in chunks(left):
+                sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in left[part]], words)
+                for x, y, one, text in zip(a[part], b[part], sets, right[part], strict=True):
+                    if y != last:
+                        last, items = y, shingle_sets([text.encode("utf-8", "surrogatepass")], words)[0]
+                    common = len(np.intersect1d(one, items, assume_unique=True))
+                    if 100 * common >= SHARE * (len(one) + len(items) - common):
+                        links.append((x, y))
+            columns = [pa.array([link[i] for link in links], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return run
 
 
 def _sizes_fit(n: str, m: str) -> Column:
     return (100 * F.least(n, m) >= SHARE * F.greatest(n, m)).alias("_fit")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     folder = run_folder(docs.sparkSession, "near-dedup")
     rows = docs.select(whole_id(id_col).alias("id"), whole_text(text_col).alias("text"))
     signed = stored(
-        rows.mapInArrow(_signatures, "id long, n long, c binary, keys array<long>"), f"{folder}/signed"
+        rows.mapInArrow(_signatures(words), "id long, n long, c binary, keys array<long>"), f"{folder}/signed"
     )
     of_class = signed.where("n > 0").groupBy("c")
     classes = of_class.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -168,13 +186,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # The texts of one document for each class that shares a bucket. An id may have other texts, of other classes.
     needed = members.select("c").distinct().join(classes.select("c", "rep"), "c")
     texts = rows.join(needed, rows["id"].eqNullSafe(needed["rep"])).select("c", "text")
-    texts = texts.mapInArrow(_own_class, "c binary, text string").groupBy("c").agg(F.first("text").alias("text"))
+    texts = texts.mapInArrow(_own_class(words), "c binary, text string").groupBy("c").agg(F.first("text").alias("text"))
     texts = stored(texts, f"{folder}/texts")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         left = pairs.join(texts.select(F.col("c").alias("a"), F.col("text").alias("left")), "a")
         both = left.join(texts.select(F.col("c").alias("b"), F.col("text").alias("right")), "b")
-        return stored(both.select("a", "b", "left", "right").mapInArrow(_similar, "a binary, b binary"), f"{folder}/{name}")
+        return stored(both.select("a", "b", "left", "right").mapInArrow(_similar(words), "a binary, b binary"), f"{folder}/{name}")
 
     # First one centre for each class: the smallest class of its buckets.
     centres = members.groupBy("key").agg(F.min(F.struct("c", "n")).alias("z"))
@@ -194,7 +212,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if not placed.head(1):
             break
         if turn == 3:
-            pairs = _reachable(placed.select("c", "n", "root").distinct(), texts, f"{folder}/first-common")
+            pairs = _reachable(placed.select("c", "n", "root").distinct(), texts, words, f"{folder}/first-common")
         else:
             drawn = F.struct(F.xxhash64("c", "key").alias("o"), "c", "n", "root")
             other = placed.groupBy("key").agg(F.min(drawn).alias("z"))
@@ -221,13 +239,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _reachable(classes: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+def _reachable(classes: DataFrame, texts: DataFrame, words: int, path: str) -> DataFrame:
     """Pairs of classes (``c``, ``z``) of different roots that may be similar, by their first common shingle.
 
     Any order of the shingles that all classes share would do; the rare ones first leaves the fewest pairs.
     """
     classes = classes.withColumn("o", F.xxhash64("c"))
-    items = classes.select("c", "o").join(texts, "c").select("o", "text").mapInArrow(_shingle_rows, "o long, h long")
+    items = classes.select("c", "o").join(texts, "c").select("o", "text").mapInArrow(_shingle_rows(words), "o long, h long")
     often = items.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     known = items.join(dealt_anew(often, "h"), "h").groupBy("o").agg(
         F.sort_array(F.collect_list(F.struct("k", "h"))).alias("common")
@@ -252,34 +270,41 @@ def _reachable(classes: DataFrame, texts: DataFrame, path: str) -> DataFrame:
     return small.join(dealt_anew(others, "h"), "h").where("root <> z.root").where(reach).where(_sizes_fit("n", "z.n"))
 
 
-def _shingle_rows(batches: Iterator) -> Iterator:
-    import pyarrow as pa
+def _shingle_rows(words: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            owners, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for part in chunks(texts):
+                sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]], words)
+                rows = [np.repeat(owners[part], [len(s) for s in sets]), np.concatenate(sets).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["o", "h"])
 
-    for batch in slices(batches):
-        owners, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        for part in chunks(texts):
-            sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]])
-            rows = [np.repeat(owners[part], [len(s) for s in sets]), np.concatenate(sets).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["o", "h"])
+    return run
 
 
-def _own_class(batches: Iterator) -> Iterator:
+def _own_class(words: int):
     """The rows whose text is of the class it was asked for."""
-    import pyarrow as pa
 
-    for batch in slices(batches):
-        names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        fits = []
-        for part in chunks(texts):
-            sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]])
-            found = (hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-            fits += [x == y for x, y in zip(names[part], found, strict=True)]
-        yield batch.filter(pa.array(fits, pa.bool_()))
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            fits = []
+            for part in chunks(texts):
+                sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]], words)
+                found = (hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
+                fits += [x == y for x, y in zip(names[part], found, strict=True)]
+            yield batch.filter(pa.array(fits, pa.bool_()))
+
+    return run
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that stay, one document for each group, with all of their columns."""
     # A name that none of the columns has.
     name = "_kept" + "_" * max(map(len, docs.columns))
-    kept = near_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    kept = near_groups(docs, id_col, text_col, words).where("kept").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(kept, whole_id(id_col).eqNullSafe(F.col(name))).select(*[F.col(f"`{c}`") for c in docs.columns])

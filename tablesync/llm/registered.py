@@ -51,7 +51,7 @@ def op8_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2)
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,13 @@ import collections
 import hashlib
 import math
 import random
+import sys
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablesync.llm import graph, kd_search, near_dedup, suffix_dedup
 
 
@@ -53,6 +55,32 @@ def test_near_groups(docs, raw, no_docs):
     assert near_dedup.near_groups(no_docs).count() == 0
 
 
+def five_words(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(zip(*(words[i:] for i in range(5)), strict=False)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
+
+
+def test_near_groups_of_five_words(docs, raw, monkeypatch):
+    monkeypatch.setattr(sys.modules[__name__], "shingles", five_words)
+    got = collections.Counter(map(tuple, near_dedup.near_groups(docs, words=5).collect()))
+    assert got == expected(raw)
+
+
+def test_the_pipeline_takes_five_words(spark):
+    """Of 200 words ten single ones differ: 0.817 alike by two words, 0.593 by five; four differ: 0.815 by five."""
+    words = [f"w{i}" for i in range(200)]
+    ten, four = list(words), [f"v{i}" for i in range(200)]
+    for i in range(10):
+        ten[10 + 20 * i] = f"x{i}"
+    other = list(four)
+    for i in range(4):
+        other[20 + 50 * i] = f"y{i}"
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate((words, ten, four, other))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in near_dedup.keep_one(frame, words=2).collect()) == [0, 2]
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near dedup"](spark, frame, "").collect()) == [0, 1, 2]
+
+
 def test_near_keep_one(docs, raw):
     kept = near_dedup.keep_one(docs)
     assert kept.schema.simpleString() == docs.schema.simpleString()
