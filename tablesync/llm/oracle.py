@@ -94,4 +94,85 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+# The CRC-32 of a list of bytes, by a table of 256 remainders; op11 and op12 choose by it.
+CRC = """crc AS MATERIALIZED (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+)"""
+CRC_OF = "xor(list_reduce({data}, lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295)"
+BYTES_OF = (
+    "flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN c = '' THEN []::BIGINT[] "
+    "WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))"
+)
+
+OP11 = f"""
+WITH {CRC}, r AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(concat(CAST(length(coalesce(role, '')) AS VARCHAR), ':', coalesce(role, ''), coalesce(text, '')))) AS pos,
+    {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS u
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(u ORDER BY pos) AS own FROM r GROUP BY conv_id
+), h AS (
+  SELECT conv_id, own, {CRC_OF.format(data=BYTES_OF.format(text="CAST(conv_id AS VARCHAR)"))} % 6 AS h FROM c, crc
+), n AS (
+  SELECT h.conv_id, list_concat(coalesce(b.own[:h], []), h.own[h + 1:]) AS turns
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 100
+), m AS (
+  SELECT conv_id, d AS depth, turns[:d] AS prefix, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM n)
+), g AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * length(prefix[depth].t) ELSE 0 END AS own
+  FROM m GROUP BY prefix, depth
+), k AS (
+  SELECT prefix[:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL
+), f AS (
+  SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k USING (prefix, depth)
+), s AS (
+  SELECT prefix[:d] AS prefix, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved_tokens
+  FROM (SELECT prefix, depth, own, n_children, unnest(range(depth + 1)) AS d FROM f) GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (prefix, depth) LEFT JOIN g p ON f.depth > 0 AND p.depth = f.depth - 1 AND p.prefix = f.prefix[:f.depth - 1]
+"""
+
+OP12 = f"""
+WITH RECURSIVE {CRC}, r AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+  ) GROUP BY ALL
+), h AS (
+  SELECT run, times, {CRC_OF.format(data=BYTES_OF.format(text="concat(CAST(doc_id AS VARCHAR), ':', run)"))} AS h FROM r, crc
+), v AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 199 = 0
+      THEN concat(substring(run, 1, h % length(run)), substring(run, h % length(run) + 2)) ELSE run END AS word
+    FROM h
+  ) GROUP BY word HAVING length(word) >= 6 AND n >= 5
+), d AS (
+  SELECT word, n, i, concat(substring(word, 1, i - 1), substring(word, i + 1)) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+), p AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, d.n, v.word, v.n FROM d JOIN v ON d.rest = v.word
+  UNION SELECT v.word, v.n, d.word, d.n FROM d JOIN v ON d.rest = v.word
+), b AS (
+  SELECT word, n, count(*) AS n_near, min({{'m': -other_n, 'w': other}}) AS best FROM p GROUP BY word, n
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best.m >= 5 * v.n THEN best.w END AS form, CASE WHEN -best.m >= 5 * v.n THEN -best.m END AS form_n
+  FROM v LEFT JOIN b USING (word)
+), t AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON f.word = t.next
+)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t USING (word) WHERE t.next IS NULL
+"""
+
 ORACLE = {"op4_exact_dedup": OP4, "op5_secret_scan": _op5(), "op7_line_dedup": OP7, "op8_kd_search": OP8}
+ORACLE |= {"op11_prefix_trie": OP11, "op12_spelling_variants": OP12}

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import exact_dedup, kd_search, line_dedup, mixing, near_dedup, packing, secrets, suffix_dedup, token_counts, toxicity
+from tablesync.llm import (
+    exact_dedup,
+    kd_search,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    prefix_trie,
+    secrets,
+    spelling,
+    suffix_dedup,
+    swap_packing,
+    token_counts,
+    toxicity,
+)
 from tablesync.llm.common import table
 from tablesync.llm.oracle import ORACLE
 from tablesync.session import run_folder
@@ -68,6 +82,19 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swap_packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +108,9 @@ QUERIES = {
         op8_kd_search,
         op9_near_dedup,
         op10_curriculum_mix,
+        op11_prefix_trie,
+        op12_spelling_variants,
+        op13_swap_packing,
     )
 }
 
