@@ -19,10 +19,11 @@ import numpy as np
 WORD_FILE = "word_bpe_49k.json"
 # Characters of a text that are encoded at once, and words kept per worker. Memory only, ids don't depend on them.
 PART = 1 << 20
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
 # Ranges in which letters, numbers, white space and lower case agree with the tokenizer, one at a time and joined.
 SAME_CLASSES = ((0x0, 0x130), (0x131, 0x180), (0x4E00, 0x9FA6))
-# The pattern's contractions.
+# The mark of a token that ends a word, and the pattern's contractions.
+WORD_END = "</w>"
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 
@@ -63,6 +64,18 @@ def parts(text: str, most: int = PART) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class _Slots(dict):
+    """Words and their numbers; a word that is asked for and not there gets the next number and is put down as new."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = at = len(self)
+        return at
+
+
 class WordTokenizer:
     """Ids of texts by the tokenizer in ``path``; one per worker process (see ``word_tokenizer``)."""
 
@@ -73,27 +86,32 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.words, self.odd = _patterns()
+        # Every word's last token, and no other, is one that ends a word.
+        size, ends = self.whole.get_vocab_size(), [i for t, i in self.whole.get_vocab().items() if t.endswith(WORD_END)]
+        self.ends = np.zeros(size, bool)
+        self.ends[ends] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.slots = _Slots()
         self.first = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int64)
         self.pool = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
-        ids = [self.whole.encode(w, add_special_tokens=False).ids for w in words]
-        at, need = len(self.slots), self.used + sum(map(len, ids))
+    def _learn(self) -> None:
+        words, self.slots.new = self.slots.new, []
+        ids = np.array(self.whole.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        at, need = len(self.slots) - len(words), self.used + len(ids)
         while len(self.first) < at + len(words):
             self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
         while len(self.pool) < need:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        for i, (word, own) in enumerate(zip(words, ids, strict=True), at):
-            self.slots[word] = i
-            self.first[i], self.count[i] = self.used, len(own)
-            self.pool[self.used : self.used + len(own)] = own
-            self.used += len(own)
+        self.pool[self.used : need] = ids
+        self.count[at : at + len(words)] = sizes = np.diff(stops, prepend=0)
+        self.first[at : at + len(words)] = self.used + stops - sizes
+        self.used = need
 
     def _part(self, text: str) -> np.ndarray:
         if self.odd.search(text) or any(t in text for t in self.added):
@@ -101,14 +119,11 @@ class WordTokenizer:
         words = self.words.findall(text.lower())
         if not words:
             return np.zeros(0, np.uint32)
-        get = self.slots.get
-        slots = list(map(get, words))
-        if None in slots:
-            if len(self.slots) > CACHE_WORDS:
-                self._forget()
-            self._learn([w for w in dict.fromkeys(words) if w not in self.slots])
-            slots = list(map(self.slots.get, words))
-        at = np.array(slots, np.int64)
+        if len(self.slots) > CACHE_WORDS:
+            self._forget()
+        at = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        if self.slots.new:
+            self._learn()
         sizes = self.count[at]
         before = np.cumsum(sizes) - sizes
         return self.pool[np.repeat(self.first[at] - before, sizes) + np.arange(sizes.sum())]
