@@ -149,7 +149,7 @@ def table_specs(ddls: DataFrame, targets: dict[str, str] | None = None) -> dict[
         raise ValueError(f"several definitions of {sorted(twice)}: choose one database")
     lost = [r.table_name for r in tables_without_key(ddls).collect()]
     if lost:
-        raise ValueError(f"no primary key in {sorted(lost)}")
+        raise ValueError("; ".join(f"table {name} has no primary key" for name in sorted(lost)))
     columns: dict[str, list] = {}
     for row in spec_rows(ddls).orderBy("table_name", "idx").collect():
         columns.setdefault(row.table_name, []).append(row)

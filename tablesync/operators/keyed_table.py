@@ -15,6 +15,14 @@ the time of their write (``_write``) for changes at one position, and a tombston
 (``_deleted``), so the result does not depend on how the log was cut into batches
 or in which order they came, and of writes at one position the last wins.
 
+A delete by condition is a range tombstone: a commit with a condition, a position and no rows. The last
+change of a key that is older and meets the condition counts as deleted, also one that arrives after the
+commit. It stays a row with its own position, so an older change of its key cannot come back, and a
+change between it and the tombstone that does not meet the condition still wins. A truncation is the tombstone without a condition.
+
+A table may be opened with another schema than it was written with: columns that a file does
+not have are NULL, those that are not asked for are not read.
+
 ``compact`` folds the log folders into one, or writes a new base. Its commit lists the
 commits it covers. A commit that it does not list counts whenever it was written, so a
 writer may take as long as it likes while others compact. Files that no commit needs any more
@@ -59,11 +67,13 @@ COMMIT_GRACE_SECONDS = 3600
 class TableState:
     """What the commits say. Bounded by the batches since the last compaction."""
 
+    fields: tuple[str, ...] = ()
     exists: bool = False
     number: int = 0
     files: list[str] = field(default_factory=list)
     base: dict | None = None
     logs: list[dict] = field(default_factory=list)
+    ranges: list[dict] = field(default_factory=list)
     last_by_label: dict[str, dict] = field(default_factory=dict)
     last_seq: dict | None = None
     last_write: int = 0
@@ -71,11 +81,14 @@ class TableState:
     def add(self, commit: dict) -> None:
         if commit["kind"] != "log":
             return
-        self.logs.append({k: commit[k] for k in ("folder", "first_seq", "last_seq")})
+        if commit["folder"]:
+            self.logs.append({k: commit.get(k) for k in ("folder", "first_seq", "last_seq", "form")})
+        for i, r in enumerate(commit.get("ranges") or ()):
+            self.ranges.append({**r, "write": commit["write"], "id": f"{commit['label']}/{commit['batch_id']}/{i}"})
         known = self.last_by_label.get(commit["label"])
         if known is None or commit["batch_id"] > known["batch_id"]:
             self.last_by_label[commit["label"]] = commit
-        if _after(commit["last_seq"], self.last_seq):
+        if self.after(commit["last_seq"], self.last_seq):
             self.last_seq = commit["last_seq"]
         self.last_write = max(self.last_write, commit["write"])
 
@@ -85,12 +98,21 @@ class TableState:
         if self.base is None or self.base["last_seq"] is None:
             return False
         first = [log["first_seq"] for log in self.logs if log["first_seq"] is not None]
-        return any(not _after(seq, self.base["last_seq"]) for seq in first)
+        return any(not self.after(seq, self.base["last_seq"]) for seq in first)
+
+    @property
+    def pending(self) -> list[dict]:
+        """Range tombstones that the base's rows have not met."""
+        applied = set((self.base or {}).get("applied", ()))
+        return [r for r in self.ranges if r["id"] not in applied]
 
+    def place(self, seq: dict) -> tuple:
+        """A position as commits hold it, in order; a field it was written without counts as 0."""
+        return tuple(seq.get(name, 0) for name in self.fields)
 
-def _after(a: dict | None, b: dict | None) -> bool:
-    """Whether position ``a`` is later than ``b``."""
-    return a is not None and (b is None or tuple(a.values()) > tuple(b.values()))
+    def after(self, a: dict | None, b: dict | None) -> bool:
+        """Whether position ``a`` is later than ``b``."""
+        return a is not None and (b is None or self.place(a) > self.place(b))
 
 
 class KeyedTable:
@@ -133,11 +155,12 @@ class KeyedTable:
                 raise
             return self.state()
         done = [(c["number"], f) for f, c in self._commits.items() if c["kind"] == "compaction"]
-        state, covered = TableState(exists=bool(files), files=files), set()
+        state, covered = TableState(tuple(self.seq_type.names), exists=bool(files), files=files), set()
         if done:
             newest = self._commits[max(done)[1]]
             covered = set(newest["covers"])
             state.number, state.base, state.logs = newest["number"], newest["base"], list(newest["logs"])
+            state.ranges = list(newest.get("ranges", ()))
             state.last_by_label = dict(newest["labels"])
             state.last_seq, state.last_write = newest["last_seq"], newest["last_write"]
         for f in files:
@@ -167,27 +190,26 @@ class KeyedTable:
     # -- write ---------------------------------------------------------------
 
     def apply(
-        self, changes: DataFrame, label: str, batch_id: int, before_commit: Callable[[], dict] | None = None
+        self,
+        changes: DataFrame,
+        label: str,
+        batch_id: int,
+        before_commit: Callable[[], dict] | None = None,
+        truncated_at: dict | None = None,
     ) -> dict:
         """Apply rows with the table's columns, ``_op`` (upsert or delete) and ``_seq``.
 
         The batch ids of a label must grow: one that is not above the last applied
         is skipped, so a restarted query may repeat its last batch; a repeat of the
         last one returns what its commit says. ``before_commit`` is called once the rows
-        are written; what it returns is kept in the commit as ``notes``.
+        are written; what it returns is kept in the commit as ``notes``. ``truncated_at`` is the
+        position of a truncation in the batch.
         """
         state = self.state()
-        known = state.last_by_label.get(label)
-        if known is not None and batch_id <= known["batch_id"]:
-            told = known if batch_id == known["batch_id"] else {}
-            return {
-                "upserts": told.get("upserts", 0),
-                "deletes": told.get("deletes", 0),
-                "skipped": True,
-                "notes": told.get("notes"),
-            }
+        if (skipped := _skipped(state, label, batch_id)) is not None:
+            return skipped
 
-        write = max(int(time.time() * 1e6), state.last_write + 1)
+        write = self._next_write(state)
         rows = latest_per_key(self._stored(changes, write), self.keys, "_seq")
         # Counted behind the last shuffle, where a task that is run again counts once.
         counts = Observation()
@@ -202,26 +224,65 @@ class KeyedTable:
         rows.write.parquet(f"{self.path}/{folder}")
 
         seen = counts.get
-        notes = before_commit() if before_commit else None
-        done = {"upserts": seen["upserts"] or 0, "deletes": seen["deletes"] or 0}
-        self._commit(
-            {
-                "kind": "log",
-                "label": label,
-                "batch_id": batch_id,
-                "folder": folder,
-                **done,
-                "first_seq": _json_position(seen["first_seq"]),
-                "last_seq": _json_position(seen["last_seq"]),
-                "write": write,
-                "notes": notes,
-            }
+        return self.commit_log(
+            state,
+            label,
+            batch_id,
+            write,
+            folder=folder,
+            upserts=seen["upserts"] or 0,
+            deletes=seen["deletes"] or 0,
+            first_seq=_json_position(seen["first_seq"]),
+            last_seq=_json_position(seen["last_seq"]),
+            notes=before_commit() if before_commit else None,
+            ranges=[] if truncated_at is None else [{"condition": None, "seq": truncated_at}],
         )
-        return {**done, "skipped": False, "notes": notes}
+
+    def commit_log(self, state: TableState, label: str, batch_id: int, write: int, **what) -> dict:
+        """Make a batch count whose rows, if it has any, are written."""
+        places = [what["last_seq"], *(r["seq"] for r in what["ranges"])]
+        for seq in places:
+            what["last_seq"] = seq if state.after(seq, what["last_seq"]) else what["last_seq"]
+        self._commit({"kind": "log", "label": label, "batch_id": batch_id, "write": write, **what})
+        return {"upserts": what["upserts"], "deletes": what["deletes"], "skipped": False, "notes": what["notes"]}
+
+    def delete_where(self, condition: str, label: str, batch_id: int, position: dict | None = None) -> dict:
+        """Delete the rows that meet a condition, SQL over the table's columns, as they stand at a log position.
+
+        ``position`` is the last one the table has seen, if none is given. The commit reads and writes no
+        row; changes that are newer than the position stay, older ones that arrive late are judged as well.
+        """
+        test = self.spark.createDataFrame([], self.schema).select(F.expr(condition).alias("test"))
+        if test.schema["test"].dataType != T.BooleanType():
+            raise ValueError(f"{condition} is no condition")
+        return self._delete_range(condition, label, batch_id, position)
+
+    def truncate(self, label: str, batch_id: int, position: dict | None = None) -> dict:
+        """Delete all rows as they stand at a log position, see ``delete_where``."""
+        return self._delete_range(None, label, batch_id, position)
+
+    def _delete_range(self, condition: str | None, label: str, batch_id: int, position: dict | None) -> dict:
+        state = self.state()
+        if (skipped := _skipped(state, label, batch_id)) is not None:
+            return skipped
+        seq = self._full_position(position, state)
+        none = dict.fromkeys(("folder", "first_seq", "last_seq", "notes"))
+        ranges = [{"condition": condition, "seq": seq}]
+        return self.commit_log(state, label, batch_id, self._next_write(state), **none, upserts=0, deletes=0, ranges=ranges)
+
+    def _next_write(self, state: TableState) -> int:
+        return max(int(time.time() * 1e6), state.last_write + 1)
+
+    def _full_position(self, at: dict | None, state: TableState) -> dict:
+        """A position with all fields: that of the last epoch, if it names none, and 0 for what is missing."""
+        last = state.last_seq or {}
+        at = at or last
+        at = {**({"epoch": last.get("epoch", 0)} if "epoch" in self.seq_type.names else {}), **at}
+        return {f.name: at.get(f.name, 0 if isinstance(f.dataType, T.NumericType) else None) for f in self.seq_type.fields}
 
     def position(self, at: dict | None = None) -> Column:
         """``_seq`` for rows without one: the given position, or the last one the table has seen."""
-        at = at or self.state().last_seq or {}
+        at = self._full_position(at, self.state())
         fields = [F.lit(at.get(f.name)).cast(f.dataType) for f in self.seq_type.fields]
         zero = [F.lit(0).cast(f.dataType) if isinstance(f.dataType, T.NumericType) else F.lit(None) for f in self.seq_type.fields]
         return F.struct(
@@ -237,9 +298,40 @@ class KeyedTable:
             value = value if f.name in self.keys else F.when(~gone, value)
             columns.append(value.cast(f.dataType).alias(f.name))
         no_position = F.raise_error(F.lit(f"a change of {self.path} has no position")).cast(self.seq_type)
-        seq = F.coalesce(F.col("_seq").cast(self.seq_type), no_position)
+        seq = F.coalesce(self._place(changes), no_position)
         return changes.select(*columns, seq.alias("_seq"), F.lit(write).alias("_write"), gone.alias("_deleted"))
 
+    def _place(self, rows: DataFrame) -> Column:
+        """``_seq`` in the table's type; a field that it was written without is 0."""
+        given = rows.schema["_seq"].dataType
+        if given == self.seq_type or not isinstance(given, T.StructType) or set(given.names) - set(self.seq_type.names):
+            value = F.col("_seq").cast(self.seq_type)
+        else:
+            fields = []
+            for f in self.seq_type.fields:
+                value = F.col(f"_seq.{f.name}") if f.name in given.names else F.lit(0)
+                fields.append(value.cast(f.dataType).alias(f.name))
+            value = F.when(F.col("_seq").isNotNull(), F.struct(*fields))
+        if "epoch" in self.seq_type.names:
+            # Rows written before there were epochs.
+            value = value.withField("epoch", F.coalesce(value["epoch"], F.lit(0).cast("bigint")))
+        return value
+
+    def _marked(self, rows: DataFrame, ranges: list[dict]) -> DataFrame:
+        """Rows that a range tombstone covers as deletes, at their own positions."""
+        if not ranges:
+            return rows
+        order, tests = F.struct("_seq", "_write"), []
+        for r in ranges:
+            seq = F.struct(*[F.lit(r["seq"].get(f.name, 0)).cast(f.dataType).alias(f.name) for f in self.seq_type.fields])
+            older = order < F.struct(seq.alias("_seq"), F.lit(r["write"]).cast("bigint").alias("_write"))
+            tests.append(older & (F.coalesce(F.expr(r["condition"]), F.lit(False)) if r["condition"] else F.lit(True)))
+        gone = F.col("_deleted") | reduce(lambda a, b: a | b, tests)
+        rest = [f.name for f in self.schema.fields if f.name not in self.keys]
+        # The test is made before the columns it reads are emptied.
+        rows = rows.withColumn("_gone", gone)
+        return rows.withColumns({**{n: F.when(~F.col("_gone"), F.col(f"`{n}`")) for n in rest}, "_deleted": F.col("_gone")}).drop("_gone")
+
     # -- read ----------------------------------------------------------------
 
     def read(self, with_deleted: bool = False) -> DataFrame:
@@ -252,8 +344,8 @@ class KeyedTable:
     def _merged(self, state: TableState, partitions: int | None = None) -> DataFrame:
         log, base = self._log(state, partitions), self._base(state)
         if base is None or log is None:
-            rows = log if base is None else base
-            return self.spark.createDataFrame([], self._stored_schema()) if rows is None else rows
+            rows, ranges = (log, state.ranges) if base is None else (base, state.pending)
+            return self.spark.createDataFrame([], self._stored_schema()) if rows is None else self._marked(rows, ranges)
 
         names = [f"_key{i}" for i in range(len(self.keys))]
         placed = [F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)]
@@ -268,6 +360,7 @@ class KeyedTable:
             # A second scan of the base, for its keys and positions only.
             late = base.select(*self.keys, "_seq", "_write").join(logged, same).where(order > F.col("_at"))
             log = log.join(late.select(*self.keys), self.keys, "left_anti")
+        kept, log = self._marked(kept, state.pending), self._marked(log, state.ranges)
         return kept.unionByName(log).select(*self._stored_schema().names)
 
     def _log(self, state: TableState, partitions: int | None = None) -> DataFrame | None:
@@ -276,6 +369,7 @@ class KeyedTable:
             return None
         folders = [f"{self.path}/{log['folder']}" for log in state.logs]
         rows = self.spark.read.schema(self._stored_schema()).parquet(*folders)
+        rows = rows.withColumn("_seq", self._place(rows))
         if partitions:
             rows = rows.repartition(partitions, *self.keys)
         # One folder has one row per key.
@@ -284,15 +378,28 @@ class KeyedTable:
     def _base(self, state: TableState) -> DataFrame | None:
         if state.base is None:
             return None
-        name = self._base_name(state.base["folder"])
+        name, place = self._base_name(state.base["folder"]), f"{self.path}/{state.base['folder']}"
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored_schema())
+            # The schema it was written with, which need not be the one it is read with.
+            written = T.StructType.fromJson(state.base["schema"]) if "schema" in state.base else self.spark.read.parquet(place).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written)
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {state.base['buckets']} BUCKETS LOCATION '{self.path}/{state.base['folder']}'"
+                f"SORTED BY ({keys}) INTO {state.base['buckets']} BUCKETS LOCATION '{place}'"
             )
-        return self.spark.table(name)
+        rows = self.spark.table(name)
+        present, columns = {f.name: f.dataType for f in rows.schema.fields}, []
+        for f in self._stored_schema().fields:
+            if f.name == "_seq":
+                value = self._place(rows)
+            elif f.name not in present:
+                value = F.lit(None).cast(f.dataType)
+            else:
+                value = F.col(f"`{f.name}`")
+                value = value if present[f.name] == f.dataType else value.cast(f.dataType)
+            columns.append(value.alias(f.name))
+        return rows.select(*columns)
 
     def _base_name(self, folder: str) -> str:
         return f"tablesync_base_{hashlib.md5(f'{self.path}/{folder}'.encode()).hexdigest()[:24]}"
@@ -307,17 +414,17 @@ class KeyedTable:
         """The same rows in fewer files; says whether there was a log.
 
         ``full`` writes a new base, else the log folders are folded into one; left
-        open, the log's share of the bytes decides. Tombstones stay, so that a late older event
-        cannot bring a row back; ``drop_deleted`` removes them in a full run, once no
+        open, the log's share of the bytes decides. Tombstones stay, those of ranges too, so that a late older
+        event cannot bring a row back; ``drop_deleted`` removes them in a full run, once no
         older event can arrive any more. Streams and back-fills go on meanwhile.
         """
         state = self.state()
-        if not state.logs:
+        if not state.logs and not (state.pending and state.base and full is not False):
             return False
         log_bytes = sum(folder_size(self.spark, f"{self.path}/{log['folder']}") for log in state.logs)
         base_bytes = 0 if state.base is None else folder_size(self.spark, f"{self.path}/{state.base['folder']}")
         if full is None:
-            full = state.base is None or drop_deleted or log_bytes >= self.rewrite_share * base_bytes
+            full = state.base is None or drop_deleted or not state.logs or log_bytes >= self.rewrite_share * base_bytes
 
         name = f"{state.number + 1}-{uuid.uuid4().hex[:8]}"
         base, logs = state.base, []
@@ -336,12 +443,16 @@ class KeyedTable:
                 .option("path", f"{self.path}/{folder}")
                 .saveAsTable(self._base_name(folder))
             )
-            base = {"folder": folder, "buckets": count, "last_seq": state.last_seq}
+            if drop_deleted:
+                state.ranges = []
+            schema = json.loads(self._stored_schema().json())
+            applied = [r["id"] for r in state.ranges]
+            base = {"folder": folder, "buckets": count, "last_seq": state.last_seq, "schema": schema, "applied": applied}
         else:
             folder = f"log/folded-{name}"
             self._log(state).write.parquet(f"{self.path}/{folder}")
             first = [log["first_seq"] for log in state.logs if log["first_seq"] is not None]
-            least = min(first, key=lambda s: tuple(s.values())) if first else None
+            least = min(first, key=state.place) if first else None
             logs = [{"folder": folder, "first_seq": least, "last_seq": state.last_seq}]
         self._commit(
             {
@@ -350,6 +461,7 @@ class KeyedTable:
                 "covers": state.files,
                 "base": base,
                 "logs": logs,
+                "ranges": state.ranges,
                 "labels": state.last_by_label,
                 "last_seq": state.last_seq,
                 "last_write": state.last_write,
@@ -389,6 +501,15 @@ class KeyedTable:
         return sorted(gone)
 
 
+def _skipped(state: TableState, label: str, batch_id: int) -> dict | None:
+    """What a batch's commit says, if the batch or a later one of its label is applied."""
+    known = state.last_by_label.get(label)
+    if known is None or batch_id > known["batch_id"]:
+        return None
+    told = known if batch_id == known["batch_id"] else {}
+    return {"upserts": told.get("upserts", 0), "deletes": told.get("deletes", 0), "skipped": True, "notes": told.get("notes")}
+
+
 def _json_position(seq) -> dict | None:
     if seq is None:
         return None

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tablesync.sources.change_events import action
 
 
-def classify(events: DataFrame, known_tables: list[str]) -> DataFrame:
-    """Add ``_action``: upsert, delete, quarantine, or ``unknown_table``."""
+def classify(events: DataFrame, known_tables: list[str], truncates: bool = False) -> DataFrame:
+    """Add ``_action``: upsert, delete, if wanted truncate, quarantine, or ``unknown_table``."""
     known = F.coalesce(F.col("table").isin(*known_tables), F.lit(False))
     return events.withColumn(
-        "_action", F.when(F.col("_bad").isNull() & ~known, "unknown_table").otherwise(action())
+        "_action", F.when(F.col("_bad").isNull() & ~known, "unknown_table").otherwise(action(truncates))
     )
 
 

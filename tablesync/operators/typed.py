@@ -22,8 +22,9 @@ def typed_rows(
     seq: Column | None = None,
     new_columns: str = "ignore",
     on_overflow: str = "quarantine",
+    keep: list[str] | tuple[str, ...] = (),
 ) -> DataFrame:
-    """The table's columns plus ``_op``, ``_seq`` and ``_bad``.
+    """The table's columns plus ``_op``, ``_seq`` and ``_bad``, and the columns ``keep`` of the events.
 
     A delete is read from the old image, anything else from the new one; both
     get the same conversions. ``_bad`` names why a row cannot be applied.
@@ -42,7 +43,7 @@ def typed_rows(
     wire = ", ".join(f"`{c.name}` {c.wire_type}" for c in spec.columns)
     position = binlog_position() if seq is None else seq
     rows = with_fields(
-        events, [action().alias("_op"), position.alias("_seq")], image, wire, corrupt="_bad_image"
+        events, [action().alias("_op"), position.alias("_seq"), *keep], image, wire, corrupt="_bad_image"
     )
     no_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in spec.keys])
     bad = (
@@ -62,7 +63,7 @@ def typed_rows(
             n: F.when(lost[n], F.raise_error(_cannot_hold(n)).cast(types[n])).otherwise(v) for n, v in values.items()
         }
     columns = [v.alias(n) for n, v in values.items()]
-    return mask_columns(rows.select(*columns, "_op", "_seq", bad.alias("_bad")), spec, rules)
+    return mask_columns(rows.select(*columns, "_op", "_seq", bad.alias("_bad"), *keep), spec, rules)
 
 
 def _cannot_hold(name: str) -> Column:

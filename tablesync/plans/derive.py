@@ -93,7 +93,9 @@ def epoch_day(ts: Column) -> Column:
     return F.unix_date(ts.cast("date"))
 
 
-def source(name: str | Column, file: Column, pos: Column, row: Column, ts_ms: Column) -> Column:
+def source(
+    name: str | Column, file: Column, pos: Column, row: Column, ts_ms: Column, server: Column | None = None
+) -> Column:
     return F.struct(
         F.lit("shop").alias("db"),
         (F.lit(name) if isinstance(name, str) else name).alias("table"),
@@ -101,7 +103,7 @@ def source(name: str | Column, file: Column, pos: Column, row: Column, ts_ms: Co
         file.alias("file"),
         pos.cast("bigint").alias("pos"),
         row.cast("bigint").alias("row"),
-        F.lit(1).alias("server_id"),
+        (F.lit(1) if server is None else server).alias("server_id"),
         F.lit("false").alias("snapshot"),
     )
 
@@ -110,25 +112,34 @@ def event(src: Column, op: Column, before: Column, after: Column) -> Column:
     return F.to_json(F.struct(src.alias("source"), op.alias("op"), before.alias("before"), after.alias("after")))
 
 
-def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_log(spark: SparkSession, sf_dir: str, takeover: str | None = None) -> DataFrame:
     """``events`` as the change log of a table keyed by user: signup creates, error deletes.
 
-    The log starts a new file every day; the offset is the microsecond of the day.
+    The log starts a new file every day; the offset is the microsecond of the day. From the day of ``takeover`` on
+    a second server writes, whose files are numbered from 1.
     """
     e = table(spark, sf_dir, "events")
     op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
     day = epoch_day(F.col("ts"))
+    second, since = F.lit(False), F.lit(0)
+    if takeover:
+        since = F.unix_date(F.lit(takeover).cast("date"))
+        second = day >= since
+    server = F.when(second, 2).otherwise(1)
     src = source(
         "users",
-        F.format_string("bin.%06d", day),
+        F.format_string("bin.%06d", F.when(second, day - since + 1).otherwise(day)),
         micros(F.col("ts")) - day.cast("bigint") * 86_400_000_000,
         F.col("event_id"),
         millis(F.col("ts")),
+        server,
     )
     after = F.struct("user_id", "event_id", "event_type", "value", micros(F.col("ts")).alias("ts"))
     return e.select(
         event(src, op, F.when(op != "c", F.struct("user_id")), F.when(op != "d", after)).alias("value"),
         op.alias("op"),
+        server.alias("server"),
+        "event_id",
     )
 
 
@@ -156,6 +167,35 @@ def shop_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STATES = TableSpec(
+    "states",
+    "ods_shop_states",
+    ("o_orderkey",),
+    (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("o_orderstatus"), ColumnSpec("o_orderpriority")),
+)
+
+
+def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of ``orders``: created as they are, two thirds updated, a fifth deleted; old images are whole."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    updated = F.when(F.col("o_custkey") % 2 == 0, "O").otherwise("C")
+
+    def image(status: Column) -> Column:
+        return F.struct("o_orderkey", status.alias("o_orderstatus"), "o_orderpriority")
+
+    first, second = image(F.col("o_orderstatus")), image(updated)
+    last = F.when(key % 3 != 0, second).otherwise(first)
+    none = F.lit(None).cast("struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>")
+    parts = []
+    for step, (op, rows, before, after) in enumerate(
+        (("c", o, none, first), ("u", o.where(key % 3 != 0), first, second), ("d", o.where(key % 5 == 0), last, none))
+    ):
+        src = source("states", F.lit("bin.000001"), key * 3 + step, F.lit(0), F.lit(1_700_000_000_000) + key)
+        parts.append(rows.select(event(src, F.lit(op), before, after).alias("value"), F.lit(op).alias("op")))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def catalog(spark: SparkSession, *specs: TableSpec) -> DataFrame:
     return spark.createDataFrame([(s.table, s.target) for s in specs], "table string, target string")
 

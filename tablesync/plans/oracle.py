@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tablesync.plans.derive import FILTER_CASES, ID_ONLY_TABLE, KEYWORDS
-from tablesync.plans.registered import SCOPE_START, SINCE
+from tablesync.plans.registered import CUT, SCOPE_START, SINCE
 
 OPS = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END"
 
@@ -218,6 +218,16 @@ SELECT 'part_' || e.p_partkey AS table_name, 'shop' AS db_name, coalesce(e.conne
 FROM entry e LEFT JOIN conn c ON e.connection_id = c.connection_id
 """
 
+ORDERS_TEXT = """
+  SELECT 'orders' AS tbl, o_orderkey AS pk, o_custkey || '|' || o_orderstatus || '|' || printf('%.2f', o_totalprice) || '|' ||
+    epoch_us(o_orderdate) || '|' || o_orderpriority AS detail FROM orders
+"""
+
+OPEN_STATES = """
+  SELECT o_orderkey, 'O ' || o_orderpriority AS state FROM orders
+  WHERE o_orderkey % 5 <> 0 AND CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 2 = 0 ELSE o_orderstatus = 'O' END
+"""
+
 ORACLE: dict[str, str] = {
     "cdc_envelope": f"""
         SELECT {OPS} AS op, 'shop' AS db, 'users' AS tbl, epoch_us(ts) // 1000 AS ts_ms,
@@ -260,6 +270,16 @@ ORACLE: dict[str, str] = {
     "cdc_stream_sync": TARGETS,
     "topic_round_trip": TARGETS,
     "cdc_apply_concurrent": LATEST_USERS,
+    "cdc_delete_where": f"{ORDERS_TEXT} WHERE NOT (o_orderkey < {CUT} AND o_orderstatus = 'F' AND o_totalprice > 100000)",
+    "cdc_truncate": f"""{ORDERS_TEXT} WHERE o_orderkey > {CUT}
+        UNION ALL SELECT 'customer', c_custkey, c_name || '|' || c_nationkey || '|' || c_mktsegment FROM customer""",
+    "cdc_added_column": """
+        SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN lower(c_name) ELSE c_name END AS c_name,
+          CASE WHEN c_custkey % 5 = 0 THEN c_nationkey END::integer AS c_nationkey,
+          CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",
+    "cdc_failover": LATEST_USERS,
+    "sql_filter_change": OPEN_STATES,
+    "sql_stream_insert": OPEN_STATES,
     "cdc_lookup": f"SELECT * FROM ({RANKED}) WHERE l_linenumber = 2",
     "cdc_stream_scoped": f"""
         WITH t AS (SELECT * FROM ({TARGETS}) WHERE tbl IN ('customer', 'supplier') AND 1700000000000 + pk >= {SCOPE_START})

@@ -18,7 +18,7 @@ from tablesync.operators.sensitive import mask_columns
 from tablesync.operators.typed import typed_rows
 from tablesync.plans import derive
 from tablesync.plans.batch_sync import batch_sync
-from tablesync.plans.sql_sync import create_source_view, insert_select
+from tablesync.plans.sql_sync import change_images, create_source_view, insert_available, insert_changes, insert_select
 from tablesync.session import run_folder
 from tablesync.sources import change_events, kafka, ndjson, settings
 from tablesync.spec import ColumnSpec, TableSpec
@@ -29,6 +29,9 @@ REGISTERED: dict[str, Query] = {}
 
 SINCE = "2000-01-01 00:00:00"
 SCOPE_START = 1_700_000_000_010
+# A log position amid the orders, and the day on which another server takes over.
+CUT = 20_000
+TAKEOVER = "2024-01-15"
 
 
 def registered(query: Query) -> Query:
@@ -298,6 +301,63 @@ def cdc_apply_concurrent(spark, sf_dir):
     return writers[0].read()
 
 
+@registered
+def cdc_delete_where(spark, sf_dir):
+    """A condition's rows are deleted as of a position; a third of the orders, from both sides of it, arrives later."""
+    target = KeyedTable.of(spark, run_folder(spark, "delete-where"), derive.ORDERS)
+    staged = change_events.in_scope(change_events.parse_envelope(derive.shop_log(spark, sf_dir)), "shop", ["orders"])
+    changes = typed_rows(staged, derive.ORDERS).drop("_bad")
+    late = F.col("o_custkey") % 3 == 0
+    target.apply(changes.where(~late), "log", 0)
+    target.compact()
+    target.delete_where("o_orderstatus = 'F' AND o_totalprice > 100000", "rules", 0, {"file_no": 1, "pos": CUT, "row": 0})
+    target.apply(changes.where(late & (F.col("o_custkey") % 2 == 0)), "log", 1)
+    target.compact(full=True)
+    target.apply(changes.where(late & (F.col("o_custkey") % 2 != 0)), "log", 2)
+    return _as_text(target.read(), derive.ORDERS)
+
+
+@registered
+def cdc_truncate(spark, sf_dir):
+    """A truncation of the orders amid their log; half of the orders arrive after it, from both sides."""
+    root, specs = run_folder(spark, "truncate"), {t: SHOP[t] for t in ("orders", "customer")}
+    src = derive.source("orders", F.lit("bin.000001"), F.lit(CUT), F.lit(1), F.lit(1_700_000_000_000))
+    none = F.lit(None).cast("struct<x:int>")
+    truncation = spark.range(1).select(derive.event(src, F.lit("t"), none, none).alias("value"))
+    log = derive.shop_log(spark, sf_dir)
+    late = F.crc32(F.col("value").cast("binary")) % 2 == 0
+    options = SyncOptions(label="shop", db="shop", on_unknown="ignore")
+    sync_batch(log.where(late).union(truncation), 0, specs, root, options)
+    KeyedTable.of(spark, root, derive.ORDERS).compact()
+    sync_batch(log.where(~late), 1, specs, root, options)
+    return _targets(spark, root, specs)
+
+
+@registered
+def cdc_added_column(spark, sf_dir):
+    """A compacted target is opened with two more columns, which a fifth of its rows then fill."""
+    folder = run_folder(spark, "added-column")
+    narrow = TableSpec("customer", "ods_customer", ("c_custkey",), derive.CUSTOMER.columns[:2])
+    customers = derive.table(spark, sf_dir, "customer").withColumn("_op", F.lit("upsert"))
+    before = KeyedTable.of(spark, folder, narrow)
+    before.apply(customers.withColumn("_seq", before.position({"file_no": 1})), "load", 0)
+    before.compact(full=True)
+    target = KeyedTable.of(spark, folder, derive.CUSTOMER.with_target("ods_customer"))
+    some = customers.where(F.col("c_custkey") % 5 == 0).withColumn("c_name", F.lower("c_name"))
+    target.apply(some.withColumn("_seq", target.position({"file_no": 2})), "load", 1)
+    return target.read()
+
+
+@registered
+def cdc_failover(spark, sf_dir):
+    """The user log of two servers, of which the second numbers its files anew; the first one's events are partly late."""
+    log, root = derive.user_log(spark, sf_dir, TAKEOVER), run_folder(spark, "failover")
+    first, third = F.col("server") == 1, F.col("event_id") % 3 == 0
+    for i, part in enumerate((first & ~third, ~first & ~third, third)):
+        sync_batch(log.where(part), i, {"users": derive.USERS}, root, SyncOptions(label="shop", db="shop"))
+    return KeyedTable.of(spark, root, derive.USERS).read()
+
+
 @registered
 def cdc_lookup(spark, sf_dir):
     """Keys looked up in a base with a log over it: the filter on the key reaches both."""
@@ -362,6 +422,33 @@ def sql_insert_repeat(spark, sf_dir):
     return target.read()
 
 
+OPEN_STATES = TableSpec("states", "ods_open", ("o_orderkey",), (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("state")))
+OPEN_SELECT = "SELECT o_orderkey, concat(o_orderstatus, ' ', o_orderpriority) AS state FROM cdc_states WHERE o_orderstatus = 'O'"
+
+
+@registered
+def sql_filter_change(spark, sf_dir):
+    """A select with a condition that rows enter and leave; updates arrive before the creations, then the deletions."""
+    log = derive.state_log(spark, sf_dir)
+    target = KeyedTable.of(spark, run_folder(spark, "filter-change"), OPEN_STATES)
+    for i, op in enumerate("ucd"):
+        images = change_images(change_events.parse_envelope(log.where(F.col("op") == op)), derive.STATES)
+        insert_changes(spark, target, OPEN_SELECT, images, "states", "sql", i)
+    return target.read()
+
+
+@registered
+def sql_stream_insert(spark, sf_dir):
+    """The same select over a stream of text files, half of them in each micro-batch."""
+    root = run_folder(spark, "stream-insert")
+    derive.state_log(spark, sf_dir).select("value").repartition(16).write.text(f"{root}/_input")
+    events = change_events.read_change_events(spark, f"{root}/_input", streaming=True, max_files_per_batch=8)
+    target = KeyedTable.of(spark, root, OPEN_STATES)
+    options = SyncOptions(label="open", db="shop")
+    insert_available(events, derive.STATES, target, OPEN_SELECT, f"{root}/_checkpoints/open", root, options)
+    return target.read()
+
+
 # -- masking -----------------------------------------------------------------
 
 

@@ -27,8 +27,10 @@ ENVELOPE = f"`source` struct<{_SOURCE_DDL}>, `op` string, `before` string, `afte
 
 UPSERT_OPS = ("c", "u", "r")
 DELETE_OP = "d"
+TRUNCATE_OP = "t"
 
-SEQ_TYPE = "struct<file_no:bigint,pos:bigint,row:bigint>"
+# ``epoch`` tells servers that took over from one another apart, see ``sources.epochs``.
+SEQ_TYPE = "struct<epoch:bigint,file_no:bigint,pos:bigint,row:bigint>"
 
 
 def read_change_events(
@@ -57,27 +59,34 @@ def parse_envelope(events: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def action() -> Column:
-    """What an event asks for: ``upsert``, ``delete`` or, for anything else, ``quarantine``."""
+def action(truncates: bool = False) -> Column:
+    """What an event asks for: ``upsert``, ``delete``, if wanted ``truncate`` or, for anything else, ``quarantine``."""
     known = F.when(F.col("op").isin(*UPSERT_OPS), "upsert").when(F.col("op") == DELETE_OP, "delete")
+    if truncates:
+        known = known.when((F.col("op") == TRUNCATE_OP) & binlog_position().isNotNull(), "truncate")
     return F.when(F.col("_bad").isNotNull(), "quarantine").otherwise(F.coalesce(known, F.lit("quarantine")))
 
 
-def binlog_position(file: Column | None = None, pos: Column | None = None, row: Column | None = None) -> Column:
-    """Total order of events of one server: number of the log file, offset, row in the event.
+def binlog_position(
+    file: Column | None = None, pos: Column | None = None, row: Column | None = None, epoch: Column | None = None
+) -> Column:
+    """Total order of events: the server's epoch, number of the log file, offset, row in the event.
 
-    NULL for an event without a file number or an offset, whose place nobody knows.
+    Without an epoch all events are taken for those of one server. NULL for an event without a file
+    number, an offset or a known epoch, whose place nobody knows.
     """
     file = F.col("file") if file is None else file
     pos = F.col("pos") if pos is None else pos
     row = F.col("row") if row is None else row
     number = F.substring_index(file, ".", -1).try_cast("bigint")
+    epoch = F.lit(0) if epoch is None else epoch
     place = F.struct(
+        epoch.cast("bigint").alias("epoch"),
         number.alias("file_no"),
         pos.cast("bigint").alias("pos"),
         F.coalesce(row, F.lit(0)).cast("bigint").alias("row"),
     )
-    return F.when(number.isNotNull() & pos.isNotNull(), place)
+    return F.when(epoch.isNotNull() & number.isNotNull() & pos.isNotNull(), place)
 
 
 def in_scope(events: DataFrame, db: str | None, tables: list[str] | None) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -17,9 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tablesync.operators.audit import AuditRow, write_audit
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.latest import latest_per_key
-from tablesync.operators.routing import action_counts, classify
+from tablesync.operators.routing import classify
 from tablesync.operators.typed import typed_rows
-from tablesync.sources.change_events import parse_envelope, start_at
+from tablesync.sources.change_events import binlog_position, parse_envelope, start_at
+from tablesync.sources.epochs import Epoch, Seen, Servers, epoch_of, gtid_number, gtid_source
 from tablesync.sources.files import list_files, publish_text, read_text
 from tablesync.sources.kafka import to_records
 from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
@@ -33,6 +35,8 @@ class SyncOptions:
     start. Events of unlisted tables go to quarantine, stop the job (``fail``) or are left out (``ignore``).
     ``fold_every`` is the number of applied batches a table may collect before its log is folded
     inside the stream, which costs as much as the log; new bases are written by a job of their own (``compact_tables``).
+    Truncations empty their table as it stands at their position, or go to quarantine. ``epochs`` are the servers'
+    reigns, where they are known better than from the events (see ``sources.epochs``).
     """
 
     label: str = "sync"
@@ -42,6 +46,8 @@ class SyncOptions:
     buckets: int | None = None
     seq: Column | None = None
     seq_type: str | None = None
+    truncates: str = "apply"
+    epochs: tuple[Epoch, ...] | None = None
     on_unknown: str = "quarantine"
     new_columns: str = "ignore"
     on_overflow: str = "quarantine"
@@ -57,7 +63,9 @@ class SyncOptions:
 
 def stage(events: DataFrame, specs: dict[str, TableSpec], options: SyncOptions) -> DataFrame:
     """Parsed events of the job's database and time with their ``_action``."""
-    staged = start_at(classify(parse_envelope(events), list(specs)), options.start)
+    if options.truncates not in ("apply", "quarantine"):
+        raise ValueError(f"truncates must be apply or quarantine, not {options.truncates}")
+    staged = start_at(classify(parse_envelope(events), list(specs), options.truncates == "apply"), options.start)
     if options.on_unknown == "ignore":
         staged = staged.where(F.col("_action") != "unknown_table")
     elif options.on_unknown not in ("quarantine", "fail"):
@@ -93,35 +101,96 @@ def sync_batch(
     """
     spark = events.sparkSession
     tables = {} if tables is None else tables
-    staged = stage(events, specs, options)
-    staged = staged.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # At most one row per listed table and action.
-        counts = action_counts(staged).collect()
-        active: dict[str, int] = {}
-        for r in counts:
-            if r.table is not None:
-                active[r.table] = active.get(r.table, 0) + r.events
-        odd = {r["_action"]: r.events for r in counts if r.table is None}
+    with placed_batch(events, specs, root, options) as batch:
+        staged, options, active, odd = batch.rows, batch.options, batch.active, batch.odd
         if odd.get("unknown_table") and options.on_unknown == "fail":
             raise ValueError(f"batch {batch_id}: {odd['unknown_table']} events of tables that are not in the job")
 
         def one_table(name: str) -> AuditRow:
             if name not in tables:
                 tables[name] = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
-            return _sync_table(tables[name], staged, specs[name], batch_id, root, options, active[name])
+            return _sync_table(tables[name], staged, specs[name], batch_id, root, options, active[name], batch.truncated.get(name))
 
         if odd:
-            _quarantine(staged.where(~F.col("_action").isin("upsert", "delete")), root, options.label, batch_id, "_events")
+            rest = staged.where(~F.col("_action").isin("upsert", "delete", "truncate"))
+            _quarantine(rest, root, options.label, batch_id, "_events")
         rows = run_parallel(spark, one_table, sorted(active), options.parallel_tables)
         rows += [AuditRow(options.label, batch_id, None, None, n, quarantined=n, status=kind) for kind, n in odd.items()]
         write_audit(spark, root, rows, options.label, batch_id)
         return rows
+
+
+@dataclass
+class PlacedBatch:
+    """A batch's events, parsed and kept, with what must be known of it before any table takes its part.
+
+    ``active`` are the events of each table, ``odd`` those of none by their action, ``truncated`` the
+    position of each table's last truncation; ``options`` place events in the servers' epochs.
+    """
+
+    rows: DataFrame
+    options: SyncOptions
+    active: dict[str, int]
+    odd: dict[str, int]
+    truncated: dict[str, dict]
+
+
+@contextmanager
+def placed_batch(events: DataFrame, specs: dict[str, TableSpec], root: str, options: SyncOptions) -> Iterator[PlacedBatch]:
+    spark = events.sparkSession
+    staged = stage(events, specs, options).sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # At most one row per listed table, action, server and source of transaction ids.
+        counts = batch_counts(staged).collect()
+        active: dict[str, int] = {}
+        odd: dict[str, int] = {}
+        for r in counts:
+            where, name = (odd, r["_action"]) if r.table is None else (active, r.table)
+            where[name] = where.get(name, 0) + r.events
+        placed = _with_epochs(spark, root, options, counts)
+        truncated = _truncations(staged, placed) if any(r["_action"] == "truncate" for r in counts) else {}
+        yield PlacedBatch(staged, placed, active, odd, truncated)
     finally:
         staged.unpersist()
 
 
-def _sync_table(table: KeyedTable, staged, spec, batch_id, root, options, events) -> AuditRow:
+def batch_counts(staged: DataFrame) -> DataFrame:
+    """Events per table, action and origin; all that go to no table count under one row of their action."""
+    table = F.when(F.col("_action").isin("upsert", "delete", "truncate"), F.col("table"))
+    return staged.groupBy(table.alias("table"), "_action", "server_id", gtid_source().alias("source")).agg(
+        F.count("*").alias("events"),
+        F.max(gtid_number()).alias("last_number"),
+        F.min("ts_ms").alias("first_ms"),
+        F.max("ts_ms").alias("last_ms"),
+    )
+
+
+def _with_epochs(spark: SparkSession, root: str, options: SyncOptions, counts: list) -> SyncOptions:
+    """The options with positions that tell the servers' reigns apart, which the job's note keeps over restarts."""
+    if options.seq is not None:
+        return options
+    if options.epochs is not None:
+        epochs = list(options.epochs)
+    else:
+        name, folder = f"{options.label}.servers", f"{root}/_jobs"
+        told = json.loads(read_text(spark, f"{folder}/{name}")) if list_files(spark, f"{folder}/{name}") else None
+        servers = Servers.load(told)
+        placed = [r for r in counts if r.table is not None and r.first_ms is not None]
+        servers.observe(Seen(r.server_id, r.source, r.last_number, r.first_ms, r.last_ms) for r in placed)
+        if servers.saved() != (told or Servers().saved()):
+            publish_text(spark, folder, name, json.dumps(servers.saved()), replace=True)
+        epochs = servers.epochs
+    return replace(options, seq=binlog_position(epoch=epoch_of(epochs)), epochs=tuple(epochs))
+
+
+def _truncations(staged: DataFrame, options: SyncOptions) -> dict[str, dict]:
+    """The position of the last truncation of each table; what was before an earlier one is before the last."""
+    seq = binlog_position() if options.seq is None else options.seq
+    rows = staged.where(F.col("_action") == "truncate").groupBy("table").agg(F.max(seq).alias("seq"))
+    return {r.table: r.seq.asDict() for r in rows.collect() if r.seq is not None}
+
+
+def _sync_table(table: KeyedTable, staged, spec, batch_id, root, options, events, truncated_at=None) -> AuditRow:
     typed = typed_changes(staged, spec, options)
     seen = Observation()
     checked = typed.observe(seen, F.count_if(F.col("_bad").isNotNull()).alias("bad"))
@@ -130,10 +199,10 @@ def _sync_table(table: KeyedTable, staged, spec, batch_id, root, options, events
         bad = seen.get["bad"]
         if bad:
             _quarantine(typed.where(F.col("_bad").isNotNull()), root, options.label, batch_id, spec.target)
-        return {"events": events, "quarantined": bad}
+        return {"events": events, "quarantined": bad, "epochs": [asdict(e) for e in options.epochs or ()]}
 
     good = checked.where(F.col("_bad").isNull()).drop("_bad")
-    done = table.apply(good, options.label, batch_id, before_commit)
+    done = table.apply(good, options.label, batch_id, before_commit, truncated_at)
     notes = done["notes"]
     row = AuditRow(options.label, batch_id, spec.table, spec.target, events, done["upserts"], done["deletes"])
     if notes is None:
@@ -208,14 +277,14 @@ def _noted_once(spark: SparkSession, root: str, name: str, text: str) -> str:
     return read_text(spark, f"{folder}/{name}")
 
 
-def _first_start(spark: SparkSession, root: str, options: SyncOptions) -> str | int:
-    """``latest`` as the time of the job's first start, which restarts keep."""
+def first_start(spark: SparkSession, root: str, options: SyncOptions) -> SyncOptions:
+    """The options with ``latest`` as the time of the job's first start, which restarts keep."""
     if options.start != "latest":
-        return options.start
-    return int(_noted_once(spark, root, f"{options.label}.start", str(int(time.time() * 1000))))
+        return options
+    return replace(options, start=int(_noted_once(spark, root, f"{options.label}.start", str(int(time.time() * 1000)))))
 
 
-def _bind_label(spark: SparkSession, root: str, label: str, checkpoint: str) -> str:
+def bind_label(spark: SparkSession, root: str, label: str, checkpoint: str) -> str:
     """Tie a label to its checkpoint: another checkpoint counts its batches anew, and they would be skipped."""
     query = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
     known = _noted_once(spark, root, f"{label}.query", query)
@@ -253,7 +322,7 @@ def sync_stream(
     checkpoint: its events flow from then on, a back-fill brings the rows before.
     """
     options, spark = options or SyncOptions(), events.sparkSession
-    options = replace(options, start=_first_start(spark, root, options))
+    options = first_start(spark, root, options)
     tables = {s.table: KeyedTable.of(spark, root, s, **options.keyed_options()) for s in specs.values()}
     for table in tables.values():
         table.create()
@@ -262,7 +331,7 @@ def sync_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not bound:
-            bound.append(_bind_label(spark, root, options.label, checkpoint))
+            bound.append(bind_label(spark, root, options.label, checkpoint))
         sync_batch(batch, batch_id, specs, root, options, tables)
 
     return (

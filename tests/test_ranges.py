@@ -1,0 +1,186 @@
+"""Range tombstones, truncations, other schemas over one target."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesync.operators.keyed_table import KeyedTable
+from tablesync.spec import ColumnSpec, TableSpec
+from tablesync.streaming.sync import SyncOptions, sync_batch
+
+SCHEMA = T.StructType().add("id", "integer", False).add("status", "string").add("v", "integer")
+CHANGE = "id int, status string, v int, _op string, _seq struct<file_no:bigint,pos:bigint,row:bigint>"
+
+
+def table_at(spark, path, schema=SCHEMA):
+    return KeyedTable(spark, str(path), schema, ["id"], buckets=2)
+
+
+def put(spark, table, batch, *rows):
+    changes = [(i, s, v, "delete" if s is None else "upsert", (1, pos, 0)) for i, s, v, pos in rows]
+    table.apply(spark.createDataFrame(changes, CHANGE), "log", batch)
+
+
+def live(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+def at(pos):
+    return {"file_no": 1, "pos": pos, "row": 0}
+
+
+@pytest.mark.parametrize("compact_at", [(), (0,), (1,), (2,), (3,), (0, 1, 2, 3)])
+def test_delete_where_with_late_rows_on_both_sides(spark, tmp_path, compact_at):
+    table = table_at(spark, tmp_path / "t")
+    put(spark, table, 0, (1, "open", 1, 1), (2, "done", 2, 2), (3, "done", 3, 50), (4, "done", None, 3))
+    if 0 in compact_at:
+        table.compact(full=True)
+    table.delete_where("status = 'done' and v > 0", "rules", 0, at(10))
+    # Late: older than the tombstone. 5 meets it, 6 does not, 2 is overtaken by a row that does not.
+    assert live(table) == [(1, "open", 1), (3, "done", 3), (4, "done", None)]
+    if 1 in compact_at:
+        table.compact(full=True)
+    put(spark, table, 1, (5, "done", 5, 4), (6, "open", 6, 5), (2, "open", 2, 9), (1, "done", 9, 0))
+    if 2 in compact_at:
+        table.compact(full=False)
+        table.compact(full=True)
+    put(spark, table, 2, (7, "done", 7, 11), (1, "done", 1, 9), (3, "gone", 0, 1))
+    if 3 in compact_at:
+        table.compact(full=True)
+    # 1 was done at the tombstone's position, so it is deleted; what came after the position stays.
+    assert live(table) == [(2, "open", 2), (3, "done", 3), (4, "done", None), (6, "open", 6), (7, "done", 7)]
+    assert live(table_at(spark, tmp_path / "t")) == live(table)
+
+
+def test_any_order_of_rows_and_tombstones_gives_the_same(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(rng.randrange(6), rng.choice(["a", "b", None]), rng.randrange(9), pos) for pos in range(1, 30)]
+    ranges = [("status = 'a'", 8), (None, 15), ("v >= 5", 22)]
+
+    def plain():
+        out = []
+        for key in range(6):
+            state = None
+            for pos, kind, what in sorted([(r[3], 0, r) for r in rows if r[0] == key] + [(p, 1, c) for c, p in ranges], key=lambda x: x[:2]):
+                if kind == 0:
+                    state = None if what[1] is None else what
+                elif state and (what is None or eval(what.replace(" = ", " == "), {"status": state[1], "v": state[2]})):
+                    state = None
+            out += [state[:3]] if state else []
+        return sorted(out)
+
+    for seed in range(4):
+        table, order = table_at(spark, tmp_path / f"t{seed}"), random.Random(seed)
+        work = [*itertools.batched(order.sample(rows, len(rows)), 10), *ranges]
+        order.shuffle(work)
+        for i, some in enumerate(work):
+            if isinstance(some[0], tuple):
+                put(spark, table, i, *some)
+            elif some[0] is None:
+                table.truncate("rules", i, at(some[1]))
+            else:
+                table.delete_where(some[0], "rules", i, at(some[1]))
+            if order.random() < 0.4:
+                table.compact(full=order.random() < 0.6 or None)
+        assert live(table) == plain()
+
+
+def test_a_repeated_tombstone_and_a_bad_condition(spark, tmp_path):
+    table = table_at(spark, tmp_path / "t")
+    put(spark, table, 0, (1, "a", 1, 1))
+    assert not table.delete_where("v = 1", "rules", 3)["skipped"]
+    put(spark, table, 1, (1, "a", 1, 1))
+    # At the last position by default, before what is written at that position later.
+    assert live(table) == [(1, "a", 1)]
+    assert table.delete_where("v = 1", "rules", 3)["skipped"] and live(table) == [(1, "a", 1)]
+    for wrong in ("v + 1", "nobody = 1"):
+        with pytest.raises(Exception, match="nobody|no condition"):
+            table.delete_where(wrong, "rules", 4)
+    table.truncate("rules", 5)
+    assert live(table) == [] and table.compact(full=True)
+    assert table.read(with_deleted=True).count() == 1 and table.state().ranges
+    put(spark, table, 2, (2, "b", 2, 9))
+    table.compact(drop_deleted=True)
+    assert table.read(with_deleted=True).count() == 1 and not table.state().ranges
+
+
+def test_tombstones_without_rows(spark, tmp_path):
+    table = table_at(spark, tmp_path / "t")
+    table.truncate("rules", 0, at(5))
+    assert live(table) == [] and not table.compact()
+    put(spark, table, 0, (1, "a", 1, 4), (2, "b", 2, 6))
+    assert live(table) == [(2, "b", 2)]
+
+
+PETS = TableSpec("pets", "ods_pets", ("id",), (ColumnSpec("id", "int"), ColumnSpec("name")))
+
+
+def event(op, pos, image="null", server=None, file=1, gtid=None, ts=None, before="null"):
+    extra = (f',"server_id":{server}' if server else "") + (f',"gtid":"{gtid}"' if gtid else "")
+    return (
+        f'{{"source":{{"db":"shop","table":"pets","ts_ms":{ts or pos},"file":"bin.{file:06d}","pos":{pos},"row":0{extra}}},'
+        f'"op":"{op}","before":{before},"after":{image}}}'
+    )
+
+
+def pet(i, name):
+    return f'{{"id":{i},"name":"{name}"}}'
+
+
+def sync(spark, root, batch_id, *lines, **options):
+    batch = spark.createDataFrame([(x,) for x in lines], "value string")
+    return sync_batch(batch, batch_id, {"pets": PETS}, str(root), SyncOptions(label="job", db="shop", **options))
+
+
+def pets(spark, root):
+    return sorted(tuple(r) for r in KeyedTable.of(spark, str(root), PETS).read().collect())
+
+
+def test_truncate_events(spark, tmp_path):
+    rows = sync(spark, tmp_path, 0, event("c", 1, pet(1, "a")), event("t", 5), event("c", 6, pet(2, "b")), event("t", 3))
+    assert [(r.status, r.events, r.upserts) for r in rows] == [("ok", 4, 2)]
+    assert pets(spark, tmp_path) == [(2, "b")]
+    sync(spark, tmp_path, 1, event("c", 4, pet(3, "late")), event("u", 7, pet(1, "again")))
+    assert pets(spark, tmp_path) == [(1, "again"), (2, "b")]
+    KeyedTable.of(spark, str(tmp_path), PETS).compact()
+    # A batch of a truncation alone, and one without a position.
+    sync(spark, tmp_path, 2, event("t", 9), event("t", 9).replace('"file":"bin.000001",', ""))
+    assert pets(spark, tmp_path) == []
+    assert spark.read.parquet(f"{tmp_path}/_quarantine/_events").count() == 1
+    assert sync(spark, tmp_path, 2, event("t", 9))[0].status == "ok"
+
+
+def test_other_columns_over_a_compacted_table(spark, tmp_path):
+    put(spark, table_at(spark, tmp_path / "t"), 0, (1, "a", 1, 1), (2, "b", 2, 2))
+    table_at(spark, tmp_path / "t").compact(full=True)
+    wider = T.StructType().add("id", "integer", False).add("v", "long").add("note", "string").add("status", "string")
+    table = table_at(spark, tmp_path / "t", wider)
+    assert live(table) == [(1, 1, None, "a"), (2, 2, None, "b")]
+    changes = [(2, 20, "n", "b2", "upsert", (1, 9, 0)), (3, 3, "m", "c", "upsert", (1, 9, 0))]
+    table.apply(spark.createDataFrame(changes, "id int, v long, note string, status string, _op string, _seq struct<file_no:bigint,pos:bigint,row:bigint>"), "log", 1)
+    want = [(1, 1, None, "a"), (2, 20, "n", "b2"), (3, 3, "m", "c")]
+    assert live(table) == want
+    # The table as it was opened before goes on with the columns it knows.
+    assert sorted(tuple(r) for r in table_at(spark, tmp_path / "t").read().select("id", "status").collect()) == [(1, "a"), (2, "b2"), (3, "c")]
+    spark.sql(f"DROP TABLE {table._base_name(table.state().base['folder'])}")
+    assert live(table) == want
+    table.compact(full=True)
+    assert live(table) == want and live(table_at(spark, tmp_path / "t", wider)) == want
+
+
+def test_positions_without_an_epoch_are_still_read(spark, tmp_path):
+    old = "struct<file_no:bigint,pos:bigint,row:bigint>"
+    for full in (False, True):
+        before = KeyedTable(spark, f"{tmp_path}/t{full}", SCHEMA, ["id"], buckets=2, seq_type=old)
+        put(spark, before, 0, (1, "a", 1, 5), (2, "b", 2, 5))
+        if full:
+            before.compact(full=True)
+        table = table_at(spark, tmp_path / f"t{full}")
+        put(spark, table, 1, (1, "old", 0, 4), (2, "new", 0, 6))
+        assert live(table) == [(1, "a", 1), (2, "new", 0)]
+        table.compact(full=True)
+        assert live(table) == [(1, "a", 1), (2, "new", 0)]
+        assert table.read(with_deleted=True).select(F.col("_seq.epoch")).distinct().collect() == [(0,)]

@@ -85,7 +85,7 @@ def test_quarantine_and_audit(spark, tmp_path):
             "junk",
         ],
     )
-    run(spark, folder, root, PEOPLE, rules=MaskRules(("mobile",)))
+    run(spark, folder, root, PEOPLE, rules=MaskRules(("mobile",)), truncates="quarantine")
     assert live(spark, root, PEOPLE) == [(1, "138****5678", "b")]
     audit = {r.status: r for r in read_audit(spark, str(root)).collect()}
     assert (audit["ok"].events, audit["ok"].upserts, audit["ok"].quarantined) == (3, 1, 1)
