@@ -20,6 +20,9 @@ change of a key that is older and meets the condition counts as deleted, also on
 commit. It stays a row with its own position, so an older change of its key cannot come back, and a
 change between it and the tombstone that does not meet the condition still wins. A truncation is the tombstone without a condition.
 
+A stream writes the changes of all its tables at once (``streaming.multi_log``). The folder of such a batch lies beside the
+tables, has a part for each and holds images as VARIANT; commits name the part, and it is read in the columns of the table.
+
 A table may be opened with another schema than it was written with: columns that a file does
 not have are NULL, those that are not asked for are not read.
 
@@ -63,6 +66,10 @@ RETAIN_SECONDS = 7 * 24 * 3600
 COMMIT_GRACE_SECONDS = 3600
 
 
+# The form of a log folder that holds images of rows, see ``streaming.multi_log``.
+IMAGES = "images"
+
+
 @dataclass
 class TableState:
     """What the commits say. Bounded by the batches since the last compaction."""
@@ -206,10 +213,10 @@ class KeyedTable:
         position of a truncation in the batch.
         """
         state = self.state()
-        if (skipped := _skipped(state, label, batch_id)) is not None:
+        if (skipped := skipped_batch(state, label, batch_id)) is not None:
             return skipped
 
-        write = self._next_write(state)
+        write = self.next_write(state)
         rows = latest_per_key(self._stored(changes, write), self.keys, "_seq")
         # Counted behind the last shuffle, where a task that is run again counts once.
         counts = Observation()
@@ -232,8 +239,8 @@ class KeyedTable:
             folder=folder,
             upserts=seen["upserts"] or 0,
             deletes=seen["deletes"] or 0,
-            first_seq=_json_position(seen["first_seq"]),
-            last_seq=_json_position(seen["last_seq"]),
+            first_seq=json_position(seen["first_seq"]),
+            last_seq=json_position(seen["last_seq"]),
             notes=before_commit() if before_commit else None,
             ranges=[] if truncated_at is None else [{"condition": None, "seq": truncated_at}],
         )
@@ -263,14 +270,14 @@ class KeyedTable:
 
     def _delete_range(self, condition: str | None, label: str, batch_id: int, position: dict | None) -> dict:
         state = self.state()
-        if (skipped := _skipped(state, label, batch_id)) is not None:
+        if (skipped := skipped_batch(state, label, batch_id)) is not None:
             return skipped
         seq = self._full_position(position, state)
         none = dict.fromkeys(("folder", "first_seq", "last_seq", "notes"))
         ranges = [{"condition": condition, "seq": seq}]
-        return self.commit_log(state, label, batch_id, self._next_write(state), **none, upserts=0, deletes=0, ranges=ranges)
+        return self.commit_log(state, label, batch_id, self.next_write(state), **none, upserts=0, deletes=0, ranges=ranges)
 
-    def _next_write(self, state: TableState) -> int:
+    def next_write(self, state: TableState) -> int:
         return max(int(time.time() * 1e6), state.last_write + 1)
 
     def _full_position(self, at: dict | None, state: TableState) -> dict:
@@ -304,8 +311,14 @@ class KeyedTable:
     def _place(self, rows: DataFrame) -> Column:
         """``_seq`` in the table's type; a field that it was written without is 0."""
         given = rows.schema["_seq"].dataType
-        if given == self.seq_type or not isinstance(given, T.StructType) or set(given.names) - set(self.seq_type.names):
+        if given == self.seq_type or not isinstance(given, T.StructType):
             value = F.col("_seq").cast(self.seq_type)
+        elif set(given.names) - set(self.seq_type.names):
+            # Other names: the fields in their order.
+            given = [f"_seq.`{n}`" for n in given.names]
+            given = [F.lit(0)] * (len(self.seq_type.names) - len(given)) + [F.col(n) for n in given]
+            fields = [v.cast(f.dataType).alias(f.name) for v, f in zip(given, self.seq_type.fields, strict=True)]
+            value = F.when(F.col("_seq").isNotNull(), F.struct(*fields))
         else:
             fields = []
             for f in self.seq_type.fields:
@@ -367,13 +380,29 @@ class KeyedTable:
         """The last logged change of every key; with ``partitions``, distributed by key."""
         if not state.logs:
             return None
-        folders = [f"{self.path}/{log['folder']}" for log in state.logs]
-        rows = self.spark.read.schema(self._stored_schema()).parquet(*folders)
-        rows = rows.withColumn("_seq", self._place(rows))
+        folders = [f"{self.path}/{log['folder']}" for log in state.logs if log.get("form") != IMAGES]
+        images = [log["folder"] for log in state.logs if log.get("form") == IMAGES]
+        parts = []
+        if folders:
+            rows = self.spark.read.schema(self._stored_schema()).parquet(*folders)
+            parts.append(rows.withColumn("_seq", self._place(rows)))
+        if images:
+            parts.append(self.image_rows(images).drop("_bad"))
+        rows = reduce(DataFrame.unionByName, parts)
         if partitions:
             rows = rows.repartition(partitions, *self.keys)
         # One folder has one row per key.
-        return latest_per_key(rows, self.keys, F.struct("_seq", "_write")) if len(folders) > 1 else rows
+        return latest_per_key(rows, self.keys, F.struct("_seq", "_write")) if len(state.logs) > 1 else rows
+
+    def image_rows(self, folders: list[str], bad: bool = False) -> DataFrame:
+        """The stored columns of image folders and ``_bad``: the good rows, or the bad ones."""
+        schema = T.StructType().add("_seq", self.seq_type).add("_write", "long").add("_deleted", "boolean")
+        schema = schema.add("_bad", "string").add("_image", T.VariantType())
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+        rows = rows.where(F.col("_bad").isNotNull() if bad else F.col("_bad").isNull())
+        kinds = {f.name: f.dataType.simpleString() for f in self.schema.fields}
+        values = [F.variant_get("_image", f"$.{image_field(n)}", kind).alias(n) for n, kind in kinds.items()]
+        return rows.select(*values, self._place(rows).alias("_seq"), "_write", "_deleted", "_bad")
 
     def _base(self, state: TableState) -> DataFrame | None:
         if state.base is None:
@@ -501,7 +530,12 @@ class KeyedTable:
         return sorted(gone)
 
 
-def _skipped(state: TableState, label: str, batch_id: int) -> dict | None:
+def image_field(column: str) -> str:
+    """A column's name in an image, where paths take letters, digits and underscores only."""
+    return "f" + "".join(c if c.isascii() and c.isalnum() else f"_{ord(c):x}_" for c in column)
+
+
+def skipped_batch(state: TableState, label: str, batch_id: int) -> dict | None:
     """What a batch's commit says, if the batch or a later one of its label is applied."""
     known = state.last_by_label.get(label)
     if known is None or batch_id > known["batch_id"]:
@@ -510,7 +544,7 @@ def _skipped(state: TableState, label: str, batch_id: int) -> dict | None:
     return {"upserts": told.get("upserts", 0), "deletes": told.get("deletes", 0), "skipped": True, "notes": told.get("notes")}
 
 
-def _json_position(seq) -> dict | None:
+def json_position(seq) -> dict | None:
     if seq is None:
         return None
     return {k: v if isinstance(v, (int, float, str, type(None))) else str(v) for k, v in seq.asDict().items()}

@@ -268,6 +268,9 @@ ORACLE: dict[str, str] = {
     "cdc_apply": LATEST_USERS,
     "cdc_apply_composite": RANKED,
     "cdc_stream_sync": TARGETS,
+    "cdc_many_tables": """
+        SELECT 'orders_' || CASE WHEN o_custkey % 2 = 0 THEN 0 ELSE o_custkey % 24 END AS tbl, o_orderkey AS pk,
+          o_custkey || '|' || o_orderstatus AS detail FROM orders""",
     "topic_round_trip": TARGETS,
     "cdc_apply_concurrent": LATEST_USERS,
     "cdc_delete_where": f"{ORDERS_TEXT} WHERE NOT (o_orderkey < {CUT} AND o_orderstatus = 'F' AND o_totalprice > 100000)",

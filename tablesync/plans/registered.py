@@ -222,6 +222,27 @@ def cdc_stream_sync(spark, sf_dir):
     return _targets(spark, *_streamed(spark, sf_dir))
 
 
+MANY = 24
+
+
+@registered
+def cdc_many_tables(spark, sf_dir):
+    """The orders as the log of 13 tables by customer, of which one has half the orders; two batches, each one write for all."""
+    number = F.when(F.col("o_custkey") % 2 == 0, 0).otherwise(F.col("o_custkey") % MANY)
+    name = F.concat(F.lit("orders_"), number.cast("string"))
+    src = derive.source(name, F.lit("bin.000001"), F.col("o_orderkey"), F.lit(0), F.lit(1_700_000_000_000))
+    image = F.struct("o_orderkey", "o_custkey", "o_orderstatus")
+    o = derive.table(spark, sf_dir, "orders")
+    log = o.select("o_orderkey", derive.event(src, F.lit("c"), F.lit(None).cast("struct<x:int>"), image).alias("value"))
+    numbers = [0, *range(1, MANY, 2)]
+    specs = {f"orders_{i}": TableSpec(f"orders_{i}", f"ods_{i}", ("o_orderkey",), derive.ORDERS.columns[:3]) for i in numbers}
+    root = run_folder(spark, "many-tables")
+    for i in range(2):
+        part = log.where(F.col("o_orderkey") % 2 == i).select("value")
+        sync_batch(part, i, specs, root, SyncOptions(label="shop", db="shop"))
+    return _targets(spark, root, specs)
+
+
 @registered
 def cdc_stream_audit(spark, sf_dir):
     root, _ = _streamed(spark, sf_dir)

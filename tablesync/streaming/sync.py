@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.operators.audit import AuditRow, write_audit
-from tablesync.operators.keyed_table import KeyedTable
+from tablesync.operators.keyed_table import IMAGES, KeyedTable, skipped_batch
 from tablesync.operators.latest import latest_per_key
 from tablesync.operators.routing import classify
 from tablesync.operators.typed import typed_rows
@@ -25,6 +25,7 @@ from tablesync.sources.epochs import Epoch, Seen, Servers, epoch_of, gtid_number
 from tablesync.sources.files import list_files, publish_text, read_text
 from tablesync.sources.kafka import to_records
 from tablesync.spec import DEFAULT_TIME_ZONE, NO_MASKING, MaskRules, TableSpec
+from tablesync.streaming.multi_log import vacuum_parts, write_parts
 
 
 @dataclass
@@ -94,8 +95,8 @@ def sync_batch(
     """Apply one batch of event text to every table it has changes for.
 
     The batch is parsed once and kept, ordered by table inside each partition so
-    that each table's scan skips the other tables' blocks. A lost executor's part
-    is read again from the source. What goes to quarantine is written before the
+    that each table's scan skips the other tables' blocks. The changes of all tables are written at once, see
+    ``multi_log``. A lost executor's part is read again from the source. What goes to quarantine is written before the
     commit it belongs to, so a batch that died anywhere is finished by its repeat. ``tables`` keeps
     the targets and what they know of their commits from batch to batch.
     """
@@ -106,15 +107,13 @@ def sync_batch(
         if odd.get("unknown_table") and options.on_unknown == "fail":
             raise ValueError(f"batch {batch_id}: {odd['unknown_table']} events of tables that are not in the job")
 
-        def one_table(name: str) -> AuditRow:
-            if name not in tables:
-                tables[name] = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
-            return _sync_table(tables[name], staged, specs[name], batch_id, root, options, active[name], batch.truncated.get(name))
-
         if odd:
             rest = staged.where(~F.col("_action").isin("upsert", "delete", "truncate"))
             _quarantine(rest, root, options.label, batch_id, "_events")
-        rows = run_parallel(spark, one_table, sorted(active), options.parallel_tables)
+        for name in active:
+            if name not in tables:
+                tables[name] = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
+        rows = _apply_batch(spark, batch, batch_id, specs, tables, root)
         rows += [AuditRow(options.label, batch_id, None, None, n, quarantined=n, status=kind) for kind, n in odd.items()]
         write_audit(spark, root, rows, options.label, batch_id)
         return rows
@@ -190,29 +189,58 @@ def _truncations(staged: DataFrame, options: SyncOptions) -> dict[str, dict]:
     return {r.table: r.seq.asDict() for r in rows.collect() if r.seq is not None}
 
 
-def _sync_table(table: KeyedTable, staged, spec, batch_id, root, options, events, truncated_at=None) -> AuditRow:
-    typed = typed_changes(staged, spec, options)
-    seen = Observation()
-    checked = typed.observe(seen, F.count_if(F.col("_bad").isNotNull()).alias("bad"))
-
-    def before_commit() -> dict:
-        bad = seen.get["bad"]
-        if bad:
-            _quarantine(typed.where(F.col("_bad").isNotNull()), root, options.label, batch_id, spec.target)
-        return {"events": events, "quarantined": bad, "epochs": [asdict(e) for e in options.epochs or ()]}
-
-    good = checked.where(F.col("_bad").isNull()).drop("_bad")
-    done = table.apply(good, options.label, batch_id, before_commit, truncated_at)
-    notes = done["notes"]
-    row = AuditRow(options.label, batch_id, spec.table, spec.target, events, done["upserts"], done["deletes"])
-    if notes is None:
-        # Not the last batch of this label: its own audit was written when it was.
-        row.status = "skipped"
-    else:
-        row.events, row.quarantined = notes["events"], notes["quarantined"]
-    if options.fold_every and len(table.state().logs) >= options.fold_every:
-        table.compact(full=False)
-    return row
+def _apply_batch(
+    spark: SparkSession, batch: PlacedBatch, batch_id: int, specs: dict[str, TableSpec], tables: dict[str, KeyedTable], root: str
+) -> list[AuditRow]:
+    """One write for all tables, then a commit for each; a table that has the batch already is left out."""
+    options, names = batch.options, sorted(batch.active)
+    states = dict(zip(names, run_parallel(spark, lambda n: tables[n].state(), names, options.parallel_tables), strict=True))
+    known = {n: skipped_batch(states[n], options.label, batch_id) for n in names}
+    todo = {n: batch.active[n] for n in names if known[n] is None}
+    write = max([tables[n].next_write(states[n]) for n in todo], default=0)
+    parts = write_parts(
+        lambda spec: typed_changes(batch.rows, spec, options), tables, specs, todo, root, options.label, batch_id, write
+    )
+
+    def one_table(name: str) -> AuditRow:
+        table, spec = tables[name], specs[name]
+        row = AuditRow(options.label, batch_id, spec.table, spec.target, batch.active[name])
+        if (done := known[name]) is None:
+            part, at = parts[name], batch.truncated.get(name)
+            if part.bad:
+                kind = F.when(F.col("_deleted"), "delete").otherwise("upsert").alias("_op")
+                bad = table.image_rows([part.folder], bad=True)
+                bad = bad.select(*[F.col(f"`{n}`") for n in spec.column_names], kind, "_seq", "_bad")
+                _quarantine(bad, root, options.label, batch_id, spec.target)
+            done = table.commit_log(
+                states[name],
+                options.label,
+                batch_id,
+                write,
+                folder=part.folder if part.upserts or part.deletes else None,
+                form=IMAGES,
+                upserts=part.upserts,
+                deletes=part.deletes,
+                first_seq=part.first_seq,
+                last_seq=part.last_seq,
+                notes={
+                    "events": batch.active[name],
+                    "quarantined": part.bad,
+                    "epochs": [asdict(e) for e in options.epochs or ()],
+                },
+                ranges=[] if at is None else [{"condition": None, "seq": at}],
+            )
+        row.upserts, row.deletes = done["upserts"], done["deletes"]
+        if done["notes"] is None:
+            # Not the last batch of this label: its own audit was written when it was.
+            row.status = "skipped"
+        else:
+            row.events, row.quarantined = done["notes"]["events"], done["notes"]["quarantined"]
+        if options.fold_every and len(states[name].logs) + 1 >= options.fold_every:
+            table.compact(full=False)
+        return row
+
+    return run_parallel(spark, one_table, names, options.parallel_tables)
 
 
 def _quarantine(rows: DataFrame, root: str, label: str, batch_id: int, name: str) -> int:
@@ -305,7 +333,9 @@ def compact_tables(
         table.vacuum()
         return done
 
-    return dict(zip(specs, run_parallel(spark, one_table, list(specs), options.parallel_tables), strict=True))
+    done = dict(zip(specs, run_parallel(spark, one_table, list(specs), options.parallel_tables), strict=True))
+    vacuum_parts(spark, root)
+    return done
 
 
 def sync_stream(

@@ -34,7 +34,7 @@ def changes(spark, first: int, rows: int, position: int):
         (F.col("id") % 9973 / 7).alias("price"),
         F.md5(F.col("id").cast("string")).alias("note"),
         F.lit("upsert").alias("_op"),
-        F.struct(F.lit(1).cast("long").alias("file_no"), F.lit(position).cast("long").alias("pos"), "id").alias("_seq"),
+        F.struct(F.lit(1).cast("long").alias("file_no"), F.lit(position).cast("long").alias("pos"), F.col("id").alias("row")).alias("_seq"),
     )
 
 
