@@ -15,8 +15,8 @@ from tablesync.operators.backfill import UNREGISTERED, predicate_sql
 from tablesync.plans.batch_sync import batch_sync
 from tablesync.plans.job import Metadata, SyncJob, create_missing_targets, load_mask_rules, prepare_job
 from tablesync.sources.change_events import read_change_events
-from tablesync.sources.jdbc import key_hash, quoted, read_jdbc, with_server_time_zone
-from tablesync.sources.kafka import read_kafka
+from tablesync.sources.jdbc import key_ranges, quoted, read_jdbc, with_server_time_zone
+from tablesync.sources.kafka import read_kafka, start_options
 from tablesync.streaming.sync import SyncOptions, compact_tables, sync_stream
 
 
@@ -45,6 +45,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("time", help="HH:mm:ss")
     batch.add_argument("--jdbc-option", action="append", default=[], help="key=value for Spark's JDBC reader")
     batch.add_argument("--partitions", type=int, help="parts of a scan; the job's parallelism if not given")
+    batch.add_argument("--ranges", type=int, default=1, help="key ranges of a table that are applied one by one")
+    batch.add_argument("--run", type=int, help="number of a run that failed, to go on after its last applied range")
     batch.add_argument("--on-error", default="stop", choices=["stop", "continue"])
 
     compact = commands.add_parser("compact", help="compact the targets of a database, beside its stream")
@@ -73,11 +75,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace):
     rules = load_mask_rules(spark, args.maskMode, f"{args.settings}/masking.properties")
     create_missing_targets(spark, job.specs, args.root)
     if args.kafka:
-        # The topic is read from its beginning unless the start is now; a time is taken from the events.
-        offsets = "latest" if args.start == "latest" else "earliest"
-        records = read_kafka(
-            spark, args.kafka, args.topics, startingOffsets=offsets, maxOffsetsPerTrigger=args.max_offsets
-        )
+        # The records' time may be a little later than the events', which are asked for theirs as well.
+        records = read_kafka(spark, args.kafka, args.topics, maxOffsetsPerTrigger=args.max_offsets, **start_options(args.start))
         # A null value only tells Kafka to forget a key; the delete came as an event before it.
         events = records.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull())
     else:
@@ -101,28 +100,27 @@ def run_batch(spark: SparkSession, args: argparse.Namespace):
     options = dict(o.split("=", 1) for o in args.jdbc_option)
     since = f"{args.date} {args.time}"
 
-    def scan(table: str):
+    rest = {k: v for k, v in options.items() if k != "url"}
+    partitions = args.partitions or job.settings.parallelism
+
+    def place(table: str) -> tuple[str, list[str], str | None]:
         url = options.get("url") or with_server_time_zone(job.urls[table])
-        spec = job.specs[table]
-        numeric = [c.name for c in spec.columns if c.name == spec.keys[0] and c.target in ("int", "bigint", "decimal(20,0)")]
-        single = numeric[0] if numeric and len(spec.keys) == 1 else None
-        rest = {k: v for k, v in options.items() if k != "url"}
-
-        def quote(column: str) -> str:
-            return quoted(spark, url, column)
-
-        return read_jdbc(
-            spark,
-            url,
-            table,
-            partition_column=single,
-            partitions=args.partitions or job.settings.parallelism,
-            split_by=None if single else key_hash([quote(k) for k in spec.keys]),
-            condition=predicate_sql(job.filters.get(table, UNREGISTERED), since, quote),
-            **rest,
-        )
-
-    return batch_sync(spark, job.specs, job.filters, scan, since, args.root, rules, on_error=args.on_error)
+        rule = job.filters.get(table, UNREGISTERED)
+        return url, list(job.specs[table].keys), predicate_sql(rule, since, lambda c: quoted(spark, url, c))
+
+    def ranges(table: str) -> list[str]:
+        url, keys, condition = place(table)
+        return key_ranges(spark, url, table, keys, args.ranges, condition, **rest)
+
+    def scan(table: str, key_range: str | None = None):
+        url, keys, condition = place(table)
+        condition = " and ".join(f"({c})" for c in (condition, key_range) if c) or None
+        return read_jdbc(spark, url, table, partitions=partitions, split_keys=keys, condition=condition, **rest)
+
+    ledger = ranges if args.ranges > 1 else None
+    return batch_sync(
+        spark, job.specs, job.filters, scan, since, args.root, rules, on_error=args.on_error, batch_id=args.run, ranges=ledger
+    )
 
 
 def run_compact(spark: SparkSession, args: argparse.Namespace) -> dict[str, bool]:

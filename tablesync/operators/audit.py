@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.sources.files import publish_text
+from tablesync.sources.files import delete_folder, list_files, publish_text
 
 AUDIT_SCHEMA = (
     "job string, batch_id bigint, table string, target string, events bigint, upserts bigint,"
@@ -42,7 +44,31 @@ def write_audit(spark: SparkSession, root: str, rows: list[AuditRow], job: str,
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).json(f"{root}/_audit/*/*.json")
+    """All rows; one that is in a batch's file and in a folded one at the same time counts once."""
+    paths = [p for p in (f"{root}/_audit/*/*.json", f"{root}/_audit/*/folded-*/*.json") if list_files(spark, p)]
+    return spark.read.schema(AUDIT_SCHEMA).json(paths).distinct() if paths else audit_frame(spark, [])
+
+
+def fold_audit(spark: SparkSession, root: str, least: int = 16) -> int:
+    """Put the files of a job's batches into one, once there are ``least``; says how many.
+
+    The newest batch's file stays, because a repeat of the batch replaces it. A reader meanwhile sees a row in both
+    files or in one, never in none.
+    """
+    folded = 0
+    for job in list_files(spark, f"{root}/_audit/*"):
+        batches = [f for f in list_files(spark, f"{job}/batch-*.json")]
+        batches.sort(key=lambda f: int(re.sub(r".*/batch-(\d+)\.json$", r"\1", f)))
+        before = list_files(spark, f"{job}/folded-*")
+        if len(batches) <= least:
+            continue
+        old = batches[:-1] + (before if len(before) >= least else [])
+        rows = spark.read.schema(AUDIT_SCHEMA).json(old).distinct()
+        rows.coalesce(1).write.json(f"{job}/folded-{uuid.uuid4().hex[:12]}")
+        for path in old:
+            delete_folder(spark, path)
+        folded += len(old)
+    return folded
 
 
 def summarise(audit: DataFrame) -> DataFrame:

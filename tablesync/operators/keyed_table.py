@@ -81,6 +81,8 @@ class TableState:
     base: dict | None = None
     logs: list[dict] = field(default_factory=list)
     ranges: list[dict] = field(default_factory=list)
+    # With a lane, the last position in each; see ``KeyedTable``.
+    lanes: dict[str, list] = field(default_factory=dict)
     last_by_label: dict[str, dict] = field(default_factory=dict)
     last_seq: dict | None = None
     last_write: int = 0
@@ -89,7 +91,9 @@ class TableState:
         if commit["kind"] != "log":
             return
         if commit["folder"]:
-            self.logs.append({k: commit.get(k) for k in ("folder", "first_seq", "last_seq", "form")})
+            self.logs.append({k: commit.get(k) for k in ("folder", "first_seq", "last_seq", "form", "lanes")})
+        for lane, (_, last) in (commit.get("lanes") or {}).items():
+            self.lanes[lane] = max(last, self.lanes.get(lane, last))
         for i, r in enumerate(commit.get("ranges") or ()):
             self.ranges.append({**r, "write": commit["write"], "id": f"{commit['label']}/{commit['batch_id']}/{i}"})
         known = self.last_by_label.get(commit["label"])
@@ -104,6 +108,9 @@ class TableState:
         """Whether the log may hold a change that is older than the base's row."""
         if self.base is None or self.base["last_seq"] is None:
             return False
+        lanes = self.base.get("lanes")
+        if lanes is not None and all(log.get("lanes") is not None for log in self.logs):
+            return any(lane in lanes and first <= lanes[lane] for log in self.logs for lane, (first, _) in log["lanes"].items())
         first = [log["first_seq"] for log in self.logs if log["first_seq"] is not None]
         return any(not self.after(seq, self.base["last_seq"]) for seq in first)
 
@@ -123,6 +130,12 @@ class TableState:
 
 
 class KeyedTable:
+    """A keyed table below ``path``.
+
+    ``lane`` is a field of the positions whose values count by themselves, as the partitions of a topic do: the table then
+    keeps a last position for each, and a change is late only if it is so in its own lane. All changes of a key are in one lane.
+    """
+
     def __init__(
         self,
         spark: SparkSession,
@@ -133,6 +146,7 @@ class KeyedTable:
         seq_type: str = SEQ_TYPE,
         bucket_bytes: int = BUCKET_BYTES,
         rewrite_share: float = REWRITE_SHARE,
+        lane: str | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -142,6 +156,7 @@ class KeyedTable:
         self.seq_type = T.DataType.fromDDL(seq_type)
         self.bucket_bytes = bucket_bytes
         self.rewrite_share = rewrite_share
+        self.lane = lane
         self._commits: dict[str, dict] = {}
 
     @classmethod
@@ -167,7 +182,7 @@ class KeyedTable:
             newest = self._commits[max(done)[1]]
             covered = set(newest["covers"])
             state.number, state.base, state.logs = newest["number"], newest["base"], list(newest["logs"])
-            state.ranges = list(newest.get("ranges", ()))
+            state.ranges, state.lanes = list(newest.get("ranges", ())), dict(newest.get("lanes", {}))
             state.last_by_label = dict(newest["labels"])
             state.last_seq, state.last_write = newest["last_seq"], newest["last_write"]
         for f in files:
@@ -241,10 +256,19 @@ class KeyedTable:
             deletes=seen["deletes"] or 0,
             first_seq=json_position(seen["first_seq"]),
             last_seq=json_position(seen["last_seq"]),
+            lanes=self._lanes(folder),
             notes=before_commit() if before_commit else None,
             ranges=[] if truncated_at is None else [{"condition": None, "seq": truncated_at}],
         )
 
+    def _lanes(self, folder: str) -> dict[str, list] | None:
+        """The first and last position of each lane in a log folder, as lists of the fields."""
+        if self.lane is None:
+            return None
+        rows = self.spark.read.schema(T.StructType().add("_seq", self.seq_type)).parquet(f"{self.path}/{folder}")
+        seen = rows.groupBy(f"_seq.{self.lane}").agg(F.min("_seq").alias("first"), F.max("_seq").alias("last")).collect()
+        return {str(r[0]): [list(r["first"]), list(r["last"])] for r in seen}
+
     def commit_log(self, state: TableState, label: str, batch_id: int, write: int, **what) -> dict:
         """Make a batch count whose rows, if it has any, are written."""
         places = [what["last_seq"], *(r["seq"] for r in what["ranges"])]
@@ -477,12 +501,14 @@ class KeyedTable:
             schema = json.loads(self._stored_schema().json())
             applied = [r["id"] for r in state.ranges]
             base = {"folder": folder, "buckets": count, "last_seq": state.last_seq, "schema": schema, "applied": applied}
+            if self.lane is not None:
+                base["lanes"] = state.lanes
         else:
             folder = f"log/folded-{name}"
             self._log(state).write.parquet(f"{self.path}/{folder}")
             first = [log["first_seq"] for log in state.logs if log["first_seq"] is not None]
             least = min(first, key=state.place) if first else None
-            logs = [{"folder": folder, "first_seq": least, "last_seq": state.last_seq}]
+            logs = [{"folder": folder, "first_seq": least, "last_seq": state.last_seq, "lanes": self._lanes(folder)}]
         self._commit(
             {
                 "kind": "compaction",
@@ -491,6 +517,7 @@ class KeyedTable:
                 "base": base,
                 "logs": logs,
                 "ranges": state.ranges,
+                "lanes": state.lanes,
                 "labels": state.last_by_label,
                 "last_seq": state.last_seq,
                 "last_write": state.last_write,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -13,10 +14,12 @@ from tablesync.operators.backfill import UNREGISTERED, rows_since
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.sensitive import mask_columns
 from tablesync.spec import NO_MASKING, MaskRules, TableSpec
-from tablesync.streaming.sync import run_parallel
+from tablesync.streaming.sync import noted_once, run_parallel
 
 # A back-fill row beats every streamed change at the same log offset.
 AFTER_ROW = 2**31 - 1
+# Key ranges that a run may have; a range's batch id is its run's times this, plus its number.
+RANGES = 1_000_000
 
 
 class BackfillError(RuntimeError):
@@ -41,7 +44,7 @@ def batch_sync(
     spark: SparkSession,
     specs: dict[str, TableSpec],
     filters: dict[str, str],
-    scan: Callable[[str], DataFrame],
+    scan: Callable[..., DataFrame],
     since: str,
     root: str,
     rules: MaskRules = NO_MASKING,
@@ -51,9 +54,14 @@ def batch_sync(
     on_error: str = "stop",
     parallel_tables: int = 1,
     buckets: int | None = None,
+    ranges: Callable[[str], list[str]] | None = None,
 ) -> DataFrame:
     """Back-fill every table of ``specs`` and return the audit rows.
 
+    With ``ranges``, which gives a table's key ranges as conditions, ``scan`` is called with a table and a range, and each
+    range is applied by itself. A run's ranges and position are noted at its start, and the commits say which
+    ranges are done: a run with the ``batch_id`` of one that failed goes on with the first range that is not.
+
     ``position`` is the source's log position recorded before the scans start, so
     that a newer streamed change wins over an older scanned row. Without it the
     last position the target has applied is used. Of runs at one position the last
@@ -70,6 +78,9 @@ def batch_sync(
             rule = filters.get(name, UNREGISTERED)
             table = KeyedTable.of(spark, root, spec, buckets=buckets)
             at = {**(position or table.state().last_seq or {}), "row": AFTER_ROW}
+            if ranges is not None:
+                apply_ranges(table, name, rule, at, row)
+                return
             changes = backfill_rows(scan(name), spec, rule, since, rules).withColumn("_seq", table.position(at))
             result = table.apply(changes, label, batch_id)
             row.events = row.upserts = result["upserts"]
@@ -79,6 +90,22 @@ def batch_sync(
             if on_error == "stop":
                 raise BackfillError(name, row.error, [r.table for r in rows if r.status == "ok"]) from error
 
+    def apply_ranges(table: KeyedTable, name: str, rule: str, at: dict, row: AuditRow) -> None:
+        plan = f"{label}-{batch_id}-{specs[name].target}.ranges"
+        told = json.loads(noted_once(spark, root, plan, lambda: json.dumps({"ranges": ranges(name), "position": at})))
+        own, first = f"{label}-ranges", batch_id * RANGES
+        last = table.state().last_by_label.get(own)
+        done, total = 0, 0
+        if last is not None and last["batch_id"] >= first:
+            done, total = last["batch_id"] - first + 1, last["notes"]["before"] + last["upserts"]
+        row.status = "skipped" if done >= len(told["ranges"]) else "running"
+        for i, part in enumerate(told["ranges"][done:], done):
+            changes = backfill_rows(scan(name, part), specs[name], rule, since, rules)
+            changes = changes.withColumn("_seq", table.position(told["position"]))
+            total += table.apply(changes, own, first + i, lambda before=total: {"before": before})["upserts"]
+        row.events = row.upserts = total
+        row.status = "skipped" if row.status == "skipped" else "ok"
+
     try:
         run_parallel(spark, one_table, list(specs), parallel_tables)
     finally:

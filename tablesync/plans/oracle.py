@@ -228,6 +228,13 @@ OPEN_STATES = """
   WHERE o_orderkey % 5 <> 0 AND CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 2 = 0 ELSE o_orderstatus = 'O' END
 """
 
+UPSERT_LATEST = """
+  SELECT user_id, event_type, k FROM (
+    SELECT user_id, event_type, json_extract(props, '$.k')::bigint AS k FROM events WHERE event_type <> 'view'
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+  WHERE event_type <> 'error'
+"""
+
 ORACLE: dict[str, str] = {
     "cdc_envelope": f"""
         SELECT {OPS} AS op, 'shop' AS db, 'users' AS tbl, epoch_us(ts) // 1000 AS ts_ms,
@@ -365,11 +372,28 @@ ORACLE: dict[str, str] = {
     "missing_targets": """
         SELECT 'ods' AS db, 'ods_' || k AS target FROM (
           (SELECT c_custkey AS k FROM customer UNION SELECT p_partkey FROM part) EXCEPT SELECT o_custkey FROM orders)""",
-    "upsert_kafka_latest": """
-        SELECT user_id, event_type, k FROM (
-          SELECT user_id, event_type, json_extract(props, '$.k')::bigint AS k FROM events WHERE event_type <> 'view'
-          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
-        WHERE event_type <> 'error'""",
+    "upsert_kafka_latest": UPSERT_LATEST,
+    "upsert_stream": UPSERT_LATEST,
+    "topic_replay": TARGETS,
+    "cdc_stop_resume": TARGETS,
+    "backfill_resume": """
+        SELECT 'orders' AS tbl, o_orderkey AS pk, o_custkey || '|' || lower(o_orderstatus) || '|' || printf('%.2f', o_totalprice) || '|' ||
+          epoch_us(o_orderdate) || '|' || o_orderpriority AS detail FROM orders
+        UNION ALL SELECT 'scans of range', i, CASE i WHEN 2 THEN '2' ELSE '1' END FROM range(5) t(i)
+        UNION ALL SELECT 'audit', count(*), 'ok' FROM orders""",
+    "jdbc_ranges": """
+        SELECT l_orderkey, l_linenumber, 1 AS parts, least(6, (first - 1) // ((n + 6) // 7))::integer AS part
+        FROM (SELECT l_orderkey, l_linenumber, rank() OVER (ORDER BY l_orderkey, l_linenumber) AS first,
+          count(*) OVER () AS n FROM lineitem)""",
+    "url_time_zone": """
+        SELECT s_suppkey, 'jdbc:mysql://h' || s_suppkey || '/shop' || CASE s_suppkey % 4 WHEN 0 THEN '?serverTimezone=Asia/Shanghai'
+          WHEN 1 THEN '?serverTimezone=UTC&serverTimezone=GMT%2B8' ELSE '?serverTimezone=GMT%2B8' END AS url FROM supplier""",
+    "existing_targets": """
+        SELECT 'ods_n' || n_nationkey AS target, 'before' AS found FROM nation WHERE n_regionkey = 0
+        UNION ALL SELECT 'ods_n' || n_nationkey, 'after' FROM nation
+        UNION ALL SELECT 'ods_n' || n_nationkey, 'created' FROM nation WHERE n_regionkey <> 0""",
+    "registered_functions": """
+        SELECT o_orderkey, printf('%.2f', o_totalprice) AS price, left(o_orderpriority, 1) || '...' AS contact FROM orders""",
     "kafka_payload_decode": """
         SELECT 'ods_users' AS topic, (user_id % 3)::integer AS part, event_id AS pos, event_type,
           json_extract(props, '$.k')::bigint AS k FROM events WHERE event_type <> 'error'""",

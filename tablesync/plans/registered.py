@@ -8,21 +8,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.functions.masking import ALL_KINDS, ID_ONLY, mask_pii
-from tablesync.functions.temporal import convert
+from tablesync.functions.masking import ALL_KINDS, ID_ONLY, mask_pii, register_masker
+from tablesync.functions.temporal import convert, register_converter
 from tablesync.operators import backfill, catalog, ddl, routing, sensitive
 from tablesync.operators.audit import read_audit, summarise
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.latest import latest_per_key
 from tablesync.operators.sensitive import mask_columns
 from tablesync.operators.typed import typed_rows
-from tablesync.plans import derive
+from tablesync.plans import derive, job
 from tablesync.plans.batch_sync import batch_sync
 from tablesync.plans.sql_sync import change_images, create_source_view, insert_available, insert_changes, insert_select
 from tablesync.session import run_folder
-from tablesync.sources import change_events, kafka, ndjson, settings
-from tablesync.spec import ColumnSpec, TableSpec
-from tablesync.streaming.sync import SyncOptions, run_available, stage, sync_batch, topic_records
+from tablesync.sources import change_events, jdbc, kafka, ndjson, settings
+from tablesync.spec import ColumnSpec, MaskRules, TableSpec
+from tablesync.streaming import topics
+from tablesync.streaming.sync import SyncOptions, compact_tables, run_available, stage, sync_batch, topic_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -243,6 +244,21 @@ def cdc_many_tables(spark, sf_dir):
     return _targets(spark, root, specs)
 
 
+@registered
+def cdc_stop_resume(spark, sf_dir):
+    """A stream that is stopped between its files and started again, its targets compacted meanwhile."""
+    root, specs = run_folder(spark, "stop-resume"), SHOP
+    log = _whole_log(spark, sf_dir)
+    for i in range(3):
+        part = log.where(F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)) == i)
+        part.repartition(4).write.mode("append").text(f"{root}/_input")
+        events = change_events.read_change_events(spark, f"{root}/_input", streaming=True)
+        run_available(spark, events, specs, root, SyncOptions(label="shop", db="shop"))
+        if i < 2:
+            compact_tables(spark, specs, root, full=i == 1)
+    return _targets(spark, root, specs)
+
+
 @registered
 def cdc_stream_audit(spark, sf_dir):
     root, _ = _streamed(spark, sf_dir)
@@ -473,6 +489,21 @@ def sql_stream_insert(spark, sf_dir):
 # -- masking -----------------------------------------------------------------
 
 
+@registered
+def registered_functions(spark, sf_dir):
+    """A decoding and a mask of the user's own, through the images of events."""
+    register_converter("shop.Cents", lambda value, zone: (value / 100).cast("decimal(15,2)"))
+    register_masker("initial", lambda value, mode: F.concat(F.substring(value, 1, 1), F.lit("...")))
+    o = derive.table(spark, sf_dir, "orders")
+    image = F.struct("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("price"), F.col("o_orderpriority").alias("contact"))
+    src = derive.source("cents", F.lit("bin.000001"), F.col("o_orderkey"), F.lit(0), F.lit(0))
+    log = o.select(derive.event(src, F.lit("c"), F.lit(None).cast("struct<x:int>"), image).alias("value"))
+    columns = (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("price", "decimal(15,2)", "shop.Cents", "bigint"), ColumnSpec("contact"))
+    rules = MaskRules(("contact",), maskers={"contact": "initial"})
+    rows = typed_rows(change_events.parse_envelope(log), TableSpec("cents", "ods_cents", ("o_orderkey",), columns), rules)
+    return rows.select("o_orderkey", F.col("price").cast("string").alias("price"), "contact")
+
+
 def _masked(spark, sf_dir, mode):
     people = derive.personal_data(derive.table(spark, sf_dir, "customer"))
     return people.select(
@@ -613,6 +644,57 @@ def backfill_repeat(spark, sf_dir):
     return _targets(spark, root, specs)
 
 
+@registered
+def backfill_resume(spark, sf_dir):
+    """A back-fill in five key ranges that fails in its third and goes on there; which range was scanned how often."""
+    root, specs, scanned = run_folder(spark, "backfill-resume"), {"orders": derive.ORDERS}, []
+    sync_batch(derive.shop_log(spark, sf_dir), 0, specs, root, SyncOptions(label="shop", db="shop", on_unknown="ignore"))
+    orders = derive.table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.lower("o_orderstatus"))
+
+    def scan(name, part):
+        scanned.append(part)
+        if scanned.count(part) == 1 and part.endswith("= 2"):
+            raise OSError("the source has gone away")
+        return orders.where(part)
+
+    for turn in range(2):
+        batch_sync(
+            spark, specs, {"orders": "full"}, scan, SINCE, root, batch_id=7, on_error="continue",
+            ranges=lambda name: [f"pmod(o_orderkey, 5) = {i}" for i in range(5)],
+        )
+        if turn == 0:
+            KeyedTable.of(spark, root, derive.ORDERS).compact()
+    told = [("scans of range", int(p[-1]), str(scanned.count(p))) for p in sorted(set(scanned))]
+    audit = read_audit(spark, root).where("job = 'backfill'").select(
+        F.lit("audit").alias("tbl"), F.col("upserts").alias("pk"), F.col("status").alias("detail")
+    )
+    found = _targets(spark, root, specs).unionByName(spark.createDataFrame(told, "tbl string, pk bigint, detail string"))
+    return found.unionByName(audit)
+
+
+@registered
+def jdbc_ranges(spark, sf_dir):
+    """Split points of a key of two columns by the SQL that a database gets, and the rows of each range."""
+    derive.table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_keys")
+    names, parts = ["l_orderkey", "l_linenumber"], 7
+    rows = spark.table("lineitem_keys").count()
+    found = spark.sql(jdbc.split_query("lineitem_keys", names, -(-rows // parts), "l_returnflag <> 'X'")).collect()
+    ranges = jdbc.range_predicates(names, jdbc.split_points(found, parts))
+    cases = [F.when(F.expr(p), i) for i, p in enumerate(ranges)]
+    return spark.table("lineitem_keys").select(
+        *names, F.coalesce(*cases).alias("part"), F.size(F.array_compact(F.array(*cases))).alias("parts")
+    )
+
+
+@registered
+def url_time_zone(spark, sf_dir):
+    """URLs of every supplier's database, with and without options and zones."""
+    key = F.col("s_suppkey")
+    zone = F.when(key % 4 == 0, "serverTimezone=Asia/Shanghai").when(key % 4 == 1, "serverTimezone=UTC")
+    url = F.concat(F.lit("jdbc:mysql://h"), key.cast("string"), F.lit("/shop"), F.coalesce(F.concat(F.lit("?"), zone), F.lit("")))
+    return derive.table(spark, sf_dir, "supplier").select("s_suppkey", jdbc.stated_time_zone(url).alias("url"))
+
+
 @registered
 def backfill_audit(spark, sf_dir):
     """All tables of a job, one of which fails and does not stop the others."""
@@ -628,6 +710,20 @@ def backfill_audit(spark, sf_dir):
 # -- catalog -----------------------------------------------------------------
 
 
+@registered
+def existing_targets(spark, sf_dir):
+    """The targets that a job finds and those it creates: nations' tables, those of one region made before."""
+    root = run_folder(spark, "existing")
+    rows = derive.table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").collect()
+    specs = {f"n{r[0]}": TableSpec(f"n{r[0]}", f"ods_n{r[0]}", ("id",), (ColumnSpec("id", "int"),)) for r in rows}
+    first = {f"n{r[0]}": specs[f"n{r[0]}"] for r in rows if r[1] == 0}
+    job.create_missing_targets(spark, first, root)
+    before = job.existing_targets(spark, root).withColumn("found", F.lit("before"))
+    created = [(t, "created") for t in job.create_missing_targets(spark, specs, root)]
+    now = job.existing_targets(spark, root).withColumn("found", F.lit("after"))
+    return before.union(now).select("target", "found").union(spark.createDataFrame(created, "target string, found string"))
+
+
 @registered
 def ddl_columns(spark, sf_dir):
     c = ddl.ddl_columns(derive.part_definitions(spark, sf_dir))
@@ -770,6 +866,11 @@ def cdc_topic_records(spark, sf_dir):
 def topic_round_trip(spark, sf_dir):
     """The records of all topics, read again as upsert topics: the rows of the keyed targets."""
     records = cdc_topic_records(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("bigint")})
+    return _from_records(records)
+
+
+def _from_records(records):
+    """The rows of the shop's tables from the records of their upsert topics."""
     parts = []
     for spec in SHOP.values():
         fields = {c.name: f"`{c.name}` {c.target}" for c in spec.columns}
@@ -779,6 +880,46 @@ def topic_round_trip(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@registered
+def topic_replay(spark, sf_dir):
+    """Batches that are published one and a half times, in any order, and one without its fence: the keyed targets' rows."""
+    late = derive.user_log(spark, sf_dir, TAKEOVER)
+    logs = [late.where("server = 1").select("value").union(derive.shop_log(spark, sf_dir)), late.where("server = 2").select("value")]
+    options = SyncOptions(db="shop")
+    root, batches = run_folder(spark, "topic-replay"), []
+    for i, log in enumerate(logs):
+        topics.outbox_records(topic_records(stage(log, SHOP, options), SHOP, options), "shop", i).write.parquet(f"{root}/{i}")
+        batches.append(spark.read.parquet(f"{root}/{i}"))
+    half = F.crc32(F.col("key").cast("binary")) % 2 == 0
+    unfinished = topics.outbox_records(batches[0], "shop", 2)
+    published = [batches[1].where(half), batches[0], batches[1], batches[0].where(half), batches[1].where(~half)]
+    published.append(unfinished.withColumn("value", F.lit(None).cast("string")))
+    log = reduce(
+        DataFrame.unionByName,
+        [b.withColumn("offset", F.lit(i << 40) + F.monotonically_increasing_id()) for i, b in enumerate(published)],
+    )
+    fences = [topics.fence_records(spark, "shop", i, b.count(), "shop.fences") for i, b in enumerate(batches)]
+    records = topics.finished_records(log, reduce(DataFrame.unionByName, fences))
+    return _from_records(records)
+
+
+@registered
+def upsert_stream(spark, sf_dir):
+    """An upsert topic as a stream over three partitions, whose later half comes first; null values delete."""
+    root = run_folder(spark, "upsert-stream")
+    columns = (ColumnSpec("user_id", "bigint"), ColumnSpec("event_type"), ColumnSpec("props", "string"))
+    spec = TableSpec("users", "ods_topic_users", ("user_id",), columns)
+    records = _records(spark, sf_dir)
+    schema = records.schema
+    middle = derive.table(spark, sf_dir, "events").count() // 2
+    for half in (F.col("offset") >= middle, F.col("offset") < middle):
+        records.where(half).repartition(4).write.mode("append").parquet(f"{root}/_records")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/_records")
+    topics.upsert_stream(stream, spec, root, f"{root}/_checkpoints/users", trigger={"availableNow": True}).awaitTermination()
+    rows = topics.upsert_target(spark, root, spec).read()
+    return rows.select("user_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
 @registered
 def to_ndjson(spark, sf_dir):
     priority = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Spellings of the China zone a source URL may already carry, and the one added (fixed values).
 CHINA_ZONE_PARAMS = ("serverTimezone=Hongkong", "serverTimezone=Asia/Shanghai", "serverTimezone=GMT%2B8")
@@ -16,6 +20,15 @@ def with_server_time_zone(url: str, param: str = DEFAULT_ZONE_PARAM) -> str:
     return f"{url}{'&' if '?' in url else '?'}{param}"
 
 
+def stated_time_zone(url: Column, param: str = DEFAULT_ZONE_PARAM) -> Column:
+    """``with_server_time_zone`` for a column of URLs."""
+    named = F.lit(False)
+    for spelling in CHINA_ZONE_PARAMS:
+        named |= url.contains(spelling)
+    joint = F.when(url.contains("?"), "&").otherwise("?")
+    return F.when(named, url).otherwise(F.concat(url, joint, F.lit(param)))
+
+
 def mysql_url(host: str, port: int, database: str, extend: str | None = None) -> str:
     url = f"jdbc:mysql://{host}:{port}/{database}"
     return f"{url}?{extend}" if extend else url
@@ -31,6 +44,91 @@ def key_hash(keys: list[str]) -> str:
     return f"crc32(concat_ws('|', {', '.join(keys)}))"
 
 
+# How a database draws a share of a table's rows, by the name in its URL (fixed values), and the rows it is not asked for.
+DRAWS = {"mysql": "rand() < {}", "mariadb": "rand() < {}", "postgresql": "random() < {}"}
+DRAW_ABOVE = 10_000_000
+
+
+def split_query(table: str, names: Sequence[str], step: int, condition: str | None = None) -> str:
+    """SQL for every ``step``-th key in the database's own order: a few rows, read from the key's index.
+
+    ``_place`` tells their order, whatever the collation.
+    """
+    listed, among = ", ".join(names), f" where {condition}" if condition else ""
+    keys = f"select {listed}, row_number() over (order by {listed}) as _place from {table}{among}"
+    return f"select {listed}, _place from ({keys}) numbered where mod(_place, {step}) = 0"
+
+
+def literal(value, backslashes: bool = False) -> str:
+    """A key's value in SQL; ``backslashes`` for databases where they escape, as in MySQL."""
+    if isinstance(value, datetime):
+        return f"{{ts '{value.isoformat(' ')}'}}"
+    if isinstance(value, date):
+        return f"{{d '{value.isoformat()}'}}"
+    if isinstance(value, (bytes, bytearray)):
+        return f"x'{value.hex()}'"
+    if isinstance(value, str):
+        value = value.replace("\\", "\\\\") if backslashes else value
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def split_points(found: Sequence, parts: int, backslashes: bool = False) -> list[list[str]]:
+    """The rows of ``split_query`` as ascending keys of literals; a key with a NULL splits nothing."""
+    keys = [[*r][:-1] for r in sorted(found, key=lambda r: r[-1])[: parts - 1]]
+    return [[literal(v, backslashes) for v in key] for key in keys if None not in key]
+
+
+def range_predicates(names: Sequence[str], points: Sequence[Sequence[str]]) -> list[str]:
+    """Conditions that split all rows at the ``points``, keys as literals in ascending order; NULLs go to the first.
+
+    Keys of several columns are compared column by column, with a bound on the first one for the index.
+    """
+
+    def above(point: Sequence[str]) -> str:
+        cases = []
+        for i, name in enumerate(names):
+            same = "".join(f"{n} = {v} and " for n, v in zip(names[:i], point[:i], strict=True))
+            cases.append(f"({same}{name} > {point[i]})")
+        return f"{names[0]} >= {point[0]} and ({' or '.join(cases)})"
+
+    def upto(point: Sequence[str]) -> str:
+        cases = []
+        for i, name in enumerate(names):
+            same = "".join(f"{n} = {v} and " for n, v in zip(names[:i], point[:i], strict=True))
+            cases.append(f"({same}{name} {'<=' if i == len(names) - 1 else '<'} {point[i]})")
+        return f"{names[0]} <= {point[0]} and ({' or '.join(cases)})"
+
+    if not points:
+        return ["1 = 1"]
+    nulls = " or ".join(f"{n} is null" for n in names)
+    middle = [f"{above(a)} and {upto(b)}" for a, b in zip(points, points[1:], strict=False)]
+    return [f"({upto(points[0])}) or {nulls}", *middle, above(points[-1])]
+
+
+def key_ranges(
+    spark: SparkSession, url: str, table: str, keys: Sequence[str], parts: int, condition: str | None = None, **options: str
+) -> list[str]:
+    """Conditions that split the rows that meet ``condition`` into ``parts`` of equal number, by quantiles of the key.
+
+    The database sends the split points alone. Of a large table it draws a share of the keys, if it can, so the parts
+    are equal up to a few per cent. It needs window functions (MySQL from 8.0 on); ``key_hash`` does without.
+    """
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    names = [quoted(spark, url, k) for k in keys]
+    among = f" where {condition}" if condition else ""
+    rows = reader.option("query", f"select count(*) as n from {table}{among}").load().first()[0]
+    draw = DRAWS.get(url.split(":")[1]) if rows > DRAW_ABOVE else None
+    if draw:
+        share = DRAW_ABOVE / rows
+        condition = " and ".join([*([f"({condition})"] if condition else []), draw.format(f"{share:.9f}")])
+        rows = DRAW_ABOVE
+    if parts < 2 or rows < parts:
+        return range_predicates(names, [])
+    found = reader.option("query", split_query(table, names, -(-rows // parts), condition)).load().collect()
+    return range_predicates(names, split_points(found, parts, url.split(":")[1] in ("mysql", "mariadb")))
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -41,20 +139,25 @@ def read_jdbc(
     fetch_size: int = 10_000,
     split_by: str | None = None,
     condition: str | None = None,
+    split_keys: Sequence[str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Scan ``table``; ``where`` is pushed to the database by Spark.
 
     With a numeric, date or timestamp ``partition_column`` the scan is split into
     ``partitions`` ranges between its smallest and largest value among the rows that meet
-    ``condition``, SQL for the database, which is asked for them in one row. With ``split_by``, a whole
-    number in the database's SQL (see ``key_hash``), it is split by the rest of that number instead.
+    ``condition``, SQL for the database, which is asked for them in one row. With ``split_keys``, the columns
+    of an index, it is split into ranges of equally many rows (see ``key_ranges``), with ``split_by``, a whole
+    number in the database's SQL (see ``key_hash``), by the rest of that number.
     """
     base = {"url": url, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **options}
     reader = spark.read.format("jdbc").options(**base)
-    if split_by and partitions > 1:
-        parts = [f"mod({split_by}, {partitions}) = {i}" for i in range(partitions)]
-        parts[0] += f" or {split_by} is null"
+    if (split_by or split_keys) and partitions > 1:
+        if split_keys:
+            parts = key_ranges(spark, table=table, keys=split_keys, parts=partitions, condition=condition, **base)
+        else:
+            parts = [f"mod({split_by}, {partitions}) = {i}" for i in range(partitions)]
+            parts[0] += f" or {split_by} is null"
         if condition:
             parts = [f"({p}) and ({condition})" for p in parts]
         properties = {k: v for k, v in base.items() if k != "url"}

@@ -21,6 +21,13 @@ def kafka_options(servers: str, topics: list[str], start: str = "earliest", grou
     return options
 
 
+def start_options(start: str | int) -> dict:
+    """Where a topic is read from: ``earliest``, ``latest`` or the first record of a time in epoch milliseconds."""
+    if start in ("earliest", "latest"):
+        return {"startingOffsets": start}
+    return {"startingTimestamp": str(int(start)), "startingOffsetsByTimestampStrategy": "latest"}
+
+
 def read_kafka(spark: SparkSession, servers: str, topics: list[str], streaming: bool = True, **options) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
     return reader.format("kafka").options(**{**kafka_options(servers, topics), **options}).load()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablesync.operators.audit import AuditRow, write_audit
+from tablesync.operators.audit import AuditRow, fold_audit, write_audit
 from tablesync.operators.keyed_table import IMAGES, KeyedTable, skipped_batch
 from tablesync.operators.latest import latest_per_key
 from tablesync.operators.routing import classify
@@ -109,7 +109,7 @@ def sync_batch(
 
         if odd:
             rest = staged.where(~F.col("_action").isin("upsert", "delete", "truncate"))
-            _quarantine(rest, root, options.label, batch_id, "_events")
+            quarantine(rest, root, options.label, batch_id, "_events")
         for name in active:
             if name not in tables:
                 tables[name] = KeyedTable.of(spark, root, specs[name], **options.keyed_options())
@@ -211,7 +211,7 @@ def _apply_batch(
                 kind = F.when(F.col("_deleted"), "delete").otherwise("upsert").alias("_op")
                 bad = table.image_rows([part.folder], bad=True)
                 bad = bad.select(*[F.col(f"`{n}`") for n in spec.column_names], kind, "_seq", "_bad")
-                _quarantine(bad, root, options.label, batch_id, spec.target)
+                quarantine(bad, root, options.label, batch_id, spec.target)
             done = table.commit_log(
                 states[name],
                 options.label,
@@ -243,7 +243,7 @@ def _apply_batch(
     return run_parallel(spark, one_table, names, options.parallel_tables)
 
 
-def _quarantine(rows: DataFrame, root: str, label: str, batch_id: int, name: str) -> int:
+def quarantine(rows: DataFrame, root: str, label: str, batch_id: int, name: str) -> int:
     """Keep what could not be applied, whole, beside the targets."""
     seen = Observation()
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
@@ -275,33 +275,11 @@ def topic_records(staged: DataFrame, specs: dict[str, TableSpec], options: SyncO
     return reduce(DataFrame.unionByName, parts)
 
 
-def topic_stream(
-    events: DataFrame,
-    specs: dict[str, TableSpec],
-    kafka: dict[str, str],
-    checkpoint: str,
-    options: SyncOptions | None = None,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Publish a change stream to one topic per table. Kafka's sink writes at least once."""
-    options = options or SyncOptions()
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch, specs, options).sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            topic_records(staged, specs, options).write.format("kafka").options(**kafka).save()
-        finally:
-            staged.unpersist()
-
-    writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
-
-
-def _noted_once(spark: SparkSession, root: str, name: str, text: str) -> str:
+def noted_once(spark: SparkSession, root: str, name: str, text: Callable[[], str]) -> str:
     """What stands in a job's note: this text, if it is the first."""
     folder = f"{root}/_jobs"
     if not list_files(spark, f"{folder}/{name}"):
-        publish_text(spark, folder, name, text)
+        publish_text(spark, folder, name, text())
     return read_text(spark, f"{folder}/{name}")
 
 
@@ -309,13 +287,13 @@ def first_start(spark: SparkSession, root: str, options: SyncOptions) -> SyncOpt
     """The options with ``latest`` as the time of the job's first start, which restarts keep."""
     if options.start != "latest":
         return options
-    return replace(options, start=int(_noted_once(spark, root, f"{options.label}.start", str(int(time.time() * 1000)))))
+    return replace(options, start=int(noted_once(spark, root, f"{options.label}.start", lambda: str(int(time.time() * 1000)))))
 
 
 def bind_label(spark: SparkSession, root: str, label: str, checkpoint: str) -> str:
     """Tie a label to its checkpoint: another checkpoint counts its batches anew, and they would be skipped."""
     query = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
-    known = _noted_once(spark, root, f"{label}.query", query)
+    known = noted_once(spark, root, f"{label}.query", lambda: query)
     if known != query:
         raise ValueError(f"label {label} belongs to another checkpoint than {checkpoint}: take a new label")
     return query
@@ -335,6 +313,7 @@ def compact_tables(
 
     done = dict(zip(specs, run_parallel(spark, one_table, list(specs), options.parallel_tables), strict=True))
     vacuum_parts(spark, root)
+    fold_audit(spark, root)
     return done
 
 

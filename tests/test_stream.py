@@ -170,7 +170,7 @@ def test_a_batch_that_died_at_any_step_is_finished_by_its_repeat(spark, tmp_path
 
     root = str(tmp_path / "root")
     if step in ("events", "bad rows"):
-        dies(sync, "_quarantine", lambda rows, root, label, batch, name: (name == "_events") == (step == "events"))
+        dies(sync, "quarantine", lambda rows, root, label, batch, name: (name == "_events") == (step == "events"))
     elif step == "audit":
         dies(sync, "write_audit", lambda *args: True)
     else:
