@@ -23,6 +23,10 @@ change between it and the tombstone that does not meet the condition still wins.
 A stream writes the changes of all its tables at once (``streaming.multi_log``). The folder of such a batch lies beside the
 tables, has a part for each and holds images as VARIANT; commits name the part, and it is read in the columns of the table.
 
+Commits say between which values of the first key column a log folder's and the base's rows lie, and base files are sorted by key
+in pages of few rows. So a merge passes base rows outside the log's values by without a join, and ``read_keys`` reads
+the pages around the keys it is asked for, in the base and in those log folders that may hold them.
+
 A table may be opened with another schema than it was written with: columns that a file does
 not have are NULL, those that are not asked for are not read.
 
@@ -42,6 +46,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -60,6 +65,12 @@ BUCKET_BYTES = 512 << 20
 # ``compact`` writes a new base once the log has this share of the base's bytes, so each byte is
 # rewritten a few times only; before, it folds the log.
 REWRITE_SHARE = 0.25
+# Rows of a page of a base file, the least that a filter on the key reads.
+PAGE_ROWS = 4096
+# A merge joins the base only between the log's key values where these are less than this share of the base's.
+NARROW_SHARE = 0.5
+# Rows of a base from which on the join that is saved costs more than a second scan's start.
+NARROW_ROWS = 1_000_000
 # How long a reader or writer may use files that a later commit has replaced.
 RETAIN_SECONDS = 7 * 24 * 3600
 # Commit files that a compaction covers are only in the way of a reader that listed them just before.
@@ -91,7 +102,7 @@ class TableState:
         if commit["kind"] != "log":
             return
         if commit["folder"]:
-            self.logs.append({k: commit.get(k) for k in ("folder", "first_seq", "last_seq", "form", "lanes")})
+            self.logs.append({k: commit.get(k) for k in ("folder", "first_seq", "last_seq", "form", "lanes", "zone")})
         for lane, (_, last) in (commit.get("lanes") or {}).items():
             self.lanes[lane] = max(last, self.lanes.get(lane, last))
         for i, r in enumerate(commit.get("ranges") or ()):
@@ -241,6 +252,7 @@ class KeyedTable:
             F.count_if("_deleted").alias("deletes"),
             F.min("_seq").alias("first_seq"),
             F.max("_seq").alias("last_seq"),
+            *self._zone_ends(),
         )
         folder = f"log/{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}-{uuid.uuid4().hex[:8]}"
         rows.write.parquet(f"{self.path}/{folder}")
@@ -257,10 +269,32 @@ class KeyedTable:
             first_seq=json_position(seen["first_seq"]),
             last_seq=json_position(seen["last_seq"]),
             lanes=self._lanes(folder),
+            zone=_json_zone(seen),
             notes=before_commit() if before_commit else None,
             ranges=[] if truncated_at is None else [{"condition": None, "seq": truncated_at}],
         )
 
+    def _zone_ends(self) -> list[Column]:
+        first = F.col(f"`{self.keys[0]}`")
+        return [f(first).cast("string").alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+
+    def _within(self, zone: list[str] | tuple | None) -> Column:
+        """Whether the first key column lies in a zone; everything lies in none."""
+        if zone is None:
+            return F.lit(True)
+        kind, first = self.schema[self.keys[0]].dataType, F.col(f"`{self.keys[0]}`")
+        return (first >= F.lit(zone[0]).cast(kind)) & (first <= F.lit(zone[1]).cast(kind))
+
+    def _narrow(self, state: TableState) -> list[str] | None:
+        """The zone of all logs, if it is known and much narrower than the base's."""
+        zones = [log.get("zone") for log in state.logs]
+        base = state.base.get("zone")
+        if base is None or state.base["rows"] < NARROW_ROWS or None in zones or not isinstance(self.schema[self.keys[0]].dataType, T.NumericType):
+            return None
+        low, high = min((z[0] for z in zones), key=Decimal), max((z[1] for z in zones), key=Decimal)
+        inner = min(Decimal(high), Decimal(base[1])) - max(Decimal(low), Decimal(base[0]))
+        return [low, high] if inner < (Decimal(base[1]) - Decimal(base[0])) * Decimal(NARROW_SHARE) else None
+
     def _lanes(self, folder: str) -> dict[str, list] | None:
         """The first and last position of each lane in a log folder, as lists of the fields."""
         if self.lane is None:
@@ -378,8 +412,23 @@ class KeyedTable:
             return rows
         return rows.where(~F.col("_deleted")).select(*[F.col(f"`{n}`") for n in self.schema.names])
 
-    def _merged(self, state: TableState, partitions: int | None = None) -> DataFrame:
+    def read_keys(self, keys: DataFrame) -> DataFrame:
+        """The live rows of some keys, the key columns of ``keys``, from the parts of the table around them."""
+        state, wanted = self.state(), keys.select(*[F.col(f"`{k}`").cast(self.schema[k].dataType).alias(k) for k in self.keys])
+        ends = wanted.agg(*self._zone_ends()).first()
+        if ends["low"] is None:
+            return self.read().limit(0)
+        zone = [ends["low"], ends["high"]]
+        kind = self.schema[self.keys[0]].dataType
+        if isinstance(kind, T.NumericType):
+            state.logs = [log for log in state.logs if log.get("zone") is None or _overlap(log["zone"], zone)]
+        rows = self._merged(state, zone=zone).join(wanted.distinct(), self.keys, "left_semi")
+        return rows.where(~F.col("_deleted")).select(*[F.col(f"`{n}`") for n in self.schema.names])
+
+    def _merged(self, state: TableState, partitions: int | None = None, zone: list[str] | None = None) -> DataFrame:
         log, base = self._log(state, partitions), self._base(state)
+        if zone is not None:
+            log, base = (rows if rows is None else rows.where(self._within(zone)) for rows in (log, base))
         if base is None or log is None:
             rows, ranges = (log, state.ranges) if base is None else (base, state.pending)
             return self.spark.createDataFrame([], self._stored_schema()) if rows is None else self._marked(rows, ranges)
@@ -392,7 +441,12 @@ class KeyedTable:
             logged = logged.hint("merge")
         same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(self.keys, names, strict=True)])
         order = F.struct("_seq", "_write")
+        narrow = self._narrow(state) if partitions is None and zone is None else None
+        # Rows outside the log's zone have no change, so they are not joined.
+        outside = None if narrow is None else base.where(~self._within(narrow))
+        base = base if narrow is None else base.where(self._within(narrow))
         kept = base.join(logged, same & (F.col("_at") >= order), "left_anti")
+        kept = kept if outside is None else outside.unionByName(kept)
         if state.late_changes:
             # A second scan of the base, for its keys and positions only.
             late = base.select(*self.keys, "_seq", "_write").join(logged, same).where(order > F.col("_at"))
@@ -489,8 +543,11 @@ class KeyedTable:
                 rows = rows.repartition(count, *self.keys)
             if drop_deleted:
                 rows = rows.where(~F.col("_deleted"))
+            seen = Observation()
             (
-                rows.write.format("parquet")
+                rows.observe(seen, F.count(F.lit(1)).alias("n"), *self._zone_ends())
+                .write.format("parquet")
+                .option("parquet.page.row.count.limit", PAGE_ROWS)
                 .bucketBy(count, *self.keys)
                 .sortBy(*self.keys)
                 .option("path", f"{self.path}/{folder}")
@@ -501,6 +558,7 @@ class KeyedTable:
             schema = json.loads(self._stored_schema().json())
             applied = [r["id"] for r in state.ranges]
             base = {"folder": folder, "buckets": count, "last_seq": state.last_seq, "schema": schema, "applied": applied}
+            base["zone"], base["rows"] = _json_zone(seen.get), seen.get["n"]
             if self.lane is not None:
                 base["lanes"] = state.lanes
         else:
@@ -508,7 +566,12 @@ class KeyedTable:
             self._log(state).write.parquet(f"{self.path}/{folder}")
             first = [log["first_seq"] for log in state.logs if log["first_seq"] is not None]
             least = min(first, key=state.place) if first else None
-            logs = [{"folder": folder, "first_seq": least, "last_seq": state.last_seq, "lanes": self._lanes(folder)}]
+            zones = [log.get("zone") for log in state.logs]
+            numeric = isinstance(self.schema[self.keys[0]].dataType, T.NumericType)
+            zone = [f((z[i] for z in zones), key=Decimal) for i, f in enumerate((min, max))] if numeric and None not in zones else None
+            logs = [
+                {"folder": folder, "first_seq": least, "last_seq": state.last_seq, "lanes": self._lanes(folder), "zone": zone}
+            ]
         self._commit(
             {
                 "kind": "compaction",
@@ -557,6 +620,14 @@ class KeyedTable:
         return sorted(gone)
 
 
+def _json_zone(seen: dict) -> list[str] | None:
+    return None if seen["low"] is None else [seen["low"], seen["high"]]
+
+
+def _overlap(a: list[str], b: list[str]) -> bool:
+    return Decimal(a[0]) <= Decimal(b[1]) and Decimal(b[0]) <= Decimal(a[1])
+
+
 def image_field(column: str) -> str:
     """A column's name in an image, where paths take letters, digits and underscores only."""
     return "f" + "".join(c if c.isascii() and c.isalnum() else f"_{ord(c):x}_" for c in column)

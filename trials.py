@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.latest import latest_per_key
 from tablesync.session import local_session
+from tablesync.sources.files import folder_size
 
 SCHEMA = T.StructType().add("id", "long", False).add("line", "integer", False).add("price", "double").add("note", "string")
 
@@ -26,6 +27,16 @@ def seconds(work) -> float:
     return round(time.perf_counter() - start, 1)
 
 
+def bytes_read(spark, work) -> int:
+    """Bytes that a piece of work reads from files; shuffles are not among them."""
+    def total() -> int:
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = total()
+    work()
+    return total() - before
+
+
 def changes(spark, first: int, rows: int, position: int):
     ids = spark.range(first, first + rows)
     return ids.select(
@@ -40,7 +51,9 @@ def changes(spark, first: int, rows: int, position: int):
 
 def main(millions: int) -> None:
     folder = tempfile.mkdtemp(prefix="tablesync-trial-")
-    spark = local_session(8, spark__checkpoint__dir=folder, spark__sql__warehouse__dir=f"{folder}/warehouse")
+    # Vectored reads of local files are not counted in the bytes read.
+    more = {"parquet__hadoop__vectored__io__enabled": "false"}
+    spark = local_session(8, spark__checkpoint__dir=folder, spark__sql__warehouse__dir=f"{folder}/warehouse", **more)
     rows, out = millions * 1_000_000, {"rows": millions * 1_000_000}
     # A third of the log is of one key.
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(rows // 20)))
@@ -51,6 +64,13 @@ def main(millions: int) -> None:
     out["compact"] = seconds(table.compact)
     out["apply_one_per_cent"] = seconds(lambda: table.apply(changes(spark, rows // 2, rows // 100, 1), "log", 1))
     out["read"] = seconds(lambda: table.read().write.format("noop").mode("overwrite").save())
+    # A batch of 0.1 per cent on a fresh base: its keys' merged rows against the bytes of the base.
+    table.compact(full=True)
+    few = changes(spark, rows // 3, rows // 1000, 2)
+    table.apply(few, "log", 2)
+    base_bytes = folder_size(spark, f"{folder}/t/{table.state().base['folder']}")
+    read = bytes_read(spark, lambda: out.update(changed=table.read_keys(few).count()))
+    out["read_changed_share_of_base"] = round(read / base_bytes, 4)
     out["read_one_key"] = seconds(lambda: table.read().where("id = 77").collect())
     print(json.dumps(out))
     spark.stop()
