@@ -13,8 +13,8 @@ keep a task's share bounded. Spark deals the pairs of shard and block.
 
 Defined cases: vectors that are null, empty, or hold nulls or non-finite components take
 no part, nor do rows without an id; vectors are compared with those of the same length only; of rows that repeat
-an id the smallest vector counts; ties go to the smaller id; a score that 64 bits can't hold is an error; an empty
-table gives an empty result.
+an id the smallest vector counts; ties go to the smaller id; a component or a score that 64 bits can't hold is an error;
+an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.graph import stored
@@ -122,7 +122,13 @@ def exact_top_k(
     )
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & whole)
-    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("v"))
+
+    def held(x: Column) -> Column:
+        # Beyond 64 bits a floor would stop at the largest number they hold.
+        too_large = F.raise_error(F.lit("a component of a vector is beyond 64 bits")).cast("long")
+        return F.when(F.abs(x * scale) < 2.0**63, F.floor(x * scale)).otherwise(too_large)
+
+    rows = rows.select("vec_id", F.transform("v", held).alias("v"))
     rows = stored(rows.groupBy("vec_id").agg(F.min("v").alias("v")), f"{folder}/vectors")
 
     count = rows.count()

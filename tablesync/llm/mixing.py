@@ -8,9 +8,9 @@ source's passes is trained where the demand reaches ``c``. Documents are sorted
 position with a range sort.
 
 The running sum over a source is taken in two steps, so a source with a third of
-all rows is no one task's work: rows fall into 4,096 ranges of a hash of the id
-in each source, the ranges' sums are added up per source, and the rows only within
-their range. The table of sources has one row for each source; its ranks are
+all rows is no one task's work: rows fall into ranges of a hash of id and text in each
+source, as many as leave about ``RANGE_ROWS`` rows for a range, the ranges' sums are added up per source, and the rows only
+within their range. Rows that repeat an id, or have none, spread over the ranges by their texts. The table of sources has one row for each source; its ranks are
 counted in one task.
 
 Defined cases: a null text has no words; null sources are one source, which comes last; a
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import whole_id, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
-RANGE_BITS = 12
+# Rows of a source's range if it had all rows; no fewer than 4,096 ranges.
+RANGE_ROWS, RANGE_BITS = 1 << 14, 12
 # Start and end of a source's schedule around its mean of 1, repeating as the weights do:
 # heavy sources fade out, light ones come in. Both ends are above 0 and their mean is 1.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
@@ -80,6 +81,7 @@ def mix(
     the training time of the first pass; ``_passes``, an array of (words taken, time) of all passes.
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    bits = max(RANGE_BITS, (docs.count() // RANGE_ROWS).bit_length())
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     text = whole_text(names[text_col])
     rows = rows.withColumns(
@@ -87,10 +89,10 @@ def mix(
             "_none": F.col(names[source_col]).isNull(),
             "_source": F.coalesce(F.col(names[source_col]).cast("string"), F.lit("")),
             "_size": F.regexp_count(text, F.lit(WORD)).cast("long"),
-            "_order": F.xxhash64(whole_id(names[id_col])),
+            "_order": F.xxhash64(whole_id(names[id_col]), text),
             "_tie": F.xxhash64(text),
         }
-    ).withColumn("_range", F.shiftright("_order", 64 - RANGE_BITS))
+    ).withColumn("_range", F.shiftright("_order", 64 - bits))
 
     sizes = rows.groupBy("_none", "_source", "_range").agg(F.sum("_size").alias("_size"))
     earlier = Window.partitionBy("_none", "_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

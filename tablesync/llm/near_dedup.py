@@ -127,14 +127,15 @@ def _signatures(words: int):
         for batch in slices(batches):
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             sizes, names, keys = [], [], []
+            marks = [hashlib.md5(t, usedforsecurity=False).digest() for t in texts]
             for part in chunks(texts):
                 for items in shingle_sets(texts[part], words):
                     sizes.append(len(items))
                     names.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
                     keys.append(band_keys(sketch(items)) if len(items) else [])
-            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            columns = [pa.array(c, k) for c, k in zip((sizes, names, keys), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "c", "keys"])
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip((sizes, names, keys, marks), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "c", "keys", "of"])
 
     return run
 
@@ -173,21 +174,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     folder = run_folder(docs.sparkSession, "near-dedup")
     rows = docs.select(whole_id(id_col).alias("id"), whole_text(text_col).alias("text"))
     signed = stored(
-        rows.mapInArrow(_signatures(words), "id long, n long, c binary, keys array<long>"), f"{folder}/signed"
+        rows.mapInArrow(_signatures(words), "id long, n long, c binary, keys array<long>, of binary"), f"{folder}/signed"
     )
     of_class = signed.where("n > 0").groupBy("c")
-    classes = of_class.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    # Rows of one id may have other texts, of other classes: a class's text is known by id and text name.
+    place = F.min(F.struct("id", "of")).alias("place")
+    classes = of_class.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), place)
     classes = stored(classes, f"{folder}/classes")
 
     banded = classes.select("c", "n", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("key")
     members = stored(banded.join(dealt_anew(shared, "key"), "key"), f"{folder}/members")
 
-    # The texts of one document for each class that shares a bucket. An id may have other texts, of other classes.
-    needed = members.select("c").distinct().join(classes.select("c", "rep"), "c")
-    texts = rows.join(needed, rows["id"].eqNullSafe(needed["rep"])).select("c", "text")
-    texts = texts.mapInArrow(_own_class(words), "c binary, text string").groupBy("c").agg(F.first("text").alias("text"))
-    texts = stored(texts, f"{folder}/texts")
+    # The text of one row for each class that shares a bucket.
+    needed = members.select("c").distinct().join(classes.select("c", "place.*"), "c")
+    needed = needed.select("c", F.col("id").alias("at_id"), F.col("of").alias("at_of"))
+    named = rows.withColumn("of", F.unhex(F.md5(F.encode("text", "UTF-8"))))
+    texts = named.join(needed, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("of") == F.col("at_of"))).select("c", "text")
+    texts = stored(texts.groupBy("c").agg(F.first("text").alias("text")), f"{folder}/texts")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         left = pairs.join(texts.select(F.col("c").alias("a"), F.col("text").alias("left")), "a")
@@ -284,24 +288,6 @@ def _shingle_rows(words: int):
     return run
 
 
-def _own_class(words: int):
-    """The rows whose text is of the class it was asked for."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in slices(batches):
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            fits = []
-            for part in chunks(texts):
-                sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[part]], words)
-                found = (hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-                fits += [x == y for x, y in zip(names[part], found, strict=True)]
-            yield batch.filter(pa.array(fits, pa.bool_()))
-
-    return run
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that stay, one document for each group, with all of their columns."""
     # A name that none of the columns has.

@@ -4,7 +4,8 @@ Every version of every path is addressed by the SHA-256 of its content. The
 ledger holds one row for each (blob, rule version) pair that was ever scanned,
 with the spans found, so a run scans a blob once however many paths hold it, and
 only under the rules whose version the ledger has not seen for it. Findings are
-joined back to all paths. The ledger is a folder of Parquet, one folder per run,
+joined back to all paths. A run first compares addresses with the ledger, which moves 32 bytes for each blob; texts move
+only for the blobs that a rule has not seen. The ledger is a folder of Parquet, one folder per run,
 which Spark's writers publish whole or not at all.
 
 Blobs are grouped by address *and* content, reduced in every map task, so a
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import dealt_anew, whole_text
+from tablesync.llm.graph import stored
 from tablesync.sources.files import list_files
 
 SPANS = "array<struct<start: int, stop: int>>"
@@ -107,15 +109,20 @@ def scan_versions(
     present = reduce(lambda a, b: a | b, [(F.col("rule") == r.kind) & (F.col("version") == r.version) for r in rules])
 
     known = _ledger(spark, ledger).where(present)
-    blobs = texts.select("blob", "_text").distinct()
     if known.head(1):
-        seen = known.groupBy("blob").agg(F.collect_set("rule").alias("_seen"))
-        blobs = blobs.join(seen, "blob", "left").where(F.coalesce(F.size("_seen"), F.lit(0)) < len(rules))
+        # Addresses first: one bit for each rule that has seen a blob. Only texts of blobs with a bit missing go on.
+        bits = reduce(lambda a, b: a.when(*b), [(F.col("rule") == r.kind, 1 << i) for i, r in enumerate(rules)], F)
+        seen = known.groupBy(F.unhex("blob").alias("_of")).agg(F.bit_or(bits).alias("_seen"))
+        wanted = texts.select(F.unhex("blob").alias("_of")).distinct().join(seen, "_of", "left")
+        wanted = wanted.withColumn("_seen", F.coalesce("_seen", F.lit(0))).where(F.col("_seen") < (1 << len(rules)) - 1)
+        wanted = stored(wanted, f"{ledger}/wanted-{uuid.uuid4().hex}")
+        blobs = texts.select("blob", "_text", F.unhex("blob").alias("_of")).join(wanted, "_of")
+        blobs = blobs.select("blob", "_text", "_seen").distinct()
     else:
-        blobs = blobs.withColumn("_seen", F.lit(None).cast("array<string>"))
+        blobs = texts.select("blob", "_text").distinct().withColumn("_seen", F.lit(0))
     todo = []
-    for r in rules:
-        unseen = ~F.coalesce(F.array_contains("_seen", r.kind), F.lit(False))
+    for i, r in enumerate(rules):
+        unseen = F.col("_seen").bitwiseAND(1 << i) == 0
         row = F.struct(
             F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), r.spans(F.col("_text")).alias("spans")
         )

@@ -396,8 +396,9 @@ def drop_repeats(
     runs = runs.select("name", "content", F.arrays_zip("firsts", "stops").alias("run"))
     apart = shared.where("mixed").join(runs, ["name", "content"]).select("id", "of", "start", F.explode("run").alias("run"))
     apart = apart.select("id", "of", (F.col("start") + F.col("run.firsts")).alias("first"), (F.col("start") + F.col("run.stops")).alias("stop"))
+    # Each of the rows that repeat an id and a text brings the same runs; a text has them once.
     gone = alike.unionByName(apart).groupBy(F.col("id").alias("at_id"), F.col("of").alias("at_of"))
-    gone = gone.agg(F.collect_list(F.struct("first", "stop")).alias("gone"))
+    gone = gone.agg(F.collect_set(F.struct("first", "stop")).alias("gone"))
     return rows.join(gone, here, "left").select("id", "text", "gone").mapInArrow(
         _cut(length),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
