@@ -94,6 +94,32 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+# All pairs of documents with a common shingle are counted, which is for small tables.
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(shingle) AS h, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws ELSE [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] END) AS shingle
+    FROM w
+  )
+), n AS (
+  SELECT w.doc_id, count(s.doc_id) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), e AS MATERIALIZED (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM n
+  UNION SELECT r.a, f.y FROM r JOIN (SELECT x, y FROM e UNION ALL SELECT y, x FROM e) f ON r.b = f.x
+), g AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN g ON g.doc_id = n.doc_id
+"""
+
 # The CRC-32 of a list of bytes, by a table of 256 remainders; op11 and op12 choose by it.
 CRC = """crc AS MATERIALIZED (
   SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
@@ -175,4 +201,4 @@ SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t USING (word
 """
 
 ORACLE = {"op4_exact_dedup": OP4, "op5_secret_scan": _op5(), "op7_line_dedup": OP7, "op8_kd_search": OP8}
-ORACLE |= {"op11_prefix_trie": OP11, "op12_spelling_variants": OP12}
+ORACLE |= {"op9_near_dedup": OP9, "op11_prefix_trie": OP11, "op12_spelling_variants": OP12}

@@ -149,5 +149,5 @@ def test_run(spark, labelled):
 
 
 def test_registered():
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
