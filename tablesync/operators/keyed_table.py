@@ -25,7 +25,8 @@ tables, has a part for each and holds images as VARIANT; commits name the part,
 
 Commits say between which values of the first key column a log folder's and the base's rows lie, and base files are sorted by key
 in pages of few rows. So a merge passes base rows outside the log's values by without a join, and ``read_keys`` reads
-the pages around the keys it is asked for, in the base and in those log folders that may hold them.
+the pages around the keys it is asked for, in the base and in those log folders that may hold them; a few keys, wherever
+they lie, are looked up by value.
 
 A table may be opened with another schema than it was written with: columns that a file does
 not have are NULL, those that are not asked for are not read.
@@ -422,13 +423,20 @@ class KeyedTable:
         kind = self.schema[self.keys[0]].dataType
         if isinstance(kind, T.NumericType):
             state.logs = [log for log in state.logs if log.get("zone") is None or _overlap(log["zone"], zone)]
-        rows = self._merged(state, zone=zone).join(wanted.distinct(), self.keys, "left_semi")
+        # As many values as Spark hands to the files one by one; more of them only as a zone.
+        few = int(self.spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
+        firsts = wanted.select(F.col(f"`{self.keys[0]}`").alias("k")).where("k IS NOT NULL").distinct().limit(few + 1).collect()
+        values = [r.k for r in firsts] if len(firsts) <= few else None
+        rows = self._merged(state, zone=zone, values=values).join(wanted.distinct(), self.keys, "left_semi")
         return rows.where(~F.col("_deleted")).select(*[F.col(f"`{n}`") for n in self.schema.names])
 
-    def _merged(self, state: TableState, partitions: int | None = None, zone: list[str] | None = None) -> DataFrame:
+    def _merged(
+        self, state: TableState, partitions: int | None = None, zone: list[str] | None = None, values: list | None = None
+    ) -> DataFrame:
         log, base = self._log(state, partitions), self._base(state)
         if zone is not None:
-            log, base = (rows if rows is None else rows.where(self._within(zone)) for rows in (log, base))
+            wanted = self._within(zone) if values is None else F.col(f"`{self.keys[0]}`").isin(values)
+            log, base = (rows if rows is None else rows.where(wanted) for rows in (log, base))
         if base is None or log is None:
             rows, ranges = (log, state.ranges) if base is None else (base, state.pending)
             return self.spark.createDataFrame([], self._stored_schema()) if rows is None else self._marked(rows, ranges)

@@ -70,7 +70,7 @@ def test_text_keys(spark, tmp_path):
     assert rows_of(table.read_keys(spark.createDataFrame([("n3",), ("n35",), ("x",)], "name string"))) == [("n3", 3), ("n35", 35)]
 
 
-def test_keys_of_a_small_zone_read_few_bytes(spark, tmp_path):
+def test_few_bytes_for_a_small_zone_and_for_few_keys(spark, tmp_path):
     def total():
         return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
 
@@ -89,5 +89,12 @@ def test_keys_of_a_small_zone_read_few_bytes(spark, tmp_path):
     before = total()
     keys = spark.range(100_000, 100_400).select("id", F.lit(0).alias("line"))
     assert table.read_keys(keys).count() == 400
+    small_zone = total() - before
+    # Keys from one end of the table to the other; then some that a page might hold and no row has.
+    before = total()
+    apart = spark.createDataFrame([(i, 0) for i in (7, 100_007, 200_007, 399_999)], "id long, line int")
+    assert sorted(r.id for r in table.read_keys(apart).collect()) == [7, 100_007, 200_007, 399_999]
+    few_keys = total() - before
     spark.conf.unset("parquet.hadoop.vectored.io.enabled")
-    assert whole > 10_000_000 and total() - before < 0.05 * whole
+    assert whole > 10_000_000 and small_zone < 0.05 * whole and few_keys < 0.2 * whole
+    assert table.read_keys(spark.createDataFrame([(-5, 0), (900_000, 0)], "id long, line int")).count() == 0
