@@ -1,16 +1,19 @@
 """Toxicity scores by a classifier that is regularised with counterfactuals.
 
 Features are the words of the whole text and their beginnings (stems take many
-endings). Those that occur clearly more often in toxic documents are chosen
-from counts over the training rows, beside the identity terms. Every training row that
+endings). Those that occur more often in toxic documents than chance can explain are chosen
+from counts over the training rows, beside the identity terms: chance brings so many of a feature's n rows
+to the toxic ones with a probability of exp(-n D) at most, D being the divergence of the feature's toxic share from
+the share of all rows (Chernoff), and that times the number of features tried is kept under ``by_chance``. So the
+test asks for no share of the toxic rows and works for rare words and any share of toxic rows. Every training row that
 mentions an identity term has a twin in which the terms are swapped within their
 group; the loss adds the squared difference of the two scores before the
 sigmoid, so that a neutral mention of one group weighs as that of another and false
 positives on such mentions go down.
 
 Fitting is bounded: at most ``MAX_ROWS`` labelled rows (the smallest hashes of
-their ids, so a rerun takes the same), at most ``MAX_FEATURES`` features. Both
-bounds are parameters. Scoring reads every document where it lies, without a shuffle.
+their ids, so a rerun takes the same), at most ``MAX_FEATURES`` features, those of the strongest evidence. These
+bounds, ``LEAST_ROWS`` and ``BY_CHANCE`` are parameters. Scoring reads every document where it lies, without a shuffle.
 
 Defined cases: a null text is empty; an empty text has the score of the intercept;
 rows that repeat an id are scored each; an id with several labels is toxic if one
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import slices, whole_id, whole_text
+from tablesync.llm.graph import stored
 from tablesync.session import run_folder
 
 MAX_ROWS = 20_000
@@ -38,10 +42,9 @@ FOLDS = 5
 # Features that a task counts before it hands on what it has.
 HELD_FEATURES = 100_000
 BEGINNINGS = (4, 5, 6)
-# A feature is in this many training rows, in this share of the toxic ones, and this many times as often there.
+# A feature is in this many training rows; so many features may be chosen by chance alone.
 LEAST_ROWS = 4
-LEAST_SHARE = 0.02
-LEAST_LIFT = 3.0
+BY_CHANCE = 1.0
 STEPS, RIDGE, PAIRING = 600, 2e-5, 1.0
 
 # Groups of terms that may stand for each other in a sentence.
@@ -125,6 +128,8 @@ def fit(
     max_rows: int = MAX_ROWS,
     max_features: int = MAX_FEATURES,
     groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS,
+    least_rows: int = LEAST_ROWS,
+    by_chance: float = BY_CHANCE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Model:
@@ -152,12 +157,9 @@ def fit(
         yield _counted(every, bad)
 
     counts = rows.mapInArrow(count, "feature string, n long, toxic long").groupBy("feature")
-    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= LEAST_ROWS)
-    # The surplus of toxic rows over what chance gives, in its standard deviations.
-    share = max(toxic, 1) / n
-    surplus = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share)
-    often = (F.col("toxic") >= LEAST_LIFT * share * F.col("n")) & (F.col("toxic") >= LEAST_SHARE * toxic)
-    best = counts.where(often).orderBy(F.desc(surplus), "feature").limit(max_features)
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= least_rows)
+    counts = stored(counts, f"{folder}/counts")
+    best = telling(counts, toxic / n, np.log(max(counts.count(), 1) / by_chance), max_features)
     terms = [t for g in groups for t in g]
     chosen = sorted({r["feature"] for r in best.select("feature").collect()} | set(terms))
     at = {f: i for i, f in enumerate(chosen)}
@@ -186,6 +188,18 @@ def fit(
     return Model(tuple(chosen), tuple(weights.tolist()), intercept)
 
 
+def telling(counts: DataFrame, share: float, least: float, most: int) -> DataFrame:
+    """The features of ``counts`` whose rows are toxic more often than ``share``, with an evidence of ``least`` or more."""
+    if not 0 < share < 1:
+        return counts.limit(0)
+    rate = F.col("toxic") / F.col("n")
+    clean = F.col("n") - F.col("toxic")
+    evidence = F.col("toxic") * F.log(rate / share)
+    evidence += F.when(clean > 0, clean * F.log((1 - rate) / (1 - share))).otherwise(0.0)
+    counts = counts.where(rate > share).withColumn("evidence", evidence)
+    return counts.where(F.col("evidence") >= float(least)).orderBy(F.desc("evidence"), "feature").limit(most)
+
+
 def _counted(every: Counter, bad: Counter):
     import pyarrow as pa
 

@@ -109,3 +109,49 @@ def test_the_penalty_spares_neutral_mentions(spark, neutral, monkeypatch):
     assert wrong[0.0] >= 50 and wrong[1.0] <= wrong[0.0] / 5
     assert gap[1.0] < gap[0.0] / 4
     assert caught[1.0] > 0.95
+
+
+def test_rare_toxic_words_are_learnt(spark):
+    """A hundred stems, each in 1 % of the toxic rows, which no share of the toxic rows would let in."""
+    rng = random.Random(4)
+    stems = ["zq" + "".join(rng.choice("bcdfgklmprstvw") for _ in range(6)) for _ in range(100)]
+    common = ["".join(rng.choice("aeioulmnrst") for _ in range(7)) for _ in range(300)]
+    rows = []
+    for i in range(8000):
+        words, toxic = [rng.choice(common) for _ in range(10)], i % 8 == 0
+        rows.append((" ".join([*words, stems[i // 8 % 100]] if toxic else words), int(toxic)))
+    docs, labels = frames(spark, rows)
+    model = toxicity.fit(docs, labels, groups=GROUPS)
+    assert set(stems) <= set(model.features)
+    score = model.scorer()
+    fresh = [" ".join(rng.choice(common) for _ in range(10)) for _ in range(300)]
+    assert all(score(t) < 0.5 for t in fresh)
+    assert all(score(f"{t} {rng.choice(stems)}") >= 0.5 for t in fresh)
+
+
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_toxic_rows_may_be_many(spark, share):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(600):
+        toxic = rng.random() < share
+        words = [rng.choice(PLAIN) for _ in range(8)]
+        rows.append((" ".join([*words, rng.choice(BAD)] if toxic else words), int(toxic)))
+    docs, labels = frames(spark, rows)
+    score = toxicity.fit(docs, labels, groups=GROUPS).scorer()
+    assert sum((score(t) >= 0.5) == bool(y) for t, y in rows) >= 0.99 * len(rows)
+
+
+def test_chance_brings_few_features(spark):
+    """Labels that are drawn by lot: the features are the identity terms and hardly any others."""
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(PLAIN) + rng.choice("abcdefgh") for _ in range(8)), int(rng.random() < 0.2)) for _ in range(800)]
+    docs, labels = frames(spark, rows)
+    assert len(set(toxicity.fit(docs, labels, groups=GROUPS).features) - set(TERMS)) <= 5
+
+
+@pytest.mark.parametrize("y", [0, 1])
+def test_labels_of_one_kind(spark, y):
+    docs, labels = frames(spark, [("word", y), ("another word", y)])
+    model = toxicity.fit(docs, labels, groups=GROUPS)
+    assert set(model.features) == set(TERMS) and {int(model.scorer()(t) >= 0.5) for t in ("", "word")} == {y}
