@@ -29,6 +29,7 @@ from tablesync.llm.common import whole_id, whole_text
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of a source's range if it had all rows; no fewer than 4,096 ranges.
 RANGE_ROWS, RANGE_BITS = 1 << 14, 12
+ORDER_BITS = 60
 # Start and end of a source's schedule around its mean of 1, repeating as the weights do:
 # heavy sources fade out, light ones come in. Both ends are above 0 and their mean is 1.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
@@ -60,6 +61,12 @@ def source_targets(
     return sources.select("_none", "_source", "_rank", "_source_size", target.alias("_target"))
 
 
+def dealt_order(id_col: str, text: Column) -> Column:
+    """A place in its source for every row: the first ``ORDER_BITS`` bits of the MD5 of id and text."""
+    name = F.md5(F.concat_ws(":", F.coalesce(whole_id(id_col).cast("string"), F.lit("")), text))
+    return F.conv(F.substring(name, 1, ORDER_BITS // 4), 16, 10).cast("long")
+
+
 def when_reached(share: Column, start: Column, end: Column) -> Column:
     """The time at which the integral of a schedule from ``start`` to ``end`` reaches ``share`` of the whole."""
     return 2 * share / (start + F.sqrt(start * start + 2 * (end - start) * share))
@@ -89,10 +96,10 @@ def mix(
             "_none": F.col(names[source_col]).isNull(),
             "_source": F.coalesce(F.col(names[source_col]).cast("string"), F.lit("")),
             "_size": F.regexp_count(text, F.lit(WORD)).cast("long"),
-            "_order": F.xxhash64(whole_id(names[id_col]), text),
+            "_order": dealt_order(names[id_col], text),
             "_tie": F.xxhash64(text),
         }
-    ).withColumn("_range", F.shiftright("_order", 64 - bits))
+    ).withColumn("_range", F.shiftright("_order", ORDER_BITS - bits))
 
     sizes = rows.groupBy("_none", "_source", "_range").agg(F.sum("_size").alias("_size"))
     earlier = Window.partitionBy("_none", "_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

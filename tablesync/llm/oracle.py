@@ -120,6 +120,43 @@ WITH RECURSIVE w AS (
 SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN g ON g.doc_id = n.doc_id
 """
 
+# Schedules and weights are those of the operator, for the sources by turns. Equal rows are interchangeable.
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))), 1, 15) AS BIGINT) AS place
+  FROM documents
+), s AS (
+  SELECT none, source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY none, source) - 1 AS turn
+  FROM d GROUP BY none, source
+), w AS (
+  SELECT *, [5.0::DOUBLE, 2, 1][turn % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS cap,
+    [1.5::DOUBLE, 1.0, 0.5][turn % 3 + 1] AS a, [0.5::DOUBLE, 1.0, 1.5][turn % 3 + 1] AS b FROM s
+), f AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () -
+      coalesce(sum(cap) OVER (ORDER BY cap / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+    sum(weight) OVER (ORDER BY cap / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w
+), l AS (
+  SELECT arg_min(level, {'q': cap / weight, 't': turn}) FILTER (cap > 0 AND level <= cap / weight) AS level FROM f
+), t AS (
+  SELECT f.* EXCLUDE (level), least(cap, coalesce(l.level * weight, cap)) AS target FROM f, l
+), p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.a, t.b,
+    coalesce(sum(d.size) OVER (PARTITION BY d.none, d.source ORDER BY d.place, d.doc_id NULLS FIRST, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM d JOIN t ON d.none = t.none AND d.source = t.source
+), u AS (
+  SELECT *, greatest(0, least(size, floor(target) - pos)) AS one, greatest(0, least(size, floor(target) - pos - source_size)) AS two,
+    CASE WHEN target > 0 THEN least(1.0::DOUBLE, CAST(pos AS DOUBLE) / target) END AS share
+  FROM p
+)
+SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+  CASE WHEN one > 0 THEN 2 * share / (a + sqrt(a * a + 2 * (b - a) * share)) END AS first_time
+FROM u
+"""
+
 # The CRC-32 of a list of bytes, by a table of 256 remainders; op11 and op12 choose by it.
 CRC = """crc AS MATERIALIZED (
   SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
@@ -201,4 +238,4 @@ SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t USING (word
 """
 
 ORACLE = {"op4_exact_dedup": OP4, "op5_secret_scan": _op5(), "op7_line_dedup": OP7, "op8_kd_search": OP8}
-ORACLE |= {"op9_near_dedup": OP9, "op11_prefix_trie": OP11, "op12_spelling_variants": OP12}
+ORACLE |= {"op9_near_dedup": OP9, "op10_curriculum_mix": OP10, "op11_prefix_trie": OP11, "op12_spelling_variants": OP12}
