@@ -88,6 +88,8 @@ WITH v AS (
 ), s AS (
   SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
   FROM c a JOIN c b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY ALL
+  UNION ALL SELECT a.vec_id, b.vec_id, 0 FROM v a JOIN v b ON len(a.v) = len(b.v) AND len(a.v) = 0 AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )

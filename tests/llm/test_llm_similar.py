@@ -209,7 +209,7 @@ def floors(vector):
 def nearest(rows, every, k):
     whole = {}
     for key, v in rows:
-        if key is None or not v or any(x is None or not math.isfinite(x) for x in v):
+        if key is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         whole[key] = min(whole.get(key, floors(v)), floors(v))
     out = []
@@ -222,19 +222,56 @@ def nearest(rows, every, k):
 
 @pytest.mark.parametrize("least", [7, 1 << 15])
 def test_top_k(spark, monkeypatch, least):
+    monkeypatch.setattr(kd_search, "BOX_BLOCK", 4)
+    monkeypatch.setattr(kd_search, "HELD_BOUNDS", 5)
     monkeypatch.setattr(kd_search, "LEAST_SHARD", least)
     monkeypatch.setattr(kd_search, "MOST_SHARD", least)
     monkeypatch.setattr(kd_search, "QUERY_BLOCK", 3)
     rng = random.Random(6)
     rows = [(i - 20, [rng.gauss(0, 0.2) for _ in range(6)]) for i in range(300)]
     rows += [(1000 + i, [0.25] * 6) for i in range(40)] + [(2000 + i, [0.5, 0.5]) for i in range(3)]
-    rows += [(5, [0.1] * 6), (5, [0.1] * 6), (3000, None), (3010, []), (3020, [0.1, None]), (None, [0.1] * 6)]
+    rows += [(5, [0.1] * 6), (5, [0.1] * 6), (3000, None), (3010, []), (3011, []), (3020, [0.1, None]), (None, [0.1] * 6)]
     rows += [(3030, [math.nan] * 6), (3040, [math.inf] * 6), (3050, [1e6, -1e6, 3.0]), (3060, [1e6, 1.5, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = kd_search.exact_top_k(frame, every=10)
     assert sorted(map(tuple, got.collect())) == nearest(rows, 10, 5)
 
 
+def test_queries_go_to_shards_in_reach_only(spark, monkeypatch):
+    """Rows of eight clusters: the cells follow them, and a query is sent to a few shards, with whole results."""
+    rng, sent = random.Random(7), []
+    middles = [[rng.choice([-1.0, 1.0]) for _ in range(8)] for _ in range(8)]
+    rows = [(i, [m + rng.gauss(0, 0.02) for m in middles[i % 8]]) for i in range(1200)]
+    monkeypatch.setattr(kd_search, "LEAST_SHARD", 30)
+    monkeypatch.setattr(kd_search, "MOST_SHARD", 30)
+    reach = kd_search.shards_in_reach
+
+    def counted(asked, boxes, *numbers):
+        pairs = reach(asked, boxes, *numbers)
+        sent.append((pairs.count(), asked.count() * (boxes.count() - 1)))
+        return pairs
+
+    monkeypatch.setattr(kd_search, "shards_in_reach", counted)
+    got = kd_search.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == nearest(rows, 50, 5)
+    assert sent[0][0] < sent[0][1] / 4
+
+
+def test_a_third_of_the_vectors_alike(spark, monkeypatch):
+    """No cell can part equal vectors, so its shards are dealt by the id."""
+    rng = random.Random(8)
+    rows = [(i, [0.5] * 4 if i % 3 == 0 else [rng.gauss(0, 0.3) for _ in range(4)]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    frame = frame.select("vec_id", F.transform("v", lambda x: F.floor(x * 256)).alias("v"))
+    cells, shards = kd_search.dealt(frame, 900, 50)
+    sizes = [r["count"] for r in cells.groupBy("dim", "shard").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 80 and max(r.shard for r in cells.collect()) < shards
+    monkeypatch.setattr(kd_search, "LEAST_SHARD", 50)
+    monkeypatch.setattr(kd_search, "MOST_SHARD", 50)
+    got = kd_search.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == nearest(rows, 50, 5)
+
+
 def test_top_k_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, shard int, q_v int")
     assert kd_search.exact_top_k(none).count() == 0
