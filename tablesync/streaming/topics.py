@@ -62,7 +62,8 @@ def finished_records(records: DataFrame, fences: DataFrame) -> DataFrame:
     ended = with_fields(ended, ["label", "batch"], F.col("text"), "records bigint").distinct()
     seen = once.groupBy("label", "batch").count()
     whole = ended.join(seen, ["label", "batch"]).where(F.col("count") >= F.col("records")).select("label", "batch")
-    kept = once.join(whole, ["label", "batch"], "left_semi")
+    # One row for each batch. Were the records shuffled by batch for it, all of a batch would meet in one task.
+    kept = once.join(F.broadcast(whole), ["label", "batch"], "left_semi")
     return kept.select("key", "value", "topic", F.lit(0).alias("partition"), F.col("batch").alias("offset"))
 
 

@@ -87,3 +87,17 @@ def test_start_by_name(start):
 
 def test_start_by_time():
     assert start_options("1700000000000") == {"startingTimestamp": "1700000000000", "startingOffsetsByTimestampStrategy": "latest"}
+
+
+def test_records_of_a_batch_do_not_meet_in_one_task(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = topics.outbox_records(records_of(spark, ("k1", "a", "t"), ("k2", "b", "t")), "job", 4)
+        found = topics.finished_records(published(one, one), topics.fence_records(spark, "job", 4, 2, "f"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # The records are shuffled by their numbers only.
+        assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan
+        assert sorted(r.key for r in found.collect()) == ["k1", "k2"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
