@@ -678,7 +678,7 @@ def jdbc_ranges(spark, sf_dir):
     derive.table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_keys")
     names, parts = ["l_orderkey", "l_linenumber"], 7
     rows = spark.table("lineitem_keys").count()
-    found = spark.sql(jdbc.split_query("lineitem_keys", names, -(-rows // parts), "l_returnflag <> 'X'")).collect()
+    found = jdbc.split_rows(lambda q: spark.sql(q).collect(), "lineitem_keys", names, rows, parts, "l_returnflag <> 'X'")
     ranges = jdbc.range_predicates(names, jdbc.split_points(found, parts))
     cases = [F.when(F.expr(p), i) for i, p in enumerate(ranges)]
     return spark.table("lineitem_keys").select(

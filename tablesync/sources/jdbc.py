@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,18 +47,73 @@ def key_hash(keys: list[str]) -> str:
 # How a database draws a share of a table's rows, by the name in its URL (fixed values), and the rows it is not asked for.
 DRAWS = {"mysql": "rand() < {}", "mariadb": "rand() < {}", "postgresql": "random() < {}"}
 DRAW_ABOVE = 10_000_000
+# Rows that Spark numbers in one task, and keys drawn for each such run. Effort only.
+RUN_ROWS = 4_000_000
+DRAWN_A_RUN = 1000
 
 
-def split_query(table: str, names: Sequence[str], step: int, condition: str | None = None) -> str:
+def split_query(
+    table: str,
+    names: Sequence[str],
+    step: int,
+    condition: str | None = None,
+    points: Sequence[Sequence[str]] = (),
+    before: Sequence[int] = (),
+) -> str:
     """SQL for every ``step``-th key in the database's own order: a few rows, read from the key's index.
 
-    ``_place`` tells their order, whatever the collation.
+    ``_place`` tells their order, whatever the collation. With ``points``, keys as literals in ascending order, the rows between
+    two of them are numbered by themselves and the rows ``before`` each such run are added (see ``split_rows``); the same keys
+    come out, and an engine without an index can number the runs side by side.
     """
     listed, among = ", ".join(names), f" where {condition}" if condition else ""
-    keys = f"select {listed}, row_number() over (order by {listed}) as _place from {table}{among}"
+    if not points:
+        keys = f"select {listed}, row_number() over (order by {listed}) as _place from {table}{among}"
+        return f"select {listed}, _place from ({keys}) numbered where mod(_place, {step}) = 0"
+    rows = f"select {listed}, {run_number(names, points)} as _run from {table}{among}"
+    keys = f"select {listed}, _run, row_number() over (partition by _run order by {listed}) as _own from ({rows}) dealt"
+    places = " ".join(f"when {i} then {n}" for i, n in enumerate(before))
+    keys = f"select {listed}, _own + case _run {places} end as _place from ({keys}) counted"
     return f"select {listed}, _place from ({keys}) numbered where mod(_place, {step}) = 0"
 
 
+def run_number(names: Sequence[str], points: Sequence[Sequence[str]]) -> str:
+    """SQL for the number of points below a key, where NULLs come first, as Spark and MySQL order them."""
+
+    def upto(names: Sequence[str], point: Sequence[str]) -> str:
+        if len(names) == 1:
+            return f"({names[0]} is null or {names[0]} <= {point[0]})"
+        return f"({names[0]} is null or {names[0]} < {point[0]} or ({names[0]} = {point[0]} and {upto(names[1:], point[1:])}))"
+
+    cases = " ".join(f"when {upto(names, point)} then {i}" for i, point in enumerate(points))
+    return f"case {cases} else {len(points)} end"
+
+
+def split_rows(
+    ask: Callable[[str], list], table: str, names: Sequence[str], rows: int, parts: int, condition: str | None = None,
+    run_rows: int = RUN_ROWS, draw: str = "rand() < {}",
+) -> list:
+    """The rows of ``split_query`` for ``rows`` rows in ``parts`` parts, by queries of which none orders many rows in one task.
+
+    ``ask`` runs a query. Keys drawn at random bound runs of about ``run_rows`` rows; each run is counted, then numbered. Every row
+    has its exact place, whatever was drawn. For tables that Spark holds: a database reads its index in order.
+    """
+    step, points, before = -(-rows // parts), [], []
+    if rows > run_rows:
+        runs = -(-rows // run_rows)
+        drawn = min(DRAWN_A_RUN, -(-rows // runs))
+        share = min(1.0, DRAWN_A_RUN * runs / rows)
+        among = " and ".join([*([f"({condition})"] if condition else []), draw.format(f"{share:.12f}")])
+        points = split_points(ask(split_query(table, names, drawn, among)), runs, backslashes=True)
+        points = [p for i, p in enumerate(points) if p not in points[:i]]
+    if points:
+        among = f" where {condition}" if condition else ""
+        dealt = f"select {run_number(names, points)} as _run from {table}{among}"
+        counts = {r[0]: r[1] for r in ask(f"select _run, count(*) as n from ({dealt}) dealt group by _run")}
+        before = [sum(counts.get(j, 0) for j in range(i)) for i in range(len(points) + 1)]
+    return ask(split_query(table, names, step, condition, points, before))
+
+
 def literal(value, backslashes: bool = False) -> str:
     """A key's value in SQL; ``backslashes`` for databases where they escape, as in MySQL."""
     if isinstance(value, datetime):

@@ -52,6 +52,27 @@ def test_few_rows_and_nulls(spark):
     assert jdbc.range_predicates(["a"], []) == ["1 = 1"]
 
 
+@pytest.mark.parametrize("run_rows", [50, 300])
+def test_runs_give_the_same_split_points(spark, run_rows):
+    rng = random.Random(3)
+    keys = [(rng.choice([None, "a", "a'b", "c\\\\d", "Z"]), rng.choice([None, *range(300)])) for _ in range(900)] + [("a", 7)] * 200
+    spark.createDataFrame(keys, "name string, line int").repartition(3).createOrReplaceTempView("keys_now")
+    names, asked = ["name", "line"], []
+
+    def ask(query):
+        asked.append(query)
+        return spark.sql(query).collect()
+
+    for condition in (None, "line > 20 or line is null"):
+        n = spark.sql(f"select count(*) from keys_now where {condition or '1 = 1'}").first()[0]
+        plain = spark.sql(jdbc.split_query("keys_now", names, -(-n // 7), condition)).collect()
+        found = jdbc.split_rows(ask, "keys_now", names, n, 7, condition, run_rows)
+        assert sorted(found, key=lambda r: r[-1]) == sorted(plain, key=lambda r: r[-1])
+        plan = spark.sql(asked[-1])._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "_run" in plan
+    assert jdbc.split_rows(ask, "keys_now", names, 1100, 7) and "_run" not in asked[-1]
+
+
 def test_literals():
     assert jdbc.literal("a'\\b") == "'a''\\b'" and jdbc.literal("a'\\b", backslashes=True) == "'a''\\\\b'"
     assert jdbc.literal(Decimal("1.50")) == "1.50" and jdbc.literal(-3) == "-3" and jdbc.literal(b"\x01\xff") == "x'01ff'"
