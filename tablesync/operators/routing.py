@@ -17,13 +17,16 @@ def classify(events: DataFrame, known_tables: list[str], truncates: bool = False
 
 
 def route(events: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Events with the ``target`` the catalog (``table, target``) gives their table."""
-    return events.join(catalog.select("table", "target"), "table")
+    """Events with the ``target`` the catalog (``table, target``) gives their table.
+
+    A catalog has a row for each table and goes to the events; shuffled, all events of a table would meet in one task.
+    """
+    return events.join(F.broadcast(catalog.select("table", "target")), "table")
 
 
 def unknown_tables(events: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Events whose table the catalog does not list."""
-    return events.join(catalog.select("table"), "table", "left_anti")
+    """Events whose table the catalog, which goes to the events as in ``route``, does not list."""
+    return events.join(F.broadcast(catalog.select("table")), "table", "left_anti")
 
 
 def action_counts(classified: DataFrame) -> DataFrame:

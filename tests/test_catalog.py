@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.__main__ import main
-from tablesync.operators import catalog, ddl
+from tablesync.operators import catalog, ddl, routing
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.operators.sensitive import sensitive_columns
 from tablesync.plans.job import Metadata, create_missing_targets, existing_targets, prepare_job
@@ -172,3 +172,20 @@ def test_entry_points(spark, tmp_path, monkeypatch):
         (1, "138****5678", "2020-07-17 18:00:22.123000", "2020-07-17"),
         (2, "139****1111", "2024-01-01 00:00:00", "2024-01-01"),
     ]
+
+
+def test_a_catalog_goes_to_the_events(spark):
+    """Events are not shuffled by their table, of which one may have most."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "table string, n int")
+        catalog = spark.createDataFrame([("a", "ods_a"), ("c", "ods_c"), (None, "none")], "table string, target string")
+        routed, lost = routing.route(events, catalog), routing.unknown_tables(events, catalog)
+        for found in (routed, lost):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert sorted((r.n, r.target) for r in routed.collect()) == [(1, "ods_a"), (2, "ods_a")]
+        assert sorted(r.n for r in lost.collect()) == [3, 4]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
