@@ -3,8 +3,9 @@
 A batch's changes have one form whatever their table: the table's number in the batch, the key as text, the position and the
 typed, masked row as VARIANT. They are reduced to the last one of each key and written by one job into a folder beside the
 targets, ``<root>/_log/<batch>/part=<number>``; a second job counts what each part holds, and each target gets a commit that
-names its part. So the jobs of a batch do not grow with the number of tables. Tasks hardly do: a table's share
-of the batch says how many read it, and the kept batch is ordered by table.
+names its part. So the jobs of a batch do not grow with the number of tables. Tasks hardly do in a small batch: a table's
+share of the batch says how many read it, and the kept batch is ordered by table. Each table's tasks read all of the kept
+batch between them, so a large batch has more of them for each table, however few of its events the table has.
 
 Rows that cannot be applied are written beside the others, and from there to quarantine before the commits.
 """
@@ -28,6 +29,8 @@ from tablesync.sources.files import delete_folder, list_files, list_with_age
 from tablesync.spec import TableSpec
 
 FOLDER = "_log"
+# Rows of the kept batch that a task reads, as far as the batch's partitions allow. Effort only.
+READ_ROWS = 1 << 20
 
 
 @dataclass
@@ -61,6 +64,11 @@ def image_form(typed: DataFrame, spec: TableSpec, number: int, seq_type: T.DataT
     )
 
 
+def read_tasks(events: int, total: int, kept: int, tasks: int) -> int:
+    """How many tasks read the kept batch of ``kept`` rows for a table with so many of its ``total`` changes."""
+    return max(1, -(-tasks * events // total), -(-kept // READ_ROWS))
+
+
 def write_parts(
     typed: Callable[[TableSpec], DataFrame],
     tables: dict[str, KeyedTable],
@@ -70,10 +78,11 @@ def write_parts(
     label: str,
     batch_id: int,
     write: int,
+    kept: int,
 ) -> dict[str, Part]:
     """Write the changes of the tables in ``events``, the number of each one's events, and say what each has got.
 
-    ``typed`` gives a table's changes, with ``_op``, ``_seq`` and ``_bad``, from the kept batch.
+    ``typed`` gives a table's changes, with ``_op``, ``_seq`` and ``_bad``, from the kept batch, which has ``kept`` rows.
     """
     names, total = list(events), max(1, sum(events.values()))
     if not names:
@@ -85,7 +94,7 @@ def write_parts(
         rows = image_form(typed(specs[name]), specs[name], number, table.seq_type, write)
         branches.append((rows, events[name]))
     tasks = spark.sparkContext.defaultParallelism
-    shares = [rows.coalesce(max(1, -(-tasks * n // total))) for rows, n in branches]
+    shares = [rows.coalesce(read_tasks(n, total, kept, tasks)) for rows, n in branches]
     rows = latest_per_key(reduce(DataFrame.union, shares), ["part", "_key"], "_seq").drop("_key")
     batch = f"{re.sub(r'[^A-Za-z0-9_.-]', '_', label)}-{batch_id}-{uuid.uuid4().hex[:8]}"
     folder = f"{root}/{FOLDER}/{batch}"

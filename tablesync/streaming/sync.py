@@ -198,8 +198,9 @@ def _apply_batch(
     known = {n: skipped_batch(states[n], options.label, batch_id) for n in names}
     todo = {n: batch.active[n] for n in names if known[n] is None}
     write = max([tables[n].next_write(states[n]) for n in todo], default=0)
+    kept = sum(batch.active.values()) + sum(batch.odd.values())
     parts = write_parts(
-        lambda spec: typed_changes(batch.rows, spec, options), tables, specs, todo, root, options.label, batch_id, write
+        lambda spec: typed_changes(batch.rows, spec, options), tables, specs, todo, root, options.label, batch_id, write, kept
     )
 
     def one_table(name: str) -> AuditRow:

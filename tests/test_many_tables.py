@@ -11,6 +11,7 @@ from tablesync.operators.audit import read_audit
 from tablesync.operators.keyed_table import KeyedTable
 from tablesync.sources.files import list_files
 from tablesync.spec import ColumnSpec, MaskRules, TableSpec
+from tablesync.streaming import multi_log
 from tablesync.streaming.multi_log import vacuum_parts
 from tablesync.streaming.sync import SyncOptions, compact_tables, sync_batch
 
@@ -120,3 +121,20 @@ def test_a_table_may_gain_columns_over_image_parts(spark, tmp_path):
     sync_batch(batch_of(spark, lines_of(1, 1)), 0, {"t0": spec}, root, SyncOptions(label="job", db="shop"))
     wider = TableSpec("t0", spec.target, spec.keys, (*spec.columns, ColumnSpec("more", "int")))
     assert live(spark, root, wider) == [(0, "n0-0-1", "13812345678", None)]
+
+
+def test_a_small_table_of_a_large_batch_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    assert multi_log.read_tasks(1, 1000, 1000, 12) == 1
+    # However few events a table has, no task reads more than some of a large batch.
+    assert multi_log.read_tasks(1, 90 << 20, 90 << 20, 12) == 90
+    assert multi_log.read_tasks(7, 10, 10, 12) == 9
+    seen, frame = [], type(spark.range(1))
+    coalesce = frame.coalesce
+    monkeypatch.setattr(multi_log, "READ_ROWS", 2)
+    monkeypatch.setattr(frame, "coalesce", lambda self, n: seen.append(n) or coalesce(self, n))
+    specs = {f"t{i}": spec_of(i) for i in range(2)}
+    lines = lines_of(1, 20) + [x.replace('"t0"', '"t1"').replace("name's 0", "name's 1") for x in lines_of(1, 1)]
+    lines += [x.replace('"t0"', '"ghost"') for x in lines_of(1, 3)]
+    sync_batch(batch_of(spark, lines), 0, specs, str(tmp_path), SyncOptions(label="job", db="shop"))
+    assert seen[:2] == [12, 12]
+    assert len(live(spark, tmp_path, specs["t0"])) == 20 and len(live(spark, tmp_path, specs["t1"])) == 1
