@@ -15,7 +15,8 @@ The groups come from a table in the shared folder, so a lost task packs the same
 Defined cases: a null or empty text is its closing id alone; a null id is kept as null; rows that
 repeat an id, or a whole row, are packed each; pieces of one length are taken in the order of the table; an
 empty table gives an empty result; other columns are not read, whatever their names. A very long text is
-encoded in parts of 2^20 characters, and a task holds one of them and less than two sequences of its ids.
+encoded in parts of 2^20 characters, and a task holds one of them and less than two sequences of its ids; shorter texts
+are encoded together up to as many characters.
 """
 
 from __future__ import annotations
@@ -183,9 +184,9 @@ def encoded_pieces(
             return (*row, ids.tolist()) if with_ids else row
 
         for batch in slices(batches):
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, parts in zip(batch.column(0).to_pylist(), encode.each(batch.column(1).to_pylist()), strict=True):
                 held, number = np.zeros(0, np.uint32), 0
-                for ids in encode.ids(text):
+                for ids in parts:
                     held = np.concatenate([held, ids])
                     # What is held at the end goes with the closing id, so a full piece waits for one id more.
                     while len(held) > capacity:

@@ -1,7 +1,7 @@
 """Token ids of texts by a tokenizer of whole words (lower case, white space dropped).
 
 A text's words are found by one pattern, and each distinct word goes through the
-tokenizer once. The pattern's classes hold for the ranges in ``SAME_CLASSES``, in which
+tokenizer once; short texts are taken together, so new words come to it by the thousand. The pattern's classes hold for the ranges in ``SAME_CLASSES``, in which
 every code point is compared with the tokenizer by the tests; a text with any other
 character, or with the string of an added token, goes through the tokenizer as it is.
 A very long text is read in parts that end at white space, where no token reaches across.
@@ -12,7 +12,7 @@ from __future__ import annotations
 import functools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -101,7 +101,8 @@ class WordTokenizer:
 
     def _learn(self) -> None:
         words, self.slots.new = self.slots.new, []
-        ids = np.array(self.whole.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        (found,) = self.whole.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
         stops = np.flatnonzero(self.ends[ids]) + 1
         at, need = len(self.slots) - len(words), self.used + len(ids)
         while len(self.first) < at + len(words):
@@ -113,26 +114,52 @@ class WordTokenizer:
         self.first[at : at + len(words)] = self.used + stops - sizes
         self.used = need
 
-    def _part(self, text: str) -> np.ndarray:
-        if self.odd.search(text) or any(t in text for t in self.added):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = self.words.findall(text.lower())
-        if not words:
-            return np.zeros(0, np.uint32)
+    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after another, and how many come before each word and in all."""
         if len(self.slots) > CACHE_WORDS:
             self._forget()
         at = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
         if self.slots.new:
             self._learn()
         sizes = self.count[at]
-        before = np.cumsum(sizes) - sizes
-        return self.pool[np.repeat(self.first[at] - before, sizes) + np.arange(sizes.sum())]
+        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        return self.pool[np.repeat(self.first[at] - before[:-1], sizes) + np.arange(before[-1])], before
+
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text; all words are looked up at once, and the new ones learned at once."""
+        words, ends, whole = [], [0], {}
+        for i, text in enumerate(texts):
+            if self.odd.search(text) or any(t in text for t in self.added):
+                whole[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                words += self.words.findall(text.lower())
+            ends.append(len(words))
+        ids, before = self._looked_up(words)
+        ends = before[ends].tolist()
+        return [whole[i] if i in whole else ids[ends[i] : ends[i + 1]] for i in range(len(texts))]
+
+    def _part(self, text: str) -> np.ndarray:
+        return self._together([text])[0]
 
     def ids(self, text: str) -> Iterator[np.ndarray]:
         """The ids of a text, part by part."""
         for part in parts(text):
             yield self._part(part)
 
+    def each(self, texts: Iterable[str], most: int = PART) -> Iterator[Iterable[np.ndarray]]:
+        """The ids of every text, part by part; texts of ``most`` characters in all are read together."""
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > most:
+                yield from ([ids] for ids in self._together(held))
+                held, size = [], 0
+            if len(text) > most:
+                yield self.ids(text)
+            else:
+                held.append(text)
+                size += len(text)
+        yield from ([ids] for ids in self._together(held))
+
 
 @functools.cache
 def word_tokenizer(path: str) -> WordTokenizer:

@@ -45,6 +45,18 @@ def test_ids_equal_the_tokenizer(whole, raw, monkeypatch):
             assert got == whole.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_short_texts_are_encoded_together(whole, raw, monkeypatch):
+    texts = [r[1] or "" for r in raw] + ["A <|endoftext|>b", "İstanbul", "", "x " * 400, "it's new"]
+    want = [whole.encode(text, add_special_tokens=False).ids for text in texts]
+    for most in (1, 60, 1 << 20):
+        encode = word_tokens.WordTokenizer(PATH)
+        assert [np.concatenate(list(ids)).tolist() for ids in encode.each(texts, most)] == want
+    encode, learned = word_tokens.WordTokenizer(PATH), []
+    monkeypatch.setattr(encode, "_learn", lambda: learned.append(len(encode.slots.new)) or type(encode)._learn(encode))
+    assert len(list(encode.each(["some words", "and others", "some others", "new"]))) == 4
+    assert learned == [5]
+
+
 def test_parts_give_the_text_back():
     rng = random.Random(2)
     for _ in range(50):
